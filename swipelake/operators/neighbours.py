@@ -83,9 +83,8 @@ def distinct_points(df: DataFrame, group: str, key: str, vector: str) -> DataFra
     )
 
 
-def _choose_pivots(points: DataFrame, cell_rows: int) -> dict:
+def _choose_pivots(points: DataFrame, sizes: DataFrame, cell_rows: int) -> dict:
     """Pivots per group, drawn by key digest, one for every ``cell_rows`` points."""
-    sizes = points.groupBy("grp").agg(F.count("*").alias("n"))
     quotas = sizes.select("grp", F.ceil(F.col("n") / F.lit(cell_rows)).cast("bigint").alias("quota"))
     drawn = grant_quotas(points, "grp", "pid", quotas).where("granted > 0").select("grp", "pid", "vec").collect()
     pivots: dict = {}
@@ -222,17 +221,18 @@ def nearest_neighbours(points: DataFrame, k: int, chunk_rows: int = CHUNK_ROWS)
 
     ``points`` come from ``distinct_points`` and are stored, as they are read several times.
     """
-    total = points.count()
-    cell_rows = max(chunk_rows, -(-total // MAX_PIVOTS))
-    cells = _choose_pivots(points, cell_rows)
+    groups = points.groupBy("grp").agg(F.count("*").alias("n"))
+    extent = groups.agg(F.sum("n").alias("total"), F.max("n").alias("largest")).first()
+    cell_rows = max(chunk_rows, -(-(extent["total"] or 0) // MAX_PIVOTS))
+    if (extent["largest"] or 0) <= cell_rows:  # one cell per group
+        placed = points.withColumn("cell", F.lit(0))
+        return _best(_compare(placed, placed, groups.withColumn("cell", F.lit(0)), k, chunk_rows), k)
+    cells = _choose_pivots(points, groups, cell_rows)
     placed = cut_lineage(_assign_cells(points, cells))
     sizes = placed.groupBy("grp", "cell").agg(
         F.count("*").alias("n"), F.min("radius").alias("near"), F.max("radius").alias("far")
     )
-    several = any(len(c.pivots) > 1 for c in cells.values())
     best = _best(_compare(placed, placed, sizes, k, chunk_rows), k)
-    if not several:
-        return best
     for c in cells.values():
         c.near, c.far = np.full(len(c.pivots), -np.inf), np.full(len(c.pivots), np.inf)
     filled = {g: set() for g in cells}
