@@ -9,6 +9,7 @@ from pyspark.ml.classification import RandomForestClassifier
 from pyspark.sql import DataFrame
 
 from swipelake.operators.evaluate import accuracy, classification_report, confusion_counts
+from swipelake.session import ensure_checkpoint_dir
 
 # Seed and number of trees; depth is unlimited in intent, 30 is Spark's maximum.
 SEED = 42
@@ -24,7 +25,13 @@ def train_forest(
     max_depth: int = MAX_DEPTH,
     seed: int = SEED,
 ) -> PipelineModel:
-    """The square root of the number of features is tried at each split."""
+    """The square root of the number of features is tried at each split.
+
+    Each row remembers its node in every tree, cut off in the checkpoint folder now and then:
+    deep trees need not be walked from the root at every level, and the memory per pass allows
+    many nodes at once.
+    """
+    ensure_checkpoint_dir(train.sparkSession)
     forest = RandomForestClassifier(
         featuresCol=features,
         labelCol=label,
@@ -32,6 +39,9 @@ def train_forest(
         maxDepth=max_depth,
         featureSubsetStrategy="sqrt",
         seed=seed,
+        cacheNodeIds=True,
+        checkpointInterval=10,
+        maxMemoryInMB=512,
     )
     return Pipeline(stages=[forest]).fit(train)
 

@@ -25,17 +25,22 @@ def _check(page: int, limit: int) -> None:
 def page_rows(
     df: DataFrame, page: int = 1, limit: int = DEFAULT_LIMIT, key: str = "id", shallow_rows: int = SHALLOW_ROWS
 ) -> DataFrame:
-    """Rows ``(page-1)*limit`` to ``page*limit`` in key order.
+    """Rows ``(page-1)*limit`` to ``page*limit`` in key order. The key is unique and not null.
 
-    A top-n pass keeps offset + limit rows in every task, so a deep page is first narrowed to a
-    key range by counting: the rows sorted afterwards stay few at any depth. The key must be
-    a unique whole number for that.
+    The page's least and greatest key are found from the key column alone; as scalar subqueries
+    they reach the scan, so the other columns are read only where the page lies.
+
+    A top-n pass keeps offset + limit keys in every task, so a deep page is first narrowed to a
+    key range by counting (whole-number keys only): few keys are sorted at any depth.
     """
     _check(page, limit)
     offset = (page - 1) * limit
+    keys = df.select(key).where(F.col(key).isNotNull())
     if offset > shallow_rows:
-        df, offset = narrow_to_offset(df, key, offset, shallow_rows)
-    return df.orderBy(key).offset(offset).limit(limit)
+        keys, offset = narrow_to_offset(keys, key, offset, shallow_rows)
+    edges = keys.orderBy(key).offset(offset).limit(limit).agg(F.min(key).alias("lo"), F.max(key).alias("hi"))
+    on_page = F.col(key).between(edges.select("lo").scalar(), edges.select("hi").scalar())
+    return df.where(on_page).orderBy(key).limit(limit)
 
 
 def page_after(df: DataFrame, last_key=None, limit: int = DEFAULT_LIMIT, key: str = "id") -> DataFrame:

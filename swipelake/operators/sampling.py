@@ -61,6 +61,8 @@ def quota_cutoffs(
         .where((F.col("upto") >= F.col("quota")) & (F.col("upto") - F.col("w") < F.col("quota")))
         .select("q_stratum", F.col("bucket").alias("cut_bucket"), (F.col("quota") - F.col("upto") + F.col("w")).alias("open"))
     )
+    # one small row per stratum: with it broadcast, the rows are filtered where they are
+    ends = broadcast_if_small(cut_lineage(ends))
     last_bucket = rows.join(
         ends, F.col("stratum").eqNullSafe(F.col("q_stratum")) & (F.col("bucket") == F.col("cut_bucket"))
     )
@@ -87,14 +89,15 @@ def grant_quotas(
     are not shuffled: each looks up the one cut-off of its stratum, a table of one row per class."""
     w = F.lit(1) if weight is None else weight
     cuts = broadcast_if_small(cut_lineage(quota_cutoffs(df, stratum, key, quotas, weight)))
-    digest = key_digest(key)
+    digest = F.col("_digest")
     before = (digest < F.col("cut_digest")) | ((digest == F.col("cut_digest")) & (F.col(key) < F.col("cut_key")))
     at_cut = (digest == F.col("cut_digest")) & (F.col(key) == F.col("cut_key"))
     part = F.when(before, w).when(at_cut, F.col("cut_grant")).otherwise(0)
     return (
-        df.join(cuts, F.col(stratum).eqNullSafe(F.col("cut_stratum")), "left")
+        df.withColumn("_digest", key_digest(key))
+        .join(cuts, F.col(stratum).eqNullSafe(F.col("cut_stratum")), "left")
         .withColumn(granted, part.cast("bigint"))
-        .drop("cut_stratum", "cut_digest", "cut_key", "cut_grant")
+        .drop("_digest", "cut_stratum", "cut_digest", "cut_key", "cut_grant")
     )
 
 
