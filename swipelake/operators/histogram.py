@@ -54,29 +54,28 @@ def narrow_to_offset(df: DataFrame, key: str, offset: int, few_rows: int) -> tup
 def equal_load_cuts(counts: RangeCounts, low: int, high: int, parts: int) -> list[int]:
     """Keys that cut [low, high] into at most ``parts`` ranges of about the same number of rows.
 
-    A range heavier than one part is counted again in finer steps before cuts are placed.
+    Rows are counted in steps that should each hold well under one part; a step that holds more
+    is counted again in finer ones.
     """
+    steps = max(RANGES, 16 * parts)
     pieces: list[tuple[int, int]] = []  # (first key, rows), in key order
     total = None
-
-    def collect(lo: int, hi: int) -> None:
-        nonlocal total
-        width = -(-(hi - lo + 1) // RANGES)
-        ranges = -(-(hi - lo + 1) // width)
-        found = counts(lo, width, ranges)
+    todo = [(low, high)]
+    while todo:
+        lo, hi = todo.pop()
+        width = -(-(hi - lo + 1) // steps)
+        found = counts(lo, width, -(-(hi - lo + 1) // width))
         if total is None:
             total = sum(found.values())
-        for number in sorted(found):
+        for number, rows in found.items():
             first = lo + number * width
-            if width > 1 and found[number] * parts > total:
-                collect(first, min(hi, first + width - 1))
+            if width > 1 and rows * parts * 8 > total:
+                todo.append((first, min(hi, first + width - 1)))
             else:
-                pieces.append((first, found[number]))
-
-    collect(low, high)
+                pieces.append((first, rows))
     cuts: list[int] = []
     seen = 0
-    for first, rows in pieces:
+    for first, rows in sorted(pieces):
         if seen * parts >= total * (len(cuts) + 1) and len(cuts) < parts - 1:
             cuts.append(first)
         seen += rows

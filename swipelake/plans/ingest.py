@@ -5,6 +5,7 @@ from __future__ import annotations
 import argparse
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from swipelake import schemas
 from swipelake.operators.columns import with_year_month
@@ -19,9 +20,19 @@ def ingest_csv(
     snapshots.write_snapshot(files.read_csv(spark, source, schema), root, "csv", date, mode=mode)
 
 
-def ingest_json_object(spark: SparkSession, source: str, root: str, date: str | None = None, mode: str = "dynamic") -> None:
-    """A JSON object that may span many lines; one line per object in the raw zone."""
-    snapshots.write_snapshot(files.read_json(spark, source, multi_line=True), root, "json", date, mode=mode)
+def ingest_json_object(
+    spark: SparkSession, source: str, root: str, date: str | None = None, mode: str = "dynamic", fields: bool = False
+) -> None:
+    """A JSON object that may span many lines; one line per object in the raw zone.
+
+    The object's fields are data and are carried as a map. With ``fields`` each becomes a typed
+    column first, which suits objects of few and fixed fields.
+    """
+    if fields:
+        snapshots.write_snapshot(files.read_json(spark, source, multi_line=True), root, "json", date, mode=mode)
+    else:
+        lines = files.read_json_dictionary(spark, source).select(F.to_json("entries").alias("value"))
+        snapshots.write_snapshot(lines, root, "text", date, mode=mode)
 
 
 def ingest_labels(

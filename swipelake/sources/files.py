@@ -25,7 +25,7 @@ def read_json(spark: SparkSession, path: str, multi_line: bool = False, schema:
 def read_json_dictionary(spark: SparkSession, path: str) -> DataFrame:
     """Column ``entries``: each file's JSON object as a map, whatever its fields are. For small
     dictionaries; a file is parsed in one piece."""
-    text = spark.read.option("wholetext", True).text(path)
+    text = spark.read.text(path, wholetext=True)
     return text.select(F.from_json("value", "map<string,string>").alias("entries"))
 
 
