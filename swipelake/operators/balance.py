@@ -57,12 +57,18 @@ def neighbour_slots(points: DataFrame, near: DataFrame, k: int) -> DataFrame:
 
 
 def synthetic_points(
-    df: DataFrame, label: str, key: str, vector: str, k: int = NEIGHBOURS, chunk_rows: int = CHUNK_ROWS
+    df: DataFrame,
+    label: str,
+    key: str,
+    vector: str,
+    k: int = NEIGHBOURS,
+    cell_rows: int | None = None,
+    chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
     """(label, base key, draw, vector) of the points that make all classes equally large.
 
     Every row of a smaller class serves as a base equally often; the remainder goes to the rows
-    first in digest order. A point lies at a drawn place between its base and a drawn one of the
+    first in digest order. Only rows that serve as a base are looked at for neighbours. A point lies at a drawn place between its base and a drawn one of the
     base's k nearest neighbours in the class. All draws depend on base key and number only.
     A class with one distinct vector can only repeat it.
     """
@@ -70,19 +76,18 @@ def synthetic_points(
     small = classes.where("need > 0").select(F.col(label).alias("grp"), "n", "need")
     minor = df.join(broadcast_if_small(small.select(F.col("grp").alias(label))), label, "left_semi")
     points = cut_lineage(distinct_points(minor, label, key, vector))
-    slots = neighbour_slots(points, nearest_neighbours(points, k, chunk_rows), k)
     rest = small.select("grp", (F.col("need") % F.col("n")).alias("quota"))
     per_row = broadcast_if_small(small.select("grp", F.expr("need div n").alias("each")))
-    quotas = (
+    points = cut_lineage(
         grant_quotas(points, "grp", "pid", rest, F.col("copies"))
         .join(per_row, "grp")
         .withColumn("quota", F.col("each") * F.col("copies") + F.col("granted"))
-        .where("quota > 0")
+        .drop("each", "granted")
     )
+    near = nearest_neighbours(points, k, "quota > 0", cell_rows, chunk_rows)
+    bases = points.where("quota > 0").join(neighbour_slots(points, near, k), ["grp", "pid"], "left")
     steps = F.ceil(F.col("quota") / F.lit(POINTS_PER_STEP)).cast("bigint")
-    bases = quotas.join(slots, ["grp", "pid"], "left").withColumn(
-        "step", F.explode(F.sequence(F.lit(0).cast("bigint"), steps - 1))
-    )
+    bases = bases.withColumn("step", F.explode(F.sequence(F.lit(0).cast("bigint"), steps - 1)))
     first = F.col("step") * POINTS_PER_STEP
     last = F.least(first + POINTS_PER_STEP, F.col("quota")) - 1
     draws = bases.repartition("grp", "pid", "step").withColumn("draw", F.explode(F.sequence(first, last)))
@@ -99,7 +104,7 @@ def synthetic_points(
 
 
 def balance_classes(
-    df: DataFrame, label: str, key: str, vector: str, k: int = NEIGHBOURS, chunk_rows: int = CHUNK_ROWS
+    df: DataFrame, label: str, key: str, vector: str, k: int = NEIGHBOURS
 ) -> DataFrame:
     """The rows of ``df`` (label, vector) and the synthetic ones; one class only stays as it is.
 
@@ -110,9 +115,9 @@ def balance_classes(
         return rows
     kind = df.schema[vector].dataType
     if isinstance(kind, VectorUDT):
-        made = synthetic_points(df.withColumn(vector, vector_to_array(vector)), label, key, vector, k, chunk_rows)
+        made = synthetic_points(df.withColumn(vector, vector_to_array(vector)), label, key, vector, k)
         point = array_to_vector(vector)
     else:
-        made = synthetic_points(df, label, key, vector, k, chunk_rows)
+        made = synthetic_points(df, label, key, vector, k)
         point = F.col(vector).cast(kind)
     return rows.unionByName(made.select(label, point.alias(vector), F.lit(True).alias("is_synthetic")))

@@ -25,12 +25,17 @@ from pyspark.sql import types as T
 from swipelake.operators.sampling import grant_quotas
 from swipelake.session import cut_lineage
 
-# Rows per chunk: a task holds two chunks and their distances, about 32 MB.
-CHUNK_ROWS = 2000
+# Rows per chunk, at most: a task holds two chunks at a time.
+CHUNK_ROWS = 16_000
+# Rows per cell, at least.
+CELL_ROWS = 500
 # Pivots over all groups: they are held by the driver and by every task.
-MAX_PIVOTS = 8192
+MAX_PIVOTS = 16_384
+# Distances held at once, 32 MB.
+_CELLS_AT_ONCE = 4_000_000
 
-_SLACK = 1e-9
+# Room for the rounding errors of the quick distances when cells are ruled out.
+_SLACK = 1e-6
 
 
 @dataclass
@@ -51,10 +56,25 @@ def _stack(column: pd.Series) -> np.ndarray:
     return np.stack(column.to_numpy()).astype(np.float64)
 
 
+def _row_blocks(rows: int, columns: int):
+    """Slices of rows for which a matrix with that many columns stays small."""
+    step = max(1, _CELLS_AT_ONCE // max(columns, 1))
+    return [slice(i, min(i + step, rows)) for i in range(0, rows, step)]
+
+
 def nearest_in_chunk(queries: np.ndarray, data: np.ndarray, ids: np.ndarray, own: np.ndarray, k: int):
-    """(query row, data row, distance) of the k nearest data rows of each query; ties go to the
-    smaller id. The quick matrix form only short-lists, with room for its rounding error; the
-    short list is measured again directly."""
+    """(query row, data row, distance) of the k nearest data rows of each query, the query's own
+    row left out; ties go to the smaller id."""
+    parts = []
+    for block in _row_blocks(len(queries), len(data)):
+        rows, cols, dist = _nearest(queries[block], data, ids, own[block], k)
+        parts.append((rows + block.start, cols, dist))
+    return tuple(np.concatenate(column) for column in zip(*parts))
+
+
+def _nearest(queries: np.ndarray, data: np.ndarray, ids: np.ndarray, own: np.ndarray, k: int):
+    """The quick matrix form only short-lists, with room for its rounding error; the short list
+    is measured again directly."""
     quick = (queries * queries).sum(1)[:, None] + (data * data).sum(1)[None, :] - 2.0 * (queries @ data.T)
     same = ids[None, :] == own[:, None]
     quick[same] = np.inf
@@ -93,22 +113,23 @@ def _choose_pivots(points: DataFrame, sizes: DataFrame, cell_rows: int) -> dict:
     return {g: _Cells(np.array(v, dtype=np.float64)) for g, v in pivots.items()}
 
 
-def _schema(points: DataFrame, *more: T.StructField) -> T.StructType:
-    return T.StructType([*points.schema.fields, *more])
-
-
 def _assign_cells(points: DataFrame, cells: dict) -> DataFrame:
     shared = points.sparkSession.sparkContext.broadcast(cells)
 
     def assign(batches):
         for pdf in batches:
             for grp, part in pdf.groupby("grp", sort=False):
-                d = _distances(_stack(part["vec"]), shared.value[grp].pivots)
-                cell = d.argmin(1)
-                yield part.assign(cell=cell.astype("int32"), radius=d[np.arange(len(d)), cell])
+                vectors, pivots = _stack(part["vec"]), shared.value[grp].pivots
+                cell = np.empty(len(part), dtype="int32")
+                radius = np.empty(len(part))
+                for block in _row_blocks(len(part), len(pivots)):
+                    d = _distances(vectors[block], pivots)
+                    cell[block] = d.argmin(1)
+                    radius[block] = d.min(1)
+                yield part.assign(cell=cell, radius=radius)
 
     more = (T.StructField("cell", T.IntegerType()), T.StructField("radius", T.DoubleType()))
-    return points.mapInPandas(assign, _schema(points, *more))
+    return points.mapInPandas(assign, T.StructType([*points.schema.fields, *more]))
 
 
 def _compare(queries: DataFrame, data: DataFrame, sizes: DataFrame, k: int, chunk_rows: int) -> DataFrame:
@@ -178,6 +199,26 @@ def _best(found: DataFrame, k: int) -> DataFrame:
     return found.withColumn("place", F.row_number().over(nearest)).where(F.col("place") <= k).drop("place")
 
 
+def open_cells(vectors: np.ndarray, own: np.ndarray, reach: np.ndarray, cells: _Cells):
+    """(row, cell) of the other cells that may hold a point within reach of the row.
+
+    A cell is ruled out when all its points are farther than reach: by the distances of its
+    nearest and farthest member from its pivot, or because its points lie beyond the plane
+    half-way between the two pivots.
+    """
+    d = _distances(vectors, cells.pivots)
+    mine = d[np.arange(len(d)), own][:, None]
+    apart = _distances(cells.pivots[own], cells.pivots)
+    scale = 1.0 + np.sqrt((vectors * vectors).sum(1))[:, None] + d
+    # pivots almost on top of each other give no reliable plane
+    plane = np.divide(d * d - mine * mine, 2.0 * apart, out=np.zeros_like(d), where=apart > 1e-4 * scale)
+    least = np.maximum.reduce([d - cells.far[None, :], cells.near[None, :] - d, plane])
+    limit = reach[:, None]
+    possible = least - _SLACK * scale <= limit
+    possible[np.arange(len(d)), own] = False
+    return np.nonzero(possible & np.isfinite(cells.far)[None, :])
+
+
 def _route(points: DataFrame, reach: DataFrame, cells: dict) -> DataFrame:
     """(point, other cell) for every other cell that may hold a point within reach."""
     shared = points.sparkSession.sparkContext.broadcast(cells)
@@ -188,64 +229,63 @@ def _route(points: DataFrame, reach: DataFrame, cells: dict) -> DataFrame:
     def route(batches):
         for pdf in batches:
             for grp, part in pdf.groupby("grp", sort=False):
-                c = shared.value[grp]
-                if len(c.pivots) == 1:
-                    continue
-                own = part["cell"].to_numpy()
-                d = _distances(_stack(part["vec"]), c.pivots)
-                mine = d[np.arange(len(d)), own][:, None]
-                apart = _distances(c.pivots, c.pivots)[own]
-                with np.errstate(divide="ignore", invalid="ignore"):
-                    plane = np.where(apart > 0, (d * d - mine * mine) / (2.0 * apart), 0.0)
-                nearest = np.maximum.reduce([d - c.far[None, :], c.near[None, :] - d, plane])
-                limit = part["reach"].to_numpy()[:, None]
-                room = _SLACK * (1.0 + d + np.where(np.isfinite(limit), limit, 0.0))
-                open_ = nearest <= limit + 1e3 * room
-                open_[np.arange(len(d)), own] = False
-                rows, targets = np.nonzero(open_ & np.isfinite(c.far)[None, :])
-                yield pd.DataFrame(
-                    {
-                        "grp": part["grp"].to_numpy()[rows],
-                        "cell": targets.astype("int32"),
-                        "pid": part["pid"].to_numpy()[rows],
-                        "vec": part["vec"].to_numpy()[rows],
-                    }
-                )
+                known = shared.value[grp]
+                vectors, own, limit = _stack(part["vec"]), part["cell"].to_numpy(), part["reach"].to_numpy()
+                for block in _row_blocks(len(part), len(known.pivots)):
+                    rows, targets = open_cells(vectors[block], own[block], limit[block], known)
+                    rows = rows + block.start
+                    yield pd.DataFrame(
+                        {
+                            "grp": part["grp"].to_numpy()[rows],
+                            "cell": targets.astype("int32"),
+                            "pid": part["pid"].to_numpy()[rows],
+                            "vec": part["vec"].to_numpy()[rows],
+                        }
+                    )
 
     kinds = {f.name: f for f in points.schema.fields}
     return asked.mapInPandas(route, T.StructType([kinds[c] for c in ("grp", "cell", "pid", "vec")]))
 
 
-def nearest_neighbours(points: DataFrame, k: int, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
-    """(grp, pid, near_pid, near_copies, dist): the k nearest other vectors of the same group.
+def _cell_rows(points: DataFrame, total: int) -> int:
+    """Small cells for a good spread over the cores; large ones once there are many rows, as a
+    point is sent to each cell it has to be compared with."""
+    spread = total // (4 * points.sparkSession.sparkContext.defaultParallelism)
+    return max(min(max(spread, CELL_ROWS), CHUNK_ROWS), -(-total // MAX_PIVOTS))
+
+
+def nearest_neighbours(
+    points: DataFrame,
+    k: int,
+    wanted: str = "true",
+    cell_rows: int | None = None,
+    chunk_rows: int = CHUNK_ROWS,
+) -> DataFrame:
+    """(grp, pid, near_pid, near_copies, dist): the k nearest other vectors of the same group,
+    for the points that meet the condition ``wanted``.
 
     ``points`` come from ``distinct_points`` and are stored, as they are read several times.
     """
     groups = points.groupBy("grp").agg(F.count("*").alias("n"))
     extent = groups.agg(F.sum("n").alias("total"), F.max("n").alias("largest")).first()
-    cell_rows = max(chunk_rows, -(-(extent["total"] or 0) // MAX_PIVOTS))
+    cell_rows = cell_rows or _cell_rows(points, extent["total"] or 0)
     if (extent["largest"] or 0) <= cell_rows:  # one cell per group
         placed = points.withColumn("cell", F.lit(0))
-        return _best(_compare(placed, placed, groups.withColumn("cell", F.lit(0)), k, chunk_rows), k)
+        sizes = groups.withColumn("cell", F.lit(0))
+        return _best(_compare(placed.where(wanted), placed, sizes, k, chunk_rows), k)
     cells = _choose_pivots(points, groups, cell_rows)
     placed = cut_lineage(_assign_cells(points, cells))
     sizes = placed.groupBy("grp", "cell").agg(
         F.count("*").alias("n"), F.min("radius").alias("near"), F.max("radius").alias("far")
     )
-    best = _best(_compare(placed, placed, sizes, k, chunk_rows), k)
-    for c in cells.values():
+    best = cut_lineage(_best(_compare(placed.where(wanted), placed, sizes, k, chunk_rows), k))
+    for c in cells.values():  # a cell that got no points keeps an infinite edge and is not visited
         c.near, c.far = np.full(len(c.pivots), -np.inf), np.full(len(c.pivots), np.inf)
-    filled = {g: set() for g in cells}
     for row in sizes.collect():  # one small row per cell
         c = cells[row["grp"]]
         c.near[row["cell"]], c.far[row["cell"]] = row["near"], row["far"]
-        filled[row["grp"]].add(row["cell"])
-    for g, c in cells.items():  # a cell without points has no far edge and is never visited
-        empty = [i for i in range(len(c.pivots)) if i not in filled[g]]
-        c.far[empty] = np.inf
-    best = cut_lineage(best)
     reach = best.groupBy("grp", "pid").agg(
         F.when(F.count("*") >= k, F.max("dist")).otherwise(F.lit(float("inf"))).alias("reach")
     )
-    routed = cut_lineage(_route(placed, reach, cells))
+    routed = cut_lineage(_route(placed.where(wanted), reach, cells))
     return _best(best.unionByName(_compare(routed, placed, sizes, k, chunk_rows)), k)

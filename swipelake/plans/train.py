@@ -24,6 +24,7 @@ class TrainingResult:
     model: PipelineModel
     predictions: DataFrame
     evaluation: model.Evaluation
+    classes: DataFrame  # (part, label, n) for train, test and balanced
 
 
 def training_rows(tx: DataFrame, mcc: DataFrame, cards: DataFrame, users: DataFrame) -> DataFrame:
@@ -49,18 +50,34 @@ def train(
     max_depth: int = model.MAX_DEPTH,
     positive: str = "Yes",
     key: str = "transaction_id",
+    features_path: str | None = None,
 ) -> TrainingResult:
-    """Features are fitted on the training part only, unless ``fit_on_all``."""
+    """Features are fitted on the training part only, unless ``fit_on_all``.
+
+    The encoded rows (key, label, is_test, features) are read several times: they are stored at
+    ``features_path``, else in the checkpoint folder.
+    """
     rows, numeric, categorical = prepare(merged)
     label = F.when(F.col(profile.TARGET) == positive, 1.0).otherwise(0.0)
     rows = cut_lineage(stratified_split(rows.withColumn("label", label), "label", key))
-    train_part, test_part = rows.where(~F.col("is_test")), rows.where("is_test")
-    fitted = features.feature_pipeline(rows if fit_on_all else train_part, numeric, categorical)
-    encoded = fitted.transform(train_part).select(key, "label", "features")
-    balanced = balance_classes(encoded, "label", key, "features")
+    fitted = features.feature_pipeline(rows if fit_on_all else rows.where(~F.col("is_test")), numeric, categorical)
+    encoded = fitted.transform(rows).select(key, "label", "is_test", "features")
+    if features_path is None:
+        encoded = cut_lineage(encoded)
+    else:
+        encoded.write.mode("overwrite").parquet(features_path)
+        encoded = rows.sparkSession.read.parquet(features_path)
+    balanced = balance_classes(encoded.where(~F.col("is_test")), "label", key, "features")
     forest = model.train_forest(balanced, trees=trees, max_depth=max_depth)
-    predictions = model.predict(forest, fitted.transform(test_part).select(key, "label", "features"))
-    return TrainingResult(fitted, forest, predictions, model.evaluate(predictions))
+    predictions = model.predict(forest, encoded.where("is_test").select(key, "label", "features"))
+    part = F.when(F.col("is_test"), "test").otherwise("train").alias("part")
+    classes = (
+        encoded.select(part, "label")
+        .unionByName(balanced.select(F.lit("balanced").alias("part"), "label"))
+        .groupBy("part", "label")
+        .agg(F.count("*").alias("n"))
+    )
+    return TrainingResult(fitted, forest, predictions, model.evaluate(predictions), classes)
 
 
 def main() -> None:
@@ -70,16 +87,19 @@ def main() -> None:
     args.add_argument("--trees", type=int, default=model.TREES)
     args.add_argument("--max-depth", type=int, default=model.MAX_DEPTH)
     args.add_argument("--fit-on-all", action="store_true")
+    args.add_argument("--drop", nargs="*", default=[], help="columns that are no features, such as street addresses")
     a = args.parse_args()
     spark: SparkSession = get_session("train", hive=True)
     tables = [read_table(spark, f"{a.database}.{t}") for t in ("transactions", "mcc", "cards", "users")]
-    merged = training_rows(*tables)
+    merged = training_rows(*tables).drop(*a.drop)
     merged.write.mode("overwrite").parquet(f"{a.output}/merged")
-    result = train(spark.read.parquet(f"{a.output}/merged"), a.fit_on_all, a.trees, a.max_depth)
+    stored = spark.read.parquet(f"{a.output}/merged")
+    result = train(stored, a.fit_on_all, a.trees, a.max_depth, features_path=f"{a.output}/features")
+    result.classes.orderBy("part", "label").show()
     result.evaluation.confusion.show()
     result.evaluation.report.show(truncate=False)
     result.evaluation.accuracy.show()
-    result.features.write().overwrite().save(f"{a.output}/features")
+    result.features.write().overwrite().save(f"{a.output}/feature_model")
     model.save_model(result.model, f"{a.output}/model")
     spark.stop()
 

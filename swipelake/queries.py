@@ -18,6 +18,7 @@ from swipelake.operators.columns import keys_as_text, stamp_date, trim_column_na
 from swipelake.operators.dictionaries import columns_to_rows, explode_map, json_object_to_rows
 from swipelake.plans import curate
 from swipelake.plans import metrics as metric_jobs
+from swipelake.plans import train as training
 from swipelake.session import cut_lineage, ensure_checkpoint_dir
 from swipelake.sources import snapshots
 
@@ -753,6 +754,14 @@ def forest_predictions(spark, sf):
     return model.predict(forest, test).select("vec_id", "label", "prediction")
 
 
+@_query()
+def fraud_model(spark, sf):
+    """Enriched transactions to predictions: prepare, split, encode, balance, train, predict."""
+    merged = enrich_transactions(spark, sf).where("is_fraud IS NOT NULL").drop("address", "card_number", "date")
+    result = training.train(merged, trees=10, max_depth=5)
+    return result.predictions.select("transaction_id", "label", "prediction")
+
+
 def queries() -> dict[str, Query]:
     return dict(_QUERIES)
 

@@ -6,6 +6,11 @@ import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Cards, clients and category texts of up to this size are broadcast rather than shuffling the
+# transactions; Spark compares it with the size of the files. spark-submit --conf overrules it.
+BROADCAST_SETTING = "spark.sql.autoBroadcastJoinThreshold"
+BROADCAST_BYTES = "100MB"
+
 
 def get_session(app_name: str, hive: bool = False, conf: dict[str, str] | None = None) -> SparkSession:
     """One session for every job. Master, memory and partition counts come from spark-submit."""
@@ -19,7 +24,10 @@ def get_session(app_name: str, hive: bool = False, conf: dict[str, str] | None =
         builder = builder.config(name, value)
     if hive:
         builder = builder.enableHiveSupport()
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    if not spark.sparkContext.getConf().contains(BROADCAST_SETTING):
+        spark.conf.set(BROADCAST_SETTING, BROADCAST_BYTES)
+    return spark
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:

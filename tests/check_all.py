@@ -16,6 +16,7 @@ sf, names = sys.argv[1], sys.argv[2:]
 spark = (
     SparkSession.builder.master("local[8]")
     .config("spark.ui.enabled", "false")
+    .config("spark.ui.showConsoleProgress", "false")
     .config("spark.sql.shuffle.partitions", "8")
     .config("spark.sql.session.timeZone", "UTC")
     .getOrCreate()

@@ -27,7 +27,7 @@ def brute_force(df, k):
 def check(df, k, chunk_rows):
     points = cut_lineage(neighbours.distinct_points(df, "label", "id", "vec"))
     got = {}
-    for r in neighbours.nearest_neighbours(points, k, chunk_rows).collect():
+    for r in neighbours.nearest_neighbours(points, k, cell_rows=chunk_rows, chunk_rows=chunk_rows).collect():
         got.setdefault(r["pid"], []).append((r["dist"], r["near_pid"]))
     want = {p: n for p, n in brute_force(df, k).items() if n}
     assert set(got) == set(want)
@@ -47,6 +47,33 @@ def test_neighbours_equal_brute_force(spark, chunk_rows):
     check(frame(spark, vectors, np.arange(len(vectors)) % 7 // 5), 5, chunk_rows)
 
 
+def test_far_cells_are_ruled_out():
+    rng = np.random.default_rng(1)
+    pivots = np.array([[0.0, 0.0], [10.0, 0.0], [100.0, 0.0]])
+    members = [p + rng.normal(size=(50, 2)) * 2 for p in pivots]
+    edges = [np.linalg.norm(m - p, axis=1) for m, p in zip(members, pivots)]
+    cells = neighbours._Cells(pivots, np.array([e.min() for e in edges]), np.array([e.max() for e in edges]))
+    reach = np.full(50, 3.0)
+    rows, targets = neighbours.open_cells(members[0], np.zeros(50, dtype=int), reach, cells)
+    assert 2 not in targets and 0 not in targets
+    visited = set(zip(rows, targets))
+    for i, q in enumerate(members[0]):
+        for j in (1, 2):
+            if np.linalg.norm(members[j] - q, axis=1).min() <= 3.0:
+                assert (i, j) in visited
+
+
+def test_neighbours_in_row_blocks(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "_CELLS_AT_ONCE", 50)
+    rng = np.random.default_rng(2)
+    data = rng.normal(size=(40, 3))
+    ids = np.arange(40)
+    rows, cols, dist = neighbours.nearest_in_chunk(data, data, ids, ids, 4)
+    full = np.linalg.norm(data[:, None] - data[None], axis=2)
+    np.fill_diagonal(full, np.inf)
+    assert (cols.reshape(40, 4) == full.argsort(1)[:, :4]).all() and (rows == np.repeat(ids, 4)).all()
+
+
 def test_neighbours_with_many_equal_distances(spark):
     rng = np.random.default_rng(9)
     vectors = rng.integers(0, 4, size=(150, 3))
@@ -60,7 +87,7 @@ def test_a_vector_that_is_a_third_of_all_rows(spark):
     check(df, 5, 10)
     points = cut_lineage(neighbours.distinct_points(df, "label", "id", "vec"))
     assert points.count() == 121
-    slots = balance.neighbour_slots(points, neighbours.nearest_neighbours(points, 5, 10), 5)
+    slots = balance.neighbour_slots(points, neighbours.nearest_neighbours(points, 5, cell_rows=10, chunk_rows=6), 5)
     of_copy = slots.where("pid = 0").first()["slots"]
     assert of_copy == [[0.0, 0.0]] * 5
     assert slots.where(F.size("slots") != 5).count() == 0
@@ -71,7 +98,7 @@ def test_classes_become_equal_and_points_lie_between_neighbours(spark):
     vectors = np.vstack([rng.normal(size=(70, 2)), rng.normal(size=(23, 2)) + 9, rng.normal(size=(8, 2)) - 9])
     labels = [0] * 70 + [1] * 23 + [2] * 8
     df = frame(spark, vectors, labels)
-    made = balance.synthetic_points(df, "label", "id", "vec", chunk_rows=10).collect()
+    made = balance.synthetic_points(df, "label", "id", "vec", cell_rows=10, chunk_rows=8).collect()
     assert {c: sum(r["label"] == c for r in made) for c in (0, 1, 2)} == {0: 0, 1: 47, 2: 62}
     near = brute_force(df, 5)
     per_base = {}
@@ -85,7 +112,7 @@ def test_classes_become_equal_and_points_lie_between_neighbours(spark):
             gaps.append(np.linalg.norm(base + u * step - point) if -1e-9 <= u <= 1 + 1e-9 else 1.0)
         assert min(gaps) < 1e-9
     assert max(per_base.values()) - min(v for b, v in per_base.items() if labels[b] == 1) <= 8
-    again = balance.synthetic_points(df.repartition(3), "label", "id", "vec", chunk_rows=25).collect()
+    again = balance.synthetic_points(df.repartition(3), "label", "id", "vec", cell_rows=30, chunk_rows=25).collect()
     assert sorted((r["base_key"], r["draw"], *r["vec"]) for r in made) == sorted(
         (r["base_key"], r["draw"], *r["vec"]) for r in again
     )

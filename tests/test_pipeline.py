@@ -238,5 +238,10 @@ def test_training(spark, curated, tmp_path):
     assert reloaded.select("transaction_id", "prediction").exceptAll(
         result.predictions.select("transaction_id", "prediction")
     ).count() == 0
-    result.predictions.select("transaction_id", "features").write.parquet(f"{tmp_path}/features")
-    assert spark.read.parquet(f"{tmp_path}/features").schema["features"].dataType.simpleString() == "vector"
+    n = {(r["part"], r["label"]): r["n"] for r in result.classes.collect()}
+    assert n["train", 0.0] + n["train", 1.0] == 304 and n["test", 1.0] == round(47 * 0.2)
+    assert n["balanced", 0.0] == n["balanced", 1.0] == n["train", 0.0] > n["train", 1.0]
+    kept = train.train(small, fit_on_all=True, trees=3, max_depth=3, features_path=f"{tmp_path}/features")
+    stored = spark.read.parquet(f"{tmp_path}/features")
+    assert stored.schema["features"].dataType.typeName() in ("vector", "vectorudt") and stored.count() == 380
+    assert kept.predictions.count() == 76
