@@ -68,8 +68,9 @@ def synthetic_points(
     """(label, base key, draw, vector) of the points that make all classes equally large.
 
     Every row of a smaller class serves as a base equally often; the remainder goes to the rows
-    first in digest order. Only rows that serve as a base are looked at for neighbours. A point lies at a drawn place between its base and a drawn one of the
-    base's k nearest neighbours in the class. All draws depend on base key and number only.
+    first in digest order. A point lies at a drawn place between its base and a drawn one of the
+    base's k nearest neighbours in the class; only bases are looked at for neighbours. All draws
+    depend on base key and number only.
     A class with one distinct vector can only repeat it.
     """
     classes = cut_lineage(missing_rows(df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count("*").alias("n")), label))
@@ -85,7 +86,8 @@ def synthetic_points(
         .drop("each", "granted")
     )
     near = nearest_neighbours(points, k, "quota > 0", cell_rows, chunk_rows)
-    bases = points.where("quota > 0").join(neighbour_slots(points, near, k), ["grp", "pid"], "left")
+    slots = cut_lineage(neighbour_slots(points, near, k))  # the search must not run again for every reader
+    bases = points.where("quota > 0").join(slots, ["grp", "pid"], "left")
     steps = F.ceil(F.col("quota") / F.lit(POINTS_PER_STEP)).cast("bigint")
     bases = bases.withColumn("step", F.explode(F.sequence(F.lit(0).cast("bigint"), steps - 1)))
     first = F.col("step") * POINTS_PER_STEP
@@ -103,9 +105,7 @@ def synthetic_points(
     )
 
 
-def balance_classes(
-    df: DataFrame, label: str, key: str, vector: str, k: int = NEIGHBOURS
-) -> DataFrame:
+def balance_classes(df: DataFrame, label: str, key: str, vector: str, k: int = NEIGHBOURS) -> DataFrame:
     """The rows of ``df`` (label, vector) and the synthetic ones; one class only stays as it is.
 
     ``vector`` is an array or an ML vector. Rows of the largest class are passed on untouched.

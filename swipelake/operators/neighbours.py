@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from swipelake.operators.sampling import grant_quotas
+from swipelake.functions.hashing import key_digest, unit_draw
 from swipelake.session import cut_lineage
 
 # Rows per chunk, at most: a task holds two chunks at a time.
@@ -103,12 +103,17 @@ def distinct_points(df: DataFrame, group: str, key: str, vector: str) -> DataFra
     )
 
 
-def _choose_pivots(points: DataFrame, sizes: DataFrame, cell_rows: int) -> dict:
-    """Pivots per group, drawn by key digest, one for every ``cell_rows`` points."""
-    quotas = sizes.select("grp", F.ceil(F.col("n") / F.lit(cell_rows)).cast("bigint").alias("quota"))
-    drawn = grant_quotas(points, "grp", "pid", quotas).where("granted > 0").select("grp", "pid", "vec").collect()
+def _choose_pivots(points: DataFrame, group_rows: dict, cell_rows: int) -> dict:
+    """Pivots per group: its first point in digest order, and about one more for every
+    ``cell_rows`` points, drawn by key digest."""
+    spark = points.sparkSession
+    kind = T.StructType([points.schema["grp"], T.StructField("chance", T.DoubleType())])
+    chances = [(g, -(-n // cell_rows) / n) for g, n in group_rows.items()]
+    digest = key_digest("pid")
+    drawn = points.join(spark.createDataFrame(chances, kind), "grp").where(unit_draw(digest) < F.col("chance"))
+    first = points.groupBy("grp").agg(F.min_by(F.struct("pid", "vec"), digest).alias("p")).select("grp", "p.*")
     pivots: dict = {}
-    for row in sorted(drawn, key=lambda r: r["pid"]):
+    for row in drawn.select("grp", "pid", "vec").union(first).distinct().orderBy("pid").collect():
         pivots.setdefault(row["grp"], []).append(row["vec"])
     return {g: _Cells(np.array(v, dtype=np.float64)) for g, v in pivots.items()}
 
@@ -267,13 +272,13 @@ def nearest_neighbours(
     ``points`` come from ``distinct_points`` and are stored, as they are read several times.
     """
     groups = points.groupBy("grp").agg(F.count("*").alias("n"))
-    extent = groups.agg(F.sum("n").alias("total"), F.max("n").alias("largest")).first()
-    cell_rows = cell_rows or _cell_rows(points, extent["total"] or 0)
-    if (extent["largest"] or 0) <= cell_rows:  # one cell per group
+    group_rows = {r["grp"]: r["n"] for r in groups.collect()}  # one row per class
+    cell_rows = cell_rows or _cell_rows(points, sum(group_rows.values()))
+    if max(group_rows.values(), default=0) <= cell_rows:  # one cell per group
         placed = points.withColumn("cell", F.lit(0))
         sizes = groups.withColumn("cell", F.lit(0))
         return _best(_compare(placed.where(wanted), placed, sizes, k, chunk_rows), k)
-    cells = _choose_pivots(points, groups, cell_rows)
+    cells = _choose_pivots(points, group_rows, cell_rows)
     placed = cut_lineage(_assign_cells(points, cells))
     sizes = placed.groupBy("grp", "cell").agg(
         F.count("*").alias("n"), F.min("radius").alias("near"), F.max("radius").alias("far")

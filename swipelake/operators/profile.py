@@ -87,18 +87,18 @@ def fill_missing_text(df: DataFrame, fills: dict[str, str] | None = None) -> Dat
     return df.na.fill(MISSING_TEXT if fills is None else fills)
 
 
-def impute_means(df: DataFrame, columns: list[str]) -> DataFrame:
+def impute_means(df: DataFrame, columns: list[str], stats: dict | None = None) -> DataFrame:
     """Put the column's mean where a number is missing; other columns are left alone."""
-    stats = column_stats(df, columns)
-    filled = {
-        c: F.coalesce(number(c), F.lit(s["mean"])) for c, s in stats.items() if s["nulls"] and s["mean"] is not None
-    }
-    return df.withColumns(filled) if filled else df
+    stats = column_stats(df, columns) if stats is None else stats
+    gaps = {c: s["mean"] for c, s in stats.items() if s["nulls"] and s["mean"] is not None}
+    return df.withColumns({c: F.coalesce(number(c), F.lit(mean)) for c, mean in gaps.items()}) if gaps else df
 
 
-def constant_columns(df: DataFrame, columns: list[str]) -> list[str]:
-    """Numeric columns whose sample deviation is zero."""
-    return [c for c, s in column_stats(df, columns).items() if s["samp"] == 0]
+def constant_columns(df: DataFrame, columns: list[str], stats: dict | None = None) -> list[str]:
+    """Numeric columns without spread. Filling gaps with the mean adds none, so statistics from
+    before the filling serve as well."""
+    stats = column_stats(df, columns) if stats is None else stats
+    return [c for c, s in stats.items() if s["pop"] == 0]
 
 
 def drop_constant_columns(df: DataFrame, columns: list[str]) -> DataFrame:

@@ -38,8 +38,9 @@ def prepare(merged: DataFrame) -> tuple[DataFrame, list[str], list[str]]:
     """Rows filled well enough, gaps closed, and the feature columns (numeric, categorical)."""
     kept = profile.fill_missing_text(profile.drop_sparse_rows(merged))
     numeric, categorical = profile.feature_roles(kept)
-    filled = profile.impute_means(kept, numeric)
-    constant = set(profile.constant_columns(filled, numeric))
+    stats = profile.column_stats(kept, numeric)
+    filled = profile.impute_means(kept, numeric, stats)
+    constant = set(profile.constant_columns(kept, numeric, stats))
     return features.with_text_categories(filled, categorical), [c for c in numeric if c not in constant], categorical
 
 

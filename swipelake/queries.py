@@ -758,7 +758,7 @@ def forest_predictions(spark, sf):
 def fraud_model(spark, sf):
     """Enriched transactions to predictions: prepare, split, encode, balance, train, predict."""
     merged = enrich_transactions(spark, sf).where("is_fraud IS NOT NULL").drop("address", "card_number", "date")
-    result = training.train(merged, trees=10, max_depth=5)
+    result = training.train(cut_lineage(merged), trees=10, max_depth=5)
     return result.predictions.select("transaction_id", "label", "prediction")
 
 
