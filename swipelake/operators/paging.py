@@ -27,8 +27,8 @@ def page_rows(
 ) -> DataFrame:
     """Rows ``(page-1)*limit`` to ``page*limit`` in key order. The key is unique and not null.
 
-    The page's least and greatest key are found from the key column alone; as scalar subqueries
-    they reach the scan, so the other columns are read only where the page lies.
+    The page's least and greatest key are looked up first, from the key column alone. As
+    constants they reach the scan, so the other columns are read only where the page lies.
 
     A top-n pass keeps offset + limit keys in every task, so a deep page is first narrowed to a
     key range by counting (whole-number keys only): few keys are sorted at any depth.
@@ -38,9 +38,11 @@ def page_rows(
     keys = df.select(key).where(F.col(key).isNotNull())
     if offset > shallow_rows:
         keys, offset = narrow_to_offset(keys, key, offset, shallow_rows)
-    edges = keys.orderBy(key).offset(offset).limit(limit).agg(F.min(key).alias("lo"), F.max(key).alias("hi"))
-    on_page = F.col(key).between(edges.select("lo").scalar(), edges.select("hi").scalar())
-    return df.where(on_page).orderBy(key).limit(limit)
+    on_page = keys.orderBy(key).offset(offset).limit(limit)
+    edges = on_page.agg(F.min(key).alias("lo"), F.max(key).alias("hi")).first()
+    if edges["lo"] is None:
+        return df.limit(0)
+    return df.where(F.col(key).between(F.lit(edges["lo"]), F.lit(edges["hi"]))).orderBy(key).limit(limit)
 
 
 def page_after(df: DataFrame, last_key=None, limit: int = DEFAULT_LIMIT, key: str = "id") -> DataFrame:

@@ -122,7 +122,10 @@ def split_quotas(counts: DataFrame, label: str, fraction: float) -> DataFrame:
 def stratified_split(
     df: DataFrame, label: str, key: str, fraction: float = 0.2, is_test: str = "is_test"
 ) -> DataFrame:
-    """Mark the test rows: an exact share of every class, drawn by key digest."""
+    """Mark the test rows: an exact share of every class, drawn by key digest.
+
+    Label and key are read three times to find the cut-offs, so ``df`` should be a stored table.
+    """
     counts = df.groupBy(label).agg(F.count("*").alias("n"))
     marked = grant_quotas(df, label, key, split_quotas(counts, label, fraction), granted="_in_test")
     return marked.withColumn(is_test, F.col("_in_test") > 0).drop("_in_test")

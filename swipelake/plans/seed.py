@@ -5,6 +5,7 @@ from __future__ import annotations
 import argparse
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from swipelake import schemas
 from swipelake.operators.columns import stamp_date
@@ -22,6 +23,7 @@ def seed_rows(
     """The sampled rows, dated. A repeatable sample is drawn from the id: a larger percentage on
     a later date holds the rows of the smaller one."""
     rows = files.read_csv(spark, path, schemas.TRANSACTION_FILE)
+    rows = rows.withColumn("date", F.col("date").cast("date"))
     sampled = hash_sample(rows, "id", percentage) if repeatable else bernoulli_sample(rows, percentage, seed)
     return stamp_date(sampled, date)
 

@@ -4,11 +4,11 @@ from pyspark.sql import types as T
 
 # Column names and types of the inputs and of the relational tables.
 
-# text as it arrives in the transactions file
+# the transactions file; its date may carry a time of day, and its amount is money as text
 TRANSACTION_FILE = T.StructType(
     [
         T.StructField("id", T.LongType()),
-        T.StructField("date", T.DateType()),
+        T.StructField("date", T.StringType()),
         T.StructField("client_id", T.IntegerType()),
         T.StructField("card_id", T.IntegerType()),
         T.StructField("amount", T.StringType()),

@@ -19,6 +19,7 @@ def get_session(app_name: str, hive: bool = False, conf: dict[str, str] | None =
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for name, value in (conf or {}).items():
         builder = builder.config(name, value)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,8 +12,13 @@ LABEL_ENTRY = r'"(\d+)"\s*:\s*"([^"]*)"'
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """CSV with a header line. Without a schema the types are inferred, at the cost of a second pass."""
+    return csv_reader(spark, schema).csv(path)
+
+
+def csv_reader(spark: SparkSession, schema: T.StructType | None) -> DataFrameReader:
+    """A header that does not name the schema's columns in their order fails the read."""
     reader = spark.read.option("header", True)
-    return reader.schema(schema).csv(path) if schema else reader.option("inferSchema", True).csv(path)
+    return reader.schema(schema).option("enforceSchema", False) if schema else reader.option("inferSchema", True)
 
 
 def read_json(spark: SparkSession, path: str, multi_line: bool = False, schema: T.StructType | None = None) -> DataFrame:

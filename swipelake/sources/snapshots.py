@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from swipelake.operators.columns import stamp_date
-from swipelake.sources.files import write_partitioned
+from swipelake.sources.files import csv_reader, write_partitioned
 
 SNAPSHOT = "situation_date"
 _DATE_GLOB = "[0-9][0-9][0-9][0-9]-[0-9][0-9]-[0-9][0-9]"
@@ -46,13 +46,10 @@ def read_snapshot(
 ) -> DataFrame:
     """The rows of one snapshot, by default the latest; directories below the date become columns."""
     leaf = f"{root}/{SNAPSHOT}={date or latest_date(spark, root)}"
-    reader = spark.read.format(fmt)
     if fmt == "csv":
-        reader = reader.option("header", True)
-        if schema is None:
-            reader = reader.option("inferSchema", True)
-    if schema is not None:
-        reader = reader.schema(schema)
+        reader = csv_reader(spark, schema).format(fmt)
+    else:
+        reader = spark.read.format(fmt) if schema is None else spark.read.format(fmt).schema(schema)
     if keep_date:
         reader = reader.option("basePath", root)
     return reader.load(leaf)

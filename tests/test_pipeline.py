@@ -41,7 +41,7 @@ def inputs(tmp_path_factory):
     for i in range(1, 401):
         fraud = i % 8 == 0
         amount = f"${rng.uniform(300, 400):,.2f}" if fraud else f"$-{rng.uniform(1, 99):.2f}"
-        tx_rows.append([i, f"20{10 + i % 5}-03-0{1 + i % 9}", i % CLIENTS, 100 + i % CLIENTS, amount,
+        tx_rows.append([i, f"20{10 + i % 5}-03-0{1 + i % 9} 00:0{i % 10}:00", i % CLIENTS, 100 + i % CLIENTS, amount,
                         rng.choice(["Swipe Transaction", "Chip Transaction"]), 7, "Town, West", "NY", "07008",
                         rng.choice([5812, 5541, 9999]), rng.choice(["", "Bad PIN,Technical Glitch", ""])])
     label_rows = [[i, "Yes" if i % 8 == 0 else "No"] for i in range(1, 381)]
@@ -160,6 +160,18 @@ def test_both_json_layouts_hold_the_same_object(spark, tmp_path, inputs):
     assert sorted(wide.columns) == ["5541", "5812"]
 
 
+def test_a_header_in_another_order_is_refused(spark, tmp_path):
+    path = write_csv(tmp_path / "l.csv", ["target", "id"], [["Yes", 1]])
+    with pytest.raises(Exception, match="CSV header does not conform"):
+        files.read_csv(spark, path, schemas.FRAUD_LABELS).collect()
+
+
+def test_the_date_of_a_timestamp_is_kept(spark, inputs):
+    rows = seed.seed_rows(spark, inputs["tx"], date="2025-05-22")
+    assert dict(rows.dtypes)["date"] == "date" and rows.where("id = 1").first()["date"] == date(2011, 3, 2)
+    assert rows.where("date IS NULL").count() == 0 and rows.where("zip = '07008'").count() == 400
+
+
 def test_plain_parquet(spark, tmp_path):
     files.write_parquet(spark.range(0, 100, 1, 6), f"{tmp_path}/a", max_files=3)
     back = spark.read.parquet(f"{tmp_path}/a")
