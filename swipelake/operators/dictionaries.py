@@ -22,9 +22,9 @@ def json_object_to_rows(
 ) -> DataFrame:
     """One row per field of a JSON object held as text.
 
-    Fields stay data: no schema of one column per field is ever built. A key that does not fit
-    ``key_type`` fails the query.
+    Fields stay data: no schema of one column per field is ever built. Broken JSON and a key that
+    does not fit ``key_type`` fail the query; null text gives no rows.
     """
-    parsed = F.from_json(F.col(text), "map<string,string>")
+    parsed = F.from_json(F.col(text), "map<string,string>", {"mode": "FAILFAST"})
     rows = explode_map(df, parsed, key, value, keep)
     return rows.withColumn(key, F.col(key).cast(key_type))

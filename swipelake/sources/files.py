@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Fixed value: one entry of a flat JSON object of labels, for instance  "10649266": "No"
-LABEL_ENTRY = r'"(\d+)"\s*:\s*"([^"]*)"'
+LABEL_ENTRY = r'"(\d+)"\s*:\s*(?:"([^"]*)"|([^"{},\s]+))'
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
@@ -29,9 +29,9 @@ def read_json(spark: SparkSession, path: str, multi_line: bool = False, schema:
 
 def read_json_dictionary(spark: SparkSession, path: str) -> DataFrame:
     """Column ``entries``: each file's JSON object as a map, whatever its fields are. For small
-    dictionaries; a file is parsed in one piece."""
+    dictionaries: a file is parsed in one piece, and a broken one fails the query."""
     text = spark.read.text(path, wholetext=True)
-    return text.select(F.from_json("value", "map<string,string>").alias("entries"))
+    return text.select(F.from_json("value", "map<string,string>", {"mode": "FAILFAST"}).alias("entries"))
 
 
 def read_label_object(spark: SparkSession, path: str) -> DataFrame:
@@ -43,7 +43,7 @@ def read_label_object(spark: SparkSession, path: str) -> DataFrame:
     entries = spark.read.option("lineSep", ",").text(path).where(F.col("value").rlike(LABEL_ENTRY))
     return entries.select(
         F.regexp_extract("value", LABEL_ENTRY, 1).cast("bigint").alias("id"),
-        F.regexp_extract("value", LABEL_ENTRY, 2).alias("target"),
+        F.concat(F.regexp_extract("value", LABEL_ENTRY, 2), F.regexp_extract("value", LABEL_ENTRY, 3)).alias("target"),
     )
 
 

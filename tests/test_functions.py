@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
@@ -75,9 +76,10 @@ def test_json_object(spark):
     df = spark.createDataFrame([('{"5812": "Eating, Places", "5541": "Fuel"}',), (None,), ("{}",)], "value string")
     rows = {tuple(r) for r in json_object_to_rows(df, "value", "mcc", "label").collect()}
     assert rows == {(5812, "Eating, Places"), (5541, "Fuel")}
-    bad = spark.createDataFrame([('{"58x": "Eating"}',)], "value string")
-    with pytest.raises(PySparkException):
-        json_object_to_rows(bad, "value", "mcc", "label").collect()
+    for broken in ('{"58x": "Eating"}', '{"5812": '):
+        bad = spark.createDataFrame([(broken,)], "value string")
+        with pytest.raises((PySparkException, Py4JJavaError)):
+            json_object_to_rows(bad, "value", "mcc", "label").collect()
 
 
 def test_null_map_gives_no_rows(spark):

@@ -138,6 +138,12 @@ def test_label_inputs_agree(spark, inputs):
     assert sorted(a.collect()) == sorted(b.collect()) and a.count() == 380
 
 
+def test_label_object_with_plain_values(spark, tmp_path):
+    (tmp_path / "l.json").write_text('{\n "target": {\n  "12": 1,\n  "13": true,\n  "14": "not sure"\n }\n}')
+    got = {tuple(r) for r in files.read_label_object(spark, str(tmp_path / "l.json")).collect()}
+    assert got == {(12, "1"), (13, "true"), (14, "not sure")}
+
+
 def test_permissive_json_and_inferred_csv(spark, tmp_path, inputs):
     (tmp_path / "l.json").write_text('{"id": 1, "target": "Yes"}\nnot json\n{"id": 2, "target": "No"}\n')
     rows = files.read_json(spark, str(tmp_path / "l.json"), schema=schemas.FRAUD_LABELS).collect()
