@@ -71,7 +71,7 @@ def synthetic_points(
     first in digest order. A point lies at a drawn place between its base and a drawn one of the
     base's k nearest neighbours in the class; only bases are looked at for neighbours. All draws
     depend on base key and number only.
-    A class with one distinct vector can only repeat it.
+    A class with one distinct vector can only repeat it. Keys are whole numbers.
     """
     classes = cut_lineage(missing_rows(df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count("*").alias("n")), label))
     small = classes.where("need > 0").select(F.col(label).alias("grp"), "n", "need")
