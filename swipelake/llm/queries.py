@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from swipelake.llm import packing, pieces, quality, toxicity
+from swipelake.llm import packing, pieces, quality, simhash, toxicity
 from swipelake.llm.common import table
 
 
@@ -25,6 +25,10 @@ def op3_pieces(spark: SparkSession, sf: str) -> DataFrame:
     return pieces.encode(table(spark, sf, "documents"), tokenizer("piece_bpe_32k.model"))
 
 
+def op5_simhash(spark: SparkSession, sf: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf, "documents"))
+
+
 def op8_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents")
     return toxicity.score(docs, toxicity.train(docs, table(spark, sf, "labels")))
@@ -35,7 +39,7 @@ def op10_quality(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_packing, op3_pieces, op8_toxicity, op10_quality)}
+    return {f.__name__: f for f in (op1_packing, op3_pieces, op5_simhash, op8_toxicity, op10_quality)}
 
 
 def oracle_sql() -> dict[str, str]:
