@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from swipelake.llm import packing, pieces, quality, simhash, toxicity
+from swipelake.llm import packing, pieces, quality, secrets, simhash, toxicity
 from swipelake.llm.common import table
 
 
@@ -21,6 +21,10 @@ def op1_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(table(spark, sf, "documents"), tokenizer("word_bpe_49k.json"), with_ids=False)
 
 
+def op2_secrets(spark: SparkSession, sf: str) -> DataFrame:
+    return secrets.find(table(spark, sf, "documents"))
+
+
 def op3_pieces(spark: SparkSession, sf: str) -> DataFrame:
     return pieces.encode(table(spark, sf, "documents"), tokenizer("piece_bpe_32k.model"))
 
@@ -39,7 +43,7 @@ def op10_quality(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_packing, op3_pieces, op5_simhash, op8_toxicity, op10_quality)}
+    return {f.__name__: f for f in (op1_packing, op2_secrets, op3_pieces, op5_simhash, op8_toxicity, op10_quality)}
 
 
 def oracle_sql() -> dict[str, str]:
