@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from swipelake.llm import packing, personal, pieces, quality, secrets, simhash, toxicity
+from swipelake.llm import packing, personal, pieces, ppm, quality, secrets, simhash, toxicity
 from swipelake.llm.common import table
 
 
@@ -37,6 +37,10 @@ def op6_personal(spark: SparkSession, sf: str) -> DataFrame:
     return personal.find(table(spark, sf, "documents"))
 
 
+def op7_ppm(spark: SparkSession, sf: str) -> DataFrame:
+    return ppm.score(table(spark, sf, "documents"))
+
+
 def op8_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents")
     return toxicity.score(docs, toxicity.train(docs, table(spark, sf, "labels")))
@@ -47,7 +51,7 @@ def op10_quality(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_packing, op2_secrets, op3_pieces, op5_simhash, op6_personal, op8_toxicity, op10_quality)}
+    return {f.__name__: f for f in (op1_packing, op2_secrets, op3_pieces, op5_simhash, op6_personal, op7_ppm, op8_toxicity, op10_quality)}
 
 
 def oracle_sql() -> dict[str, str]:
