@@ -30,3 +30,14 @@ def store(df: DataFrame) -> DataFrame:
 def fold_of(key: str, folds: int) -> Column:
     """crc32 of the key as text, modulo ``folds``; a null key counts as empty text."""
     return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")) % folds
+
+
+SMALL_ROWS = 20_000
+
+
+def small(stored: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
+    """A stored table with a broadcast hint if it is counted to have at most so many rows.
+
+    Beyond that Spark chooses the join by size; the result is the same.
+    """
+    return F.broadcast(stored) if stored.count() <= rows else stored

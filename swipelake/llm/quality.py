@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from swipelake.llm.common import store
+from swipelake.llm.common import small, store
 
 SPACES = b" \t\n\r\x0b\x0c"
 SYMBOLS = b"#*$%&|<>"
@@ -129,14 +129,14 @@ def cells(stats: DataFrame, min_rows: int) -> DataFrame:
     one = F.to_json(F.struct(F.lit(1).alias("k"), "lang", "source"))
     two = F.to_json(F.struct(F.lit(2).alias("k"), "lang"))
     sizes = stats.groupBy("lang", "source").agg(F.count("*").alias("rows"))
-    small = sizes.withColumn("rows2", F.sum(F.when(F.col("rows") < min_rows, F.col("rows"))).over(Window.partitionBy("lang")))
-    named = small.select(
+    pooled = sizes.withColumn("rows2", F.sum(F.when(F.col("rows") < min_rows, F.col("rows"))).over(Window.partitionBy("lang")))
+    named = pooled.select(
         F.col("lang").alias("cell_lang"),
         F.col("source").alias("cell_source"),
         F.when(F.col("rows") >= min_rows, one).when(F.col("rows2") >= min_rows, two).otherwise(F.lit("rest")).alias("cell"),
     )
     same = F.col("lang").eqNullSafe(F.col("cell_lang")) & F.col("source").eqNullSafe(F.col("cell_source"))
-    return stats.join(named, same).drop("cell_lang", "cell_source")
+    return stats.join(small(store(named)), same).drop("cell_lang", "cell_source")
 
 
 def distance() -> Column:
@@ -191,12 +191,13 @@ def fit(stats: DataFrame, share: float = H, steps: int = STEPS, min_rows: int =
             "cell", "rows", F.array(*(F.col(c)[1] for c in STATS)).alias("mean"), F.array(*diagonal).alias("inverse")
         )
     )
+    products = [F.sum(F.col(STATS[i]) * F.col(STATS[j])) for i in range(DIMENSIONS) for j in range(i, DIMENSIONS)]
+    up_to = Window.partitionBy("cell").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
     sizes = model.select("cell", "rows")
     for _ in range(steps):
-        binned = stats.join(model.select("cell", "mean", "inverse"), "cell").withColumn("bin", grid(distance())).drop("mean", "inverse")
-        up_to = Window.partitionBy("cell").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
         edges = (
-            binned.groupBy("cell", "bin")
+            stats.join(small(model.select("cell", "mean", "inverse")), "cell")
+            .groupBy("cell", grid(distance()).alias("bin"))
             .agg(F.count("*").alias("n"))
             .withColumn("before", F.coalesce(F.sum("n").over(up_to), F.lit(0)))
             .join(sizes, "cell")
@@ -204,10 +205,10 @@ def fit(stats: DataFrame, share: float = H, steps: int = STEPS, min_rows: int =
             .groupBy("cell")
             .agg(F.max("bin").alias("edge"))
         )
-        products = [F.sum(F.col(STATS[i]) * F.col(STATS[j])) for i in range(DIMENSIONS) for j in range(i, DIMENSIONS)]
+        bounded = store(model.select("cell", "mean", "inverse").join(edges, "cell"))
         sums = (
-            binned.join(edges, "cell")
-            .where(F.col("bin") <= F.col("edge"))
+            stats.join(small(bounded), "cell")
+            .where(grid(distance()) <= F.col("edge"))
             .groupBy("cell")
             .agg(F.count("*").alias("n"), F.array(*(F.sum(c) for c in STATS)).alias("first"), F.array(*products).alias("second"))
         )
@@ -229,7 +230,7 @@ def judge(
     rows = store(counts(docs, key, text, lang, source).withColumn("base_failed", failed))
     passed = cells(rows.where(~F.col("base_failed")), min_rows)
     model = fit(store(passed.select("cell", *STATS)), min_rows=min_rows)
-    judged = passed.join(model, "cell", "left").withColumn("distance", F.sqrt(distance()))
+    judged = passed.join(small(model), "cell", "left").withColumn("distance", F.sqrt(distance()))
     limit = math.sqrt(chi2_limit(tail, DIMENSIONS))
     columns = [key, *COUNTS, "base_failed", "distance"]
     out = judged.select(*columns).unionByName(rows.where("base_failed").withColumn("distance", F.lit(None).cast("double")).select(*columns))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from swipelake.llm import packing, personal, pieces, ppm, quality, secrets, simhash, toxicity
+from swipelake.llm import mtree, packing, personal, pieces, ppm, quality, secrets, simhash, toxicity
 from swipelake.llm.common import table
 
 
@@ -29,6 +29,10 @@ def op3_pieces(spark: SparkSession, sf: str) -> DataFrame:
     return pieces.encode(table(spark, sf, "documents"), tokenizer("piece_bpe_32k.model"))
 
 
+def op4_mtree(spark: SparkSession, sf: str) -> DataFrame:
+    return mtree.nearest(table(spark, sf, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op5_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf, "documents"))
 
@@ -51,7 +55,7 @@ def op10_quality(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_packing, op2_secrets, op3_pieces, op5_simhash, op6_personal, op7_ppm, op8_toxicity, op10_quality)}
+    return {f.__name__: f for f in (op1_packing, op2_secrets, op3_pieces, op4_mtree, op5_simhash, op6_personal, op7_ppm, op8_toxicity, op10_quality)}
 
 
 def oracle_sql() -> dict[str, str]:
