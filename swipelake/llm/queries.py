@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from swipelake.llm import mtree, packing, personal, pieces, ppm, quality, secrets, simhash, toxicity
+from swipelake.llm import line_chunks, mtree, packing, personal, pieces, ppm, quality, secrets, simhash, toxicity
 from swipelake.llm.common import table
 
 
@@ -50,12 +50,16 @@ def op8_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     return toxicity.score(docs, toxicity.train(docs, table(spark, sf, "labels")))
 
 
+def op9_line_chunks(spark: SparkSession, sf: str) -> DataFrame:
+    return line_chunks.dedup(table(spark, sf, "documents").select("doc_id", "text"))
+
+
 def op10_quality(spark: SparkSession, sf: str) -> DataFrame:
     return quality.judge(table(spark, sf, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_packing, op2_secrets, op3_pieces, op4_mtree, op5_simhash, op6_personal, op7_ppm, op8_toxicity, op10_quality)}
+    return {f.__name__: f for f in (op1_packing, op2_secrets, op3_pieces, op4_mtree, op5_simhash, op6_personal, op7_ppm, op8_toxicity, op9_line_chunks, op10_quality)}
 
 
 def oracle_sql() -> dict[str, str]:
