@@ -120,14 +120,13 @@ def classes(rows: DataFrame) -> DataFrame:
     """bits, component of stored rows (key, bits): the least key of all that can be reached."""
     nodes = store(rows.groupBy("bits").agg(F.min("key").alias("least")))
     linked = components(links(nodes.select("bits")))
+    # Only nodes with links meet at their root; each task takes its least key there before anything is sent.
+    members = linked.join(nodes, linked["node"] == nodes["bits"]).select("root", "least")
+    roots = linked.select("root").distinct()
+    own = roots.join(nodes, roots["root"] == nodes["bits"]).select("root", "least")
+    found = store(members.union(own).groupBy("root").agg(F.min("least").alias("component")))
     rooted = nodes.join(linked.withColumnRenamed("node", "bits"), "bits", "left").withColumn("root", F.coalesce("root", "bits"))
-    # Only nodes with links need the exchange by root.
-    members = rooted.where("root != bits").select("root").distinct().withColumn("linked", F.lit(True))
-    marked = rooted.join(members, "root", "left")
-    least = marked.where("linked").groupBy("root").agg(F.min("least").alias("component"))
-    together = marked.where("linked").drop("linked").join(least, "root").select("bits", "component")
-    alone = marked.where("linked is null").select("bits", F.col("least").alias("component"))
-    return together.union(alone)
+    return rooted.join(found, "root", "left").withColumn("component", F.when(F.col("component").isNull(), F.col("least")).otherwise(F.col("component"))).select("bits", "component")
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SHINGLE) -> DataFrame:
