@@ -32,6 +32,12 @@ def fold_of(key: str, folds: int) -> Column:
     return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")) % folds
 
 
+def positional(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` under names by position, which clash with nothing, and the new name of each column."""
+    names = {c: f"column_{i}" for i, c in enumerate(docs.columns)}
+    return docs.toDF(*names.values()), names
+
+
 SMALL_ROWS = 20_000
 
 

@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from swipelake.llm.common import store
+from swipelake.llm.common import positional, store
 from swipelake.llm.spans import let
 
 WINDOW = 2
@@ -105,6 +105,8 @@ def repeated(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", counts: bool = True) -> DataFrame:
     """The rows, without the lines of repeated chunks; with ``counts`` also n_lines and n_removed."""
+    docs, names = positional(docs)
+    key, text = names[key], names[text]
     twice = store(repeated(docs, key, text))
     narrow = F.transform(
         F.filter(chunks(F.col(text)), eligible), lambda c: F.struct(F.xxhash64(c["text"]).alias("hash"), c["first"].alias("first"))
@@ -126,13 +128,14 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", counts: bool
     left = F.when(F.col("gone_chunks").isNotNull() & F.col(text).isNotNull(), F.filter(chunks(F.col(text)), stays(F.col("gone_chunks"))))
     new = F.when(F.col("gone_chunks").isNull(), F.col(text)).otherwise(let(left, lambda c: F.array_join(F.transform(c, lambda x: x["text"]), "\n")))
     out = joined.withColumn("left_text", new)
-    others = [F.col(c) for c in docs.columns]
+    added = ("n_lines", "n_removed") if counts else ()  # take the place of columns with these names
+    kept_columns = [F.col("left_text" if n == text else n).alias(c) for c, n in names.items() if c not in added]
     if not counts:
-        return out.select(*(F.col("left_text").alias(c) if c == text else F.col(c) for c in docs.columns))
+        return out.select(*kept_columns)
     lines = F.when(F.col(text).isNull(), 0).otherwise(F.length(text) - F.length(F.replace(F.col(text), F.lit("\n"), F.lit(""))) + 1)
     gone_lines = F.when(F.col("gone_chunks").isNull(), 0).otherwise(lines - F.aggregate(left, F.lit(0), lambda n, c: n + c["size"]))
     return out.select(
-        *(F.col("left_text").alias(c) if c == text else o for c, o in zip(docs.columns, others)),
+        *kept_columns,
         lines.cast("long").alias("n_lines"),
         gone_lines.cast("long").alias("n_removed"),
     )
