@@ -6,6 +6,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from swipelake.functions.hashing import digest_word, unit_draw
 from swipelake.operators.joins import broadcast_if_small
@@ -92,13 +93,18 @@ def synthetic_points(
     bases = bases.withColumn("step", F.explode(F.sequence(F.lit(0).cast("bigint"), steps - 1)))
     first = F.col("step") * POINTS_PER_STEP
     last = F.least(first + POINTS_PER_STEP, F.col("quota")) - 1
-    draws = bases.repartition("grp", "pid", "step").withColumn("draw", F.explode(F.sequence(first, last)))
-    digest = F.md5(F.concat_ws(":", "pid", "draw"))
-    choice = F.pmod(digest_word(digest, 1), F.size("slots")).cast("int")
-    mate = F.when(F.size("slots") > 0, F.get("slots", choice)).otherwise(F.col("vec"))
-    placed = draws.select(
-        "grp", "pid", "draw", "vec", unit_draw(digest, 0).alias("u"), F.coalesce(mate, F.col("vec")).alias("mate")
+    # Each draw takes one mate out of the slots before it becomes a row: the slots are not copied per draw.
+    digest = F.md5(F.concat_ws(":", "pid", F.col("draw")))
+
+    def mate_of(draw):
+        choice = F.pmod(digest_word(F.md5(F.concat_ws(":", F.col("pid"), draw)), 1), F.size("slots")).cast("int")
+        mate = F.when(F.size("slots") > 0, F.get("slots", choice)).otherwise(F.col("vec"))
+        return F.struct(draw.alias("draw"), F.coalesce(mate, F.col("vec")).alias("mate"))
+
+    draws = bases.repartition("grp", "pid", "step").select(
+        "grp", "pid", "vec", F.explode(F.transform(F.sequence(first, last), mate_of)).alias("d")
     )
+    placed = draws.select("grp", "pid", "d.draw", "vec", "d.mate").withColumn("u", unit_draw(digest, 0))
     between = F.zip_with("vec", "mate", lambda x, y: x + F.col("u") * (y - x))
     return placed.select(
         F.col("grp").alias(label), F.col("pid").alias("base_key"), "draw", between.alias(vector)
@@ -110,10 +116,13 @@ def balance_classes(df: DataFrame, label: str, key: str, vector: str, k: int = N
 
     ``vector`` is an array or an ML vector. Rows of the largest class are passed on untouched.
     """
+    kind = df.schema[vector].dataType
+    if isinstance(kind, ArrayType):  # new points come from expressions that may be null
+        kind = ArrayType(kind.elementType, True)
+        df = df.withColumn(vector, F.col(vector).cast(kind))
     rows = df.select(label, vector, F.lit(False).alias("is_synthetic"))
     if len(df.where(F.col(label).isNotNull()).select(label).distinct().head(2)) < 2:
         return rows
-    kind = df.schema[vector].dataType
     if isinstance(kind, VectorUDT):
         made = synthetic_points(df.withColumn(vector, vector_to_array(vector)), label, key, vector, k)
         point = array_to_vector(vector)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from swipelake.schemas import JSON_DICTIONARY
+
 
 def explode_map(df: DataFrame, mapping: Column, key: str, value: str, keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per map entry; a null or empty map gives none."""
@@ -25,6 +27,6 @@ def json_object_to_rows(
     Fields stay data: no schema of one column per field is ever built. Broken JSON and a key that
     does not fit ``key_type`` fail the query; null text gives no rows.
     """
-    parsed = F.from_json(F.col(text), "map<string,string>", {"mode": "FAILFAST"})
+    parsed = F.from_json(F.col(text), JSON_DICTIONARY, {"mode": "FAILFAST"})
     rows = explode_map(df, parsed, key, value, keep)
     return rows.withColumn(key, F.col(key).cast(key_type))

@@ -12,6 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from swipelake.session import cut_lineage
+
 RANGES = 2048
 
 # (low, width, number of ranges) -> {range number: rows}, for keys in [low, low + width * ranges)
@@ -51,6 +53,25 @@ def narrow_to_offset(df: DataFrame, key: str, offset: int, few_rows: int) -> tup
     return df.where(F.col(key) >= F.lit(low)), offset
 
 
+def narrow_by_ranges(df: DataFrame, key: str, offset: int, few_rows: int) -> tuple[DataFrame, int]:
+    """As ``narrow_to_offset`` for keys of any type that can be ordered: the keys of one range.
+
+    Keys are dealt to ranges of about ``few_rows`` and stored with their range, so that all reads
+    see the same ranges; one count per range comes back.
+    """
+    ranges = -(-df.count() // max(few_rows, 1))
+    if ranges < 2:
+        return df, offset
+    dealt = cut_lineage(df.repartitionByRange(ranges, key).select(key, F.spark_partition_id().alias("_range")))
+    counts = {r["_range"]: r["n"] for r in dealt.groupBy("_range").agg(F.count("*").alias("n")).collect()}
+    for number in sorted(counts):
+        if offset < counts[number]:
+            # The page may run on into the next ranges.
+            return dealt.where(F.col("_range") >= number).select(key), offset
+        offset -= counts[number]
+    return df.limit(0), 0
+
+
 def equal_load_cuts(counts: RangeCounts, low: int, high: int, parts: int) -> list[int]:
     """Keys that cut [low, high] into at most ``parts`` ranges of about the same number of rows.
 

@@ -5,8 +5,9 @@ often costs as much as any other. Each point then belongs to the cell of its nea
 the search takes two steps:
 
 1. the neighbours inside the point's own cell give a distance that the true ones cannot exceed;
-2. the triangle inequality names the other cells that may hold something nearer, and the point
-   is sent to those only.
+2. the triangle inequality names the other cells that may hold something nearer, with a least
+   distance for each; they are visited in rounds by that distance, until none is left within what
+   has been found. Vectors travel only with the visits that are made.
 
 Cells are cut into chunks, so a task compares two chunks of bounded size whatever the size of a
 cell, and hands on only the k best per point.
@@ -94,8 +95,13 @@ def _nearest(queries: np.ndarray, data: np.ndarray, ids: np.ndarray, own: np.nda
 
 
 def distinct_points(df: DataFrame, group: str, key: str, vector: str) -> DataFrame:
-    """(grp, pid, vec, copies): one row per distinct vector of a group, named by its smallest key."""
-    vec = F.transform(F.col(vector), lambda v: v.cast("double"))
+    """(grp, pid, vec, copies): one row per distinct vector of a group, named by its smallest key.
+
+    Keys are whole numbers. A vector that is null, or holds a null or NaN, fails the query with its key.
+    """
+    fine = F.col(vector).isNotNull() & F.forall(vector, lambda v: v.isNotNull() & ~F.isnan(v))
+    wrong = F.raise_error(F.concat(F.lit("no usable vector at key "), F.coalesce(F.col(key).cast("string"), F.lit("null"))))
+    vec = F.when(fine, F.transform(F.col(vector), lambda v: v.cast("double"))).otherwise(wrong.cast("array<double>"))
     return (
         df.select(F.col(group).alias("grp"), F.col(key).cast("bigint").alias("pid"), vec.alias("vec"))
         .groupBy("grp", "vec")
@@ -119,6 +125,7 @@ def _choose_pivots(points: DataFrame, group_rows: dict, cell_rows: int) -> dict:
 
 
 def _assign_cells(points: DataFrame, cells: dict) -> DataFrame:
+    """The points with their cell and its distance, stored."""
     shared = points.sparkSession.sparkContext.broadcast(cells)
 
     def assign(batches):
@@ -134,7 +141,9 @@ def _assign_cells(points: DataFrame, cells: dict) -> DataFrame:
                 yield part.assign(cell=cell, radius=radius)
 
     more = (T.StructField("cell", T.IntegerType()), T.StructField("radius", T.DoubleType()))
-    return points.mapInPandas(assign, T.StructType([*points.schema.fields, *more]))
+    placed = cut_lineage(points.mapInPandas(assign, T.StructType([*points.schema.fields, *more])))
+    shared.destroy()
+    return placed
 
 
 def _compare(queries: DataFrame, data: DataFrame, sizes: DataFrame, k: int, chunk_rows: int) -> DataFrame:
@@ -205,7 +214,12 @@ def _best(found: DataFrame, k: int) -> DataFrame:
 
 
 def open_cells(vectors: np.ndarray, own: np.ndarray, reach: np.ndarray, cells: _Cells):
-    """(row, cell) of the other cells that may hold a point within reach of the row.
+    """(row, cell) of the other cells that may hold a point within reach of the row."""
+    return bounded_cells(vectors, own, reach, cells)[:2]
+
+
+def bounded_cells(vectors: np.ndarray, own: np.ndarray, reach: np.ndarray, cells: _Cells):
+    """(row, cell, least distance) of the other cells that may hold a point within reach of the row.
 
     A cell is ruled out when all its points are farther than reach: by the distances of its
     nearest and farthest member from its pivot, or because its points lie beyond the plane
@@ -219,13 +233,16 @@ def open_cells(vectors: np.ndarray, own: np.ndarray, reach: np.ndarray, cells: _
     plane = np.divide(d * d - mine * mine, 2.0 * apart, out=np.zeros_like(d), where=apart > 1e-4 * scale)
     least = np.maximum.reduce([d - cells.far[None, :], cells.near[None, :] - d, plane])
     limit = reach[:, None]
-    possible = least - _SLACK * scale <= limit
+    least = least - _SLACK * scale
+    possible = least <= limit
     possible[np.arange(len(d)), own] = False
-    return np.nonzero(possible & np.isfinite(cells.far)[None, :])
+    rows, targets = np.nonzero(possible & np.isfinite(cells.far)[None, :])
+    return rows, targets, least[rows, targets]
 
 
 def _route(points: DataFrame, reach: DataFrame, cells: dict) -> DataFrame:
-    """(point, other cell) for every other cell that may hold a point within reach."""
+    """(grp, cell, pid, least), stored: each other cell that may hold a point within reach, and how far
+    the nearest one there is at least. No vectors: most of these pairs never come to a comparison."""
     shared = points.sparkSession.sparkContext.broadcast(cells)
     asked = points.join(reach, ["grp", "pid"], "left").withColumn(
         "reach", F.coalesce("reach", F.lit(float("inf")))
@@ -237,19 +254,48 @@ def _route(points: DataFrame, reach: DataFrame, cells: dict) -> DataFrame:
                 known = shared.value[grp]
                 vectors, own, limit = _stack(part["vec"]), part["cell"].to_numpy(), part["reach"].to_numpy()
                 for block in _row_blocks(len(part), len(known.pivots)):
-                    rows, targets = open_cells(vectors[block], own[block], limit[block], known)
+                    rows, targets, least = bounded_cells(vectors[block], own[block], limit[block], known)
                     rows = rows + block.start
                     yield pd.DataFrame(
                         {
                             "grp": part["grp"].to_numpy()[rows],
                             "cell": targets.astype("int32"),
                             "pid": part["pid"].to_numpy()[rows],
-                            "vec": part["vec"].to_numpy()[rows],
+                            "least": least,
                         }
                     )
 
     kinds = {f.name: f for f in points.schema.fields}
-    return asked.mapInPandas(route, T.StructType([kinds[c] for c in ("grp", "cell", "pid", "vec")]))
+    schema = T.StructType([*(kinds[c] for c in ("grp", "cell", "pid")), T.StructField("least", T.DoubleType())])
+    by_bound = Window.partitionBy("grp", "pid").orderBy("least", "cell")
+    routed = cut_lineage(asked.mapInPandas(route, schema).withColumn("turn", F.row_number().over(by_bound)))
+    shared.destroy()
+    return routed
+
+
+def _reach(best: DataFrame, k: int) -> DataFrame:
+    """How far a point's neighbours can be at most, by those found."""
+    return best.groupBy("grp", "pid").agg(
+        F.when(F.count("*") >= k, F.max("dist")).otherwise(F.lit(float("inf"))).alias("reach")
+    )
+
+
+def _in_rounds(
+    placed: DataFrame, wanted: str, best: DataFrame, routed: DataFrame, sizes: DataFrame, k: int, chunk_rows: int
+) -> DataFrame:
+    """Look into the other cells, nearest bounds first, twice as many in each round. After each the
+    reach of a point is tighter, and cells beyond it are passed over."""
+    vectors = placed.where(wanted).select("grp", "pid", "vec")
+    done, width = 0, 1
+    while True:
+        left = routed.where(F.col("turn") > done).join(_reach(best, k), ["grp", "pid"], "left")
+        left = left.where(F.col("reach").isNull() | (F.col("least") <= F.col("reach")))
+        if not left.head(1):
+            return best
+        now = left.where(F.col("turn") <= done + width).select("grp", "pid", "cell")
+        asked = cut_lineage(now.join(vectors, ["grp", "pid"]).select("grp", "cell", "pid", "vec"))
+        best = cut_lineage(_best(best.unionByName(_compare(asked, placed, sizes, k, chunk_rows)), k))
+        done, width = done + width, 2 * width
 
 
 def _cell_rows(points: DataFrame, total: int) -> int:
@@ -272,14 +318,18 @@ def nearest_neighbours(
     ``points`` come from ``distinct_points`` and are stored, as they are read several times.
     """
     groups = points.groupBy("grp").agg(F.count("*").alias("n"))
-    group_rows = {r["grp"]: r["n"] for r in groups.collect()}  # one row per class
+    widths = points.groupBy("grp").agg(F.count("*").alias("n"), F.min(F.size("vec")).alias("low"), F.max(F.size("vec")).alias("high"))
+    found = widths.collect()  # one row per class
+    if uneven := [r["grp"] for r in found if r["low"] != r["high"]]:
+        raise ValueError(f"vectors of different lengths in group {uneven[0]!r}")
+    group_rows = {r["grp"]: r["n"] for r in found}
     cell_rows = cell_rows or _cell_rows(points, sum(group_rows.values()))
     if max(group_rows.values(), default=0) <= cell_rows:  # one cell per group
         placed = points.withColumn("cell", F.lit(0))
         sizes = groups.withColumn("cell", F.lit(0))
         return _best(_compare(placed.where(wanted), placed, sizes, k, chunk_rows), k)
     cells = _choose_pivots(points, group_rows, cell_rows)
-    placed = cut_lineage(_assign_cells(points, cells))
+    placed = _assign_cells(points, cells)
     sizes = placed.groupBy("grp", "cell").agg(
         F.count("*").alias("n"), F.min("radius").alias("near"), F.max("radius").alias("far")
     )
@@ -289,8 +339,5 @@ def nearest_neighbours(
     for row in sizes.collect():  # one small row per cell
         c = cells[row["grp"]]
         c.near[row["cell"]], c.far[row["cell"]] = row["near"], row["far"]
-    reach = best.groupBy("grp", "pid").agg(
-        F.when(F.count("*") >= k, F.max("dist")).otherwise(F.lit(float("inf"))).alias("reach")
-    )
-    routed = cut_lineage(_route(placed.where(wanted), reach, cells))
-    return _best(best.unionByName(_compare(routed, placed, sizes, k, chunk_rows)), k)
+    routed = _route(placed.where(wanted), _reach(best, k), cells)
+    return _in_rounds(placed, wanted, best, routed, sizes, k, chunk_rows)

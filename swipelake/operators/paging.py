@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from swipelake.operators.histogram import narrow_to_offset
+from swipelake.operators.histogram import narrow_by_ranges, narrow_to_offset
 
 # Page size by default and at most.
 DEFAULT_LIMIT = 50
@@ -30,14 +31,17 @@ def page_rows(
     The page's least and greatest key are looked up first, from the key column alone. As
     constants they reach the scan, so the other columns are read only where the page lies.
 
-    A top-n pass keeps offset + limit keys in every task, so a deep page is first narrowed to a
-    key range by counting (whole-number keys only): few keys are sorted at any depth.
+    A top-n pass keeps offset + limit keys in every task, so a deep page is first narrowed by
+    counting: whole-number keys by ranges of equal width, keys of any other type by ranges that
+    hold about equally many of them. Few keys are sorted at any depth.
     """
     _check(page, limit)
     offset = (page - 1) * limit
     keys = df.select(key).where(F.col(key).isNotNull())
     if offset > shallow_rows:
-        keys, offset = narrow_to_offset(keys, key, offset, shallow_rows)
+        whole = isinstance(df.schema[key].dataType, T.IntegralType)
+        narrow = narrow_to_offset if whole else narrow_by_ranges
+        keys, offset = narrow(keys, key, offset, shallow_rows)
     on_page = keys.orderBy(key).offset(offset).limit(limit)
     edges = on_page.agg(F.min(key).alias("lo"), F.max(key).alias("hi")).first()
     if edges["lo"] is None:

@@ -41,10 +41,10 @@ def top_clients(
     """All columns of the top clients' user rows, their total and rank, highest first.
 
     Ranks are given before the join: a ranked client without a user row is left out and the
-    other ranks stay as they are. The few ranked rows are counted and broadcast, so the users
-    are scanned once and not shuffled; should very many tie, both sides are shuffled instead.
+    other ranks stay as they are. The ranked rows are stored, counted and, if few, broadcast, so the
+    users are scanned once and not shuffled; should very many tie, both sides are shuffled instead.
     """
-    ranked = broadcast_if_small(top_by_rank(totals, total, k)).alias("ranked")
+    ranked = broadcast_if_small(cut_lineage(top_by_rank(totals, total, k))).alias("ranked")
     people = users.alias("people")
     return (
         ranked.join(people, F.col(f"ranked.{client}") == F.col(f"people.{user_key}"), "inner")

@@ -45,10 +45,14 @@ def quota_cutoffs(
     A stratum may hold nearly all rows, so no window ever sees a whole stratum: rows are counted
     per digest bucket (a map-side combine), the bucket in which the quota ends is found from the
     counts, and only this bucket, one of 65,536, is put in order.
+
+    Keys must not be null, and the key at a cut must not repeat: both fail the query, as the
+    quota could not be met exactly.
     """
     w = F.lit(1) if weight is None else weight
+    digest = F.coalesce(key_digest(key), F.raise_error(F.lit(f"a row has no {key}")).cast("string"))
     rows = df.select(
-        F.col(stratum).alias("stratum"), key_digest(key).alias("digest"), F.col(key).alias("key"), w.cast("bigint").alias("w")
+        F.col(stratum).alias("stratum"), digest.alias("digest"), F.col(key).alias("key"), w.cast("bigint").alias("w")
     ).withColumn("bucket", F.substring("digest", 1, BUCKET_DIGITS))
     in_order = Window.partitionBy("stratum").orderBy("bucket")
     ends = (
@@ -69,13 +73,16 @@ def quota_cutoffs(
     running = F.sum("w").over(
         Window.partitionBy("stratum").orderBy("digest", "key").rowsBetween(Window.unboundedPreceding, 0)
     )
+    repeats = F.concat(F.lit(f"{key} repeats where a quota ends: "), F.col("key").cast("string"))
+    once = F.when(F.count("*").over(Window.partitionBy("stratum", "digest", "key")) == 1, F.col("key"))
     return (
         last_bucket.withColumn("upto", running)
+        .withColumn("once", once)
         .where((F.col("upto") >= F.col("open")) & (F.col("upto") - F.col("w") < F.col("open")))
         .select(
             F.col("stratum").alias("cut_stratum"),
             F.col("digest").alias("cut_digest"),
-            F.col("key").alias("cut_key"),
+            F.coalesce("once", F.raise_error(repeats).cast(df.schema[key].dataType)).alias("cut_key"),
             (F.col("open") - F.col("upto") + F.col("w")).alias("cut_grant"),
         )
     )

@@ -56,7 +56,9 @@ def curate(spark: SparkSession, raw: str, database: str = "default") -> None:
     # mcc: the text of the leaf, so the date directory never turns into a code
     leaf = f"{raw}/mcc_codes/situation_date={latest_date(spark, f'{raw}/mcc_codes')}"
     replace_table(curate_mcc(spark.read.text(leaf)), f"{database}.mcc")
-    replace_table(curate_cards(read_snapshot(spark, f"{raw}/cards_data", "csv")), f"{database}.cards")
+    cards = read_snapshot(spark, f"{raw}/cards_data", "csv", infer=False)
+    numbers = {c: F.col(c).cast("int") for c in schemas.CARD_NUMBERS if c in cards.columns}
+    replace_table(curate_cards(cards.withColumns(numbers)), f"{database}.cards")
     users = read_snapshot(spark, f"{raw}/users_data", "csv", schemas.USERS_FILE)
     replace_table(curate_users(users), f"{database}.users")
     tx = read_snapshot(spark, f"{raw}/transactions", "parquet")

@@ -14,10 +14,10 @@ from swipelake.sources import files, jdbc, snapshots
 
 
 def ingest_csv(
-    spark: SparkSession, source: str, root: str, schema=None, date: str | None = None, mode: str = "dynamic"
+    spark: SparkSession, source: str, root: str, schema=None, date: str | None = None, mode: str = "dynamic", infer: bool = True
 ) -> None:
     """CSV as it is, plus the load date. Earlier dates stay unless ``mode`` is ``static``."""
-    snapshots.write_snapshot(files.read_csv(spark, source, schema), root, "csv", date, mode=mode)
+    snapshots.write_snapshot(files.read_csv(spark, source, schema, infer), root, "csv", date, mode=mode)
 
 
 def ingest_json_object(
@@ -43,16 +43,21 @@ def ingest_labels(
     date: str | None = None,
     mode: str = "dynamic",
 ) -> None:
-    """Fraud labels into one dated dataset, from CSV, JSON rows or one JSON object keyed by id."""
+    """Fraud labels into one dated dataset, from CSV, JSON rows or one JSON object keyed by id.
+
+    Rows without an id, such as malformed ones, go to ``root`` with ``_malformed`` behind it; of JSON
+    rows the text as it came is there, too.
+    """
     if fmt == "csv":
         labels = files.read_csv(spark, source, schemas.FRAUD_LABELS)
     elif fmt == "json":
-        labels = files.read_json(spark, source, schema=schemas.FRAUD_LABELS)
+        labels = files.read_json(spark, source, schema=schemas.RAW_FRAUD_LABELS)
     elif fmt == "json_object":
         labels = files.read_label_object(spark, source)
     else:
         raise ValueError(f"unknown label format {fmt}")
-    snapshots.write_snapshot(labels.where("id IS NOT NULL"), root, "parquet", date, mode=mode)
+    snapshots.write_snapshot(labels.where("id IS NOT NULL").select("id", "target"), root, "parquet", date, mode=mode)
+    snapshots.write_snapshot(labels.where("id IS NULL"), f"{root}_malformed", "parquet", date, mode=mode)
 
 
 def ingest_transactions(source: DataFrame, root: str, mode: str = "dynamic") -> None:
@@ -79,7 +84,7 @@ def main() -> None:
     a = args.parse_args()
     spark = get_session("ingest")
     if a.cards:
-        ingest_csv(spark, a.cards, f"{a.raw}/cards_data", None, a.date, a.mode)
+        ingest_csv(spark, a.cards, f"{a.raw}/cards_data", None, a.date, a.mode, infer=False)
     if a.users:
         ingest_csv(spark, a.users, f"{a.raw}/users_data", schemas.USERS_FILE, a.date, a.mode)
     if a.mcc:

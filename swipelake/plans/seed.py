@@ -37,10 +37,12 @@ def seed(
     date: str | None = None,
     batch: int = SEED_BATCH,
     clear: bool = False,
+    repeatable: bool = True,
+    draw: int | None = None,
 ) -> int:
     """Append the rows in batches, or empty the table first; a missing table is created."""
     return jdbc.write_table(
-        seed_rows(spark, path, percentage, date),
+        seed_rows(spark, path, percentage, date, repeatable, draw),
         db,
         table,
         mode="overwrite" if clear else "append",
@@ -57,9 +59,12 @@ def main() -> None:
     args.add_argument("--percentage", type=float, default=100)
     args.add_argument("--batch", type=int, default=SEED_BATCH)
     args.add_argument("--clear", action="store_true")
+    args.add_argument("--independent", action="store_true", help="draw each row anew instead of by its id")
+    args.add_argument("--draw", type=int, help="number that an independent draw depends on")
     a = args.parse_args()
     spark = get_session("seed")
-    rows = seed(spark, a.path, jdbc.Database.from_env("SOURCE"), "transactions", a.percentage, a.date, a.batch, a.clear)
+    db = jdbc.Database.from_env("SOURCE")
+    rows = seed(spark, a.path, db, "transactions", a.percentage, a.date, a.batch, a.clear, not a.independent, a.draw)
     print(f"{rows} rows")
     spark.stop()
 

@@ -45,6 +45,12 @@ FRAUD_LABELS = T.StructType(
     [T.StructField("id", T.LongType()), T.StructField("target", T.StringType())]
 )
 
+# The same with the text of a row that cannot be read.
+RAW_FRAUD_LABELS = T.StructType([*FRAUD_LABELS.fields, T.StructField("_corrupt_record", T.StringType())])
+
+# whole numbers among the columns of the cards file; all others, card numbers too, are text there
+CARD_NUMBERS = ("id", "client_id", "num_cards_issued", "year_pin_last_changed")
+
 # one JSON object whose fields are the data: code -> text
 JSON_DICTIONARY = T.MapType(T.StringType(), T.StringType())
 

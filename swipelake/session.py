@@ -6,12 +6,6 @@ import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Cards, clients and category texts of up to this size are broadcast rather than shuffling the
-# transactions; Spark compares it with the size of the files. spark-submit --conf overrules it.
-BROADCAST_SETTING = "spark.sql.autoBroadcastJoinThreshold"
-BROADCAST_BYTES = "100MB"
-
-
 def get_session(app_name: str, hive: bool = False, conf: dict[str, str] | None = None) -> SparkSession:
     """One session for every job. Master, memory and partition counts come from spark-submit."""
     builder = (
@@ -25,10 +19,7 @@ def get_session(app_name: str, hive: bool = False, conf: dict[str, str] | None =
         builder = builder.config(name, value)
     if hive:
         builder = builder.enableHiveSupport()
-    spark = builder.getOrCreate()
-    if not spark.sparkContext.getConf().contains(BROADCAST_SETTING):
-        spark.conf.set(BROADCAST_SETTING, BROADCAST_BYTES)
-    return spark
+    return builder.getOrCreate()
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
@@ -43,7 +34,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        if not sc.master.startswith("local"):
+        if sc.master != "local" and not sc.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="swipelake-checkpoint-")
     sc.setCheckpointDir(configured)

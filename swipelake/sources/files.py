@@ -5,20 +5,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
-# Fixed value: one entry of a flat JSON object of labels, for instance  "10649266": "No"
-LABEL_ENTRY = r'"(\d+)"\s*:\s*(?:"([^"]*)"|([^"{},\s]+))'
+from swipelake import schemas
 
+# One entry of a flat JSON object of labels, for instance  "10649266": "No", with what may stand around it:
+# opening braces and the name of the object, closing braces. Runs are possessive: no text can exhaust the stack.
+LABEL_ENTRY = (
+    r'^[\s{]*(?:"(?:[^"\\]++|\\.)*+"\s*:\s*\{\s*)?"(-?\d+)"\s*:\s*'
+    r'("(?:[^"\\]++|\\.)*+"|null|true|false|-?[0-9][0-9.eE+-]*)[\s}]*$'
+)
+NO_ENTRY = r'^[\s{}]*(?:"(?:[^"\\]++|\\.)*+"\s*:\s*\{)?[\s{}]*$'
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+
+def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None, infer: bool = True) -> DataFrame:
     """CSV with a header line. Without a schema the types are inferred, at the cost of a second pass."""
-    return csv_reader(spark, schema).csv(path)
+    return csv_reader(spark, schema, infer).csv(path)
 
 
-def csv_reader(spark: SparkSession, schema: T.StructType | None) -> DataFrameReader:
-    """A header that does not name the schema's columns in their order fails the read."""
+def csv_reader(spark: SparkSession, schema: T.StructType | None, infer: bool = True) -> DataFrameReader:
+    """A header that does not name the schema's columns in their order fails the read. Without
+    schema and inference all columns are text, read in one pass."""
     reader = spark.read.option("header", True)
-    return reader.schema(schema).option("enforceSchema", False) if schema else reader.option("inferSchema", True)
+    return reader.schema(schema).option("enforceSchema", False) if schema else reader.option("inferSchema", infer)
 
 
 def read_json(spark: SparkSession, path: str, multi_line: bool = False, schema: T.StructType | None = None) -> DataFrame:
@@ -31,7 +40,7 @@ def read_json_dictionary(spark: SparkSession, path: str) -> DataFrame:
     """Column ``entries``: each file's JSON object as a map, whatever its fields are. For small
     dictionaries: a file is parsed in one piece, and a broken one fails the query."""
     text = spark.read.text(path, wholetext=True)
-    return text.select(F.from_json("value", "map<string,string>", {"mode": "FAILFAST"}).alias("entries"))
+    return text.select(F.from_json("value", schemas.JSON_DICTIONARY, {"mode": "FAILFAST"}).alias("entries"))
 
 
 def read_label_object(spark: SparkSession, path: str) -> DataFrame:
@@ -39,12 +48,52 @@ def read_label_object(spark: SparkSession, path: str) -> DataFrame:
 
     Such a file has an entry per transaction and no lines. It is read in splits with the comma
     as record separator, so that neither a task nor the schema ever holds the whole object.
+    Texts may hold commas and escapes; the literal null gives null, numbers and truth values their
+    text. A piece that is neither an entry nor braces fails the query: no entry is ever left out.
+    """
+    pieces = spark.read.option("lineSep", ",").text(path).select(
+        "value",
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("place"),  # ascending within a block
+    )
+    bare = F.regexp_replace("value", r"\\.", "")
+    pieces = pieces.withColumn("quotes", F.length(bare) - F.length(F.replace(bare, F.lit('"'), F.lit(""))))
+    if pieces.where("quotes % 2 = 1").head(1):
+        pieces = _joined_at_commas(pieces)
+    entry = F.col("value").rlike(LABEL_ENTRY)
+    broken = F.raise_error(F.concat(F.lit("not a label entry: "), F.left("value", F.lit(200))))
+    whole = pieces.where(F.when(F.col("value").rlike(NO_ENTRY), False).when(entry, True).otherwise(broken.cast("boolean")))
+    value = F.regexp_extract("value", LABEL_ENTRY, 2)
+    text = F.from_json(F.concat(F.lit("["), value, F.lit("]")), "array<string>", {"mode": "FAILFAST"})
+    return whole.select(F.regexp_extract("value", LABEL_ENTRY, 1).cast("bigint").alias("id"), text[0].alias("target"))
+
+
+def _joined_at_commas(pieces: DataFrame) -> DataFrame:
+    """Put pieces together again that a comma inside a text has parted.
+
+    A piece goes on inside a text when an odd number of quotes stands before it in its file. Quotes
+    are summed up by block of the file, and within a block; a block is one task's share of the file.
     """
-    entries = spark.read.option("lineSep", ",").text(path).where(F.col("value").rlike(LABEL_ENTRY))
-    return entries.select(
-        F.regexp_extract("value", LABEL_ENTRY, 1).cast("bigint").alias("id"),
-        F.concat(F.regexp_extract("value", LABEL_ENTRY, 2), F.regexp_extract("value", LABEL_ENTRY, 3)).alias("target"),
+    blocks = pieces.groupBy("file", "block").agg(F.sum("quotes").alias("in_block"))
+    by_file = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    starts = blocks.withColumn("before_block", F.coalesce(F.sum("in_block").over(by_file), F.lit(0))).drop("in_block")
+    in_block = Window.partitionBy("file", "block").orderBy("place")
+    before = F.coalesce(F.sum("quotes").over(in_block.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    marked = pieces.join(starts, ["file", "block"]).withColumn("opens", (F.col("before_block") + before) % 2 == 0)
+    numbered = marked.withColumn("entry", F.sum(F.col("opens").cast("long")).over(in_block.rowsBetween(Window.unboundedPreceding, 0)))
+    # What opens a block in the middle of a text belongs to the last entry before it, some blocks back.
+    last = numbered.groupBy("file", "block").agg(F.max("entry").alias("last_entry"))
+    open_block = F.last(F.when(F.col("last_entry") > 0, F.struct("block", "last_entry")), ignorenulls=True).over(by_file)
+    previous = last.withColumn("owner", open_block).select("file", "block", "owner")
+    owned = numbered.join(previous, ["file", "block"]).withColumn(
+        "owner", F.when(F.col("entry") > 0, F.struct("block", F.col("entry").alias("last_entry"))).otherwise(F.col("owner"))
+    )
+    alone = owned.where("opens and quotes % 2 = 0").select("value")
+    parted = owned.where("not (opens and quotes % 2 = 0)").groupBy("file", "owner").agg(
+        F.array_sort(F.collect_list(F.struct("block", "place", "value"))).alias("parts")
     )
+    return alone.union(parted.select(F.array_join(F.transform("parts", lambda x: x["value"]), ",").alias("value")))
 
 
 def even_files(df: DataFrame, *columns: str) -> DataFrame:

@@ -6,6 +6,7 @@ lines around them.
 
 from __future__ import annotations
 
+import re
 import os
 from collections.abc import Callable
 from dataclasses import dataclass, field
@@ -60,6 +61,10 @@ def run_query(spark: SparkSession, db: Database) -> Query:
     return run
 
 
+# How databases say that a table is missing: standard states, and texts of drivers that give no state.
+MISSING_TABLE = re.compile(r"TABLE_OR_VIEW_NOT_FOUND|\b42P01\b|\b42S02\b|(table|relation)\b.*(does not|doesn't) exist|no such table", re.I | re.S)
+
+
 def bounds_sql(table: str, key: str) -> str:
     return f"SELECT MIN({key}) AS lo, MAX({key}) AS hi FROM {table}"
 
@@ -143,11 +148,13 @@ def read_in_ranges(
 
 
 def rows_in(run: Query, table: str) -> int:
-    """Rows of a table; a table that cannot be read yet has none."""
+    """Rows of a table; a table that is not there yet has none. Any other error goes through."""
     try:
         return int(run(count_sql(table)).first()[0])
-    except Exception:  # each driver reports a missing table in its own way
-        return 0
+    except Exception as error:
+        if MISSING_TABLE.search(str(error)):
+            return 0
+        raise
 
 
 def write_options(

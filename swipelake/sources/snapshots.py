@@ -43,11 +43,12 @@ def read_snapshot(
     schema: T.StructType | None = None,
     date: str | None = None,
     keep_date: bool = False,
+    infer: bool = True,
 ) -> DataFrame:
     """The rows of one snapshot, by default the latest; directories below the date become columns."""
     leaf = f"{root}/{SNAPSHOT}={date or latest_date(spark, root)}"
     if fmt == "csv":
-        reader = csv_reader(spark, schema).format(fmt)
+        reader = csv_reader(spark, schema, infer).format(fmt)
     else:
         reader = spark.read.format(fmt) if schema is None else spark.read.format(fmt).schema(schema)
     if keep_date:
