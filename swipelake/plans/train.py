@@ -34,13 +34,17 @@ def training_rows(tx: DataFrame, mcc: DataFrame, cards: DataFrame, users: DataFr
     return merged.where(F.col(profile.TARGET).isNotNull())
 
 
-def prepare(merged: DataFrame) -> tuple[DataFrame, list[str], list[str]]:
-    """Rows filled well enough, gaps closed, and the feature columns (numeric, categorical)."""
-    kept = profile.fill_missing_text(profile.drop_sparse_rows(merged))
-    numeric, categorical = profile.feature_roles(kept)
-    stats = profile.column_stats(kept, numeric)
-    filled = profile.impute_means(kept, numeric, stats)
-    constant = set(profile.constant_columns(kept, numeric, stats))
+def usable(merged: DataFrame) -> DataFrame:
+    """Rows filled well enough, their missing texts filled."""
+    return profile.fill_missing_text(profile.drop_sparse_rows(merged))
+
+
+def prepare(rows: DataFrame, fitted_on: DataFrame, apart: tuple[str, ...] = ()) -> tuple[DataFrame, list[str], list[str]]:
+    """Gaps closed, and the feature columns (numeric, categorical); means and spreads are those of ``fitted_on``."""
+    numeric, categorical = profile.feature_roles(rows.drop(*apart))
+    stats = profile.column_stats(fitted_on, numeric)
+    filled = profile.impute_means(rows, numeric, stats)
+    constant = set(profile.constant_columns(fitted_on, numeric, stats))
     return features.with_text_categories(filled, categorical), [c for c in numeric if c not in constant], categorical
 
 
@@ -58,9 +62,9 @@ def train(
     The encoded rows (key, label, is_test, features) are read several times: they are stored at
     ``features_path``, else in the checkpoint folder.
     """
-    rows, numeric, categorical = prepare(merged)
     label = F.when(F.col(profile.TARGET) == positive, 1.0).otherwise(0.0)
-    rows = cut_lineage(stratified_split(rows.withColumn("label", label), "label", key))
+    split = cut_lineage(stratified_split(usable(merged).withColumn("label", label), "label", key))
+    rows, numeric, categorical = prepare(split, split if fit_on_all else split.where(~F.col("is_test")), ("label", "is_test"))
     fitted = features.feature_pipeline(rows if fit_on_all else rows.where(~F.col("is_test")), numeric, categorical)
     encoded = fitted.transform(rows).select(key, "label", "is_test", "features")
     if features_path is None:

@@ -7,20 +7,23 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from contextlib import contextmanager
 
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from swipelake.functions.text import currency_mark, has_text, mask_card, parse_money
 from swipelake.operators import balance, evaluate, features, joins, lookup, metrics, model, neighbours, paging, profile, ranking, sampling
 from swipelake.operators.columns import keys_as_text, stamp_date, trim_column_names, with_year_month
 from swipelake.operators.dictionaries import columns_to_rows, explode_map, json_object_to_rows
-from swipelake.plans import curate
+from swipelake import schemas
+from swipelake.plans import curate, ingest
 from swipelake.plans import metrics as metric_jobs
 from swipelake.plans import train as training
 from swipelake.session import cut_lineage, ensure_checkpoint_dir
-from swipelake.sources import snapshots
+from swipelake.sources import files, snapshots, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -319,10 +322,14 @@ def curate_cards(spark, sf):
     return curate.curate_cards(cards)
 
 
-@_query("SELECT event_id, props FROM events WHERE event_type = 'error' AND props IS NOT NULL AND props <> ''")
+_MAYBE_TEXT = "CASE event_type WHEN 'error' THEN props WHEN 'click' THEN '' WHEN 'view' THEN '  ' END"
+
+
+@_query(f"SELECT event_id, event_type, content FROM (SELECT *, {_MAYBE_TEXT} AS content FROM events) e WHERE content IS NOT NULL AND content <> ''")
 def error_split(spark, sf):
-    events = _read(spark, sf, "events").where("event_type = 'error'")
-    return events.select("event_id", "props").where(has_text("props"))
+    """All events, of which some have an empty or no text."""
+    events = _read(spark, sf, "events").withColumn("content", F.expr(_MAYBE_TEXT))
+    return events.select("event_id", "event_type", "content").where(has_text("content"))
 
 
 @_query(f"SELECT id, errors FROM ({_RAW_TX_SQL}) t WHERE errors IS NOT NULL AND errors <> ''")
@@ -389,12 +396,12 @@ def latest_snapshot(spark, sf):
   FROM orders WHERE year(o_orderdate) = (SELECT max(year(o_orderdate)) FROM orders)""")
 def raw_snapshot_roundtrip(spark, sf):
     """Orders written as one snapshot per year into the shared folder; the latest read back."""
-    root = f"{ensure_checkpoint_dir(spark)}/raw-{uuid.uuid4().hex}"
     orders = _read(spark, sf, "orders")
     dated = orders.withColumn("situation_date", F.trunc(F.col("o_orderdate").cast("date"), "year"))
     columns = ["o_orderkey", "o_custkey", "o_totalprice", "situation_date", "year", "month"]
-    snapshots.write_snapshot(with_year_month(dated).select(*columns), root, "parquet", below=("year", "month"))
-    return snapshots.read_snapshot(spark, root, "parquet")
+    with _scratch(spark) as root:
+        snapshots.write_snapshot(with_year_month(dated).select(*columns), root, "parquet", below=("year", "month"))
+        return cut_lineage(snapshots.read_snapshot(spark, root, "parquet"))
 
 
 @_query("""
@@ -470,9 +477,23 @@ def hash_sample(spark, sf):
     return sampling.hash_sample(_read(spark, sf, "orders").select("o_orderkey", "o_totalprice"), "o_orderkey", 70)
 
 
-@_query()
+@_query("""
+  SELECT count(*) AS total, true AS all_of_table, true AS each_once, true AS near_share, true AS whole FROM orders""")
 def bernoulli_sample(spark, sf):
-    return sampling.bernoulli_sample(_read(spark, sf, "orders"), 70, 42)
+    """What a draw must hold: rows of the table, each once, about 70 % of them, and all of them at 100 %."""
+    orders = _read(spark, sf, "orders").select("o_orderkey")
+    drawn = sampling.bernoulli_sample(orders, 70, 42).groupBy("o_orderkey").agg(F.count("*").alias("times"))
+    whole = sampling.bernoulli_sample(orders, 100).groupBy("o_orderkey").agg(F.count("*").alias("at_100"))
+    all_ = orders.withColumn("in_table", F.lit(True))
+    both = all_.join(drawn, "o_orderkey", "full").join(whole, "o_orderkey", "full")
+    n, k = F.count_if("in_table"), F.count("times")
+    return both.agg(
+        n.alias("total"),
+        (F.count_if(F.col("times").isNotNull() & F.col("in_table").isNull()) == 0).alias("all_of_table"),
+        (F.coalesce(F.max("times"), F.lit(1)) == 1).alias("each_once"),
+        (F.abs(k - 0.7 * n) <= 6 * F.sqrt(0.21 * n) + 1).alias("near_share"),
+        (F.count_if(F.col("at_100") == 1) == n).alias("whole"),
+    )
 
 
 # --- preparation -------------------------------------------------------------------------
@@ -532,16 +553,19 @@ def _docs_labelled(spark, sf):
     return joins.lookup_join(docs, labels, "doc_id", "label_doc")
 
 
-_DOC_COLUMNS = "d.doc_id, d.lang, d.source, d.n_chars, l.quality, l.toxic"
+_SPARSE = {"a": "quality = 1", "b": "quality = 0", "c": "toxic = 1", "d": "toxic = 0", "e": "n_chars > 1000"}
+_SPARSE_SQL = ", ".join(f"CASE WHEN {rule} THEN 1 END AS {c}" for c, rule in _SPARSE.items())
+_SPARSE_COLUMNS = ["doc_id", "lang", "source", "n_chars", "quality", "toxic", *_SPARSE]
+_FILLED = " + ".join(f"({c} IS NOT NULL)::INT" for c in _SPARSE_COLUMNS)
 
 
 @_query(f"""
-  SELECT * FROM (SELECT {_DOC_COLUMNS} {_DOCS_LABELLED}) t
-  WHERE (doc_id IS NOT NULL)::INT + (lang IS NOT NULL)::INT + (source IS NOT NULL)::INT + (n_chars IS NOT NULL)::INT
-        + (quality IS NOT NULL)::INT + (toxic IS NOT NULL)::INT >= 5""")
+  SELECT * FROM (SELECT d.doc_id, d.lang, d.source, d.n_chars, l.quality, l.toxic, {_SPARSE_SQL} {_DOCS_LABELLED}) t
+  WHERE {_FILLED} >= 8""")
 def drop_sparse(spark, sf):
-    """Six columns: int(0.8 * 6) = 4 filled ones would keep all rows, so the share asks for five."""
-    return profile.drop_sparse_rows(_docs_labelled(spark, sf), 0.9)
+    """Eleven columns, of which int(0.8 * 11) = 8 must be filled."""
+    rows = _docs_labelled(spark, sf).select(*_SPARSE_COLUMNS[:6])
+    return profile.drop_sparse_rows(rows.withColumns({c: F.when(F.expr(rule), 1) for c, rule in _SPARSE.items()}))
 
 
 @_query(f"SELECT d.doc_id, coalesce(CASE WHEN l.quality = 1 THEN 'good' END, 'unknown') AS mcc_description {_DOCS_LABELLED}")
@@ -693,6 +717,20 @@ _NEAR_SQL = """
   WHERE place <= 5"""
 
 
+WIDTH = 64
+_COORDINATES = ", ".join(
+    f"round(a.embedding[{i}]::DOUBLE + p.u * (b.embedding[{i}]::DOUBLE - a.embedding[{i}]::DOUBLE), 6) AS x{i}" for i in range(1, WIDTH + 1)
+)
+
+
+@_query(f"SELECT grp, pid, near_pid, round(dist, 6) AS dist FROM ({_NEAR_SQL}) n")
+def neighbours_of_many_cells(spark, sf):
+    """The same in cells of about ten points, so that pivots, routing and rounds take part."""
+    points = cut_lineage(neighbours.distinct_points(_read(spark, sf, "embeddings"), "label", "vec_id", "embedding"))
+    near = neighbours.nearest_neighbours(points, 5, cell_rows=10)
+    return near.select("grp", "pid", "near_pid", F.round("dist", 6).alias("dist"))
+
+
 @_query(f"SELECT grp, pid, near_pid, round(dist, 6) AS dist FROM ({_NEAR_SQL}) n")
 def class_neighbours(spark, sf):
     """The five nearest vectors of the same class."""
@@ -715,23 +753,14 @@ def class_neighbours(spark, sf):
        pick AS (SELECT *, CAST('0x' || substr(d, 1, 8) AS BIGINT) / 4294967296.0E0 AS u,
                        CAST('0x' || substr(d, 9, 8) AS BIGINT) % 5 AS slot FROM dig)
   SELECT p.label, p.vec_id AS base_key, p.draw,
-         round(a.embedding[1]::DOUBLE + p.u * (b.embedding[1]::DOUBLE - a.embedding[1]::DOUBLE), 6) AS x1,
-         round(a.embedding[2]::DOUBLE + p.u * (b.embedding[2]::DOUBLE - a.embedding[2]::DOUBLE), 6) AS x2,
-         round(a.embedding[-1]::DOUBLE + p.u * (b.embedding[-1]::DOUBLE - a.embedding[-1]::DOUBLE), 6) AS x_last
+         {_COORDINATES}
   FROM pick p JOIN near ON near.pid = p.vec_id AND near.slot = p.slot
        JOIN embeddings a ON a.vec_id = p.vec_id JOIN embeddings b ON b.vec_id = near.near_pid""")
 def synthetic_points(spark, sf):
     """The points that make all classes equally large."""
     made = balance.synthetic_points(_read(spark, sf, "embeddings"), "label", "vec_id", "embedding")
-    v = F.col("embedding")
-    return made.select(
-        "label",
-        "base_key",
-        "draw",
-        F.round(v[0], 6).alias("x1"),
-        F.round(v[1], 6).alias("x2"),
-        F.round(F.element_at(v, -1), 6).alias("x_last"),
-    )
+    coordinates = [F.round(F.col("embedding")[i], 6).alias(f"x{i + 1}") for i in range(WIDTH)]
+    return made.select("label", "base_key", "draw", *coordinates)
 
 
 @_query("""
@@ -742,24 +771,243 @@ def balanced_counts(spark, sf):
     return rows.groupBy("label").agg(F.count("*").alias("n"), F.count_if("is_synthetic").alias("synthetic"))
 
 
-@_query()
+_TEST_SQL = """
+  WITH c AS (SELECT {label} AS label, count(*) AS n FROM {rows} GROUP BY 1),
+       t AS (SELECT *, sum(n) OVER () AS total, CAST(ceil(sum(n) OVER () * 0.2) AS BIGINT) AS test FROM c),
+       q AS (SELECT label, (n * test) // total AS base, test - sum((n * test) // total) OVER () AS extra,
+                    row_number() OVER (ORDER BY (n * test) % total DESC, label) AS place FROM t),
+       r AS (SELECT {key} AS key, {label} AS label,
+                    row_number() OVER (PARTITION BY {label} ORDER BY md5(CAST({key} AS VARCHAR)), {key}) AS rn FROM {rows})
+  SELECT r.key AS {key}, CAST(r.label AS DOUBLE) AS label, true AS in_classes
+  FROM r JOIN q ON r.label = q.label WHERE r.rn <= q.base + (q.place <= q.extra)::INT"""
+
+
+def _determined(predictions: DataFrame, key: str, classes: DataFrame) -> DataFrame:
+    """What is determined of predictions: their rows and labels, and that each is one of the classes.
+
+    How often they are right is not: the labels of the test tables don't follow from their features.
+    """
+    known = F.broadcast(classes.select(F.col("label").cast("double").alias("prediction")).distinct().withColumn("in_classes", F.lit(True)))
+    found = predictions.join(known, "prediction", "left").withColumn("in_classes", F.coalesce("in_classes", F.lit(False)))
+    return found.select(key, "label", "in_classes")
+
+
+@_query(_TEST_SQL.format(label="label", key="vec_id", rows="embeddings"))
 def forest_predictions(spark, sf):
-    """Split, balance, train on the vectors' classes, predict the test part."""
+    """Split, balance, train on the vectors' classes, store the model, predict the test part with the stored one."""
     rows = _read(spark, sf, "embeddings")
     split = cut_lineage(sampling.stratified_split(rows, "label", "vec_id", 0.2))
     train_part = balance.balance_classes(split.where(~F.col("is_test")), "label", "vec_id", "embedding")
     train = train_part.select(F.col("label").cast("double"), array_to_vector("embedding").alias("features"))
-    forest = model.train_forest(train, trees=20, max_depth=10)
     test = split.where("is_test").select("vec_id", F.col("label").cast("double"), array_to_vector("embedding").alias("features"))
-    return model.predict(forest, test).select("vec_id", "label", "prediction")
+    with _scratch(spark) as folder:
+        model.save_model(model.train_forest(train), f"{folder}/model")
+        stored = model.load_model(f"{folder}/model")
+        found = cut_lineage(model.predict(stored, test).select("vec_id", "label", "prediction"))
+    return _determined(found, "vec_id", rows)
+
 
+_FRAUD_ROWS = f"(SELECT id AS transaction_id, CASE target WHEN 'Yes' THEN 1 ELSE 0 END AS label FROM ({_LABELS_SQL}) l) f"
 
-@_query()
+
+@_query(_TEST_SQL.format(label="label", key="transaction_id", rows=_FRAUD_ROWS))
 def fraud_model(spark, sf):
-    """Enriched transactions to predictions: prepare, split, encode, balance, train, predict."""
-    merged = enrich_transactions(spark, sf).where("is_fraud IS NOT NULL").drop("address", "card_number", "date")
-    result = training.train(cut_lineage(merged), trees=10, max_depth=5)
-    return result.predictions.select("transaction_id", "label", "prediction")
+    """Enriched transactions to predictions, through the stored stages: merge, prepare, split, encode, balance, train, predict."""
+    with _scratch(spark) as folder:
+        enrich_transactions(spark, sf).where("is_fraud IS NOT NULL").write.parquet(f"{folder}/merged")
+        result = training.train(spark.read.parquet(f"{folder}/merged"), features_path=f"{folder}/features")
+        found = cut_lineage(result.predictions.select("transaction_id", "label", "prediction"))
+        classes = cut_lineage(result.classes.select("label").distinct())
+    return _determined(found, "transaction_id", classes)
+
+
+# --- files, tables and stages ------------------------------------------------------------
+
+
+@contextmanager
+def _scratch(spark):
+    """A folder below the checkpoint folder, removed afterwards by the file system that made it."""
+    folder = f"{ensure_checkpoint_dir(spark)}/stage-{uuid.uuid4().hex}"
+    yield folder
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+_LABEL_TEXT = "CASE doc_id % 5 WHEN 0 THEN NULL WHEN 1 THEN 'No, really' WHEN 2 THEN 'a \"quoted\" \\ word,' WHEN 3 THEN ',' ELSE 'Yes' END"
+
+
+@_query(f"SELECT doc_id AS id, {_LABEL_TEXT} AS target FROM labels")
+def label_object(spark, sf):
+    """Labels written as JSON objects without line ends, some texts with commas, quotes and nulls, and read back."""
+    labels = _read(spark, sf, "labels").select("doc_id", F.expr(_LABEL_TEXT.replace("\\", "\\\\")).alias("target"))
+    quoted = F.regexp_replace(F.regexp_replace("target", r"\\", r"\\\\"), '"', r'\\"')
+    value = F.coalesce(F.concat(F.lit('"'), quoted, F.lit('"')), F.lit("null"))
+    entry = F.concat(F.lit('"'), F.col("doc_id").cast("string"), F.lit('": '), value)
+    objects = labels.groupBy((F.col("doc_id") % 50).alias("part")).agg(F.array_join(F.collect_list(entry), ", ").alias("entries"))
+    with _scratch(spark) as folder:
+        text = objects.select(F.concat(F.lit('{"target": {'), "entries", F.lit("}}")).alias("value"))
+        text.write.option("lineSep", ",").text(f"{folder}/labels")
+        return cut_lineage(files.read_label_object(spark, f"{folder}/labels"))
+
+
+@_query("""
+  SELECT CASE WHEN doc_id % 4 > 0 THEN doc_id END AS id, CASE WHEN doc_id % 4 > 0 THEN CAST(quality AS VARCHAR) END AS target FROM labels""")
+def permissive_labels(spark, sf):
+    """A line of JSON per label, every fourth one broken: the broken ones stay as rows without values."""
+    good = F.format_string('{"id": %d, "target": "%d"}', "doc_id", "quality")
+    lines = _read(spark, sf, "labels").select(F.when(F.col("doc_id") % 4 > 0, good).otherwise("{broken " + "line").alias("value"))
+    with _scratch(spark) as folder:
+        lines.write.text(f"{folder}/labels")
+        return cut_lineage(files.read_json(spark, f"{folder}/labels", schema=schemas.FRAUD_LABELS))
+
+
+_CSV_SQL = "SELECT c_custkey AS id, repeat('0', 16 - length(CAST(c_custkey AS VARCHAR))) || c_custkey AS card_number, c_name, c_acctbal FROM customer"
+
+
+@_query(_CSV_SQL)
+def csv_snapshot(spark, sf):
+    """A dated CSV snapshot written and read back by schema; leading zeros stay."""
+    rows = _read(spark, sf, "customer").select(
+        F.col("c_custkey").alias("id"), F.lpad(F.col("c_custkey").cast("string"), 16, "0").alias("card_number"), "c_name", "c_acctbal"
+    )
+    kind = T.StructType([T.StructField(f.name, f.dataType) for f in rows.schema.fields])
+    with _scratch(spark) as folder:
+        snapshots.write_snapshot(rows, f"{folder}/cards", "csv", "2025-05-22")
+        return cut_lineage(snapshots.read_snapshot(spark, f"{folder}/cards", "csv", kind))
+
+
+@_query("SELECT CAST(c_custkey AS VARCHAR) AS id, repeat('0', 16 - length(CAST(c_custkey AS VARCHAR))) || c_custkey AS card_number FROM customer")
+def csv_as_text(spark, sf):
+    """The raw CSV job and its reading without inference: every column as text, in one pass."""
+    rows = _read(spark, sf, "customer").select(
+        F.col("c_custkey").alias("id"), F.lpad(F.col("c_custkey").cast("string"), 16, "0").alias("card_number")
+    )
+    with _scratch(spark) as folder:
+        rows.write.option("header", True).csv(f"{folder}/source")
+        ingest.ingest_csv(spark, f"{folder}/source", f"{folder}/raw", date="2025-05-22", infer=False)
+        return cut_lineage(snapshots.read_snapshot(spark, f"{folder}/raw", "csv", infer=False))
+
+
+@_query("SELECT CAST(s_suppkey AS INTEGER) AS mcc, s_name AS label FROM supplier")
+def json_dictionaries(spark, sf):
+    """JSON objects over many lines through the raw zone into the table of codes."""
+    entry = F.format_string('\n  "%d": "%s"', "s_suppkey", "s_name")
+    objects = _read(spark, sf, "supplier").groupBy(F.col("s_suppkey") % 20).agg(F.array_join(F.collect_list(entry), ",").alias("entries"))
+    with _scratch(spark) as folder:
+        text = objects.select(F.concat(F.lit("{"), "entries", F.lit("\n}")).alias("value"))
+        # One object a file: as many partitions as objects, and a file is read whole.
+        text.repartition(64, "value").write.option("maxRecordsPerFile", 1).text(f"{folder}/source")
+        ingest.ingest_json_object(spark, f"{folder}/source", f"{folder}/raw", "2025-05-22")
+        return cut_lineage(curate.curate_mcc(spark.read.text(f"{folder}/raw/situation_date=2025-05-22")))
+
+
+@_query("SELECT o_orderkey, o_custkey, o_totalprice, true AS few_files FROM orders")
+def snappy_files(spark, sf):
+    """Parquet in at most four files, read back."""
+    with _scratch(spark) as folder:
+        rows = _read(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+        files.write_parquet(rows.repartition(16), f"{folder}/orders", max_files=4)
+        back = spark.read.parquet(f"{folder}/orders")
+        return cut_lineage(back.withColumn("few_files", F.lit(len(back.inputFiles()) <= 4)))
+
+
+@_query("SELECT s_suppkey AS id, s_name, s_acctbal FROM supplier")
+def managed_table(spark, sf):
+    """A managed table created, replaced and read; it is dropped in the end."""
+    name = f"stage_{uuid.uuid4().hex}"
+    rows = _read(spark, sf, "supplier").select(F.col("s_suppkey").alias("id"), "s_name", "s_acctbal")
+    try:
+        tables.replace_table(rows.limit(1), name)
+        tables.replace_table(rows, name)
+        return cut_lineage(tables.read_table(spark, name))
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+@_query(f"SELECT t.id, t.client_id, l.target AS has_fraud FROM ({_RAW_TX_SQL}) t LEFT JOIN ({_LABELS_SQL}) l ON t.id = l.id")
+def two_roots(spark, sf):
+    """Transactions and labels, each at its own latest date."""
+    with _scratch(spark) as folder:
+        tx, labels = raw_transactions(spark, sf), fraud_labels(spark, sf)
+        snapshots.write_snapshot(tx.limit(5), f"{folder}/transactions", "parquet", "2025-05-20")
+        snapshots.write_snapshot(tx, f"{folder}/transactions", "parquet", "2025-05-23")
+        snapshots.write_snapshot(labels.limit(5), f"{folder}/labels", "parquet", "2025-05-19")
+        snapshots.write_snapshot(labels, f"{folder}/labels", "parquet", "2025-05-22")
+        latest = [snapshots.read_snapshot(spark, f"{folder}/{name}", "parquet") for name in ("transactions", "labels")]
+        return cut_lineage(joins.attach_labels(*latest).select("id", "client_id", "has_fraud"))
+
+
+@_query("SELECT o_orderkey, current_date AS situation_date FROM orders")
+def stamp_today(spark, sf):
+    return stamp_date(_read(spark, sf, "orders").select("o_orderkey"))
+
+
+@_query("SELECT c_custkey, c_name AS k1, c_mktsegment AS k2 FROM customer")
+def trimmed_keys(spark, sf):
+    """Keys with blanks around them."""
+    blanks = F.repeat(F.lit(" "), (F.col("c_custkey") % 4).cast("int"))
+    rows = _read(spark, sf, "customer").select(
+        "c_custkey", F.concat(blanks, "c_name", F.lit(" ")).alias("k1"), F.concat(F.lit(" "), "c_mktsegment", blanks).alias("k2")
+    )
+    return keys_as_text(rows, "k1", "k2")
+
+
+@_query(f"""
+  SELECT c AS name, CASE WHEN c IN ('n_chars', 'quality', 'toxic') THEN 'numeric' ELSE 'categorical' END AS role, n AS filled
+  FROM (SELECT 'n_chars' AS c, count(n_chars) AS n {_DOCS_LABELLED} UNION ALL SELECT 'quality', count(quality) {_DOCS_LABELLED}
+        UNION ALL SELECT 'toxic', count(toxic) {_DOCS_LABELLED} UNION ALL SELECT 'lang', count(lang) {_DOCS_LABELLED}
+        UNION ALL SELECT 'source', count(source) {_DOCS_LABELLED}) t""")
+def feature_roles(spark, sf):
+    """Role of each feature column, and its filled rows."""
+    rows = _docs_labelled(spark, sf).select(F.col("doc_id").alias("transaction_id"), "lang", "source", "n_chars", "quality", "toxic")
+    numeric, categorical = profile.feature_roles(rows)
+    names = numeric + categorical
+    counts = rows.agg(*[F.count(c).alias(c) for c in names])
+    role = F.when(F.col("name").isin(numeric), "numeric").otherwise("categorical")
+    return columns_to_rows(counts, names, "name", "filled").select("name", role.alias("role"), "filled")
+
+
+@_query(f"""
+  WITH r AS (SELECT d.doc_id, CAST(l.quality AS DOUBLE) AS q {_DOCS_LABELLED})
+  SELECT doc_id, round(coalesce((q - (SELECT avg(q) FROM r)) / (SELECT stddev_pop(q) FROM r), 0), 6) AS scaled FROM r""")
+def gaps_to_zero(spark, sf):
+    """A missing or NaN number becomes zero in the vector."""
+    rows = _docs_labelled(spark, sf).select("doc_id", F.col("quality").cast("double").alias("quality"))
+    rows = rows.withColumn("quality", F.when(F.col("quality").isNull() & (F.col("doc_id") % 2 == 0), float("nan")).otherwise(F.col("quality")))
+    fitted = features.feature_pipeline(rows, ["quality"], [])
+    return fitted.transform(rows).select("doc_id", F.round(vector_to_array("features")[0], 6).alias("scaled"))
+
+
+_TEXT_PAGE = "SELECT c_name, c_custkey FROM customer ORDER BY c_name LIMIT 20 OFFSET 60"
+_HALF_PAGE = "SELECT c_custkey / 4.0E0 AS k, c_name FROM customer ORDER BY k LIMIT 20 OFFSET 60"
+
+
+def _text_keys(spark, sf):
+    return _read(spark, sf, "customer").select("c_name", "c_custkey")
+
+
+def _fractions(spark, sf):
+    return _read(spark, sf, "customer").select((F.col("c_custkey") / 4.0).alias("k"), "c_name")
+
+
+@_query(_TEXT_PAGE)
+def page_text(spark, sf):
+    return paging.page_rows(_text_keys(spark, sf), 4, 20, "c_name")
+
+
+@_query(_TEXT_PAGE)
+def page_text_deep(spark, sf):
+    return paging.page_rows(_text_keys(spark, sf), 4, 20, "c_name", shallow_rows=7)
+
+
+@_query(_HALF_PAGE)
+def page_fraction(spark, sf):
+    return paging.page_rows(_fractions(spark, sf), 4, 20, "k")
+
+
+@_query(_HALF_PAGE)
+def page_fraction_deep(spark, sf):
+    return paging.page_rows(_fractions(spark, sf), 4, 20, "k", shallow_rows=7)
 
 
 def queries() -> dict[str, Query]:
