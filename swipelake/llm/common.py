@@ -27,6 +27,14 @@ def store(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop(stored: DataFrame) -> None:
+    """Delete a stored table that nothing will read again."""
+    spark = stored.sparkSession
+    for file in stored.inputFiles()[:1]:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(file).getParent()
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def fold_of(key: str, folds: int) -> Column:
     """crc32 of the key as text, modulo ``folds``; a null key counts as empty text."""
     return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")) % folds

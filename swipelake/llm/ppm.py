@@ -20,20 +20,23 @@ from __future__ import annotations
 
 import math
 from collections import Counter
+from collections.abc import Iterator
 from zlib import crc32
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from zstandard import ZstdCompressor, ZstdDecompressor
 
-from swipelake.llm.common import fold_of, store
+from swipelake.llm.common import drop, fold_of, store
 
 ORDER = 5
 LOW = 2
 FOLDS, HELD_OUT = 7, 2
-BATCH_BYTES = 8 << 20
-PIECE_BYTES = 2 << 20  # of a batch worked on at once
+BATCH_BYTES = 6 << 20
+PIECE_BYTES = 1 << 20  # of a batch worked on at once
 MARK = 0xFF
 END = b"\xff"  # the end of a text as a word
 
@@ -106,10 +109,10 @@ def request(texts: list[bytes], learnt: list[bool], shards: int) -> tuple[dict[i
         (words if learn else others).update(text.split())
         if learn:
             words[END] += 1
-    for w in others:
+    for w in [*others, END]:
         words[w] += 0
     by_shard: dict[int, list[bytes]] = {}
-    for w in words:
+    for w in sorted(words):
         by_shard.setdefault(crc32(w) % shards, []).append(w)
 
     where = shard_of_keys(k, shards)
@@ -121,7 +124,7 @@ def request(texts: list[bytes], learnt: list[bool], shards: int) -> tuple[dict[i
         own = by_shard.get(s, [])
         if len(mine) or own:
             tallies = np.array([words[w] for w in own], dtype=np.int64)
-            out[s] = (k[mine].tobytes(), n[mine].astype(np.int64).tobytes(), b"\n".join(own), tallies.tobytes())
+            out[s] = (squeeze_sorted(k[mine]), squeeze(n[mine].astype(np.int64)), join_words(own), squeeze(tallies))
     return out, low, low_counts
 
 
@@ -195,9 +198,74 @@ def log_probabilities(keys: np.ndarray, counts: np.ndarray, low: Low) -> np.ndar
     return np.where(open_, log - math.log10(max(256 - low.d0, 1)), log)
 
 
-def _texts(frame: pd.DataFrame) -> tuple[list[bytes], list[bool]]:
-    texts = [t.encode("utf-8", "replace").lower() for t in frame["text"]]
-    return texts, (frame["fold"] != HELD_OUT).tolist()
+def squeeze(values: np.ndarray) -> bytes:
+    """Compressed bytes of an array, its bytes of one rank together."""
+    planes = np.ascontiguousarray(values.view(np.uint8).reshape(len(values), values.itemsize).T)
+    return ZstdCompressor(level=1).compress(planes.tobytes())
+
+
+def spread(packed: bytes, kind) -> np.ndarray:
+    raw = np.frombuffer(ZstdDecompressor().decompress(packed), dtype=np.uint8)
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(raw.reshape(size, -1).T).reshape(-1).view(kind)
+
+
+def squeeze_sorted(keys: np.ndarray) -> bytes:
+    return squeeze(np.diff(keys, prepend=np.uint64(0)))
+
+
+def spread_sorted(packed: bytes) -> np.ndarray:
+    return np.cumsum(spread(packed, np.uint64), dtype=np.uint64)
+
+
+def join_words(words: list[bytes]) -> bytes:
+    return ZstdCompressor(level=3).compress(b"\n".join(words))
+
+
+def split_words(packed: bytes) -> list[bytes]:
+    raw = ZstdDecompressor().decompress(packed)
+    return raw.split(b"\n") if raw else []
+
+
+def bundles(source: DataFrame, batches: int) -> DataFrame:
+    """Rows of a batch that a task holds at once, as one row: keys, folds, sizes, compressed lower-case texts."""
+    kind = source.schema["key"].dataType.simpleString()
+    # Hashed by key and opening, so that equal keys don't all meet unless their texts are alike, too.
+    dealt = source.withColumn("batch", F.pmod(F.xxhash64("key", F.left("text", F.lit(64))), F.lit(batches)).cast("int"))
+
+    def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in found:
+            where: dict[int, list[int]] = {}
+            for i, b in enumerate(whole.column(3).to_pylist()):
+                where.setdefault(b, []).append(i)
+            rows = []
+            for b, mine in where.items():
+                part = whole.take(pa.array(mine))
+                texts = [t.as_py().encode("utf-8", "replace").lower() for t in part.column(2)]
+                blob = ZstdCompressor(level=3).compress(b"".join(texts))
+                rows.append((b, part.column(0), part.column(1).to_pylist(), [len(t) for t in texts], blob))
+            if rows:
+                column = list(zip(*rows))
+                ends = np.cumsum([0, *(len(k) for k in column[1])]).astype(np.int32)
+                keys = pa.ListArray.from_arrays(pa.array(ends), pa.concat_arrays(column[1]))
+                numbers = [pa.array(c, pa.list_(pa.int32())) for c in column[2:4]]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(column[0], pa.int32()), keys, *numbers, pa.array(column[4], pa.binary())], ["batch", "keys", "folds", "sizes", "texts"]
+                )
+
+    return dealt.mapInArrow(run, f"batch int, keys array<{kind}>, folds array<int>, sizes array<int>, texts binary")
+
+
+def unbundled(held: pa.Table) -> tuple[pa.Array, list[bytes], list[bool]]:
+    """Keys, texts and whether each may be learnt from; bundles may come in any order."""
+    texts: list[bytes] = []
+    for sizes, blob in zip(held["sizes"].to_pylist(), held["texts"].to_pylist()):
+        raw, at = ZstdDecompressor().decompress(blob) if sum(sizes) else b"", 0
+        for size in sizes:
+            texts.append(raw[at : at + size])
+            at += size
+    keys = pa.concat_arrays([c.flatten() for c in held["keys"].chunks])
+    return keys, texts, [f != HELD_OUT for folds in held["folds"].to_pylist() for f in folds]
 
 
 def score(docs: DataFrame, key: str = "doc_id", text: str = "text", batch_bytes: int = BATCH_BYTES) -> DataFrame:
@@ -207,18 +275,21 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", batch_bytes:
     )
     size = source.agg(F.sum(F.octet_length("text") + 1)).first()[0] or 0
     batches = max(1, round(size / batch_bytes))
-    dealt = source.withColumn("batch", F.pmod(F.xxhash64("key", F.left("text", F.lit(64))), F.lit(batches)).cast("int"))
+    dealt = bundles(source, batches)
 
-    def ask(frame: pd.DataFrame) -> pd.DataFrame:
-        texts, learnt = _texts(frame)
-        batch = int(frame["batch"].iloc[0])
+    def ask(held: pa.Table) -> pa.Table:
+        _, texts, learnt = unbundled(held)
         shards, low, counts = request(texts, learnt, batches)
-        rows = [(batch, s, *parts, None, None) for s, parts in shards.items()]
-        rows.append((batch, -1, None, None, None, None, low.astype(np.int64), counts))
-        return pd.DataFrame(rows, columns=["batch", "shard", "keys", "key_counts", "words", "word_counts", "low", "low_counts"])
+        rows = [(held["batch"][0].as_py(), s, *parts, None, None) for s, parts in shards.items()]
+        rows.append((held["batch"][0].as_py(), -1, None, None, None, None, low.astype(np.int64), counts))
+        return pa.table([pa.array(c, f.type) for c, f in zip(zip(*rows), asked_type)], schema=asked_type)
 
+    asked_type = pa.schema(
+        [("batch", pa.int32()), ("shard", pa.int32()), ("keys", pa.binary()), ("key_counts", pa.binary()), ("words", pa.binary()), ("word_counts", pa.binary())]
+        + [("low", pa.list_(pa.int64())), ("low_counts", pa.list_(pa.int64()))]
+    )
     asked = store(
-        dealt.groupBy("batch").applyInPandas(
+        dealt.groupBy("batch").applyInArrow(
             ask, "batch int, shard int, keys binary, key_counts binary, words binary, word_counts binary, low array<long>, low_counts array<long>"
         )
     )
@@ -233,44 +304,46 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", batch_bytes:
     low_keys, low_counts = short["low"].to_numpy(dtype=np.uint64), short["n"].to_numpy(dtype=np.int64)
     shared = docs.sparkSession.sparkContext.broadcast((low_keys, low_counts))
 
-    def answer(frame: pd.DataFrame) -> pd.DataFrame:
+    def answer(held: pa.Table) -> pa.Table:
         low = Low(*shared.value)
-        keys = [np.frombuffer(k, dtype=np.uint64) for k in frame["keys"]]
-        counts = [np.frombuffer(c, dtype=np.int64) for c in frame["key_counts"]]
-        distinct, sums = totals(keys, counts)
-        logs = log_probabilities(distinct, sums, low)
+        packed = held["keys"].to_pylist()
+        keys = [spread_sorted(k) for k in packed]
+        distinct, sums = totals(keys, [spread(c, np.int64) for c in held["key_counts"].to_pylist()])
+        logs = log_probabilities(distinct, sums, low).astype(np.float32)
         words: dict[bytes, int] = {}
-        lists = [w.split(b"\n") if w else [] for w in frame["words"]]
-        tallies = [np.frombuffer(c, dtype=np.int64).tolist() for c in frame["word_counts"]]
-        for own, numbers in zip(lists, tallies):
-            for w, n in zip(own, numbers):
+        lists = held["words"].to_pylist()
+        for raw, numbers in zip(lists, held["word_counts"].to_pylist()):
+            for w, n in zip(split_words(raw), spread(numbers, np.int64).tolist()):
                 words[w] = words.get(w, 0) + n
         rows = []
-        for batch, k, raw, own in zip(frame["batch"], keys, frame["words"], lists):
+        for batch, k, one, raw in zip(held["batch"].to_pylist(), packed, keys, lists):
+            own = split_words(raw)
             known = np.fromiter((words[w] for w in own), dtype=np.int64, count=len(own))
-            rows.append((batch, k.tobytes(), logs[np.searchsorted(distinct, k)].tobytes(), raw, known.tobytes(), None, None))
+            rows.append((batch, k, squeeze(logs[np.searchsorted(distinct, one)]), raw, squeeze(known), None, None))
         seen = [n for n in words.values() if n]
         rows.append((-1, None, None, None, None, len(seen), sum(seen)))
-        return pd.DataFrame(rows, columns=["batch", "keys", "logs", "words", "known", "distinct", "total"])
+        return pa.table([pa.array(c, f.type) for c, f in zip(zip(*rows), answered_type)], schema=answered_type)
 
+    answered_type = pa.schema(
+        [("batch", pa.int32()), ("keys", pa.binary()), ("logs", pa.binary()), ("words", pa.binary()), ("known", pa.binary()), ("distinct", pa.int64()), ("total", pa.int64())]
+    )
     answered = store(
         asked.where("shard >= 0")
         .select("batch", "shard", "keys", "key_counts", "words", "word_counts")
         .groupBy("shard")
-        .applyInPandas(answer, "batch int, keys binary, logs binary, words binary, known binary, distinct long, total long")
+        .applyInArrow(answer, "batch int, keys binary, logs binary, words binary, known binary, distinct long, total long")
     )
+    drop(asked)
     vocabulary, trained = (x or 0 for x in answered.where("batch = -1").agg(F.sum("distinct"), F.sum("total")).first())
     offset = math.log10(trained + vocabulary + 1)
 
-    def add_up(frame: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
-        texts, learnt = _texts(frame)
-        keys = np.concatenate([np.frombuffer(k, dtype=np.uint64) for k in answers["keys"]])
-        logs = np.concatenate([np.frombuffer(x, dtype=np.float64) for x in answers["logs"]])
+    def add_up(held: pa.Table, answers: pa.Table) -> pa.Table:
+        names, texts, learnt = unbundled(held)
+        keys = np.concatenate([spread_sorted(k) for k in answers["keys"].to_pylist()])
+        logs = np.concatenate([spread(x, np.float32) for x in answers["logs"].to_pylist()]).astype(np.float64)
         known: dict[bytes, int] = {}
-        for raw, numbers in zip(answers["words"], answers["known"]):
-            if raw:
-                known.update(zip(raw.split(b"\n"), np.frombuffer(numbers, dtype=np.int64).tolist()))
-        known.setdefault(END, trained and 0)
+        for raw, numbers in zip(answers["words"].to_pylist(), answers["known"].to_pylist()):
+            known.update(zip(split_words(raw), spread(numbers, np.int64).tolist()))
         weights = {w: math.log10(n + 1) for w, n in known.items()}
         index = pd.Index(keys)
         scores = np.zeros(len(texts))
@@ -279,20 +352,20 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", batch_bytes:
             ends = np.cumsum([len(texts[i]) + 1 for i in run])
             scores[run] = np.add.reduceat(found, np.concatenate([[0], ends[:-1]]))
         rows = []
-        for k, t, learn, s in zip(frame["key"], texts, learnt, scores):
+        for t, learn, s in zip(texts, learnt, scores):
             words = t.split()
             words.append(END)
             base = math.fsum(map(weights.__getitem__, words)) - len(words) * offset
             rows.append((not learn, len(words), sum(map(bool, map(known.__getitem__, words))), trained, base, s))
-        out = pd.DataFrame(rows, columns=["held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
-        out.insert(0, "key", frame["key"].to_numpy())
-        return out
+        kinds = [pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
+        columns = [pa.array(c, k) for c, k in zip(zip(*rows), kinds)]
+        return pa.table([names, *columns], ["key", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
     kind = source.schema["key"].dataType.simpleString()
     scored = (
         dealt.groupBy("batch")
         .cogroup(answered.where("batch >= 0").select("batch", "keys", "logs", "words", "known").groupBy("batch"))
-        .applyInPandas(
+        .applyInArrow(
             add_up, f"key {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
         )
     )
