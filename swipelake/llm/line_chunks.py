@@ -127,15 +127,12 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", counts: bool
     joined = docs.join(gone, F.col(key).eqNullSafe(F.col("gone_key")), "left")
     left = F.when(F.col("gone_chunks").isNotNull() & F.col(text).isNotNull(), F.filter(chunks(F.col(text)), stays(F.col("gone_chunks"))))
     new = F.when(F.col("gone_chunks").isNull(), F.col(text)).otherwise(let(left, lambda c: F.array_join(F.transform(c, lambda x: x["text"]), "\n")))
-    out = joined.withColumn("left_text", new)
-    added = ("n_lines", "n_removed") if counts else ()  # take the place of columns with these names
-    kept_columns = [F.col("left_text" if n == text else n).alias(c) for c, n in names.items() if c not in added]
-    if not counts:
-        return out.select(*kept_columns)
     lines = F.when(F.col(text).isNull(), 0).otherwise(F.length(text) - F.length(F.replace(F.col(text), F.lit("\n"), F.lit(""))) + 1)
     gone_lines = F.when(F.col("gone_chunks").isNull(), 0).otherwise(lines - F.aggregate(left, F.lit(0), lambda n, c: n + c["size"]))
-    return out.select(
-        *kept_columns,
-        lines.cast("long").alias("n_lines"),
-        gone_lines.cast("long").alias("n_removed"),
-    )
+    out = joined.withColumn("left_text", new)
+    added = {}
+    if counts:
+        out = out.withColumns({"all_lines": lines.cast("long"), "gone_lines": gone_lines.cast("long")})
+        added = {"n_lines": "all_lines", "n_removed": "gone_lines"}  # take the place of columns with these names
+    kept = {c: "left_text" if n == text else n for c, n in names.items() if c not in added}
+    return out.select(*(F.col(n).alias(c) for c, n in (kept | added).items()))

@@ -146,7 +146,7 @@ def distance() -> Column:
     for i in range(DIMENSIONS):
         for j in range(i, DIMENSIONS):
             total = total + off[i] * off[j] * F.col("inverse")[i * DIMENSIONS + j] * (1.0 if i == j else 2.0)
-    return F.greatest(total, F.lit(0.0))
+    return F.when(total < 0, 0.0).otherwise(total)  # null without an estimate
 
 
 def grid(d: Column) -> Column:

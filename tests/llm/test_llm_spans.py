@@ -129,7 +129,7 @@ def test_places_of_many_matches(spark):
 
 
 def test_labelers_are_weighed():
-    """Of three voters with known error rates the estimates find the truth better than any one."""
+    """Of six voters with known error rates the estimates find the truth better than a majority."""
     import random
 
     r = random.Random(3)
@@ -141,7 +141,11 @@ def test_labelers_are_weighed():
         truth.setdefault(votes, []).append(yes)
     chance = personal.reliabilities(sorted(counts.items()))
     right = sum(sum(y == (chance[v] >= 0.5) for y in ys) for v, ys in truth.items())
-    assert right / 5000 > 0.95
+
+    def majority(votes):
+        return votes.count("1") > votes.count("2")
+
+    assert right > sum(sum(y == majority(v) for y in ys) for v, ys in truth.items())
 
 
 def test_loose_spans_are_added_where_labelers_agree(spark):
