@@ -32,6 +32,9 @@ CHUNK_ROWS = 16_000
 CELL_ROWS = 500
 # Pivots over all groups: they are held by the driver and by every task.
 MAX_PIVOTS = 16_384
+# Bytes that a chunk, and all pivots together, may have: of wide vectors there are fewer of either.
+CHUNK_BYTES = 64 << 20
+PIVOT_BYTES = 64 << 20
 # Distances held at once, 32 MB.
 _CELLS_AT_ONCE = 4_000_000
 
@@ -298,11 +301,16 @@ def _in_rounds(
         done, width = done + width, 2 * width
 
 
-def _cell_rows(points: DataFrame, total: int) -> int:
+def _fitting(rows: int, width: int, limit: int) -> int:
+    """At most ``rows`` vectors of that width within a number of bytes, and one at least."""
+    return max(1, min(rows, limit // (8 * max(width, 1))))
+
+
+def _cell_rows(points: DataFrame, total: int, pivots: int) -> int:
     """Small cells for a good spread over the cores; large ones once there are many rows, as a
     point is sent to each cell it has to be compared with."""
     spread = total // (4 * points.sparkSession.sparkContext.defaultParallelism)
-    return max(min(max(spread, CELL_ROWS), CHUNK_ROWS), -(-total // MAX_PIVOTS))
+    return max(min(max(spread, CELL_ROWS), CHUNK_ROWS), -(-total // pivots))
 
 
 def nearest_neighbours(
@@ -323,7 +331,9 @@ def nearest_neighbours(
     if uneven := [r["grp"] for r in found if r["low"] != r["high"]]:
         raise ValueError(f"vectors of different lengths in group {uneven[0]!r}")
     group_rows = {r["grp"]: r["n"] for r in found}
-    cell_rows = cell_rows or _cell_rows(points, sum(group_rows.values()))
+    width = max((r["high"] for r in found), default=1)
+    chunk_rows = _fitting(chunk_rows, width, CHUNK_BYTES)
+    cell_rows = cell_rows or _cell_rows(points, sum(group_rows.values()), _fitting(MAX_PIVOTS, width, PIVOT_BYTES))
     if max(group_rows.values(), default=0) <= cell_rows:  # one cell per group
         placed = points.withColumn("cell", F.lit(0))
         sizes = groups.withColumn("cell", F.lit(0))

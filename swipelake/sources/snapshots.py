@@ -59,9 +59,20 @@ def read_snapshot(
 def write_snapshot(
     df: DataFrame, root: str, fmt: str, date: str | None = None, below: tuple[str, ...] = (), mode: str = "dynamic"
 ) -> None:
-    """Stamp the load date unless the rows carry one, and write by it."""
-    dated = df if SNAPSHOT in df.columns and date is None else stamp_date(df, date, SNAPSHOT)
-    write_partitioned(dated, root, fmt, [SNAPSHOT, *below], mode)
+    """Stamp the load date unless the rows carry one, and write by it.
+
+    A stamped load without rows leaves its date without rows, too, unless it appends.
+    """
+    if SNAPSHOT in df.columns and date is None:
+        write_partitioned(df, root, fmt, [SNAPSHOT, *below], mode)
+        return
+    spark = df.sparkSession
+    day = date or str(spark.range(1).select(F.current_date()).first()[0])
+    if mode == "dynamic" and df.isEmpty():  # reads a first row only; a write would leave the date as it was
+        old = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{SNAPSHOT}={day}")
+        old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(old, True)
+        return
+    write_partitioned(stamp_date(df, day, SNAPSHOT), root, fmt, [SNAPSHOT, *below], mode)
 
 
 def latest_rows(df: DataFrame, date: str = SNAPSHOT) -> DataFrame:

@@ -152,3 +152,52 @@ def test_ml_vectors_are_kept(spark):
     df = frame(spark, [[0, 0], [1, 1], [5, 5], [6, 6], [7, 7]], [1, 1, 0, 0, 0])
     rows = balance.balance_classes(df.withColumn("vec", array_to_vector("vec")), "label", "id", "vec")
     assert rows.select(vector_to_array("vec")).count() == 6
+
+
+def test_arrays_of_columns_that_are_never_null(spark):
+    rows = spark.range(40).select(
+        F.col("id"), (F.col("id") % 4 == 0).cast("int").alias("label"), F.array(F.col("id").cast("double"), F.lit(1.0)).alias("v")
+    )
+    sizes = {r["label"]: r["count"] for r in balance.balance_classes(rows, "label", "id", "v").groupBy("label").count().collect()}
+    assert sizes == {0: 30, 1: 30}
+
+
+@pytest.mark.parametrize("bad", [None, [1.0, None], [1.0, float("nan")]])
+def test_unusable_vectors_fail_with_their_key(spark, bad):
+    rows = spark.createDataFrame([(i, i % 3 == 0, [float(i), 0.5] if i != 27 else bad) for i in range(60)], "id long, label boolean, v array<double>")
+    with pytest.raises(Exception, match="no usable vector at key 27"):
+        balance.balance_classes(rows, "label", "id", "v").collect()
+
+
+def test_vectors_of_different_lengths_fail(spark):
+    rows = spark.createDataFrame([(i, i % 3 == 0, [1.0 * i] * (1 + (i == 27))) for i in range(60)], "id long, label boolean, v array<double>")
+    with pytest.raises(ValueError, match="different lengths"):
+        balance.balance_classes(rows, "label", "id", "v").collect()
+
+
+def test_rounds_send_fewer_rows_than_all_open_cells(spark, monkeypatch):
+    """Clustered points: the bounds of far cells are never reached. Without structure they mostly are."""
+    sent = []
+    compare = neighbours._compare
+
+    def counted(queries, *more):
+        sent.append(queries.count())
+        return compare(queries, *more)
+
+    monkeypatch.setattr(neighbours, "_compare", counted)
+    rng = np.random.default_rng(3)
+    centers = rng.normal(size=(12, 4)) * 20
+    shares = {}
+    for name, spread, base in (("clustered", 0.5, centers), ("unstructured", 1.0, np.zeros((12, 4)))):
+        data = [(1, i, (base[i % 12] + rng.normal(size=4) * spread).tolist(), 1) for i in range(600)]
+        points = spark.createDataFrame(data, "grp int, pid long, vec array<double>, copies long").persist()
+        sent.clear()
+        found = neighbours.nearest_neighbours(points, 5, cell_rows=50).collect()
+        x = np.array([d[2] for d in data])
+        for pid in range(0, 600, 37):
+            order = np.lexsort((np.arange(600), np.sqrt(((x - x[pid]) ** 2).sum(1))))
+            want = [int(i) for i in order if i != pid][:5]
+            got = sorted((r for r in found if r["pid"] == pid), key=lambda r: (r["dist"], r["near_pid"]))
+            assert [r["near_pid"] for r in got] == want
+        shares[name] = sum(sent[1:]) / 600  # cells visited per point besides its own
+    assert shares["clustered"] < 3 < shares["unstructured"]

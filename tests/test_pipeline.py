@@ -263,3 +263,53 @@ def test_training(spark, curated, tmp_path):
     stored = spark.read.parquet(f"{tmp_path}/features")
     assert stored.schema["features"].dataType.typeName() in ("vector", "vectorudt") and stored.count() == 380
     assert kept.predictions.count() == 76
+
+
+def test_load_without_rows_empties_its_date(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "a"), (2, "b")], "id long, name string")
+    for date in ("2025-01-01", "2025-01-02"):
+        snapshots.write_snapshot(rows, f"{tmp_path}/raw", "parquet", date)
+    snapshots.write_snapshot(rows.limit(0), f"{tmp_path}/raw", "parquet", "2025-01-02", mode="append")
+    assert snapshots.latest_date(spark, f"{tmp_path}/raw") == "2025-01-02"
+    snapshots.write_snapshot(rows.limit(0), f"{tmp_path}/raw", "parquet", "2025-01-02")
+    assert snapshots.latest_date(spark, f"{tmp_path}/raw") == "2025-01-01"
+    assert snapshots.read_snapshot(spark, f"{tmp_path}/raw", "parquet").count() == 2
+
+
+def test_label_object_loses_nothing(spark, tmp_path):
+    texts = {1: "Yes", 2: None, 3: "No, really", 4: 'a"b', 5: ",", 6: "x,", 7: "", 8: "tab\t\\ é", 9: "{}: , \"1\": \"2\""}
+    (tmp_path / "l.json").write_text(json.dumps({"target": {str(k): v for k, v in texts.items()}}))
+    got = files.read_label_object(spark, str(tmp_path / "l.json")).collect()
+    assert dict(map(tuple, got)) == texts and len(got) == len(texts)
+
+
+def test_label_object_over_many_blocks(spark, tmp_path):
+    texts = {i: ("No, " * (i % 7) + "x" if i % 3 else None) for i in range(3000)}
+    (tmp_path / "l.json").write_text(json.dumps({str(k): v for k, v in texts.items()}))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+    try:
+        got = files.read_label_object(spark, str(tmp_path / "l.json")).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert dict(map(tuple, got)) == texts and len(got) == len(texts)
+
+
+@pytest.mark.parametrize("text", ['{"1": "Yes", "two": "No"}', '{"1": "Yes", "2": [1, 2]}', '{"1": "Yes", "2" "No"}', '{"1": Yes}'])
+def test_label_object_with_other_things_fails(spark, tmp_path, text):
+    (tmp_path / "l.json").write_text(text)
+    with pytest.raises(Exception, match="not a label entry"):
+        files.read_label_object(spark, str(tmp_path / "l.json")).collect()
+
+
+def test_malformed_labels_are_put_aside(spark, tmp_path):
+    (tmp_path / "l.json").write_text('{"id": 1, "target": "Yes"}\nnot json\n')
+    ingest.ingest_labels(spark, str(tmp_path / "l.json"), f"{tmp_path}/raw", "json", "2025-01-01")
+    aside = snapshots.read_snapshot(spark, f"{tmp_path}/raw_malformed", "parquet").collect()
+    assert [r["_corrupt_record"] for r in aside] == ["not json"]
+
+
+def test_card_numbers_keep_their_zeros(spark, tmp_path):
+    (tmp_path / "c.csv").write_text("id,client_id,card_number,cvv,credit_limit\n1,2,0000111122223333,007,$10.50\n")
+    ingest.ingest_csv(spark, str(tmp_path / "c.csv"), f"{tmp_path}/raw", date="2025-01-01", infer=False)
+    row = snapshots.read_snapshot(spark, f"{tmp_path}/raw", "csv", infer=False).first()
+    assert row["card_number"] == "0000111122223333" and row["cvv"] == "007"

@@ -58,3 +58,15 @@ def test_split_is_exact_and_complete(spark):
     chosen = {r["id"] for r in got if r["label"] == "c" and r["is_test"]}
     first = sorted((i for i, c in rows if c == "c"), key=digest)[: test["c"]]
     assert chosen == set(first)
+
+
+def test_null_keys_fail(spark):
+    rows = spark.createDataFrame([(None if i % 2 else i, i % 3) for i in range(100)], "id long, label int")
+    with pytest.raises(Exception, match="a row has no id"):
+        sampling.stratified_split(rows, "label", "id", 0.2).collect()
+
+
+def test_a_key_that_repeats_at_the_cut_fails(spark):
+    rows = spark.createDataFrame([(i % 10, 1) for i in range(100)], "id long, label int")
+    with pytest.raises(Exception, match="repeats where a quota ends"):
+        sampling.stratified_split(rows, "label", "id", 0.15).collect()
