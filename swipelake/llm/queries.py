@@ -64,9 +64,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 # Every query vector against every row; floor gives whole numbers, and doubles hold the products exactly.
 MTREE_SQL = """
-  WITH v AS (SELECT vec_id, list_transform(embedding, x -> floor(256 * CAST(x AS DOUBLE))) AS w FROM embeddings
+  WITH v AS (SELECT vec_id, [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS w FROM embeddings
              WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-               AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+               AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
        s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.w, c.w) AS BIGINT) AS score
              FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id),
        r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place FROM s)
