@@ -32,7 +32,7 @@ CLOSING_ID = 2
 STEP_TOKENS = 1 << 16  # of one training step
 POOL = 64  # sequences' worth of tokens that a shorter tier holds back to fill gaps
 OPEN_WINDOWS = 64  # windows with gaps that are held back
-CACHED_WORDS = 300_000
+CACHED_WORDS = 1_000_000
 
 LATIN = "À-ÖØ-öø-ÿ"
 _PLAIN = re.compile(f"[!-~{LATIN}]+")
