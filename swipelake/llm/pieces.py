@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MARK = "▁"
-CACHED_WORDS = 600_000
+CACHED_WORDS = 800_000
 PAIRS = 2_000_000  # remembered neighbours
 SLICE = 2000  # documents encoded together
 SUFFIX = 4  # last characters by which the lengths of pieces are looked up
