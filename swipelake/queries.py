@@ -322,11 +322,18 @@ def curate_cards(spark, sf):
     return curate.curate_cards(cards)
 
 
+@_query("SELECT event_id, props FROM events WHERE event_type = 'error' AND props IS NOT NULL AND props <> ''")
+def error_split(spark, sf):
+    """Error events with a text; both conditions reach the scan. ``non_empty_text`` has all events."""
+    events = _read(spark, sf, "events").where("event_type = 'error'")
+    return events.select("event_id", "props").where(has_text("props"))
+
+
 _MAYBE_TEXT = "CASE event_type WHEN 'error' THEN props WHEN 'click' THEN '' WHEN 'view' THEN '  ' END"
 
 
 @_query(f"SELECT event_id, event_type, content FROM (SELECT *, {_MAYBE_TEXT} AS content FROM events) e WHERE content IS NOT NULL AND content <> ''")
-def error_split(spark, sf):
+def non_empty_text(spark, sf):
     """All events, of which some have an empty or no text."""
     events = _read(spark, sf, "events").withColumn("content", F.expr(_MAYBE_TEXT))
     return events.select("event_id", "event_type", "content").where(has_text("content"))
@@ -995,9 +1002,9 @@ def page_text(spark, sf):
     return paging.page_rows(_text_keys(spark, sf), 4, 20, "c_name")
 
 
-@_query(_TEXT_PAGE)
+@_query(_TEXT_PAGE.replace("OFFSET 60", "OFFSET 600"))
 def page_text_deep(spark, sf):
-    return paging.page_rows(_text_keys(spark, sf), 4, 20, "c_name", shallow_rows=7)
+    return paging.page_rows(_text_keys(spark, sf), 31, 20, "c_name", shallow_rows=200)
 
 
 @_query(_HALF_PAGE)
@@ -1005,9 +1012,9 @@ def page_fraction(spark, sf):
     return paging.page_rows(_fractions(spark, sf), 4, 20, "k")
 
 
-@_query(_HALF_PAGE)
+@_query(_HALF_PAGE.replace("OFFSET 60", "OFFSET 600"))
 def page_fraction_deep(spark, sf):
-    return paging.page_rows(_fractions(spark, sf), 4, 20, "k", shallow_rows=7)
+    return paging.page_rows(_fractions(spark, sf), 31, 20, "k", shallow_rows=200)
 
 
 def queries() -> dict[str, Query]:

@@ -87,3 +87,14 @@ def test_lookup(spark, tmp_path, explain):
     assert one_or_none(tx, "id", 99).count() == 0
     with pytest.raises(PySparkException, match="more than one row"):
         one_or_none(tx, "id", 2).collect()
+
+
+@pytest.mark.parametrize("kind", ["string", "double", "date"])
+def test_pages_of_other_keys_at_any_depth(spark, kind):
+    key = {"string": "lpad(cast(id * 7919 % 1000 AS string), 5, '0')", "double": "(id * 7919 % 1000) / 4", "date": "date_add(DATE '2000-01-01', cast(id * 7919 % 1000 AS int))"}[kind]
+    df = spark.range(1000).selectExpr(f"{key} AS k", "id").repartition(5)
+    want = sorted(map(tuple, df.collect()))
+    for page in (1, 7, 50, 51):
+        for shallow in (5, 100, 10_000):
+            got = paging.page_rows(df, page, 20, "k", shallow_rows=shallow).collect()
+            assert [tuple(r) for r in got] == want[(page - 1) * 20 : page * 20]
