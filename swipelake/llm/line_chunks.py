@@ -5,16 +5,16 @@ DIVISOR classes, so chunk edges depend on the lines around them only and move al
 in or taken out before them. A line of LONG_WORDS words or more is a passage by itself: it ends the
 chunk before it and is one of its own. Chunks of several lines with at least LEAST_WORDS words, and
 such long lines, are compared over all documents. Grouping by hash and bytes finds the repeated ones;
-a hash that different bytes share removes nothing. The occurrence with the least (key, place) stays, all
+a hash that different bytes share removes nothing. The occurrence with the least (key, row, place) stays, all
 others go.
 
-Three reads of the texts and two exchanges of them: chunks by content, and documents with the list of
+One copy and three reads of the texts and two exchanges of them: chunks by content, and documents with the list of
 what goes. All else is narrow. A chunk that a third of all documents hold is counted in the map tasks
 before it is sent, and joins on chunks and documents are ones that Spark splits.
 
-Cases: null texts stay null, empty ones empty. A document may lose all lines; its row stays. Rows with
-one key count as one document: a chunk that stays in one of them at a place stays in the others at that
-place. So do all rows with a null key, which come last in order.
+Cases: null texts stay null, empty ones empty. A document may lose all lines; its row stays. Every row is
+a document of its own, numbered when the input is stored once at the start: rows with one key, or a null
+key, lose what another of them keeps. Null keys come last in order, rows of one key by their number.
 """
 
 from __future__ import annotations
@@ -90,10 +90,10 @@ def eligible(chunk: Column) -> Column:
     return F.when(chunk["size"] > 1, words >= LEAST_WORDS).otherwise(is_long(chunk["text"]))
 
 
-def repeated(docs: DataFrame, key: str, text: str) -> DataFrame:
+def repeated(docs: DataFrame, key: str, text: str, row: str) -> DataFrame:
     """hash, keeper: chunks that occur more than once, by a hash that only equal bytes have."""
-    rows = docs.select(F.col(key).alias("key"), F.explode(F.filter(chunks(F.col(text)), eligible)).alias("c"))
-    place = F.struct(F.col("key").isNull().alias("none"), F.col("key").alias("key"), F.col("c.first").alias("first"))
+    rows = docs.select(F.col(key).alias("key"), F.col(row).alias("row"), F.explode(F.filter(chunks(F.col(text)), eligible)).alias("c"))
+    place = F.struct(F.col("key").isNull().alias("none"), F.col("key").alias("key"), F.col("row").alias("row"), F.col("c.first").alias("first"))
     by_bytes = (
         rows.select(F.xxhash64("c.text").alias("hash"), F.col("c.text").alias("bytes"), place.alias("place"))
         .groupBy("hash", "bytes")
@@ -107,28 +107,27 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", counts: bool
     """The rows, without the lines of repeated chunks; with ``counts`` also n_lines and n_removed."""
     docs, names = positional(docs)
     key, text = names[key], names[text]
-    twice = store(repeated(docs, key, text))
+    docs = store(docs.withColumn("row", F.monotonically_increasing_id()))
+    twice = store(repeated(docs, key, text, "row"))
     narrow = F.transform(
-        F.filter(chunks(F.col(text)), eligible), lambda c: F.struct(F.xxhash64(c["text"]).alias("hash"), c["first"].alias("first"))
-    )
-    places = docs.select(F.col(key).alias("key"), F.explode(narrow).alias("c")).select("key", "c.hash", "c.first")
-    kept = F.col("keeper.key").eqNullSafe(F.col("key")) & (F.col("keeper.first") == F.col("first"))
-    gone = (
-        places.join(twice, "hash")
-        .where(~kept)
-        .groupBy("key")
-        .agg(F.collect_set(F.struct("first", "hash")).alias("gone_chunks"))
-        .withColumnRenamed("key", "gone_key")
+        F.filter(chunks(F.col(text)), eligible),
+        lambda c: F.struct(F.xxhash64(c["text"]).alias("hash"), c["first"].alias("first"), c["size"].alias("size")),
     )
+    places = docs.select("row", F.explode(narrow).alias("c")).select("row", "c.hash", "c.first", "c.size")
+    kept = (F.col("keeper.row") == F.col("row")) & (F.col("keeper.first") == F.col("first"))
+    found = places.join(twice, "hash").where(~kept).select("row", "first", "size")
+    gone = found.groupBy("row").agg(F.collect_list(F.struct("first", "size")).alias("gone_spans"))
+
+    joined = docs.join(gone.withColumnRenamed("row", "gone_row"), F.col("row") == F.col("gone_row"), "left")
 
-    def stays(gone_: Column):
-        return lambda c: ~(eligible(c) & F.array_contains(gone_, F.struct(c["first"].alias("first"), F.xxhash64(c["text"]).alias("hash"))))
+    def without(lines: Column) -> Column:
+        going = F.flatten(F.transform("gone_spans", lambda g: F.sequence(g["first"], g["first"] + g["size"] - 1)))
+        return F.transform(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), going), lambda i: lines[i])
 
-    joined = docs.join(gone, F.col(key).eqNullSafe(F.col("gone_key")), "left")
-    left = F.when(F.col("gone_chunks").isNotNull() & F.col(text).isNotNull(), F.filter(chunks(F.col(text)), stays(F.col("gone_chunks"))))
-    new = F.when(F.col("gone_chunks").isNull(), F.col(text)).otherwise(let(left, lambda c: F.array_join(F.transform(c, lambda x: x["text"]), "\n")))
+    left = F.when(F.col("gone_spans").isNotNull() & F.col(text).isNotNull(), let(F.split(F.col(text), "\n", -1), without))
+    new = F.when(F.col("gone_spans").isNull(), F.col(text)).otherwise(F.array_join(left, "\n"))
     lines = F.when(F.col(text).isNull(), 0).otherwise(F.length(text) - F.length(F.replace(F.col(text), F.lit("\n"), F.lit(""))) + 1)
-    gone_lines = F.when(F.col("gone_chunks").isNull(), 0).otherwise(lines - F.aggregate(left, F.lit(0), lambda n, c: n + c["size"]))
+    gone_lines = F.when(F.col("gone_spans").isNull(), 0).otherwise(lines - F.size(left))
     out = joined.withColumn("left_text", new)
     added = {}
     if counts:

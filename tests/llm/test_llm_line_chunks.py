@@ -103,3 +103,16 @@ def test_equal_hashes_of_different_texts_remove_nothing(spark, monkeypatch):
 @pytest.mark.parametrize("counts", [True, False])
 def test_empty_table(spark, counts):
     assert line_chunks.dedup(documents(spark, []), counts=counts).count() == 0
+
+
+@pytest.mark.parametrize("key", [None, 5])
+def test_rows_of_one_key_are_documents_of_their_own(spark, key):
+    """A third of the rows have one key, or none; copies among them go as others do."""
+    passage = "\n".join(prose(f"one key {i}", 15) for i in range(12))
+    docs = [(key if i % 3 == 0 else 100 + i, f"{passage}\n{prose(i, 3)}" if i % 3 == 0 else prose(i, 30), "en", "a") for i in range(90)]
+    docs += [(key, prose("copy", 60), "en", "a")] * 4
+    left = [r.text for r in line_chunks.dedup(documents(spark, docs), counts=False).collect()]
+    whole = [c[2] for c in chunks(passage)[:-1] if eligible(c)]
+    assert len(whole) > 1 and len(left) == 94
+    assert all(sum(c in t for t in left) == 1 for c in whole)
+    assert left.count(prose("copy", 60)) == 1
