@@ -8,7 +8,11 @@ such long lines, are compared over all documents. Grouping by hash and bytes fin
 a hash that different bytes share removes nothing. The occurrence with the least (key, row, place) stays, all
 others go.
 
-One copy and three reads of the texts and two exchanges of them: chunks by content, and documents with the list of
+Chunks at the two ends of a passage hold other lines too and stay. So with ``runs`` the lines of every
+repeated run of RUN_WORDS words or more go as well (see ``run_windows``), compared by 128 bits of SHA-256.
+A line that goes has an equal one at a lesser place, so of each distinct line one stays.
+
+Without ``runs``: one copy and three reads of the texts and two exchanges of them: chunks by content, and documents with the list of
 what goes. All else is narrow. A chunk that a third of all documents hold is counted in the map tasks
 before it is sent, and joins on chunks and documents are ones that Spark splits.
 
@@ -23,12 +27,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from swipelake.llm.common import positional, store
-from swipelake.llm.spans import let
+from swipelake.llm.spans import BLOCK, let
 
 WINDOW = 2
 DIVISOR = 3
 LONG_WORDS = 50
 LEAST_WORDS = 20
+RUN_WORDS = 51
 
 
 def n_words(line: Column) -> Column:
@@ -103,8 +108,91 @@ def repeated(docs: DataFrame, key: str, text: str, row: str) -> DataFrame:
     return by_hash.where("texts = 1 and n > 1").select("hash", "keeper")
 
 
-def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", counts: bool = True) -> DataFrame:
-    """The rows, without the lines of repeated chunks; with ``counts`` also n_lines and n_removed."""
+def before_each(counts: Column) -> Column:
+    """Sums of the numbers before each place, and of all; in blocks, so long arrays are not copied anew for each."""
+    last = F.floor((F.size(counts) - 1) / BLOCK).cast("int")
+    blocks = F.transform(F.sequence(F.lit(0), last), lambda k: F.slice(counts, k * BLOCK + 1, F.lit(BLOCK)))
+
+    def add(state: Column, n: Column) -> Column:
+        return F.struct((state["at"] + n).alias("at"), F.concat(state["out"], F.array(state["at"])).alias("out"))
+
+    def sums(numbers: Column, first: Column) -> Column:
+        empty = F.struct(first.alias("at"), F.array().cast("array<int>").alias("out"))
+        return F.aggregate(numbers, empty, add, lambda state: state["out"])
+
+    def of_blocks(parts: Column) -> Column:
+        totals = F.transform(parts, lambda part: F.aggregate(part, F.lit(0), lambda a, b: a + b))
+        firsts = sums(totals, F.lit(0))
+        return let(firsts, lambda f: F.flatten(F.transform(parts, lambda part, k: sums(part, f[k]))))
+
+    return let(blocks, of_blocks)
+
+
+def run_windows(text: Column, least: int = RUN_WORDS) -> Column:
+    """array of (first, size, digest): from each line the fewest lines on with ``least`` words, and the fewest back.
+
+    Every run of lines with so many words is the union of such windows inside it, and they depend on the
+    run's own lines only. So what repeated windows cover is exactly what repeated runs cover.
+    """
+
+    def of_lines(lines: Column) -> Column:
+        def of_counts(counts: Column) -> Column:
+            owner = F.flatten(F.transform(counts, lambda n, i: F.array_repeat(i, n)))  # the line of each word
+
+            def ends(at: Column, own: Column) -> Column:
+                every = F.sequence(F.lit(0), F.size(counts) - 1)
+                total = F.size(own)
+                on = F.transform(
+                    F.filter(every, lambda i: (counts[i] > 0) & (at[i] + least <= total)),
+                    lambda i: F.struct(i.alias("first"), own[at[i] + (least - 1)].alias("last")),
+                )
+                # A window back that is also one on is left out.
+                back = F.transform(
+                    F.filter(every, lambda e: (counts[e] > 0) & (at[e] + counts[e] >= least)),
+                    lambda e: F.struct(own[at[e] + counts[e] - least].alias("first"), e.alias("last")),
+                )
+                other = F.filter(back, lambda w: own[F.least(at[w["first"]] + (least - 1), total - 1)] != w["last"])
+                return F.concat(on, other)
+
+            spans = let(before_each(counts), lambda at: let(owner, lambda own: ends(at, own)))
+
+            def window(w: Column) -> Column:
+                size = w["last"] - w["first"] + 1
+                digest = F.sha2(F.array_join(F.slice(lines, w["first"] + 1, size), "\n"), 256)
+                return F.struct(w["first"].alias("first"), size.alias("size"), F.unhex(F.left(digest, F.lit(32))).alias("digest"))
+
+            return F.transform(spans, window)
+
+        return let(F.transform(lines, lambda line: F.regexp_count(line, F.lit(r"\S+"))), of_counts)
+
+    return let(F.split(text, "\n", -1), of_lines)
+
+
+def repeated_runs(docs: DataFrame, key: str, text: str, row: str) -> DataFrame:
+    """row, first, size: windows of repeated runs but for the first occurrence of each.
+
+    Where one overlaps the first occurrence in the same row, only the lines behind that go.
+    """
+    windows = store(
+        docs.where(F.col(text).isNotNull())
+        .select(F.col(key).alias("key"), F.col(row).alias("row"), F.explode(run_windows(F.col(text))).alias("w"))
+        .select("key", "row", "w.first", "w.size", "w.digest")
+    )
+    twice = windows.groupBy("digest").agg(F.count("*").alias("n")).where("n > 1").select("digest")
+    shared = store(windows.join(twice, "digest"))
+    place = F.struct(F.col("key").isNull().alias("none"), "key", "row", "first")
+    keepers = shared.groupBy("digest").agg(F.min(place).alias("keeper"))
+    own = F.col("keeper.row") == F.col("row")
+    later = shared.join(keepers, "digest").where(~(own & (F.col("keeper.first") == F.col("first"))))
+    first = F.when(own, F.greatest(F.col("first"), F.col("keeper.first") + F.col("size"))).otherwise(F.col("first"))
+    return later.select("row", first.alias("first"), (F.col("first") + F.col("size") - first).alias("size"))
+
+
+def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", counts: bool = True, runs: bool = False) -> DataFrame:
+    """The rows, without the lines of repeated chunks; with ``counts`` also n_lines and n_removed.
+
+    With ``runs`` also without the lines of all repeated runs of RUN_WORDS words or more, whole.
+    """
     docs, names = positional(docs)
     key, text = names[key], names[text]
     docs = store(docs.withColumn("row", F.monotonically_increasing_id()))
@@ -116,6 +204,8 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", counts: bool
     places = docs.select("row", F.explode(narrow).alias("c")).select("row", "c.hash", "c.first", "c.size")
     kept = (F.col("keeper.row") == F.col("row")) & (F.col("keeper.first") == F.col("first"))
     found = places.join(twice, "hash").where(~kept).select("row", "first", "size")
+    if runs:
+        found = found.union(repeated_runs(docs, key, text, "row"))
     gone = found.groupBy("row").agg(F.collect_list(F.struct("first", "size")).alias("gone_spans"))
 
     joined = docs.join(gone.withColumnRenamed("row", "gone_row"), F.col("row") == F.col("gone_row"), "left")

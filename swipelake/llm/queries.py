@@ -51,7 +51,7 @@ def op8_toxicity(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op9_line_chunks(spark: SparkSession, sf: str) -> DataFrame:
-    return line_chunks.dedup(table(spark, sf, "documents").select("doc_id", "text"))
+    return line_chunks.dedup(table(spark, sf, "documents").select("doc_id", "text"), runs=True)
 
 
 def op10_quality(spark: SparkSession, sf: str) -> DataFrame:

@@ -116,3 +116,59 @@ def test_rows_of_one_key_are_documents_of_their_own(spark, key):
     assert len(whole) > 1 and len(left) == 94
     assert all(sum(c in t for t in left) == 1 for c in whole)
     assert left.count(prose("copy", 60)) == 1
+
+
+def without_runs(docs, least=line_chunks.RUN_WORDS):
+    """Texts without the lines of windows that came before: every run of lines, all pairs, in order of the rows."""
+    seen, out = {}, []
+    for d, (_, t) in enumerate(docs):
+        lines = t.split("\n")
+        gone = set()
+        for a in range(len(lines)):
+            for b in range(a, min(len(lines), a + 60)):
+                run = tuple(lines[a : b + 1])
+                if sum(len(x.split()) for x in run) >= least:
+                    e, f = seen.setdefault(run, (d, a))
+                    gone |= set(range(max(a, f + len(run)) if e == d and (e, f) != (d, a) else a, b + 1)) if (e, f) != (d, a) else set()
+        out.append("\n".join(x for i, x in enumerate(lines) if i not in gone))
+    return out
+
+
+SHAPES = [(3, 20), (4, 15), (5, 12), (6, 10), (10, 10), (2, 26), (20, 3), (17, 3), (20, 10), (2, 100)]
+
+
+def shaped():
+    """Passages of 51 to 200 words over 2 to 20 lines, each three times between different neighbours."""
+    r, out = random.Random(8), []
+    for s, (n, words) in enumerate(SHAPES):
+        passage = "\n".join(prose(f"shape {s}/{i}", words) for i in range(n))
+        for c in range(3):
+            parts = ["\n".join(prose(f"{s} {c} {side} {k}", r.randint(3, 14)) for k in range(r.randint(1, 4))) for side in "ab"]
+            out.append((len(out), f"{parts[0]}\n{passage}\n{parts[1]}"))
+    return out
+
+
+def test_whole_passages_go(spark):
+    docs = shaped()
+    left = {r.doc_id: r for r in line_chunks.dedup(documents(spark, [(*d, "en", "a") for d in docs]), runs=True).collect()}
+    want = without_runs(docs)
+    assert [left[i].text for i, _ in docs] == want
+    assert all(left[i].n_removed == SHAPES[i // 3][0] if i % 3 else left[i].text == t for i, t in docs)
+
+
+def test_runs_end_with_the_passage(spark):
+    """Of 50 words or fewer in lines of their own nothing is a run; a passage that repeats in itself stays once."""
+    line = [prose(f"in itself {i}", 20) for i in range(3)]
+    short = prose("short", 10)
+    docs = [(1, "\n".join(line * 4)), (2, f"{prose(1, 7)}\n{short}\n{prose(2, 7)}"), (3, f"{prose(3, 7)}\n{short}\n{prose(4, 7)}")]
+    left = {r.doc_id: r.text for r in line_chunks.dedup(documents(spark, [(*d, "en", "a") for d in docs]), counts=False, runs=True).collect()}
+    assert set(line) <= set(left[1].split("\n")) and len(left[1].split("\n")) < 6
+    assert all(left[i] == t for i, t in docs[1:])
+
+
+def test_runs_take_more_than_chunks(spark):
+    docs = documents(spark, corpus()).select("doc_id", "text")
+    chunked = sum(r.n_removed for r in line_chunks.dedup(docs).collect())
+    whole = line_chunks.dedup(docs, runs=True).collect()
+    assert sum(r.n_removed for r in whole) > chunked
+    assert {x for r in docs.collect() for x in (r.text or "").split("\n")} - {x for r in whole for x in (r.text or "").split("\n")} <= {""}
