@@ -1,15 +1,19 @@
 """Quality rules: counts of each text, fixed limits, and robust multivariate outliers.
 
 Rows that pass the fixed limits get a vector of transformed statistics. For each language and source
-the minimum-covariance-determinant estimate is found by concentration steps: from a start by medians,
-the H share of rows with the smallest Mahalanobis distances gives the next mean and covariance. Each
-step is two aggregations over narrow rows, for all cells at once: a histogram of distances on a fixed
-logarithmic grid, whose bin holding the H share is the edge, and sums of products within that edge. No
-cell is ever gathered, so one source may hold any share of the rows. A row is rejected when its
-distance under the last estimate is beyond the chi-square limit.
+the minimum-covariance-determinant estimate is found by concentration steps: from a start by the shortest
+halves, the H share of rows with the smallest Mahalanobis distances gives the next mean and covariance,
+until the determinant falls no more. Each step is two aggregations over narrow rows, for all cells at
+once: a histogram of distances on a fixed logarithmic grid, whose bin holding the H share is the edge, and
+sums of products within that edge, where the rows of the edge bin share the weight that is left. No cell
+is ever gathered, so one source may hold any share of the rows. Rows with equal statistics count once in
+the estimate, so copies have no more say than one row. A row is rejected when its distance under the last
+estimate is beyond the chi-square limit.
 
 A language and source with under MIN_ROWS rows share a cell with the other small sources of the
-language, and small languages one cell; a cell that stays smaller than that rejects nothing.
+language, and small languages one cell. A cell that stays smaller than that, or has fewer different rows,
+has no distance of its own; its rows are rejected by the estimate over all rows. Tables with fewer
+different rows reject nothing.
 
 Cases: null texts have no words and fail the fixed limits. Null languages and sources are values of
 their own. Rows that repeat are judged each. An empty table gives no rows. A statistic that is nearly
@@ -35,9 +39,10 @@ SYMBOLS = b"#*$%&|<>"
 CAPITALS = bytes(range(65, 91))
 EMPHASIS = b"!?"
 DIMENSIONS = 6
-H = 0.75
-STEPS = 4
+H = 0.52  # just above half: nearly half of a cell may be bad
+STEPS = 20  # at most; they end when no determinant falls
 MIN_ROWS = 200
+START = 20  # steps of the percentiles that the start is taken from
 BINS = 32  # of the distance histogram, per doubling
 TAIL = 1e-8  # share of well-behaved rows beyond the limit
 MIN_WORDS = 50
@@ -139,13 +144,13 @@ def cells(stats: DataFrame, min_rows: int) -> DataFrame:
     return stats.join(small(store(named)), same).drop("cell_lang", "cell_source")
 
 
-def distance() -> Column:
+def distance(mean: str = "mean", inverse: str = "inverse") -> Column:
     """Squared Mahalanobis distance of the statistics from ``mean`` under ``inverse``."""
-    off = [F.col(c) - F.col("mean")[i] for i, c in enumerate(STATS)]
+    off = [F.col(c) - F.col(mean)[i] for i, c in enumerate(STATS)]
     total = F.lit(0.0)
     for i in range(DIMENSIONS):
         for j in range(i, DIMENSIONS):
-            total = total + off[i] * off[j] * F.col("inverse")[i * DIMENSIONS + j] * (1.0 if i == j else 2.0)
+            total = total + off[i] * off[j] * F.col(inverse)[i * DIMENSIONS + j] * (1.0 if i == j else 2.0)
     return F.when(total < 0, 0.0).otherwise(total)  # null without an estimate
 
 
@@ -154,12 +159,12 @@ def grid(d: Column) -> Column:
 
 
 def estimates(sums: DataFrame, scale: float) -> DataFrame:
-    """cell, mean, inverse from counts, sums and sums of products."""
+    """cell, mean, inverse, spread (log of the covariance's determinant) from counts, sums and sums of products."""
     p, floors = DIMENSIONS, np.square(FLOORS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            means, inverses = [], []
+            means, inverses, spreads = [], [], []
             for n, first, second in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3))):
                 mean = np.array(first) / n
                 cov = np.zeros((p, p))
@@ -169,31 +174,41 @@ def estimates(sums: DataFrame, scale: float) -> DataFrame:
                 cov[np.diag_indices(p)] = np.maximum(cov.diagonal(), 0) + floors
                 means.append(mean.tolist())
                 inverses.append(np.linalg.inv(cov).ravel().tolist())
+                spreads.append(float(np.linalg.slogdet(cov)[1]))
             kind = pa.list_(pa.float64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(means, kind), pa.array(inverses, kind)], ["cell", "mean", "inverse"]
+                [batch.column(0), pa.array(means, kind), pa.array(inverses, kind), pa.array(spreads, pa.float64())],
+                ["cell", "mean", "inverse", "spread"],
             )
 
-    return sums.mapInArrow(run, "cell string, mean array<double>, inverse array<double>")
+    return sums.mapInArrow(run, "cell string, mean array<double>, inverse array<double>, spread double")
 
 
 def fit(stats: DataFrame, share: float = H, steps: int = STEPS, min_rows: int = MIN_ROWS) -> DataFrame:
     """cell, mean, inverse for each cell with at least ``min_rows`` rows."""
     edge = chi2_limit(1 - share, DIMENSIONS)
     scale = share / chi2_share(edge, DIMENSIONS + 2)
-    medians = stats.groupBy("cell").agg(
-        F.count("*").alias("rows"), *(F.percentile_approx(c, [0.25, 0.5, 0.75], 2000).alias(c) for c in STATS)
-    )
-    spread = [F.greatest((F.col(c)[2] - F.col(c)[0]) / 1.349, F.lit(FLOORS[i])) for i, c in enumerate(STATS)]
+    grades = [k / START for k in range(START + 1)]
+    ranks = stats.groupBy("cell").agg(F.count("*").alias("rows"), *(F.percentile_approx(c, grades, 2000).alias(c) for c in STATS))
+
+    def shortest(c: str) -> Column:
+        """Length, start and end of the shortest stretch that holds half of the rows."""
+        halves = [F.struct((F.col(c)[k + START // 2] - F.col(c)[k]).alias("length"), F.col(c)[k].alias("low"), F.col(c)[k + START // 2].alias("high")) for k in range(START // 2 + 1)]
+        return F.array_min(F.array(*halves))
+
+    half = [shortest(c) for c in STATS]
+    spread = [F.greatest(half[i]["length"] / 1.349, F.lit(FLOORS[i])) for i in range(DIMENSIONS)]
     diagonal = [1 / (spread[i] * spread[i]) if i == j else F.lit(0.0) for i in range(DIMENSIONS) for j in range(DIMENSIONS)]
     model = store(
-        medians.where(F.col("rows") >= min_rows).select(
-            "cell", "rows", F.array(*(F.col(c)[1] for c in STATS)).alias("mean"), F.array(*diagonal).alias("inverse")
+        ranks.where(F.col("rows") >= min_rows).select(
+            "cell", "rows", F.array(*((h["low"] + h["high"]) / 2 for h in half)).alias("mean"), F.array(*diagonal).alias("inverse")
         )
     )
-    products = [F.sum(F.col(STATS[i]) * F.col(STATS[j])) for i in range(DIMENSIONS) for j in range(i, DIMENSIONS)]
+    weight = F.when(F.col("bin") < F.col("edge"), 1.0).otherwise(F.col("part"))
+    products = [F.sum(F.col("weight") * F.col(STATS[i]) * F.col(STATS[j])) for i in range(DIMENSIONS) for j in range(i, DIMENSIONS)]
     up_to = Window.partitionBy("cell").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
     sizes = model.select("cell", "rows")
+    fell = None
     for _ in range(steps):
         edges = (
             stats.join(small(model.select("cell", "mean", "inverse")), "cell")
@@ -202,18 +217,26 @@ def fit(stats: DataFrame, share: float = H, steps: int = STEPS, min_rows: int =
             .withColumn("before", F.coalesce(F.sum("n").over(up_to), F.lit(0)))
             .join(sizes, "cell")
             .where(F.col("before") < F.col("rows") * share)
+            .withColumn("part", F.least(F.lit(1.0), (F.col("rows") * share - F.col("before")) / F.col("n")))
             .groupBy("cell")
-            .agg(F.max("bin").alias("edge"))
+            .agg(F.max(F.struct("bin", "part")).alias("last"))
+            .select("cell", F.col("last.bin").alias("edge"), F.col("last.part").alias("part"))
         )
         bounded = store(model.select("cell", "mean", "inverse").join(edges, "cell"))
         sums = (
             stats.join(small(bounded), "cell")
-            .where(grid(distance()) <= F.col("edge"))
+            .withColumn("bin", grid(distance()))
+            .where("bin <= edge")
+            .withColumn("weight", weight)
             .groupBy("cell")
-            .agg(F.count("*").alias("n"), F.array(*(F.sum(c) for c in STATS)).alias("first"), F.array(*products).alias("second"))
+            .agg(F.sum("weight").alias("n"), F.array(*(F.sum(F.col("weight") * F.col(c)) for c in STATS)).alias("first"), F.array(*products).alias("second"))
         )
-        model = store(estimates(sums, scale))
-    return model
+        new = store(estimates(sums, scale))
+        falls = fell is None or new.join(fell, "cell").where(F.col("spread") < F.col("spread_before") - 1e-3).limit(1).count()
+        model, fell = new, new.select("cell", F.col("spread").alias("spread_before"))
+        if not falls:
+            break
+    return model.select("cell", "mean", "inverse")
 
 
 def judge(
@@ -229,9 +252,17 @@ def judge(
     failed = (F.col("n_words") < MIN_WORDS) | (F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words"))
     rows = store(counts(docs, key, text, lang, source).withColumn("base_failed", failed))
     passed = cells(rows.where(~F.col("base_failed")), min_rows)
-    model = fit(store(passed.select("cell", *STATS)), min_rows=min_rows)
-    judged = passed.join(small(model), "cell", "left").withColumn("distance", F.sqrt(distance()))
+    different = store(passed.select("cell", *STATS).distinct())
+    model = fit(different, min_rows=min_rows)
+    whole = fit(store(different.withColumn("cell", F.lit("all"))), min_rows=min_rows).select(F.col("mean").alias("all_mean"), F.col("inverse").alias("all_inverse"))
+    judged = (
+        passed.join(small(store(model)), "cell", "left")
+        .join(F.broadcast(whole), F.lit(True), "left")  # one row at most
+        .withColumn("distance", F.sqrt(distance()))
+        .withColumn("judged_by", F.coalesce("distance", F.sqrt(distance("all_mean", "all_inverse"))))
+    )
     limit = math.sqrt(chi2_limit(tail, DIMENSIONS))
     columns = [key, *COUNTS, "base_failed", "distance"]
-    out = judged.select(*columns).unionByName(rows.where("base_failed").withColumn("distance", F.lit(None).cast("double")).select(*columns))
-    return out.withColumn("kept", ~F.col("base_failed") & F.coalesce(F.col("distance") <= limit, F.lit(True)))
+    kept = F.coalesce(F.col("judged_by") <= limit, F.lit(True)).alias("kept")
+    failed_rows = rows.where("base_failed").withColumn("distance", F.lit(None).cast("double"))
+    return judged.select(*columns, kept).unionByName(failed_rows.select(*columns, F.lit(False).alias("kept")))

@@ -90,3 +90,32 @@ def test_chi_square():
 
 def test_empty_table(spark):
     assert quality.judge(documents(spark, [])).count() == 0
+
+
+@pytest.mark.parametrize("alike", [True, False])
+def test_a_third_of_junk_in_one_cell_goes(spark, alike):
+    """35 % of a cell are bad, as copies of one text or as texts of their own; so are rows of a small cell."""
+    r = random.Random(11)
+
+    def good(i):
+        return "\n".join(prose(f"{i}/{k}", 20) for k in range(r.randint(4, 12)))
+
+    def bad(i):
+        return prose("junk" if alike else i, 120).upper().replace(" ", "!! ")
+
+    docs = [(i, bad(i) if i % 20 < 7 else good(i), "en", "a") for i in range(1200)]
+    docs += [(2000 + i, bad(i) if i < 2 else good(i), "de", "b") for i in range(5)]
+    got = {x.doc_id: x for x in quality.judge(documents(spark, docs)).collect()}
+    assert not any(got[i].base_failed for i in got)
+    assert not any(got[i].kept for i in range(1200) if i % 20 < 7)
+    assert all(got[i].kept for i in range(1200) if i % 20 >= 7)
+    assert [got[2000 + i].kept for i in range(5)] == [False, False, True, True, True]
+
+
+def test_edge_bin_is_split(spark):
+    """Equal rows share one bin; only the share that is asked for enters."""
+    r = np.random.default_rng(4)
+    x = np.concatenate([r.normal(size=(650, 6)), np.full((350, 6), 9.0)])
+    df = spark.createDataFrame([("c", *map(float, row)) for row in x], "cell string, " + ", ".join(f"{c} double" for c in quality.STATS))
+    model = quality.fit(df, share=0.75, steps=1).first()  # a tenth of all rows are copies, not 35 %
+    assert np.allclose(model.mean, 9 * 0.1 / 0.75, atol=0.15)
