@@ -178,10 +178,10 @@ def repeated_runs(docs: DataFrame, key: str, text: str, row: str) -> DataFrame:
         .select(F.col(key).alias("key"), F.col(row).alias("row"), F.explode(run_windows(F.col(text))).alias("w"))
         .select("key", "row", "w.first", "w.size", "w.digest")
     )
-    twice = windows.groupBy("digest").agg(F.count("*").alias("n")).where("n > 1").select("digest")
+    twice = store(windows.groupBy("digest").agg(F.count("*").alias("n")).where("n > 1").select("digest"))  # stored, so Spark splits the join where many rows hold one digest
     shared = store(windows.join(twice, "digest"))
     place = F.struct(F.col("key").isNull().alias("none"), "key", "row", "first")
-    keepers = shared.groupBy("digest").agg(F.min(place).alias("keeper"))
+    keepers = store(shared.groupBy("digest").agg(F.min(place).alias("keeper")))
     own = F.col("keeper.row") == F.col("row")
     later = shared.join(keepers, "digest").where(~(own & (F.col("keeper.first") == F.col("first"))))
     first = F.when(own, F.greatest(F.col("first"), F.col("keeper.first") + F.col("size"))).otherwise(F.col("first"))
