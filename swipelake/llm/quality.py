@@ -51,6 +51,7 @@ MAX_REPEATED = 0.5
 FLOORS = (0.08, 0.05, 0.08, 0.1, 0.06, 0.05)
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+ALL = "all"  # the cell of all rows; other names are JSON or "rest"
 STATS = tuple(f"x{i}" for i in range(DIMENSIONS))
 
 
@@ -252,11 +253,13 @@ def judge(
     failed = (F.col("n_words") < MIN_WORDS) | (F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words"))
     rows = store(counts(docs, key, text, lang, source).withColumn("base_failed", failed))
     passed = cells(rows.where(~F.col("base_failed")), min_rows)
-    different = store(passed.select("cell", *STATS).distinct())
-    model = fit(different, min_rows=min_rows)
-    whole = fit(store(different.withColumn("cell", F.lit("all"))), min_rows=min_rows).select(F.col("mean").alias("all_mean"), F.col("inverse").alias("all_inverse"))
+    different = passed.select("cell", *STATS).distinct()
+    every = passed.select(F.lit(ALL).alias("cell"), *STATS).distinct()
+    models = store(fit(store(different.union(every)), min_rows=min_rows))
+    model = models.where(F.col("cell") != ALL)
+    whole = models.where(F.col("cell") == ALL).select(F.col("mean").alias("all_mean"), F.col("inverse").alias("all_inverse"))
     judged = (
-        passed.join(small(store(model)), "cell", "left")
+        passed.join(small(model), "cell", "left")
         .join(F.broadcast(whole), F.lit(True), "left")  # one row at most
         .withColumn("distance", F.sqrt(distance()))
         .withColumn("judged_by", F.coalesce("distance", F.sqrt(distance("all_mean", "all_inverse"))))
