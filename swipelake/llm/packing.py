@@ -32,7 +32,8 @@ CLOSING_ID = 2
 STEP_TOKENS = 1 << 16  # of one training step
 POOL = 64  # sequences' worth of tokens that a shorter tier holds back to fill gaps
 OPEN_WINDOWS = 64  # windows with gaps that are held back
-CACHED_WORDS = 1_000_000
+CACHED_BYTES = 96 << 20  # of words and parts that a worker remembers
+ENTRY_BYTES = 200  # of one remembered word besides its letters and ids: two objects and a place in a dictionary
 
 LATIN = "À-ÖØ-öø-ÿ"
 _PLAIN = re.compile(f"[!-~{LATIN}]+")
@@ -61,14 +62,25 @@ class Words(dict):
         self.model = self.tokenizer.model
         self.letters = _byte_letters()
         self.parts: dict[str, bytes] = {}
+        self.held = 0
+
+    def hold(self, memory: dict, word: str, ids: bytes) -> None:
+        """Remember a short word; beyond CACHED_BYTES all are forgotten."""
+        if len(word) >= 64:
+            return
+        self.held += ENTRY_BYTES + len(word) + len(ids)
+        if self.held > CACHED_BYTES:
+            self.clear()
+            self.parts.clear()
+            self.held = 0
+        memory[word] = ids
 
     def part(self, part: str) -> bytes:
         ids = self.parts.get(part)
         if ids is None:
-            if len(self.parts) >= CACHED_WORDS:
-                self.parts.clear()
             text = part if part.isascii() else part.encode().decode("latin-1").translate(self.letters)
-            ids = self.parts[part] = array("I", [t.id for t in self.model.tokenize(text)]).tobytes()
+            ids = array("I", [t.id for t in self.model.tokenize(text)]).tobytes()
+            self.hold(self.parts, part, ids)
         return ids
 
     def __missing__(self, word: str) -> bytes:
@@ -77,13 +89,10 @@ class Words(dict):
             ids = self.part(found[0]) if len(found) == 1 else b"".join([self.part(p) for p in found])
         else:
             ids = array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
-        if len(word) < 64:
-            self[word] = ids
+        self.hold(self, word, ids)
         return ids
 
     def ids(self, text: str) -> bytes:
-        if len(self) >= CACHED_WORDS:
-            self.clear()
         return b"".join(map(self.__getitem__, text.replace("\n", " ").replace("\t", " ").split(" ")))
 
 
