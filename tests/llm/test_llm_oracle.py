@@ -19,5 +19,5 @@ def test_query(spark, name):
 def test_entry():
     import __spark_entry__ as contract
 
-    assert {f"op{n}" for n in range(1, 11)} <= {name.split("_")[0] for name in contract.queries()}
+    assert {f"op{n}" for n in range(1, 14)} <= {name.split("_")[0] for name in contract.queries()}
     assert "pipeline" in contract.queries() and set(contract.oracle_sql()) <= set(contract.queries())
