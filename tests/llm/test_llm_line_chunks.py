@@ -1,4 +1,5 @@
 import random
+import re
 from collections import defaultdict
 
 import pytest
@@ -11,11 +12,11 @@ MASK = (1 << 64) - 1
 
 
 def n_words(line):
-    return line.count(" ") + 1
+    return len(re.findall(r"[^ \t-\r]+", line))
 
 
 def is_long(line):
-    return len(line) >= 2 * line_chunks.LONG_WORDS - 1 and n_words(line) >= line_chunks.LONG_WORDS
+    return n_words(line) >= line_chunks.LONG_WORDS
 
 
 def chunks(text):
@@ -31,7 +32,7 @@ def chunks(text):
 
 
 def eligible(chunk):
-    return n_words(chunk[2].replace("\n", " ")) >= line_chunks.LEAST_WORDS if chunk[1] > 1 else is_long(chunk[2])
+    return n_words(chunk[2]) >= line_chunks.LEAST_WORDS if chunk[1] > 1 else is_long(chunk[2])
 
 
 def brute(docs):
@@ -91,13 +92,43 @@ def test_other_columns_stay(spark):
     assert kept.columns == docs.columns and kept.select("gone_chunks", "key", "left_text").distinct().collect() == [("g", "k", "l")]
 
 
-def test_equal_hashes_of_different_texts_remove_nothing(spark, monkeypatch):
+@pytest.mark.parametrize("classes", [1, 7])
+def test_names_that_different_texts_share(spark, monkeypatch, classes):
+    """Texts decide where all pieces, or many, have one name."""
     from pyspark.sql import functions as F
 
-    docs = documents(spark, corpus()).select("doc_id", "text")
-    monkeypatch.setattr(line_chunks.F, "xxhash64", lambda *c: F.lit(5).cast("long"))
-    left = line_chunks.dedup(docs, counts=False).collect()
-    assert sorted(left, key=str) == sorted(docs.collect(), key=str)
+    docs = corpus()
+    monkeypatch.setattr(line_chunks, "name_of", lambda h: F.pmod(F.xxhash64(h), F.lit(classes)))
+    got = line_chunks.dedup(documents(spark, docs), counts=False).collect()
+    assert sorted(((r.doc_id, r.text) for r in got), key=str) == brute([(r[0], r[1]) for r in docs])
+    short = shaped()
+    left = {r.doc_id: r.text for r in line_chunks.dedup(documents(spark, [(*d, "en", "a") for d in short]), runs=True).collect()}
+    assert [left[i] for i, _ in short] == without_runs(short)
+
+
+def test_same_result_without_broadcast(spark, monkeypatch):
+    docs = corpus()
+    monkeypatch.setattr(line_chunks, "BROADCAST_ROWS", 0)
+    got = line_chunks.dedup(documents(spark, docs), counts=False).collect()
+    assert sorted(((r.doc_id, r.text) for r in got), key=str) == brute([(r[0], r[1]) for r in docs])
+
+
+CODE = "\n".join(" " * indent + "}" for indent in (16, 12, 8, 4, 0))
+
+
+@pytest.mark.parametrize("shared", [CODE, " " * 100, "\n".join([" " * 60] * 4), "\t" * 80 + "\n" + " \t" * 40])
+def test_blanks_are_no_words(spark, shared):
+    """Indented code and padded lines that all documents share stay whole."""
+    docs = [(i, f"{prose(i, 9)}\n{shared}\n{prose(-i, 9)}", "en", "a") for i in range(1, 9)]
+    left = {r.doc_id: r.text for r in line_chunks.dedup(documents(spark, docs), counts=False, runs=True).collect()}
+    assert left == {d[0]: d[1] for d in docs}
+
+
+def test_words_parted_by_tabs_are_words(spark):
+    passage = prose("tabs", 60).replace(" ", "\t")
+    docs = [(i, f"{prose(i, 12)}\n{passage}\n{prose(-i, 12)}", "en", "a") for i in range(1, 5)]
+    left = {r.doc_id: r.text for r in line_chunks.dedup(documents(spark, docs), counts=False).collect()}
+    assert passage in left[1] and not any(passage in left[i] for i in (2, 3, 4))
 
 
 @pytest.mark.parametrize("counts", [True, False])
@@ -127,7 +158,7 @@ def without_runs(docs, least=line_chunks.RUN_WORDS):
         for a in range(len(lines)):
             for b in range(a, min(len(lines), a + 60)):
                 run = tuple(lines[a : b + 1])
-                if sum(len(x.split()) for x in run) >= least:
+                if sum(map(n_words, run)) >= least:
                     e, f = seen.setdefault(run, (d, a))
                     gone |= set(range(max(a, f + len(run)) if e == d and (e, f) != (d, a) else a, b + 1)) if (e, f) != (d, a) else set()
         out.append("\n".join(x for i, x in enumerate(lines) if i not in gone))
