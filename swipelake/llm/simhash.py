@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_digest
 
-from swipelake.llm.common import positional, store
+from swipelake.llm.common import drop, positional, small, store
 from swipelake.llm.components import components
 
 SHINGLE = 3
@@ -36,6 +36,7 @@ SEED = 42
 RADIUS = 2
 DENSE = 32
 CHUNK = 1 << 15  # shingles counted at once
+GONE_ROWS = 1_000_000  # of eight bytes, broadcast
 
 
 def fingerprint(text: str, size: int = SHINGLE) -> bytes:
@@ -139,14 +140,19 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
 
 
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SHINGLE) -> DataFrame:
-    """One row of every component stays: that of the least key (null last), then of the least fingerprint."""
+    """One row of every component stays: that of the least key (null last), then of the least fingerprint, then the first read.
+
+    Texts are stored once with their rows' numbers; which rows go is found on narrow rows, and where these are counted to be few
+    the texts aren't sent anywhere.
+    """
     docs, names = positional(docs)
     key = names[key]
-    rows = store(fingerprints(docs, names[text], size))
-    pairs = rows.select(F.col(key).alias("key"), F.col("simhash_bits").alias("bits"))
-    linked = components(links(pairs.select("bits").distinct())).withColumnRenamed("node", "bits")
-    ranked = pairs.groupBy("bits").agg(F.min(F.struct(F.col("key").isNull().alias("none"), "key", "bits")).alias("least"))
-    rooted = ranked.join(linked, "bits", "left").withColumn("root", F.coalesce("root", "bits"))
-    stay = rooted.groupBy("root").agg(F.min("least").alias("least")).select(F.col("least.key").alias("stay_key"), F.col("least.bits").alias("stay_bits"))
-    same = F.col(key).eqNullSafe(F.col("stay_key")) & (F.col("simhash_bits") == F.col("stay_bits"))
-    return rows.join(stay, same, "left_semi").dropDuplicates([key, "simhash_bits"]).select(*(F.col(n).alias(c) for c, n in names.items()))
+    rows = store(fingerprints(docs.withColumn("row", F.monotonically_increasing_id()), names[text], size))
+    pairs = rows.select(F.col(key).alias("key"), F.col("simhash_bits").alias("bits"), "row")
+    linked = store(components(links(pairs.select("bits").distinct())).withColumnRenamed("node", "bits"))
+    ranked = pairs.groupBy("bits").agg(F.min(F.struct(F.col("key").isNull().alias("none"), "key", "bits", "row")).alias("least"))
+    rooted = store(ranked.join(linked, "bits", "left").withColumn("root", F.coalesce("root", "bits")))
+    stay = store(rooted.groupBy("root").agg(F.min("least").alias("least")).select(F.col("least.row").alias("row")))
+    gone = store(pairs.select("row").join(stay, "row", "left_anti"))
+    drop(linked), drop(rooted), drop(stay)
+    return rows.join(small(gone, GONE_ROWS), "row", "left_anti").select(*(F.col(n).alias(c) for c, n in names.items()))
