@@ -32,7 +32,7 @@ CLOSING_ID = 2
 STEP_TOKENS = 1 << 16  # of one training step
 POOL = 64  # sequences' worth of tokens that a shorter tier holds back to fill gaps
 OPEN_WINDOWS = 64  # windows with gaps that are held back
-CACHED_BYTES = 96 << 20  # of words and parts that a worker remembers
+CACHED_BYTES = 112 << 20  # of words and parts that a worker remembers
 ENTRY_BYTES = 200  # of one remembered word besides its letters and ids: two objects and a place in a dictionary
 
 LATIN = "À-ÖØ-öø-ÿ"
@@ -75,18 +75,19 @@ class Words(dict):
             self.held = 0
         memory[word] = ids
 
-    def part(self, part: str) -> bytes:
+    def part(self, part: str, keep: bool = True) -> bytes:
         ids = self.parts.get(part)
         if ids is None:
             text = part if part.isascii() else part.encode().decode("latin-1").translate(self.letters)
             ids = array("I", [t.id for t in self.model.tokenize(text)]).tobytes()
-            self.hold(self.parts, part, ids)
+            if keep:
+                self.hold(self.parts, part, ids)
         return ids
 
     def __missing__(self, word: str) -> bytes:
         if _PLAIN.fullmatch(word) and "<|" not in word:
             found = _PARTS.findall(word.lower())
-            ids = self.part(found[0]) if len(found) == 1 else b"".join([self.part(p) for p in found])
+            ids = self.part(found[0], keep=False) if len(found) == 1 else b"".join([self.part(p) for p in found])
         else:
             ids = array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
         self.hold(self, word, ids)
