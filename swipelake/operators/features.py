@@ -1,22 +1,27 @@
-"""Feature preparation with Spark ML: scaled numbers and one-hot categories in one vector."""
+"""Feature preparation: scaled numbers and one-hot categories in one sparse vector.
+
+The dictionary of categories is a stored table (column, category, position): it is ranked in key ranges and joined, so neither the
+driver nor a task ever holds it, whatever the number of categories.
+"""
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
-from pyspark.sql import DataFrame
+import json
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from swipelake.operators.joins import BROADCAST_ROWS
+from swipelake.operators.positions import with_positions
 from swipelake.operators.profile import column_stats
-
-# A category dictionary is held by the driver and by every task.
-MAX_CATEGORIES = 1_000_000
+from swipelake.operators.vectors import sparse_struct, stored_vectors
+from swipelake.session import cut_lineage
 
 NULL_CATEGORY = "(null)"
 
-
-class TooManyCategories(ValueError):
-    pass
+# Text of one column's categories that is broadcast; a larger dictionary is joined by a shuffle.
+BROADCAST_BYTES = 32 << 20
 
 
 def scaled(df: DataFrame, columns: list[str], suffix: str = "", population: bool = True) -> DataFrame:
@@ -30,61 +35,105 @@ def scaled(df: DataFrame, columns: list[str], suffix: str = "", population: bool
     return df.withColumns(out)
 
 
-def check_category_bound(df: DataFrame, columns: list[str], limit: int = MAX_CATEGORIES) -> None:
-    """Fail when a category dictionary would be too large to hold in memory."""
-    if not columns:
-        return
-    sizes = df.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first()
-    for c in columns:
-        if sizes[c] > limit:
-            raise TooManyCategories(f"{c} has about {sizes[c]} categories, more than {limit}")
-
-
 def with_text_categories(df: DataFrame, categorical: list[str]) -> DataFrame:
     """Categories as text; a missing one is a category of its own."""
     return df.withColumns({c: F.coalesce(F.col(c).cast("string"), F.lit(NULL_CATEGORY)) for c in categorical})
 
 
-def _scaling_statement(columns: list[str], stats: dict, kind: str) -> str:
-    parts = []
-    for i, c in enumerate(columns):
-        mean, spread = stats[c]["mean"] or 0.0, stats[c][kind] or 1.0
-        number = f"nanvl(CAST(`{c}` AS DOUBLE), CAST(NULL AS DOUBLE))"
-        parts.append(f"coalesce(({number} - {mean!r}D) / {spread!r}D, 0D) AS `_num_{i}`")
-    return f"SELECT *, {', '.join(parts)} FROM __THIS__"
+def category_positions(df: DataFrame, columns: list[str]) -> DataFrame:
+    """(column, category, position), stored: the distinct texts of the columns, numbered from 0 in the order of columns and texts.
+
+    The columns become rows before they are made distinct in one shuffle; map tasks have taken most repeats out by then.
+    """
+    pairs = F.explode(F.array(*(F.struct(F.lit(i).alias("column"), F.col(c).cast("string").alias("category")) for i, c in enumerate(columns))))
+    found = df.select(pairs.alias("p")).select("p.column", "p.category").where("category is not null").distinct()
+    return cut_lineage(with_positions(found, ["column", "category"]))
 
 
-def one_hot_stages(columns: list[str], outputs: list[str]) -> list:
-    """Alphabetical category codes, then one position per category; an unseen category is all zeros."""
-    codes = [f"_code_{i}" for i in range(len(columns))]
-    return [
-        StringIndexer(inputCols=columns, outputCols=codes, stringOrderType="alphabetAsc", handleInvalid="keep"),
-        OneHotEncoder(inputCols=codes, outputCols=outputs, dropLast=True),
-    ]
+@dataclass
+class FeatureModel:
+    """Numbers scaled, then a position per category of each column.
 
+    A category not seen when fitted is all zeros; a number that is missing becomes zero.
+    """
 
-def one_hot(df: DataFrame, columns: list[str], outputs: list[str]) -> DataFrame:
-    check_category_bound(df, columns)
-    return Pipeline(stages=one_hot_stages(columns, outputs)).fit(df).transform(df)
+    numeric: list[str]
+    means: list[float]
+    spreads: list[float]
+    categorical: list[str]
+    sizes: list[int]  # categories per column
+    bytes: list[int]  # of their texts
+    dictionary: DataFrame | None
+    output: str = "features"
+
+    @property
+    def width(self) -> int:
+        return len(self.numeric) + sum(self.sizes)
+
+    def numbers(self) -> Column:
+        out = []
+        for c, mean, spread in zip(self.numeric, self.means, self.spreads):
+            number = F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
+            out.append(F.coalesce((number - F.lit(mean)) / F.lit(spread), F.lit(0.0)))
+        return F.array(*out).cast("array<double>")
+
+    def with_codes(self, df: DataFrame) -> tuple[DataFrame, list[str]]:
+        """Adds the position of each column's category, null if it is unknown. A large dictionary is joined by a
+        shuffle, which adaptive execution splits where many rows have one category."""
+        codes = []
+        for i, (c, size) in enumerate(zip(self.categorical, self.sizes)):
+            entry = self.dictionary.where(F.col("column") == i).select(F.col("category").alias(f"_category_{i}"), F.col("position").alias(f"_code_{i}"))
+            entry = F.broadcast(entry) if size <= BROADCAST_ROWS and self.bytes[i] <= BROADCAST_BYTES else entry
+            df = df.join(entry, F.col(c).cast("string") == F.col(f"_category_{i}"), "left").drop(f"_category_{i}")
+            codes.append(f"_code_{i}")
+        return df, codes
+
+    def encode(self, df: DataFrame) -> DataFrame:
+        """``df`` with the output as a struct (see ``vectors``), made of built-in functions."""
+        coded, codes = self.with_codes(df)
+        ones = F.filter(F.array(*codes).cast("array<bigint>"), lambda c: c.isNotNull())
+        places = F.concat(
+            F.sequence(F.lit(0), F.lit(len(self.numeric) - 1)) if self.numeric else F.array().cast("array<int>"),
+            F.transform(ones, lambda c: (c + len(self.numeric)).cast("int")),
+        )
+        values = F.concat(self.numbers(), F.transform(ones, lambda c: F.lit(1.0)))
+        return coded.withColumn(self.output, sparse_struct(F.lit(self.width), places, values)).drop(*codes)
+
+    def transform(self, df: DataFrame, path: str | None = None) -> DataFrame:
+        """``df`` with the output as an ML vector, stored at ``path`` or in the checkpoint folder."""
+        return stored_vectors(self.encode(df), [self.output], path)
+
+    def save(self, path: str) -> None:
+        """Numbers as one JSON line, the dictionary as Parquet."""
+        spark = SparkSession.getActiveSession()
+        plain = {k: v for k, v in self.__dict__.items() if k != "dictionary"}
+        spark.createDataFrame([(json.dumps(plain),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/model")
+        if self.dictionary is not None:
+            self.dictionary.write.mode("overwrite").parquet(f"{path}/dictionary")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> FeatureModel:
+        plain = json.loads(spark.read.text(f"{path}/model").first()[0])
+        return cls(**plain, dictionary=spark.read.parquet(f"{path}/dictionary") if plain["categorical"] else None)
 
 
 def feature_pipeline(
     df: DataFrame, numeric: list[str], categorical: list[str], output: str = "features", population: bool = True
-) -> PipelineModel:
-    """Fit on ``df``: numbers scaled, categories one-hot, both in one sparse vector.
-
-    ``df`` must have its categories as text (``with_text_categories``). A category not seen
-    here becomes all zeros later; a number still missing becomes zero.
-    """
-    check_category_bound(df, categorical)
-    stages, blocks = [], []
-    if numeric:
-        kind = "pop" if population else "samp"
-        stages.append(SQLTransformer(statement=_scaling_statement(numeric, column_stats(df, numeric), kind)))
-        blocks += [f"_num_{i}" for i in range(len(numeric))]
+) -> FeatureModel:
+    """Fit on ``df``: numbers scaled, categories one-hot, both in one sparse vector."""
+    stats = column_stats(df, numeric)
+    kind = "pop" if population else "samp"
+    dictionary, sizes, lengths = None, [0] * len(categorical), [0] * len(categorical)
     if categorical:
-        hot = [f"_hot_{i}" for i in range(len(categorical))]
-        stages += one_hot_stages(categorical, hot)
-        blocks += hot
-    stages.append(VectorAssembler(inputCols=blocks, outputCol=output))
-    return Pipeline(stages=stages).fit(df)
+        dictionary = category_positions(df, categorical)
+        for row in dictionary.groupBy("column").agg(F.count("*").alias("n"), F.sum(F.octet_length("category")).alias("length")).collect():  # a row per column
+            sizes[row["column"]], lengths[row["column"]] = row["n"], row["length"]
+        if len(numeric) + sum(sizes) > 2**31 - 1:
+            raise ValueError(f"{sum(sizes)} categories are more than a vector has positions")
+    means = [stats[c]["mean"] or 0.0 for c in numeric]
+    return FeatureModel(numeric, means, [stats[c][kind] or 1.0 for c in numeric], categorical, sizes, lengths, dictionary, output)
+
+
+def one_hot(df: DataFrame, column: str, output: str) -> DataFrame:
+    """One position per category of a column, in alphabetical order; nulls are all zeros."""
+    return feature_pipeline(df, [], [column], output).transform(df)

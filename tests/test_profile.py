@@ -1,9 +1,11 @@
 import numpy as np
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 import pytest
 
-from swipelake.operators import columns, evaluate, features, profile
+from swipelake.operators import columns, evaluate, features, profile, vectors
 
 
 def test_sparse_rows(spark):
@@ -46,17 +48,46 @@ def test_scaling(spark):
 
 
 def test_feature_vectors(spark):
-    train = spark.createDataFrame([(1.0, "b", None), (3.0, "a", "z")], "x double, c string, d string")
-    later = spark.createDataFrame([(None, "unseen", "z"), (float("nan"), "b", None)], "x double, c string, d string")
+    train = spark.createDataFrame([(1, 1.0, "b", None), (2, 3.0, "a", "z")], "i int, x double, c string, d string")
+    later = spark.createDataFrame([(3, None, "unseen", "z"), (4, float("nan"), "b", None)], "i int, x double, c string, d string")
     train, later = (features.with_text_categories(t, ["c", "d"]) for t in (train, later))
     fitted = features.feature_pipeline(train, ["x"], ["c", "d"])
-    vectors = [r[0] for t in (train, later) for r in fitted.transform(t).select(vector_to_array("features")).collect()]
+    vectors = [r[0] for t in (train, later) for r in fitted.transform(t).orderBy("i").select(vector_to_array("features")).collect()]
     assert vectors == [[-1, 0, 1, 1, 0], [1, 1, 0, 0, 1], [0, 0, 0, 0, 1], [0, 0, 1, 1, 0]]
 
 
-def test_too_many_categories(spark):
-    with pytest.raises(features.TooManyCategories):
-        features.check_category_bound(spark.range(1000).selectExpr("cast(id as string) AS c"), ["c"], 100)
+def test_categories_are_ranked_in_ranges(spark):
+    """As many categories as rows, over many ranges, nulls left out; the sparse struct is what ML vectors hold."""
+    names = [f"c{i * 7919 % 1000:03d}" for i in range(1000)]
+    df = spark.createDataFrame([(n, None if i % 3 else f"x{i % 5}") for i, n in enumerate(names)], "a string, b string")
+    got = {(r["column"], r["category"]): r["position"] for r in features.category_positions(df, ["a", "b"]).collect()}
+    want = sorted({(0, n) for n in names} | {(1, f"x{i % 5}") for i in range(0, 1000, 3)})
+    assert got == {pair: i for i, pair in enumerate(want)}
+
+
+def test_large_dictionary_is_joined_by_shuffle(spark, monkeypatch):
+    rows = spark.createDataFrame([(float(i % 9), f"c{i % 40}", "hot" if i % 3 else f"d{i}") for i in range(600)], "x double, c string, d string")
+    fitted = features.feature_pipeline(rows, ["x"], ["c", "d"])
+    want = sorted(map(str, fitted.transform(rows).select("c", "d", "features").collect()))
+    monkeypatch.setattr(features, "BROADCAST_ROWS", 0)
+    assert sorted(map(str, fitted.transform(rows).select("c", "d", "features").collect())) == want
+
+
+def test_feature_model_is_stored(spark, tmp_path):
+    rows = spark.createDataFrame([(1.0, "b"), (3.0, "a")], "x double, c string")
+    fitted = features.feature_pipeline(rows, ["x"], ["c"])
+    fitted.save(str(tmp_path / "m"))
+    stored = features.FeatureModel.load(spark, str(tmp_path / "m"))
+    later = spark.createDataFrame([(2.0, "a"), (None, "zzz")], "x double, c string")
+    assert sorted(r[0] for r in stored.transform(later).select(vector_to_array("features")).collect()) == [[0, 0, 0], [0, 1, 0]]
+
+
+def test_vector_entries(spark):
+    held = [Vectors.dense([0.0, 2.0, float("nan")]), Vectors.sparse(4, [1, 3], [0.0, 5.0]), Vectors.dense([]), None]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(held)], T.StructType([T.StructField("i", T.IntegerType()), T.StructField("v", VectorUDT())]))
+    got = [r[0] for r in df.orderBy("i").select(vectors.entries(F.col("v"))).collect()]
+    assert str(got[0]) == "Row(size=3, indices=[1, 2], values=[2.0, nan])" and tuple(got[1]) == (4, [3], [5.0])
+    assert tuple(got[2]) == (0, [], []) and got[3] is None
 
 
 def test_report_by_hand(spark):
