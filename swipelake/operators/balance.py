@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import VectorUDT
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
@@ -12,6 +11,7 @@ from swipelake.functions.hashing import digest_word, unit_draw
 from swipelake.operators.joins import broadcast_if_small
 from swipelake.operators.neighbours import CHUNK_ROWS, distinct_points, nearest_neighbours
 from swipelake.operators.sampling import grant_quotas
+from swipelake.operators.vectors import DENSE, entries, sparse_struct, stored_vectors
 from swipelake.session import cut_lineage
 
 # Fixed value: neighbours to choose from.
@@ -57,6 +57,31 @@ def neighbour_slots(points: DataFrame, near: DataFrame, k: int) -> DataFrame:
     )
 
 
+def packed(vector: Column) -> Column:
+    """A sparse vector as one array: the places that aren't zero, then as many values."""
+    held = entries(vector)
+    return F.concat(held["indices"].cast("array<double>"), held["values"])
+
+
+def halves(points: Column) -> tuple[Column, Column]:
+    """Places and values of a packed vector."""
+    n = (F.size(points) / 2).cast("int")
+    return F.slice(points, F.lit(1), n), F.slice(points, n + 1, n)
+
+
+def between_packed(x: Column, y: Column, share: Column) -> Column:
+    """The packed vector at a share of the way from x to y."""
+    (x_places, x_values), (y_places, y_values) = halves(x), halves(y)
+    of_x, of_y = F.map_from_arrays(x_places, x_values), F.map_from_arrays(y_places, y_values)
+
+    def value(place: Column) -> Column:
+        a, b = (F.coalesce(F.try_element_at(m, place), F.lit(0.0)) for m in (of_x, of_y))
+        return a + share * (b - a)
+
+    places = F.sort_array(F.array_union(x_places, y_places))
+    return F.concat(places, F.transform(places, value))
+
+
 def synthetic_points(
     df: DataFrame,
     label: str,
@@ -65,6 +90,7 @@ def synthetic_points(
     k: int = NEIGHBOURS,
     cell_rows: int | None = None,
     chunk_rows: int = CHUNK_ROWS,
+    sparse: bool = False,
 ) -> DataFrame:
     """(label, base key, draw, vector) of the points that make all classes equally large.
 
@@ -72,7 +98,8 @@ def synthetic_points(
     first in digest order. A point lies at a drawn place between its base and a drawn one of the
     base's k nearest neighbours in the class; only bases are looked at for neighbours. All draws
     depend on base key and number only.
-    A class with one distinct vector can only repeat it. Keys are whole numbers.
+    A class with one distinct vector can only repeat it. Keys are whole numbers. With ``sparse`` the
+    vectors are packed (see ``packed``), and so are the new ones.
     """
     classes = cut_lineage(missing_rows(df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count("*").alias("n")), label))
     small = classes.where("need > 0").select(F.col(label).alias("grp"), "n", "need")
@@ -86,7 +113,7 @@ def synthetic_points(
         .withColumn("quota", F.col("each") * F.col("copies") + F.col("granted"))
         .drop("each", "granted")
     )
-    near = nearest_neighbours(points, k, "quota > 0", cell_rows, chunk_rows)
+    near = nearest_neighbours(points, k, "quota > 0", cell_rows, chunk_rows, sparse)
     slots = cut_lineage(neighbour_slots(points, near, k))  # the search must not run again for every reader
     bases = points.where("quota > 0").join(slots, ["grp", "pid"], "left")
     steps = F.ceil(F.col("quota") / F.lit(POINTS_PER_STEP)).cast("bigint")
@@ -105,7 +132,10 @@ def synthetic_points(
         "grp", "pid", "vec", F.explode(F.transform(F.sequence(first, last), mate_of)).alias("d")
     )
     placed = draws.select("grp", "pid", "d.draw", "vec", "d.mate").withColumn("u", unit_draw(digest, 0))
-    between = F.zip_with("vec", "mate", lambda x, y: x + F.col("u") * (y - x))
+    if sparse:
+        between = between_packed(F.col("vec"), F.col("mate"), F.col("u"))
+    else:
+        between = F.zip_with("vec", "mate", lambda x, y: x + F.col("u") * (y - x))
     return placed.select(
         F.col("grp").alias(label), F.col("pid").alias("base_key"), "draw", between.alias(vector)
     )
@@ -124,9 +154,24 @@ def balance_classes(df: DataFrame, label: str, key: str, vector: str, k: int = N
     if len(df.where(F.col(label).isNotNull()).select(label).distinct().head(2)) < 2:
         return rows
     if isinstance(kind, VectorUDT):
-        made = synthetic_points(df.withColumn(vector, vector_to_array(vector)), label, key, vector, k)
-        point = array_to_vector(vector)
+        return _balanced_vectors(df, label, key, vector, k)
+    made = synthetic_points(df, label, key, vector, k)
+    return rows.unionByName(made.select(label, F.col(vector).cast(kind), F.lit(True).alias("is_synthetic")))
+
+
+def _balanced_vectors(df: DataFrame, label: str, key: str, vector: str, k: int) -> DataFrame:
+    """The same for ML vectors, which stay as sparse as they are: only a column of dense ones is searched with all its values."""
+    held = F.unwrap_udt(F.col(vector))
+    size = F.when(held["type"] == DENSE, F.size(held["values"])).otherwise(held["size"])
+    seen = df.where(F.col(label).isNotNull()).agg(F.min(size).alias("low"), F.max(size).alias("high"), F.count_if(held["type"] != DENSE).alias("sparse")).first()
+    if seen["low"] != seen["high"]:
+        raise ValueError(f"vectors of {seen['low']} and of {seen['high']} places")
+    if seen["sparse"]:
+        made = synthetic_points(df.withColumn(vector, packed(F.col(vector))), label, key, vector, k, sparse=True)
+        point = sparse_struct(F.lit(seen["high"]), *halves(F.col(vector)))
     else:
-        made = synthetic_points(df, label, key, vector, k)
-        point = F.col(vector).cast(kind)
-    return rows.unionByName(made.select(label, point.alias(vector), F.lit(True).alias("is_synthetic")))
+        made = synthetic_points(df.withColumn(vector, held["values"]), label, key, vector, k)
+        none = F.lit(None)
+        point = F.struct(F.lit(DENSE).cast("tinyint").alias("type"), none.cast("int").alias("size"), none.cast("array<int>").alias("indices"), F.col(vector).alias("values"))
+    rows = df.select(label, held.alias(vector), F.lit(False).alias("is_synthetic"))
+    return stored_vectors(rows.unionByName(made.select(label, point.alias(vector), F.lit(True).alias("is_synthetic"))), [vector])

@@ -38,26 +38,120 @@ PIVOT_BYTES = 64 << 20
 # Distances held at once, 32 MB.
 _CELLS_AT_ONCE = 4_000_000
 
+# A place goes through a dense product where the pairs that have it are more than one in so many.
+_DENSE_SHARE = 32
+
 # Room for the rounding errors of the quick distances when cells are ruled out.
 _SLACK = 1e-6
 
 
+class Sparse:
+    """Rows of which only the places that aren't zero are held, one row after the other."""
+
+    def __init__(self, starts: np.ndarray, lengths: np.ndarray, places: np.ndarray, values: np.ndarray):
+        self.starts, self.lengths, self.places, self.values = starts, lengths, places, values
+
+    @classmethod
+    def of(cls, packed: list[np.ndarray]) -> Sparse:
+        """From arrays that hold places first, then as many values."""
+        lengths = np.array([len(p) // 2 for p in packed], dtype=np.int64)
+        half = [(p[: len(p) // 2], p[len(p) // 2 :]) for p in packed]
+        places = np.concatenate([h[0] for h in half]) if half else np.empty(0)
+        values = np.concatenate([h[1] for h in half]) if half else np.empty(0)
+        return cls(np.cumsum(lengths) - lengths, lengths, places.astype(np.int64), values.astype(np.float64))
+
+    def __len__(self) -> int:
+        return len(self.starts)
+
+    def __getitem__(self, rows) -> Sparse:
+        return Sparse(self.starts[rows], self.lengths[rows], self.places, self.values)
+
+    def entries(self, rows: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(number of the row, place, value) of all entries of these rows."""
+        starts, lengths = (self.starts, self.lengths) if rows is None else (self.starts[rows], self.lengths[rows])
+        at = np.arange(lengths.sum()) + np.repeat(starts - (np.cumsum(lengths) - lengths), lengths)
+        return np.repeat(np.arange(len(starts)), lengths), self.places[at], self.values[at]
+
+    def squares(self) -> np.ndarray:
+        row, _, value = self.entries()
+        return np.bincount(row, value * value, len(self))
+
+    def products(self, other: Sparse) -> np.ndarray:
+        """Inner products of all rows with all rows: places that many rows of both have go through a dense product,
+        the others add up pair by pair."""
+        row, place, value = self.entries()
+        o_row, o_place, o_value = other.entries()
+        both, place = np.unique(place, return_inverse=True)
+        at = np.searchsorted(both, o_place)
+        known = (at < len(both)) & (both[np.minimum(at, len(both) - 1)] == o_place) if len(both) else np.zeros(len(o_place), dtype=bool)
+        o_row, o_place, o_value = o_row[known], at[known], o_value[known]
+        mine, theirs = np.bincount(place, minlength=len(both)), np.bincount(o_place, minlength=len(both))
+        often = mine * theirs * _DENSE_SHARE > len(self) * len(other)
+        number = np.cumsum(often) - 1
+        a, b = np.zeros((len(self), int(often.sum()))), np.zeros((len(other), int(often.sum())))
+        a[row[often[place]], number[place[often[place]]]] = value[often[place]]
+        b[o_row[often[o_place]], number[o_place[often[o_place]]]] = o_value[often[o_place]]
+        out = a @ b.T
+        rare, o_rare = ~often[place], ~often[o_place]
+        row, place, value = row[rare], place[rare], value[rare]
+        order = np.argsort(o_place[o_rare], kind="stable")
+        o_row, o_value = o_row[o_rare][order], o_value[o_rare][order]
+        first = np.cumsum(theirs * ~often) - theirs * ~often
+        times = theirs[place]
+        ends, done = np.cumsum(times), 0
+        while done < len(row):
+            last = max(done + 1, int(np.searchsorted(ends, (ends[done - 1] if done else 0) + _CELLS_AT_ONCE, "right")))
+            n = times[done:last]
+            at = np.arange(n.sum()) + np.repeat(first[place[done:last]] - (np.cumsum(n) - n), n)
+            np.add.at(out, (np.repeat(row[done:last], n), o_row[at]), np.repeat(value[done:last], n) * o_value[at])
+            done = last
+        return out
+
+    def apart(self, rows: np.ndarray, other: Sparse, cols: np.ndarray) -> np.ndarray:
+        """Squared distances of pairs of rows, from their differences."""
+        pair, place, value = self.entries(rows)
+        o_pair, o_place, o_value = other.entries(cols)
+        pair, place, value = np.r_[pair, o_pair], np.r_[place, o_place], np.r_[value, -o_value]
+        order = np.lexsort((place, pair))
+        pair, place, value = pair[order], place[order], value[order]
+        starts = np.flatnonzero(np.r_[True, (np.diff(pair) != 0) | (np.diff(place) != 0)]) if len(pair) else np.empty(0, dtype=np.int64)
+        difference = np.add.reduceat(value, starts) if len(pair) else value
+        return np.bincount(pair[starts], difference * difference, len(rows))
+
+
+Points = np.ndarray | Sparse
+
+
+def _squares(a: Points) -> np.ndarray:
+    return a.squares() if isinstance(a, Sparse) else (a * a).sum(1)
+
+
+def _products(a: Points, b: Points) -> np.ndarray:
+    return a.products(b) if isinstance(a, Sparse) else a @ b.T
+
+
+def _apart(a: Points, rows: np.ndarray, b: Points, cols: np.ndarray) -> np.ndarray:
+    return a.apart(rows, b, cols) if isinstance(a, Sparse) else ((a[rows] - b[cols]) ** 2).sum(1)
+
+
 @dataclass
 class _Cells:
     """Pivots of one group, with the nearest and farthest member of each cell."""
 
-    pivots: np.ndarray
+    pivots: Points
     near: np.ndarray | None = None
     far: np.ndarray | None = None
 
 
-def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    squared = (a * a).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2.0 * (a @ b.T)
+def _distances(a: Points, b: Points) -> np.ndarray:
+    squared = _squares(a)[:, None] + _squares(b)[None, :] - 2.0 * _products(a, b)
     return np.sqrt(np.maximum(squared, 0.0))
 
 
-def _stack(column: pd.Series) -> np.ndarray:
-    return np.stack(column.to_numpy()).astype(np.float64)
+def _rows(column, sparse: bool) -> Points:
+    """Arrays as rows: all values, or places and values (see ``distinct_points``)."""
+    held = [np.asarray(v, dtype=np.float64) for v in column]
+    return Sparse.of(held) if sparse else np.stack(held)
 
 
 def _row_blocks(rows: int, columns: int):
@@ -66,7 +160,7 @@ def _row_blocks(rows: int, columns: int):
     return [slice(i, min(i + step, rows)) for i in range(0, rows, step)]
 
 
-def nearest_in_chunk(queries: np.ndarray, data: np.ndarray, ids: np.ndarray, own: np.ndarray, k: int):
+def nearest_in_chunk(queries: Points, data: Points, ids: np.ndarray, own: np.ndarray, k: int):
     """(query row, data row, distance) of the k nearest data rows of each query, the query's own
     row left out; ties go to the smaller id."""
     parts = []
@@ -76,19 +170,20 @@ def nearest_in_chunk(queries: np.ndarray, data: np.ndarray, ids: np.ndarray, own
     return tuple(np.concatenate(column) for column in zip(*parts))
 
 
-def _nearest(queries: np.ndarray, data: np.ndarray, ids: np.ndarray, own: np.ndarray, k: int):
+def _nearest(queries: Points, data: Points, ids: np.ndarray, own: np.ndarray, k: int):
     """The quick matrix form only short-lists, with room for its rounding error; the short list
     is measured again directly."""
-    quick = (queries * queries).sum(1)[:, None] + (data * data).sum(1)[None, :] - 2.0 * (queries @ data.T)
+    own_squares, squares = _squares(queries), _squares(data)
+    quick = own_squares[:, None] + squares[None, :] - 2.0 * _products(queries, data)
     same = ids[None, :] == own[:, None]
     quick[same] = np.inf
-    take = min(k, data.shape[0])
+    take = min(k, len(data))
     kth = np.partition(quick, take - 1, axis=1)[:, take - 1]
-    size = (queries * queries).sum(1) + (data * data).sum(1).max()
+    size = own_squares + squares.max()
     rows, cols = np.nonzero((quick <= (kth + 1e-10 * size)[:, None]) & ~same)
     if not len(rows):
         return rows, cols, np.empty(0)
-    dist = np.sqrt(((queries[rows] - data[cols]) ** 2).sum(1))
+    dist = np.sqrt(_apart(queries, rows, data, cols))
     order = np.lexsort((ids[cols], dist, rows))
     rows, cols, dist = rows[order], cols[order], dist[order]
     starts = np.r_[0, np.flatnonzero(np.diff(rows)) + 1]
@@ -100,7 +195,8 @@ def _nearest(queries: np.ndarray, data: np.ndarray, ids: np.ndarray, own: np.nda
 def distinct_points(df: DataFrame, group: str, key: str, vector: str) -> DataFrame:
     """(grp, pid, vec, copies): one row per distinct vector of a group, named by its smallest key.
 
-    Keys are whole numbers. A vector that is null, or holds a null or NaN, fails the query with its key.
+    A vector is an array of its values. For sparse search it is an array of the places that aren't zero,
+    ascending, followed by as many values (``packed``). Keys are whole numbers. A vector that is null, or holds a null or NaN, fails the query with its key.
     """
     fine = F.col(vector).isNotNull() & F.forall(vector, lambda v: v.isNotNull() & ~F.isnan(v))
     wrong = F.raise_error(F.concat(F.lit("no usable vector at key "), F.coalesce(F.col(key).cast("string"), F.lit("null"))))
@@ -112,7 +208,7 @@ def distinct_points(df: DataFrame, group: str, key: str, vector: str) -> DataFra
     )
 
 
-def _choose_pivots(points: DataFrame, group_rows: dict, cell_rows: int) -> dict:
+def _choose_pivots(points: DataFrame, group_rows: dict, cell_rows: int, sparse: bool) -> dict:
     """Pivots per group: its first point in digest order, and about one more for every
     ``cell_rows`` points, drawn by key digest."""
     spark = points.sparkSession
@@ -124,17 +220,17 @@ def _choose_pivots(points: DataFrame, group_rows: dict, cell_rows: int) -> dict:
     pivots: dict = {}
     for row in drawn.select("grp", "pid", "vec").union(first).distinct().orderBy("pid").collect():
         pivots.setdefault(row["grp"], []).append(row["vec"])
-    return {g: _Cells(np.array(v, dtype=np.float64)) for g, v in pivots.items()}
+    return {g: _Cells(_rows(v, sparse)) for g, v in pivots.items()}
 
 
-def _assign_cells(points: DataFrame, cells: dict) -> DataFrame:
+def _assign_cells(points: DataFrame, cells: dict, sparse: bool) -> DataFrame:
     """The points with their cell and its distance, stored."""
     shared = points.sparkSession.sparkContext.broadcast(cells)
 
     def assign(batches):
         for pdf in batches:
             for grp, part in pdf.groupby("grp", sort=False):
-                vectors, pivots = _stack(part["vec"]), shared.value[grp].pivots
+                vectors, pivots = _rows(part["vec"], sparse), shared.value[grp].pivots
                 cell = np.empty(len(part), dtype="int32")
                 radius = np.empty(len(part))
                 for block in _row_blocks(len(part), len(pivots)):
@@ -149,18 +245,19 @@ def _assign_cells(points: DataFrame, cells: dict) -> DataFrame:
     return placed
 
 
-def _compare(queries: DataFrame, data: DataFrame, sizes: DataFrame, k: int, chunk_rows: int) -> DataFrame:
-    """The k nearest rows of ``data`` per query row and cell; ``queries`` name the cell to look in."""
+def _compare(queries: DataFrame, data: DataFrame, sizes: DataFrame, k: int, chunk_rows: int, sparse: bool = False, few_cells: bool = True) -> DataFrame:
+    """The k nearest rows of ``data`` per query row and cell; ``queries`` name the cell to look in.
+
+    ``few_cells`` says that there are at most MAX_PIVOTS of them and one per group; else Spark chooses the joins."""
 
     def chunks(n):
         return F.greatest(F.ceil(n / F.lit(chunk_rows)), F.lit(1)).cast("int")
 
     asked = queries.groupBy("grp", "cell").agg(F.count("*").alias("asked"))
-    # one row per cell, at most MAX_PIVOTS and one per group
-    plan = sizes.join(F.broadcast(asked), ["grp", "cell"]).select(
+    plan = sizes.join(F.broadcast(asked) if few_cells else asked, ["grp", "cell"]).select(
         "grp", "cell", chunks(F.col("n")).alias("d_chunks"), chunks(F.col("asked")).alias("q_chunks")
     )
-    plan = F.broadcast(plan)
+    plan = F.broadcast(plan) if few_cells else plan
 
     def chunk_no(count):
         return F.pmod(F.xxhash64("pid"), F.col(count)).cast("int")
@@ -195,7 +292,7 @@ def _compare(queries: DataFrame, data: DataFrame, sizes: DataFrame, k: int, chun
         if not len(q) or not len(d):
             return pd.DataFrame({f.name: [] for f in schema.fields})
         own, ids = q["pid"].to_numpy(), d["near_pid"].to_numpy()
-        rows, cols, dist = nearest_in_chunk(_stack(q["vec"]), _stack(d["near_vec"]), ids, own, k)
+        rows, cols, dist = nearest_in_chunk(_rows(q["vec"], sparse), _rows(d["near_vec"], sparse), ids, own, k)
         return pd.DataFrame(
             {
                 "grp": q["grp"].to_numpy()[rows],
@@ -216,12 +313,12 @@ def _best(found: DataFrame, k: int) -> DataFrame:
     return found.withColumn("place", F.row_number().over(nearest)).where(F.col("place") <= k).drop("place")
 
 
-def open_cells(vectors: np.ndarray, own: np.ndarray, reach: np.ndarray, cells: _Cells):
+def open_cells(vectors: Points, own: np.ndarray, reach: np.ndarray, cells: _Cells):
     """(row, cell) of the other cells that may hold a point within reach of the row."""
     return bounded_cells(vectors, own, reach, cells)[:2]
 
 
-def bounded_cells(vectors: np.ndarray, own: np.ndarray, reach: np.ndarray, cells: _Cells):
+def bounded_cells(vectors: Points, own: np.ndarray, reach: np.ndarray, cells: _Cells):
     """(row, cell, least distance) of the other cells that may hold a point within reach of the row.
 
     A cell is ruled out when all its points are farther than reach: by the distances of its
@@ -231,7 +328,7 @@ def bounded_cells(vectors: np.ndarray, own: np.ndarray, reach: np.ndarray, cells
     d = _distances(vectors, cells.pivots)
     mine = d[np.arange(len(d)), own][:, None]
     apart = _distances(cells.pivots[own], cells.pivots)
-    scale = 1.0 + np.sqrt((vectors * vectors).sum(1))[:, None] + d
+    scale = 1.0 + np.sqrt(_squares(vectors))[:, None] + d
     # pivots almost on top of each other give no reliable plane
     plane = np.divide(d * d - mine * mine, 2.0 * apart, out=np.zeros_like(d), where=apart > 1e-4 * scale)
     least = np.maximum.reduce([d - cells.far[None, :], cells.near[None, :] - d, plane])
@@ -243,7 +340,7 @@ def bounded_cells(vectors: np.ndarray, own: np.ndarray, reach: np.ndarray, cells
     return rows, targets, least[rows, targets]
 
 
-def _route(points: DataFrame, reach: DataFrame, cells: dict) -> DataFrame:
+def _route(points: DataFrame, reach: DataFrame, cells: dict, sparse: bool) -> DataFrame:
     """(grp, cell, pid, least), stored: each other cell that may hold a point within reach, and how far
     the nearest one there is at least. No vectors: most of these pairs never come to a comparison."""
     shared = points.sparkSession.sparkContext.broadcast(cells)
@@ -255,7 +352,7 @@ def _route(points: DataFrame, reach: DataFrame, cells: dict) -> DataFrame:
         for pdf in batches:
             for grp, part in pdf.groupby("grp", sort=False):
                 known = shared.value[grp]
-                vectors, own, limit = _stack(part["vec"]), part["cell"].to_numpy(), part["reach"].to_numpy()
+                vectors, own, limit = _rows(part["vec"], sparse), part["cell"].to_numpy(), part["reach"].to_numpy()
                 for block in _row_blocks(len(part), len(known.pivots)):
                     rows, targets, least = bounded_cells(vectors[block], own[block], limit[block], known)
                     rows = rows + block.start
@@ -284,7 +381,7 @@ def _reach(best: DataFrame, k: int) -> DataFrame:
 
 
 def _in_rounds(
-    placed: DataFrame, wanted: str, best: DataFrame, routed: DataFrame, sizes: DataFrame, k: int, chunk_rows: int
+    placed: DataFrame, wanted: str, best: DataFrame, routed: DataFrame, sizes: DataFrame, k: int, chunk_rows: int, sparse: bool
 ) -> DataFrame:
     """Look into the other cells, nearest bounds first, twice as many in each round. After each the
     reach of a point is tighter, and cells beyond it are passed over."""
@@ -297,7 +394,7 @@ def _in_rounds(
             return best
         now = left.where(F.col("turn") <= done + width).select("grp", "pid", "cell")
         asked = cut_lineage(now.join(vectors, ["grp", "pid"]).select("grp", "cell", "pid", "vec"))
-        best = cut_lineage(_best(best.unionByName(_compare(asked, placed, sizes, k, chunk_rows)), k))
+        best = cut_lineage(_best(best.unionByName(_compare(asked, placed, sizes, k, chunk_rows, sparse)), k))
         done, width = done + width, 2 * width
 
 
@@ -319,16 +416,18 @@ def nearest_neighbours(
     wanted: str = "true",
     cell_rows: int | None = None,
     chunk_rows: int = CHUNK_ROWS,
+    sparse: bool = False,
 ) -> DataFrame:
     """(grp, pid, near_pid, near_copies, dist): the k nearest other vectors of the same group,
     for the points that meet the condition ``wanted``.
 
-    ``points`` come from ``distinct_points`` and are stored, as they are read several times.
+    ``points`` come from ``distinct_points`` and are stored, as they are read several times. With ``sparse``
+    their vectors are packed and are never unfolded.
     """
     groups = points.groupBy("grp").agg(F.count("*").alias("n"))
     widths = points.groupBy("grp").agg(F.count("*").alias("n"), F.min(F.size("vec")).alias("low"), F.max(F.size("vec")).alias("high"))
     found = widths.collect()  # one row per class
-    if uneven := [r["grp"] for r in found if r["low"] != r["high"]]:
+    if uneven := [r["grp"] for r in found if r["low"] != r["high"] and not sparse]:
         raise ValueError(f"vectors of different lengths in group {uneven[0]!r}")
     group_rows = {r["grp"]: r["n"] for r in found}
     width = max((r["high"] for r in found), default=1)
@@ -337,17 +436,17 @@ def nearest_neighbours(
     if max(group_rows.values(), default=0) <= cell_rows:  # one cell per group
         placed = points.withColumn("cell", F.lit(0))
         sizes = groups.withColumn("cell", F.lit(0))
-        return _best(_compare(placed.where(wanted), placed, sizes, k, chunk_rows), k)
-    cells = _choose_pivots(points, group_rows, cell_rows)
-    placed = _assign_cells(points, cells)
+        return _best(_compare(placed.where(wanted), placed, sizes, k, chunk_rows, sparse), k)
+    cells = _choose_pivots(points, group_rows, cell_rows, sparse)
+    placed = _assign_cells(points, cells, sparse)
     sizes = placed.groupBy("grp", "cell").agg(
         F.count("*").alias("n"), F.min("radius").alias("near"), F.max("radius").alias("far")
     )
-    best = cut_lineage(_best(_compare(placed.where(wanted), placed, sizes, k, chunk_rows), k))
+    best = cut_lineage(_best(_compare(placed.where(wanted), placed, sizes, k, chunk_rows, sparse), k))
     for c in cells.values():  # a cell that got no points keeps an infinite edge and is not visited
         c.near, c.far = np.full(len(c.pivots), -np.inf), np.full(len(c.pivots), np.inf)
     for row in sizes.collect():  # one small row per cell
         c = cells[row["grp"]]
         c.near[row["cell"]], c.far[row["cell"]] = row["near"], row["far"]
-    routed = _route(placed.where(wanted), _reach(best, k), cells)
-    return _in_rounds(placed, wanted, best, routed, sizes, k, chunk_rows)
+    routed = _route(placed.where(wanted), _reach(best, k), cells, sparse)
+    return _in_rounds(placed, wanted, best, routed, sizes, k, chunk_rows, sparse)

@@ -1,9 +1,10 @@
 import numpy as np
 import pytest
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
-from swipelake.operators import balance, neighbours
+from swipelake.operators import balance, hashed_neighbours, neighbours
 from swipelake.session import cut_lineage
 
 
@@ -201,3 +202,97 @@ def test_rounds_send_fewer_rows_than_all_open_cells(spark, monkeypatch):
             assert [r["near_pid"] for r in got] == want
         shares[name] = sum(sent[1:]) / 600  # cells visited per point besides its own
     assert shares["clustered"] < 3 < shares["unstructured"]
+
+
+def sparse_rows(rng, n, places, each):
+    """Rows with a few places, some of which most rows have."""
+    out = np.zeros((n, places))
+    for row in out:
+        row[rng.choice(places, each, replace=False)] = rng.normal(size=each).round(2)
+        row[:3] = rng.normal(size=3)
+    return out
+
+
+def pack(rows):
+    return [np.r_[np.flatnonzero(r), r[np.flatnonzero(r)]] for r in rows]
+
+
+@pytest.mark.parametrize("cells", [4_000_000, 97])
+def test_sparse_products_and_distances(monkeypatch, cells):
+    monkeypatch.setattr(neighbours, "_CELLS_AT_ONCE", cells)
+    rng = np.random.default_rng(4)
+    a, b = sparse_rows(rng, 60, 200, 9), sparse_rows(rng, 45, 200, 9)
+    a[3] = b[7] = 0
+    sa, sb = neighbours.Sparse.of(pack(a)), neighbours.Sparse.of(pack(b))
+    assert np.allclose(sa.products(sb), a @ b.T) and np.allclose(sa.squares(), (a * a).sum(1))
+    rows, cols = rng.integers(0, 60, 500), rng.integers(0, 45, 500)
+    assert np.allclose(sa.apart(rows, sb, cols), ((a[rows] - b[cols]) ** 2).sum(1))
+    part = np.array([5, 3, 3])
+    assert np.allclose(sa[part].products(sb[10:20]), a[part] @ b[10:20].T)
+    assert sa[np.array([3])].apart(np.array([0]), sb, np.array([7])).tolist() == [0.0]
+
+
+@pytest.mark.parametrize("chunk_rows", [2000, 25])
+def test_sparse_neighbours_equal_brute_force(spark, chunk_rows):
+    rng = np.random.default_rng(chunk_rows)
+    rows = sparse_rows(rng, 140, 300, 6)
+    rows[50:60] = rows[0]
+    df = frame(spark, rows, np.arange(140) % 3 // 2)
+    packed_df = spark.createDataFrame([(i, int(np.arange(140)[i] % 3 // 2), [float(x) for x in p]) for i, p in enumerate(pack(rows))], df.schema)
+    points = cut_lineage(neighbours.distinct_points(packed_df, "label", "id", "vec"))
+    got = {}
+    for r in neighbours.nearest_neighbours(points, 4, cell_rows=chunk_rows, chunk_rows=chunk_rows, sparse=True).collect():
+        got.setdefault(r["pid"], []).append((r["dist"], r["near_pid"]))
+    want = {p: n for p, n in brute_force(df, 4).items() if n}
+    assert set(got) == set(want)
+    for pid, near in want.items():
+        assert np.allclose([d for d, _ in sorted(got[pid])], [d for d, _ in near], rtol=1e-9, atol=1e-9)
+
+
+def test_sparse_vectors_give_the_same_points_as_dense_ones(spark):
+    rng = np.random.default_rng(8)
+    rows, labels = sparse_rows(rng, 60, 40, 5), np.r_[np.zeros(45), np.ones(15)]
+    df = frame(spark, rows, labels)
+    dense = balance.synthetic_points(df, "label", "id", "vec", 3)
+    ml = df.withColumn("vec", array_to_vector("vec"))
+    sparse = spark.createDataFrame([(r["id"], r["label"], Vectors.sparse(40, list(map(int, np.flatnonzero(r["vec"].toArray()))), [x for x in r["vec"].toArray() if x])) for r in ml.collect()], ml.schema)
+    made = balance.synthetic_points(sparse.withColumn("vec", balance.packed(F.col("vec"))), "label", "id", "vec", 3, sparse=True)
+    want = {(r["base_key"], r["draw"]): np.array(r["vec"]) for r in dense.collect()}
+    got = {}
+    for r in made.collect():
+        got[r["base_key"], r["draw"]] = full = np.zeros(40)
+        full[np.array(r["vec"][: len(r["vec"]) // 2], dtype=int)] = r["vec"][len(r["vec"]) // 2 :]
+    assert want.keys() == got.keys() and all(np.allclose(want[k], got[k]) for k in want)
+    for some in (ml, sparse):
+        rows_out = balance.balance_classes(some, "label", "id", "vec", 3)
+        assert rows_out.count() == 90 and rows_out.schema["vec"].dataType == ml.schema["vec"].dataType
+        firsts = [r[0] for r in rows_out.where("is_synthetic").select(vector_to_array("vec")[0]).collect()]
+        assert np.allclose(sorted(firsts), sorted(v[0] for v in want.values()))
+
+
+def test_vectors_of_different_sizes_fail(spark):
+    df = spark.createDataFrame([(1, 0, Vectors.sparse(3, [0], [1.0])), (2, 1, Vectors.sparse(4, [0], [1.0])), (3, 1, Vectors.sparse(4, [1], [1.0]))], ["id", "label", "vec"])
+    with pytest.raises(ValueError, match="places"):
+        balance.balance_classes(df, "label", "id", "vec")
+
+
+def test_hashed_neighbours_of_clusters(spark):
+    """Where neighbours are near, narrow steps find nearly all of them and compare few points."""
+    rng = np.random.default_rng(6)
+    centers = rng.normal(size=(40, 16)) * 30
+    vectors = np.vstack([c + rng.normal(size=(25, 16)) * 0.3 for c in centers])
+    vectors[:30] = vectors[0]
+    df = frame(spark, vectors, np.zeros(len(vectors)))
+    points = cut_lineage(neighbours.distinct_points(df, "label", "id", "vec"))
+    exact = cut_lineage(neighbours.nearest_neighbours(points, 3))
+    got = cut_lineage(hashed_neighbours.hashed_neighbours(points, 3, directions=4, spread=0.2))
+    row = hashed_neighbours.recall(exact, got).first()
+    assert row["neighbours"] == exact.count() and row["recall"] >= 0.95
+    some = hashed_neighbours.hashed_neighbours(points, 3, "pid < 100", directions=4, spread=0.2, chunk_rows=7)
+    assert sorted(map(str, some.collect())) == sorted(map(str, got.where("pid < 100").collect()))
+
+
+def test_recall_by_hand(spark):
+    exact = spark.createDataFrame([(0, 1, 2, 1, 0.5), (0, 1, 3, 1, 0.7), (0, 2, 1, 1, 0.5)], "grp int, pid long, near_pid long, near_copies long, dist double")
+    row = hashed_neighbours.recall(exact, exact.where("near_pid = 2")).first()
+    assert (row["neighbours"], round(row["recall"], 3)) == (3, 0.333)
