@@ -40,7 +40,8 @@ def seed(
     repeatable: bool = True,
     draw: int | None = None,
 ) -> int:
-    """Append the rows in batches, or empty the table first; a missing table is created."""
+    """Append the rows in batches, or empty the table first; a missing table is created, with its defaults."""
+    jdbc.ensure_table(spark, db, table, schemas.SOURCE_TABLE_COLUMNS)
     return jdbc.write_table(
         seed_rows(spark, path, percentage, date, repeatable, draw),
         db,
@@ -48,7 +49,6 @@ def seed(
         mode="overwrite" if clear else "append",
         truncate=clear,
         batch=batch,
-        column_types=schemas.SOURCE_TABLE_COLUMN_TYPES,
     )
 
 

@@ -14,13 +14,14 @@ from swipelake.operators.balance import balance_classes
 from swipelake.operators.columns import trim_column_names
 from swipelake.operators.joins import enrich_transactions
 from swipelake.operators.sampling import stratified_split
+from swipelake.operators.vectors import stored_vectors
 from swipelake.session import cut_lineage, get_session
 from swipelake.sources.tables import read_table
 
 
 @dataclass
 class TrainingResult:
-    features: PipelineModel
+    features: features.FeatureModel
     model: PipelineModel
     predictions: DataFrame
     evaluation: model.Evaluation
@@ -66,12 +67,7 @@ def train(
     split = cut_lineage(stratified_split(usable(merged).withColumn("label", label), "label", key))
     rows, numeric, categorical = prepare(split, split if fit_on_all else split.where(~F.col("is_test")), ("label", "is_test"))
     fitted = features.feature_pipeline(rows if fit_on_all else rows.where(~F.col("is_test")), numeric, categorical)
-    encoded = fitted.transform(rows).select(key, "label", "is_test", "features")
-    if features_path is None:
-        encoded = cut_lineage(encoded)
-    else:
-        encoded.write.mode("overwrite").parquet(features_path)
-        encoded = rows.sparkSession.read.parquet(features_path)
+    encoded = stored_vectors(fitted.encode(rows).select(key, "label", "is_test", "features"), ["features"], features_path)
     balanced = balance_classes(encoded.where(~F.col("is_test")), "label", key, "features")
     forest = model.train_forest(balanced, trees=trees, max_depth=max_depth)
     predictions = model.predict(forest, encoded.where("is_test").select(key, "label", "features"))
@@ -104,7 +100,7 @@ def main() -> None:
     result.evaluation.confusion.show()
     result.evaluation.report.show(truncate=False)
     result.evaluation.accuracy.show()
-    result.features.write().overwrite().save(f"{a.output}/feature_model")
+    result.features.save(f"{a.output}/feature_model")
     model.save_model(result.model, f"{a.output}/model")
     spark.stop()
 

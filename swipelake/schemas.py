@@ -54,12 +54,22 @@ CARD_NUMBERS = ("id", "client_id", "num_cards_issued", "year_pin_last_changed")
 # one JSON object whose fields are the data: code -> text
 JSON_DICTIONARY = T.MapType(T.StringType(), T.StringType())
 
-# column types of the relational source table when Spark has to create it
-SOURCE_TABLE_COLUMN_TYPES = (
-    "id BIGINT, date DATE, client_id INT, card_id INT, amount VARCHAR(25), "
-    "use_chip VARCHAR(255), merchant_id INT, merchant_city VARCHAR(255), "
-    "merchant_state VARCHAR(255), zip VARCHAR(10), mcc INT, situation_date DATE"
-)
+# columns of the relational source table when it has to be created
+SOURCE_TABLE_COLUMNS = {
+    "id": "BIGINT",
+    "date": "DATE",
+    "client_id": "INT",
+    "card_id": "INT",
+    "amount": "VARCHAR(25)",
+    "use_chip": "VARCHAR(255)",
+    "merchant_id": "INT",
+    "merchant_city": "VARCHAR(255)",
+    "merchant_state": "VARCHAR(255)",
+    "zip": "VARCHAR(10)",
+    "mcc": "INT",
+    "errors": "TEXT",
+    "situation_date": "DATE NOT NULL DEFAULT (CURRENT_DATE)",
+}
 
 # columns of the API responses
 TRANSACTION_VIEW = ["id", "date", "client_id", "amount", "merchant_city"]

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, DataFrameReader, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, DataFrameReader, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
@@ -102,17 +104,27 @@ def even_files(df: DataFrame, *columns: str) -> DataFrame:
     return df.hint("rebalance", *columns)
 
 
+def counted(df: DataFrame) -> tuple[DataFrame, Callable[[], int]]:
+    """``df``, and the number of its rows once it is written: counted on the way, not by a second pass.
+
+    To be called on what is written as it is, after any exchange: a task of the writing stage counts once, also if it ran again.
+    """
+    seen = Observation()
+    return df.observe(seen, F.count(F.lit(1)).alias("rows")), lambda: int(seen.get.get("rows", 0))
+
+
 def write_partitioned(
     df: DataFrame, path: str, fmt: str, partitions: list[str], mode: str = "dynamic", shuffle: bool = True
-) -> None:
-    """Write by partition columns.
+) -> int:
+    """Write by partition columns; the number of rows written.
 
     ``dynamic`` replaces the partitions that ``df`` holds rows for, so a repeated load leaves its
     rows once; ``static`` replaces everything under ``path``; ``append`` adds.
     """
     if mode not in ("dynamic", "static", "append"):
         raise ValueError(f"unknown mode {mode}")
-    writer = (even_files(df, *partitions) if shuffle else df).write.partitionBy(*partitions).format(fmt)
+    df, rows = counted(even_files(df, *partitions) if shuffle else df)
+    writer = df.write.partitionBy(*partitions).format(fmt)
     if fmt == "csv":
         writer = writer.option("header", True)
     if mode == "append":
@@ -120,9 +132,11 @@ def write_partitioned(
     else:
         writer = writer.mode("overwrite").option("partitionOverwriteMode", mode)
     writer.save(path)
+    return rows()
 
 
-def write_parquet(df: DataFrame, path: str, max_files: int | None = None) -> None:
-    """Snappy parquet, replaced; ``max_files`` is an upper bound that also bounds the tasks."""
-    out = even_files(df) if max_files is None else df.coalesce(max_files)
+def write_parquet(df: DataFrame, path: str, max_files: int | None = None) -> int:
+    """Snappy parquet, replaced; ``max_files`` is an upper bound that also bounds the tasks. The number of rows written."""
+    out, rows = counted(even_files(df) if max_files is None else df.coalesce(max_files))
     out.write.mode("overwrite").option("compression", "snappy").parquet(path)
+    return rows()

@@ -61,6 +61,26 @@ def run_query(spark: SparkSession, db: Database) -> Query:
     return run
 
 
+def create_statement(table: str, columns: dict[str, str]) -> str:
+    """Creates the table unless it is there; a column's definition may hold NOT NULL and a default."""
+    return f"CREATE TABLE IF NOT EXISTS {table} ({', '.join(f'{name} {kind}' for name, kind in columns.items())})"
+
+
+def ensure_table(spark: SparkSession, db: Database, table: str, columns: dict[str, str]) -> None:
+    """Run the statement over one connection of the driver; Spark's own writer could give types only."""
+    options = db.options()
+    if db.driver:
+        spark._jvm.java.lang.Class.forName(db.driver)
+    login = spark._jvm.java.util.Properties()
+    for name, value in db.properties.items():
+        login.setProperty(name, value)
+    connection = spark._jvm.java.sql.DriverManager.getConnection(options["url"], login)
+    try:
+        connection.createStatement().execute(create_statement(table, columns))
+    finally:
+        connection.close()
+
+
 # How databases say that a table is missing: standard states, and texts of drivers that give no state.
 MISSING_TABLE = re.compile(r"TABLE_OR_VIEW_NOT_FOUND|\b42P01\b|\b42S02\b|(table|relation)\b.*(does not|doesn't) exist|no such table", re.I | re.S)
 

@@ -1,4 +1,8 @@
-"""Raw data in dated snapshots: ``<root>/situation_date=YYYY-MM-DD/...``."""
+"""Raw data in dated snapshots: ``<root>/situation_date=YYYY-MM-DD/...``.
+
+A day counts from when its load has published it (see ``manifests``). Under a root that was never written here, with no
+manifests beside it, every day counts.
+"""
 
 from __future__ import annotations
 
@@ -7,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from swipelake.operators.columns import stamp_date
+from swipelake.sources import manifests
 from swipelake.sources.files import csv_reader, write_partitioned
 
 SNAPSHOT = "situation_date"
@@ -17,6 +22,10 @@ class NoSnapshot(FileNotFoundError):
     pass
 
 
+class ChangedSource(RuntimeError):
+    """Other rows were written than had been counted; the days stay unpublished."""
+
+
 def snapshot_dates(spark: SparkSession, root: str) -> list[str]:
     """Dates under ``root``, oldest first; other entries do not count.
 
@@ -29,10 +38,16 @@ def snapshot_dates(spark: SparkSession, root: str) -> list[str]:
     return sorted(status.getPath().getName().split("=", 1)[1] for status in found if status.isDirectory())
 
 
+def whole_dates(spark: SparkSession, root: str) -> list[str]:
+    """Dates whose load is complete, oldest first."""
+    found, published = snapshot_dates(spark, root), manifests.published_dates(spark, root)
+    return found if published is None else sorted(set(found) & set(published))
+
+
 def latest_date(spark: SparkSession, root: str) -> str:
-    dates = snapshot_dates(spark, root)
+    dates = whole_dates(spark, root)
     if not dates:
-        raise NoSnapshot(f"no {SNAPSHOT}= directory under {root}")
+        raise NoSnapshot(f"no whole {SNAPSHOT}= directory under {root}")
     return dates[-1]
 
 
@@ -58,21 +73,44 @@ def read_snapshot(
 
 def write_snapshot(
     df: DataFrame, root: str, fmt: str, date: str | None = None, below: tuple[str, ...] = (), mode: str = "dynamic"
-) -> None:
-    """Stamp the load date unless the rows carry one, and write by it.
+) -> dict[str, int]:
+    """Stamp the load date unless the rows carry one, write by it, and publish the days written: {date: rows}.
 
-    A stamped load without rows leaves its date without rows, too, unless it appends.
+    The rows of a stamped load are counted while it is written. Rows that carry their dates are counted by date first, in one
+    pass over that column, which also tells the days to withdraw; the number written must be the same. An appended day's rows
+    add up. A stamped load without rows leaves its date without rows, too, unless it appends.
     """
-    if SNAPSHOT in df.columns and date is None:
-        write_partitioned(df, root, fmt, [SNAPSHOT, *below], mode)
-        return
     spark = df.sparkSession
-    day = date or str(spark.range(1).select(F.current_date()).first()[0])
-    if mode == "dynamic" and df.isEmpty():  # reads a first row only; a write would leave the date as it was
+    if SNAPSHOT in df.columns and date is None:
+        dated = df
+        rows = {None if r[0] is None else str(r[0]): r["n"] for r in df.groupBy(SNAPSHOT).agg(F.count("*").alias("n")).collect()}
+    else:
+        day = date or str(spark.range(1).select(F.current_date()).first()[0])
+        dated, rows = stamp_date(df, day, SNAPSHOT), {day: None}
+    days = [d for d in rows if d is not None]
+    before = {d: _rows_before(spark, root, d, fmt) for d in days} if mode == "append" else dict.fromkeys(days, 0)
+    manifests.withdraw(spark, root, None if mode == "static" else days)
+    if mode == "dynamic" and dated is not df and df.isEmpty():  # reads a first row only; a write would leave the date as it was
         old = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{SNAPSHOT}={day}")
         old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(old, True)
-        return
-    write_partitioned(stamp_date(df, day, SNAPSHOT), root, fmt, [SNAPSHOT, *below], mode)
+        return {day: 0}
+    written = write_partitioned(dated, root, fmt, [SNAPSHOT, *below], mode)
+    if dated is not df:
+        rows = {day: written}
+    elif written != sum(rows.values()):
+        raise ChangedSource(f"{written} rows written to {root}, {sum(rows.values())} counted before")
+    total = {d: n + before[d] for d, n in rows.items() if d is not None}
+    for d, n in total.items():
+        manifests.publish(spark, root, f"{root}/{SNAPSHOT}={d}", d, n)
+    return total
+
+
+def _rows_before(spark: SparkSession, root: str, day: str, fmt: str) -> int:
+    """Rows a day has: by its manifest, else counted."""
+    known = manifests.rows_of(spark, root, day)
+    if known is not None:
+        return known
+    return read_snapshot(spark, root, fmt, date=day, infer=False).count() if day in snapshot_dates(spark, root) else 0
 
 
 def latest_rows(df: DataFrame, date: str = SNAPSHOT) -> DataFrame:

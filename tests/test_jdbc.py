@@ -64,3 +64,13 @@ def test_database_from_environment(monkeypatch):
     monkeypatch.setenv("MART_USER", "u")
     monkeypatch.delenv("MART_PASSWORD", raising=False)
     assert jdbc.Database.from_env("MART").options() == {"url": "jdbc:postgresql://db/mart", "user": "u"}
+
+
+def test_created_table_has_all_columns_and_its_default():
+    from swipelake import schemas
+
+    text = jdbc.create_statement("transactions", schemas.SOURCE_TABLE_COLUMNS)
+    assert text.startswith("CREATE TABLE IF NOT EXISTS transactions (id BIGINT, date DATE, ") and "errors TEXT" in text
+    assert text.endswith("situation_date DATE NOT NULL DEFAULT (CURRENT_DATE))")
+    file_columns = [f.name for f in schemas.TRANSACTION_FILE.fields]
+    assert list(schemas.SOURCE_TABLE_COLUMNS) == [*file_columns, "situation_date"]

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from swipelake import schemas
 from swipelake.operators import model
 from swipelake.plans import curate, ingest, metrics, seed, serve, train
-from swipelake.sources import files, snapshots, tables
+from swipelake.sources import files, manifests, snapshots, tables
 
 
 def write_csv(path, header, rows):
@@ -313,3 +313,53 @@ def test_card_numbers_keep_their_zeros(spark, tmp_path):
     ingest.ingest_csv(spark, str(tmp_path / "c.csv"), f"{tmp_path}/raw", date="2025-01-01", infer=False)
     row = snapshots.read_snapshot(spark, f"{tmp_path}/raw", "csv", infer=False).first()
     assert row["card_number"] == "0000111122223333" and row["cvv"] == "007"
+
+
+def test_days_count_when_they_are_published(spark, tmp_path):
+    """A load that runs or has died isn't seen; a root without manifests beside it is read as it is."""
+    root = f"{tmp_path}/raw"
+    assert snapshots.write_snapshot(spark.range(5), root, "parquet", "2025-01-01") == {"2025-01-01": 5}
+    assert snapshots.write_snapshot(spark.range(7), root, "parquet", "2025-01-02") == {"2025-01-02": 7}
+    spark.range(9).write.parquet(f"{root}/situation_date=2025-01-03")  # rows, but no manifest
+    assert snapshots.latest_date(spark, root) == "2025-01-02" and snapshots.snapshot_dates(spark, root)[-1] == "2025-01-03"
+    manifests.withdraw(spark, root, ["2025-01-02"])  # a load of this day begins again
+    assert snapshots.read_snapshot(spark, root, "parquet").count() == 5
+    snapshots.write_snapshot(spark.range(8), root, "parquet", "2025-01-02")
+    assert {r["date"]: (r["rows"], r["files"] > 0, r["bytes"] > 0) for r in manifests.manifests(spark, root).collect()} == {
+        "2025-01-01": (5, True, True), "2025-01-02": (8, True, True)
+    }
+    spark.range(2).write.parquet(f"{tmp_path}/foreign/situation_date=2025-01-09")
+    assert manifests.published_dates(spark, f"{tmp_path}/foreign") is None and snapshots.latest_date(spark, f"{tmp_path}/foreign") == "2025-01-09"
+
+
+def test_a_load_that_fails_leaves_its_day_unpublished(spark, tmp_path):
+    root = f"{tmp_path}/raw"
+    for day in ("2025-01-01", "2025-01-02"):
+        snapshots.write_snapshot(spark.range(5), root, "parquet", day)
+    broken = spark.range(5).select(F.when(F.col("id") < 4, F.col("id")).otherwise(F.raise_error(F.lit("lost")).cast("bigint")).alias("id"))
+    with pytest.raises(Exception, match="lost"):
+        snapshots.write_snapshot(broken, root, "parquet", "2025-01-02")
+    assert snapshots.latest_date(spark, root) == "2025-01-01"
+
+
+def test_counts_of_dated_rows_and_appends(spark, tmp_path):
+    root = f"{tmp_path}/raw"
+    rows = spark.range(30).select("id", F.date_add(F.lit("2025-01-01").cast("date"), (F.col("id") % 3).cast("int")).alias("situation_date"))
+    assert snapshots.write_snapshot(rows, root, "parquet") == {f"2025-01-0{i}": 10 for i in (1, 2, 3)}
+    assert snapshots.write_snapshot(rows.where("id % 3 = 1"), root, "parquet", mode="append") == {"2025-01-02": 20}
+    assert {r["date"]: r["rows"] for r in manifests.manifests(spark, root).collect()} == {"2025-01-01": 10, "2025-01-02": 20, "2025-01-03": 10}
+    assert snapshots.read_snapshot(spark, root, "parquet", date="2025-01-02").count() == 20
+    assert snapshots.write_snapshot(spark.range(4), root, "parquet", "2025-02-01", mode="static") == {"2025-02-01": 4}
+    assert manifests.published_dates(spark, root) == ["2025-02-01"]
+    foreign = f"{tmp_path}/foreign"
+    spark.range(6).write.parquet(f"{foreign}/situation_date=2025-01-01")
+    assert snapshots.write_snapshot(spark.range(2), foreign, "parquet", "2025-01-01", mode="append") == {"2025-01-01": 8}
+    with pytest.raises(FileExistsError):
+        manifests.publish(spark, root, f"{root}/situation_date=2025-02-01", "2025-02-01", 4)
+
+
+def test_tables_keep_the_rows_of_their_load(spark):
+    assert tables.replace_table(spark.range(12), "counted_rows") == 12
+    assert tables.loaded_rows(spark, "counted_rows") == 12
+    assert tables.replace_table(spark.range(3), "counted_rows") == 3 and tables.loaded_rows(spark, "counted_rows") == 3
+    spark.sql("DROP TABLE counted_rows")
