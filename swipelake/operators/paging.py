@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from swipelake.operators.histogram import narrow_by_ranges, narrow_to_offset
+from swipelake.operators.positions import with_positions
+from swipelake.session import cut_lineage
 
 # Page size by default and at most.
 DEFAULT_LIMIT = 50
@@ -15,6 +17,9 @@ MAX_LIMIT = 1000
 # An offset up to this many rows is sorted in one top-n pass; a deeper page is located first.
 SHALLOW_ROWS = 100_000
 
+# Rows from one fence to the next.
+FENCE_ROWS = 10_000
+
 
 def _check(page: int, limit: int) -> None:
     if page < 1:
@@ -23,8 +28,39 @@ def _check(page: int, limit: int) -> None:
         raise ValueError(f"limit must be between 1 and {MAX_LIMIT}")
 
 
+def make_fences(df: DataFrame, key: str = "id", every: int = FENCE_ROWS, path: str | None = None) -> DataFrame:
+    """(rank, key), stored: every so many rows the key at that place. Made once per state of a table, read by all its pages.
+
+    One shuffle of the key column; a row in ``every`` stays. Keys are of any type that can be ordered, unique, nulls left out.
+    """
+    ranked = with_positions(df.select(key).where(F.col(key).isNotNull()), [key], "rank").where(F.col("rank") % every == 0)
+    fences = ranked.select("rank", F.col(key).alias("key"))
+    if path is None:
+        return cut_lineage(fences)
+    fences.repartitionByRange(1 + fences.count() // 1_000_000, "rank").sortWithinPartitions("rank").write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(fences.schema).parquet(path)
+
+
+def _between_fences(df: DataFrame, key: str, fences: DataFrame, offset: int, limit: int) -> tuple[DataFrame, int]:
+    """The keys between the fences around a page, and the page's offset there: a pushed filter, no shuffle."""
+    fence = F.struct("rank", "key")
+    edges = fences.agg(
+        F.max(F.when(F.col("rank") <= offset, fence)).alias("lo"), F.min(F.when(F.col("rank") >= offset + limit, fence)).alias("hi")
+    ).first()
+    keys = df.select(key).where(F.col(key).isNotNull())
+    if edges["lo"] is None:
+        return keys.limit(0), 0
+    keys = keys.where(F.col(key) >= F.lit(edges["lo"]["key"]))
+    return keys if edges["hi"] is None else keys.where(F.col(key) <= F.lit(edges["hi"]["key"])), offset - edges["lo"]["rank"]
+
+
 def page_rows(
-    df: DataFrame, page: int = 1, limit: int = DEFAULT_LIMIT, key: str = "id", shallow_rows: int = SHALLOW_ROWS
+    df: DataFrame,
+    page: int = 1,
+    limit: int = DEFAULT_LIMIT,
+    key: str = "id",
+    shallow_rows: int = SHALLOW_ROWS,
+    fences: DataFrame | None = None,
 ) -> DataFrame:
     """Rows ``(page-1)*limit`` to ``page*limit`` in key order. The key is unique and not null.
 
@@ -33,12 +69,15 @@ def page_rows(
 
     A top-n pass keeps offset + limit keys in every task, so a deep page is first narrowed by
     counting: whole-number keys by ranges of equal width, keys of any other type by ranges that
-    hold about equally many of them. Few keys are sorted at any depth.
+    hold about equally many of them. Few keys are sorted at any depth. With ``fences`` (see
+    ``make_fences``) nothing is counted or shuffled: the keys between two fences are sorted.
     """
     _check(page, limit)
     offset = (page - 1) * limit
     keys = df.select(key).where(F.col(key).isNotNull())
-    if offset > shallow_rows:
+    if fences is not None:
+        keys, offset = _between_fences(df, key, fences, offset, limit)
+    elif offset > shallow_rows:
         whole = isinstance(df.schema[key].dataType, T.IntegralType)
         narrow = narrow_to_offset if whole else narrow_by_ranges
         keys, offset = narrow(keys, key, offset, shallow_rows)

@@ -136,3 +136,29 @@ def stratified_split(
     counts = df.groupBy(label).agg(F.count("*").alias("n"))
     marked = grant_quotas(df, label, key, split_quotas(counts, label, fraction), granted="_in_test")
     return marked.withColumn(is_test, F.col("_in_test") > 0).drop("_in_test")
+
+
+def sample_by_chance(df: DataFrame, stratum: str, key: str, chances: dict, otherwise: float = 0.0) -> DataFrame:
+    """Each row stays with the chance of its stratum, drawn from its key: one pass, no counts, about the asked share of each.
+
+    As ``sampleBy`` of a DataFrame, but a row is always in or always out, and a larger chance keeps the rows of a smaller one. A
+    null stratum and those without a chance have ``otherwise``; a null key counts as empty text.
+    """
+    if wrong := [c for c in [*chances.values(), otherwise] if not 0 <= c <= 1]:
+        raise ValueError(f"a chance of {wrong[0]}")
+    draw = digest_word(F.coalesce(key_digest(key), F.md5(F.lit(""))), 0)
+    upto = F.lit(int(TWO_POW_32 * otherwise))
+    for value, chance in chances.items():
+        upto = F.when(F.col(stratum) == F.lit(value), F.lit(int(TWO_POW_32 * chance))).otherwise(upto)
+    return df.where(draw < upto)
+
+
+def split_by_chance(df: DataFrame, key: str, fraction: float = 0.2, is_test: str = "is_test") -> DataFrame:
+    """Mark about a share of the rows of every class, drawn from the key in one pass.
+
+    One chance serves all classes, so no class is counted. ``stratified_split`` marks exact shares.
+    """
+    if not 0 < fraction < 1:
+        raise ValueError("fraction must be between 0 and 1")
+    draw = digest_word(F.coalesce(key_digest(key), F.md5(F.lit(""))), 0)
+    return df.withColumn(is_test, draw < F.lit(int(TWO_POW_32 * fraction)))

@@ -98,3 +98,31 @@ def test_pages_of_other_keys_at_any_depth(spark, kind):
         for shallow in (5, 100, 10_000):
             got = paging.page_rows(df, page, 20, "k", shallow_rows=shallow).collect()
             assert [tuple(r) for r in got] == want[(page - 1) * 20 : page * 20]
+
+
+@pytest.mark.parametrize("kind", ["bigint", "string", "double", "date"])
+def test_pages_between_fences(spark, tmp_path, kind):
+    """All pages of a table from one fence table, whatever the type of the key; no page shuffles or counts the keys."""
+    values = {"bigint": "id * 7 - 900", "string": "concat('k', lpad(CAST(id * 7 AS STRING), 6, '0'))", "double": "id / 7D", "date": "date_add(DATE '2000-01-01', CAST(id AS INT))"}
+    df = spark.range(500).selectExpr(f"{values[kind]} AS k", "id AS v").union(spark.sql(f"SELECT CAST(NULL AS {kind}), 0L")).repartition(7)
+    fences = paging.make_fences(df, "k", 30, f"{tmp_path}/fences")
+    want = [r["k"] for r in df.where("k is not null").orderBy("k").collect()]
+    assert [(r["rank"], r["key"]) for r in fences.orderBy("rank").collect()] == [(i, want[i]) for i in range(0, 500, 30)]
+    got = [[r["k"] for r in paging.page_rows(df, p, 40, "k", fences=fences).collect()] for p in range(1, 15)]
+    assert [k for page in got for k in page] == want and got[13] == []
+
+
+def test_a_page_between_fences_shuffles_no_keys(spark, tmp_path, explain, monkeypatch):
+    spark.range(5000).selectExpr("concat('k', lpad(CAST(id AS STRING), 6, '0')) AS k", "id AS v").write.parquet(f"{tmp_path}/rows")
+    df = spark.read.parquet(f"{tmp_path}/rows")
+    fences = paging.make_fences(df, "k", 100)
+    keys, offset = paging._between_fences(df, "k", fences, 2030, 20)
+    plan = explain(keys.orderBy("k").offset(offset).limit(20))
+    assert offset == 30 and "Exchange" not in plan and "PushedFilters: [IsNotNull(k), GreaterThanOrEqual(k,k002000), LessThanOrEqual(k,k002100)]" in plan
+    monkeypatch.setattr(type(df), "repartitionByRange", lambda *a: pytest.fail("keys are dealt again"))
+    assert [r["v"] for r in paging.page_rows(df, 102, 20, "k", fences=fences).collect()] == list(range(2020, 2040))
+
+
+def test_fences_of_an_empty_table(spark):
+    df = spark.range(0).selectExpr("id AS k")
+    assert paging.page_rows(df, 1, 5, "k", fences=paging.make_fences(df, "k")).count() == 0

@@ -70,3 +70,30 @@ def test_a_key_that_repeats_at_the_cut_fails(spark):
     rows = spark.createDataFrame([(i % 10, 1) for i in range(100)], "id long, label int")
     with pytest.raises(Exception, match="repeats where a quota ends"):
         sampling.stratified_split(rows, "label", "id", 0.15).collect()
+
+
+def test_a_chance_per_class(spark):
+    """About the asked share of each class, keys of the table, nested in larger chances; no count is run."""
+    df = spark.range(20_000).selectExpr("id", "CASE WHEN id % 100 = 0 THEN NULL WHEN id % 3 = 0 THEN 'a' ELSE 'b' END AS c")
+    small = sampling.sample_by_chance(df, "c", "id", {"a": 0.2, "b": 0.05}, 0.5)
+    n = {r["c"]: r["count"] for r in small.groupBy("c").count().collect()}
+    whole = {r["c"]: r["count"] for r in df.groupBy("c").count().collect()}
+    for c, share in (("a", 0.2), ("b", 0.05), (None, 0.5)):
+        assert abs(n[c] - share * whole[c]) < 5 * (whole[c] * share * (1 - share)) ** 0.5
+    large = sampling.sample_by_chance(df, "c", "id", {"a": 0.3, "b": 0.05, "x": 1}, 0.5)
+    assert small.exceptAll(large).count() == 0 and small.exceptAll(df).count() == 0
+    assert sampling.sample_by_chance(df.repartition(3), "c", "id", {"a": 0.2, "b": 0.05}, 0.5).exceptAll(small).count() == 0
+    assert sampling.sample_by_chance(df, "c", "id", {"a": 1}).count() == whole["a"]
+    with pytest.raises(ValueError):
+        sampling.sample_by_chance(df, "c", "id", {"a": 1.2})
+
+
+def test_split_by_chance(spark):
+    df = spark.range(10_000).selectExpr("id", "id % 10 = 0 AS rare")
+    marked = sampling.split_by_chance(df, "id", 0.2)
+    for rare in (True, False):
+        rows = marked.where(F.col("rare") == rare)
+        assert abs(rows.where("is_test").count() / rows.count() - 0.2) < 0.07
+    assert marked.count() == 10_000 and "Exchange" not in marked._jdf.queryExecution().toString()
+    with pytest.raises(ValueError):
+        sampling.split_by_chance(df, "id", 1)
