@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -30,8 +31,11 @@ def train_forest(
     Each row remembers its node in every tree, cut off in the checkpoint folder now and then:
     deep trees need not be walked from the root at every level, and the memory per pass allows
     many nodes at once.
+
+    What is returned is the stored model: a fitted one holds on to its training rows and the session, and
+    a session in which rows were counted on their way (``Observation``) can't be sent to tasks.
     """
-    ensure_checkpoint_dir(train.sparkSession)
+    folder = ensure_checkpoint_dir(train.sparkSession)
     forest = RandomForestClassifier(
         featuresCol=features,
         labelCol=label,
@@ -43,7 +47,9 @@ def train_forest(
         checkpointInterval=10,
         maxMemoryInMB=512,
     )
-    return Pipeline(stages=[forest]).fit(train)
+    path = f"{folder}/forest-{uuid.uuid4().hex}"
+    save_model(Pipeline(stages=[forest]).fit(train), path)
+    return load_model(path)
 
 
 @dataclass

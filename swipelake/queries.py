@@ -5,6 +5,7 @@ The star-schema tables stand in for transactions, clients, cards and labels.
 
 from __future__ import annotations
 
+import functools
 import uuid
 from collections.abc import Callable
 from contextlib import contextmanager
@@ -15,15 +16,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from swipelake.functions.text import currency_mark, has_text, mask_card, parse_money
-from swipelake.operators import balance, evaluate, features, joins, lookup, metrics, model, neighbours, paging, profile, ranking, sampling
+from swipelake.operators import balance, evaluate, features, hashed_neighbours, joins, lookup, metrics, model, neighbours, paging, profile, ranking, sampling
 from swipelake.operators.columns import keys_as_text, stamp_date, trim_column_names, with_year_month
 from swipelake.operators.dictionaries import columns_to_rows, explode_map, json_object_to_rows
 from swipelake import schemas
 from swipelake.plans import curate, ingest
 from swipelake.plans import metrics as metric_jobs
+from swipelake.plans import seed as seeding
 from swipelake.plans import train as training
 from swipelake.session import cut_lineage, ensure_checkpoint_dir
-from swipelake.sources import files, snapshots, tables
+from swipelake.sources import files, manifests, snapshots, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -484,9 +486,15 @@ def hash_sample(spark, sf):
     return sampling.hash_sample(_read(spark, sf, "orders").select("o_orderkey", "o_totalprice"), "o_orderkey", 70)
 
 
+@_query()
+def bernoulli_sample(spark, sf):
+    """The drawn rows; which ones depends on the engine's generator, so what is determined of them is ``bernoulli_bounds``."""
+    return sampling.bernoulli_sample(_read(spark, sf, "orders").select("o_orderkey", "o_totalprice"), 70, 42)
+
+
 @_query("""
   SELECT count(*) AS total, true AS all_of_table, true AS each_once, true AS near_share, true AS whole FROM orders""")
-def bernoulli_sample(spark, sf):
+def bernoulli_bounds(spark, sf):
     """What a draw must hold: rows of the table, each once, about 70 % of them, and all of them at 100 %."""
     orders = _read(spark, sf, "orders").select("o_orderkey")
     drawn = sampling.bernoulli_sample(orders, 70, 42).groupBy("o_orderkey").agg(F.count("*").alias("times"))
@@ -503,6 +511,24 @@ def bernoulli_sample(spark, sf):
     )
 
 
+_DRAW = "CAST('0x' || substr(md5(CAST(o_orderkey AS VARCHAR)), 1, 8) AS BIGINT)"
+
+
+@_query(f"""
+  SELECT o_orderkey, o_orderpriority FROM orders
+  WHERE {_DRAW} < CASE o_orderpriority WHEN '1-URGENT' THEN 4294967296 WHEN '2-HIGH' THEN 2147483648 ELSE CAST(floor(4294967296 * 0.1) AS BIGINT) END""")
+def chance_sample(spark, sf):
+    """A chance per class, drawn in one pass."""
+    orders = _read(spark, sf, "orders").select("o_orderkey", "o_orderpriority")
+    return sampling.sample_by_chance(orders, "o_orderpriority", "o_orderkey", {"1-URGENT": 1.0, "2-HIGH": 0.5}, 0.1)
+
+
+@_query(f"SELECT o_orderkey, o_orderstatus, {_DRAW} < CAST(floor(4294967296 * 0.2) AS BIGINT) AS is_test FROM orders")
+def chance_split(spark, sf):
+    """About a fifth of every class as test rows, in one pass."""
+    return sampling.split_by_chance(_read(spark, sf, "orders").select("o_orderkey", "o_orderstatus"), "o_orderkey", 0.2)
+
+
 # --- preparation -------------------------------------------------------------------------
 
 
@@ -613,15 +639,28 @@ def standardize(spark, sf):
     return out.select("c_custkey", F.round("c_acctbal", 6).alias("balance"), F.round("c_nationkey", 6).alias("nation"))
 
 
-@_query("""
-  SELECT c_custkey, (SELECT count(DISTINCT c_mktsegment) FROM customer)::INTEGER AS width,
-         (dense_rank() OVER (ORDER BY c_mktsegment))::BIGINT AS position
-  FROM customer""")
-def one_hot(spark, sf):
+_ONE_HOT_SQL = """
+  SELECT c_custkey, (SELECT count(DISTINCT {column}) FROM customer)::INTEGER AS width,
+         (dense_rank() OVER (ORDER BY {column}))::BIGINT AS position
+  FROM customer"""
+
+
+def _one_hot(spark, sf, column):
     """Width of the vector and place of its one, counted from 1."""
-    hot = features.one_hot(_read(spark, sf, "customer"), ["c_mktsegment"], ["hot"])
-    bits = vector_to_array("hot")
-    return hot.select("c_custkey", F.size(bits).alias("width"), F.array_position(bits, 1.0).alias("position"))
+    rows = features.one_hot(_read(spark, sf, "customer"), column, "hot")
+    hot = F.unwrap_udt(F.col("hot"))
+    return rows.select("c_custkey", hot["size"].alias("width"), (hot["indices"][0] + 1).cast("bigint").alias("position"))
+
+
+@_query(_ONE_HOT_SQL.format(column="c_mktsegment"))
+def one_hot(spark, sf):
+    return _one_hot(spark, sf, "c_mktsegment")
+
+
+@_query(_ONE_HOT_SQL.format(column="c_name"))
+def one_hot_wide(spark, sf):
+    """A category per row: the dictionary is as large as the table."""
+    return _one_hot(spark, sf, "c_name")
 
 
 @_query("""
@@ -694,6 +733,24 @@ def accuracy(spark, sf):
     return evaluate.accuracy(_predicted(spark, sf), "quality", "predicted")
 
 
+@_query(f"""
+  WITH p AS (SELECT quality AS a, {_RULE} AS p FROM labels),
+       m AS (SELECT k, (SELECT count(*) FROM p WHERE a = k AND p = k) AS h, (SELECT count(*) FROM p WHERE p = k) AS pr,
+                    (SELECT count(*) FROM p WHERE a = k) AS support FROM (SELECT DISTINCT a AS k FROM p UNION SELECT DISTINCT p FROM p) x)
+  SELECT 'confusion' AS part, a || ' as ' || p AS name, CAST(count(*) AS DOUBLE) AS value FROM p GROUP BY a, p
+  UNION ALL SELECT 'recall', CAST(k AS VARCHAR), round(CASE WHEN support > 0 THEN h * 1.0E0 / support ELSE 0.0E0 END, 4) FROM m
+  UNION ALL SELECT 'precision', CAST(k AS VARCHAR), round(CASE WHEN pr > 0 THEN h * 1.0E0 / pr ELSE 0.0E0 END, 4) FROM m
+  UNION ALL SELECT 'accuracy', 'all', round(avg(CASE WHEN a = p THEN 1.0E0 ELSE 0.0E0 END), 4) FROM p""")
+def evaluation_bundle(spark, sf):
+    """All parts of an evaluation from one call, as rows."""
+    found = model.evaluate(_predicted(spark, sf), "quality", "predicted")
+    classes = found.report.where(~F.col("class").isin("accuracy", "macro avg", "weighted avg"))
+    parts = [found.confusion.select(F.lit("confusion").alias("part"), F.concat_ws(" as ", "actual", "predicted").alias("name"), F.col("n").cast("double").alias("value"))]
+    parts += [classes.select(F.lit(c).alias("part"), F.col("class").alias("name"), F.col(c).alias("value")) for c in ("recall", "precision")]
+    parts.append(found.accuracy.select(F.lit("accuracy").alias("part"), F.lit("all").alias("name"), F.round("accuracy", 4).alias("value")))
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
 _SPLIT_SQL = """
   WITH c AS (SELECT quality, count(*) AS n FROM labels GROUP BY 1),
        t AS (SELECT *, sum(n) OVER () AS total, CAST(ceil(sum(n) OVER () * 0.2) AS BIGINT) AS test FROM c),
@@ -746,6 +803,20 @@ def class_neighbours(spark, sf):
     return near.select("grp", "pid", "near_pid", F.round("dist", 6).alias("dist"))
 
 
+@_query(f"SELECT count(*) AS neighbours, true AS recall_reached, true AS true_distances FROM ({_NEAR_SQL}) n")
+def hashed_recall(spark, sf):
+    """Neighbours by random projections against the exact ones: nine tenths are found, and all distances are true."""
+    points = cut_lineage(neighbours.distinct_points(_read(spark, sf, "embeddings"), "label", "vec_id", "embedding"))
+    exact = cut_lineage(neighbours.nearest_neighbours(points, 5))
+    hashed = cut_lineage(hashed_neighbours.hashed_neighbours(points, 5))
+    vectors = points.select("pid", "vec")
+    ends = hashed.join(vectors, "pid").join(vectors.select(F.col("pid").alias("near_pid"), F.col("vec").alias("near_vec")), "near_pid")
+    squares = F.aggregate(F.zip_with("vec", "near_vec", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda x, y: x + y)
+    true = ends.agg(F.bool_and(F.abs(F.sqrt(squares) - F.col("dist")) < 1e-9).alias("true_distances"))
+    found = hashed_neighbours.recall(exact, hashed)
+    return found.select("neighbours", (F.col("recall") >= 0.9).alias("recall_reached"), true.scalar().alias("true_distances"))
+
+
 @_query(f"""
   WITH near AS (SELECT grp, pid, near_pid,
                        row_number() OVER (PARTITION BY pid ORDER BY dist, near_pid) - 1 AS slot FROM ({_NEAR_SQL}) n),
@@ -785,47 +856,68 @@ _TEST_SQL = """
                     row_number() OVER (ORDER BY (n * test) % total DESC, label) AS place FROM t),
        r AS (SELECT {key} AS key, {label} AS label,
                     row_number() OVER (PARTITION BY {label} ORDER BY md5(CAST({key} AS VARCHAR)), {key}) AS rn FROM {rows})
-  SELECT r.key AS {key}, CAST(r.label AS DOUBLE) AS label, true AS in_classes
+  SELECT r.key AS {key}, CAST(r.label AS DOUBLE) AS label, {found}
   FROM r JOIN q ON r.label = q.label WHERE r.rn <= q.base + (q.place <= q.extra)::INT"""
 
 
-def _determined(predictions: DataFrame, key: str, classes: DataFrame) -> DataFrame:
-    """What is determined of predictions: their rows and labels, and that each is one of the classes.
+def _probability(predictions: DataFrame, key: str) -> DataFrame:
+    """key, label, prediction and the predicted class's probability."""
+    chance = vector_to_array("probability")[F.col("prediction").cast("int")]
+    return predictions.select(key, "label", "prediction", F.round(chance, 6).alias("probability"))
 
-    How often they are right is not: the labels of the test tables don't follow from their features.
-    """
-    known = F.broadcast(classes.select(F.col("label").cast("double").alias("prediction")).distinct().withColumn("in_classes", F.lit(True)))
-    found = predictions.join(known, "prediction", "left").withColumn("in_classes", F.coalesce("in_classes", F.lit(False)))
-    return found.select(key, "label", "in_classes")
 
+def _through_forest(spark, rows: DataFrame, key: str, trees: int = model.TREES, max_depth: int = model.MAX_DEPTH) -> DataFrame:
+    """Split, balance, train, store the model, predict the test part with the stored one. Columns: key, label, features (array)."""
+    split = cut_lineage(sampling.stratified_split(rows, "label", key, 0.2))
+    train_part = balance.balance_classes(split.where(~F.col("is_test")), "label", key, "features")
+    train = train_part.select(F.col("label").cast("double"), array_to_vector("features").alias("features"))
+    test = split.where("is_test").select(key, F.col("label").cast("double"), array_to_vector("features").alias("features"))
+    with _scratch(spark) as folder:
+        model.save_model(model.train_forest(train, trees=trees, max_depth=max_depth), f"{folder}/model")
+        return cut_lineage(_probability(model.predict(model.load_model(f"{folder}/model"), test), key))
 
-@_query(_TEST_SQL.format(label="label", key="vec_id", rows="embeddings"))
+
+# The class follows from each feature alone, so a forest that works makes no mistake: all its trees agree.
+_SHARE_ROWS = "(SELECT vec_id, CASE WHEN vec_id % 8 >= 5 THEN 1 ELSE 0 END AS label FROM embeddings) e"
+
+
+@_query(_TEST_SQL.format(label="label", key="vec_id", rows=_SHARE_ROWS, found="CAST(r.label AS DOUBLE) AS prediction, 1.0E0 AS probability"))
 def forest_predictions(spark, sf):
-    """Split, balance, train on the vectors' classes, store the model, predict the test part with the stored one."""
-    rows = _read(spark, sf, "embeddings")
-    split = cut_lineage(sampling.stratified_split(rows, "label", "vec_id", 0.2))
-    train_part = balance.balance_classes(split.where(~F.col("is_test")), "label", "vec_id", "embedding")
-    train = train_part.select(F.col("label").cast("double"), array_to_vector("embedding").alias("features"))
-    test = split.where("is_test").select("vec_id", F.col("label").cast("double"), array_to_vector("embedding").alias("features"))
-    with _scratch(spark) as folder:
-        model.save_model(model.train_forest(train), f"{folder}/model")
-        stored = model.load_model(f"{folder}/model")
-        found = cut_lineage(model.predict(stored, test).select("vec_id", "label", "prediction"))
-    return _determined(found, "vec_id", rows)
+    """Predictions and their probabilities where the features determine them."""
+    share = F.col("vec_id") % 8
+    label = F.when(share >= 5, 1).otherwise(0)
+    rows = _read(spark, sf, "embeddings").select("vec_id", label.alias("label"), F.array(share, share * share + 1, -3 * share).cast("array<double>").alias("features"))
+    return _through_forest(spark, rows, "vec_id")
+
+
+@_query()
+def forest_vectors(spark, sf):
+    """Predictions of the vectors' classes. The classes don't follow from the vectors, so no SQL can say them."""
+    return _through_forest(spark, _read(spark, sf, "embeddings").select("vec_id", "label", F.col("embedding").alias("features")), "vec_id")
 
 
 _FRAUD_ROWS = f"(SELECT id AS transaction_id, CASE target WHEN 'Yes' THEN 1 ELSE 0 END AS label FROM ({_LABELS_SQL}) l) f"
 
 
-@_query(_TEST_SQL.format(label="label", key="transaction_id", rows=_FRAUD_ROWS))
-def fraud_model(spark, sf):
+def _fraud_model(spark, sf, **how) -> DataFrame:
     """Enriched transactions to predictions, through the stored stages: merge, prepare, split, encode, balance, train, predict."""
     with _scratch(spark) as folder:
         enrich_transactions(spark, sf).where("is_fraud IS NOT NULL").write.parquet(f"{folder}/merged")
-        result = training.train(spark.read.parquet(f"{folder}/merged"), features_path=f"{folder}/features")
-        found = cut_lineage(result.predictions.select("transaction_id", "label", "prediction"))
-        classes = cut_lineage(result.classes.select("label").distinct())
-    return _determined(found, "transaction_id", classes)
+        result = training.train(spark.read.parquet(f"{folder}/merged"), features_path=f"{folder}/features", **how)
+        return cut_lineage(_probability(result.predictions, "transaction_id"))
+
+
+@_query()
+def fraud_model(spark, sf):
+    """Predictions and their probabilities on all features. What is determined of them is ``fraud_model_rows``."""
+    return _fraud_model(spark, sf)
+
+
+@_query(_TEST_SQL.format(label="label", key="transaction_id", rows=_FRAUD_ROWS, found="true AS in_classes, true AS a_chance"))
+def fraud_model_rows(spark, sf):
+    """The same through a small forest: test rows and labels, predictions that are classes, chances of at least a half."""
+    found = _fraud_model(spark, sf, trees=3, max_depth=4)
+    return found.select("transaction_id", "label", F.col("prediction").isin(0.0, 1.0).alias("in_classes"), F.col("probability").between(0.5, 1).alias("a_chance"))
 
 
 # --- files, tables and stages ------------------------------------------------------------
@@ -845,12 +937,12 @@ _LABEL_TEXT = "CASE doc_id % 5 WHEN 0 THEN NULL WHEN 1 THEN 'No, really' WHEN 2
 
 @_query(f"SELECT doc_id AS id, {_LABEL_TEXT} AS target FROM labels")
 def label_object(spark, sf):
-    """Labels written as JSON objects without line ends, some texts with commas, quotes and nulls, and read back."""
+    """Labels written as JSON objects of 200 fields without line ends, some texts with commas, quotes and nulls, and read back."""
     labels = _read(spark, sf, "labels").select("doc_id", F.expr(_LABEL_TEXT.replace("\\", "\\\\")).alias("target"))
     quoted = F.regexp_replace(F.regexp_replace("target", r"\\", r"\\\\"), '"', r'\\"')
     value = F.coalesce(F.concat(F.lit('"'), quoted, F.lit('"')), F.lit("null"))
     entry = F.concat(F.lit('"'), F.col("doc_id").cast("string"), F.lit('": '), value)
-    objects = labels.groupBy((F.col("doc_id") % 50).alias("part")).agg(F.array_join(F.collect_list(entry), ", ").alias("entries"))
+    objects = labels.groupBy(F.floor(F.col("doc_id") / 200).alias("part")).agg(F.array_join(F.collect_list(entry), ", ").alias("entries"))
     with _scratch(spark) as folder:
         text = objects.select(F.concat(F.lit('{"target": {'), "entries", F.lit("}}")).alias("value"))
         text.write.option("lineSep", ",").text(f"{folder}/labels")
@@ -897,9 +989,9 @@ def csv_as_text(spark, sf):
 
 @_query("SELECT CAST(s_suppkey AS INTEGER) AS mcc, s_name AS label FROM supplier")
 def json_dictionaries(spark, sf):
-    """JSON objects over many lines through the raw zone into the table of codes."""
+    """JSON objects of 50 fields over many lines through the raw zone into the table of codes."""
     entry = F.format_string('\n  "%d": "%s"', "s_suppkey", "s_name")
-    objects = _read(spark, sf, "supplier").groupBy(F.col("s_suppkey") % 20).agg(F.array_join(F.collect_list(entry), ",").alias("entries"))
+    objects = _read(spark, sf, "supplier").groupBy(F.floor(F.col("s_suppkey") / 50)).agg(F.array_join(F.collect_list(entry), ",").alias("entries"))
     with _scratch(spark) as folder:
         text = objects.select(F.concat(F.lit("{"), "entries", F.lit("\n}")).alias("value"))
         # One object a file: as many partitions as objects, and a file is read whole.
@@ -944,6 +1036,56 @@ def two_roots(spark, sf):
         return cut_lineage(joins.attach_labels(*latest).select("id", "client_id", "has_fraud"))
 
 
+@_query("SELECT o_orderkey, o_totalprice, DATE '2025-05-22' AS situation_date FROM orders WHERE o_orderkey % 2 = 0")
+def snapshot_in_progress(spark, sf):
+    """The newest day's load is not published: readers get the day before, whole."""
+    orders = _read(spark, sf, "orders").select("o_orderkey", "o_totalprice")
+    with _scratch(spark) as folder:
+        snapshots.write_snapshot(orders.where("o_orderkey % 2 = 0"), f"{folder}/raw", "parquet", "2025-05-22")
+        manifests.withdraw(spark, f"{folder}/raw", ["2025-05-23"])  # as a load begins, which then writes some of its rows
+        files.write_partitioned(stamp_date(orders, "2025-05-23"), f"{folder}/raw", "parquet", ["situation_date"])
+        return cut_lineage(snapshots.read_snapshot(spark, f"{folder}/raw", "parquet", keep_date=True))
+
+
+@_query("""
+  SELECT CAST(year(o_orderdate) AS VARCHAR) || '-01-01' AS date, count(*) AS manifest_rows, count(*) AS table_rows, count(*) AS returned, true AS has_files
+  FROM orders GROUP BY 1
+  UNION ALL SELECT 'table', count(*), count(*), count(*), true FROM orders""")
+def load_counts(spark, sf):
+    """Rows of each day by its manifest, by the day's files and by the load's result; and of a table by its property."""
+    orders = _read(spark, sf, "orders").select("o_orderkey", F.trunc(F.col("o_orderdate").cast("date"), "year").alias("situation_date"))
+    name = f"stage_{uuid.uuid4().hex}"
+    with _scratch(spark) as folder:
+        returned = snapshots.write_snapshot(orders, f"{folder}/raw", "parquet")
+        by_files = spark.read.parquet(f"{folder}/raw").groupBy(F.col("situation_date").cast("string").alias("date")).agg(F.count("*").alias("table_rows"))
+        counted = manifests.manifests(spark, f"{folder}/raw").join(by_files, "date", "full")
+        said = spark.createDataFrame(list(returned.items()), "date string, returned long")
+        days = counted.join(said, "date", "full").select("date", F.col("rows").alias("manifest_rows"), "table_rows", "returned", ((F.col("files") > 0) & (F.col("bytes") > 0)).alias("has_files"))
+        try:
+            written = tables.replace_table(orders, name)
+            held = tables.read_table(spark, name).agg(F.lit("table").alias("date"), F.lit(tables.loaded_rows(spark, name)).cast("long").alias("manifest_rows"), F.count("*").alias("table_rows"), F.lit(written).cast("long").alias("returned"), F.lit(True).alias("has_files"))
+            return cut_lineage(days.unionByName(held))
+        finally:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+@_query(f"""
+  SELECT o_orderkey AS id, CAST(o_orderdate AS DATE) AS date, o_custkey AS client_id, '$' || CAST(CAST(round(o_totalprice) AS BIGINT) AS VARCHAR) AS amount,
+         CASE WHEN o_orderstatus = 'P' THEN 'Bad PIN, Technical' END AS errors, DATE '2025-05-22' AS situation_date
+  FROM orders WHERE {_DRAW} < CAST(floor(4294967296 * 0.3) AS BIGINT)""")
+def seed_sample(spark, sf):
+    """The transactions file through the seeding job: read by its schema, sampled by id, dated."""
+    held = {
+        "id": "o_orderkey", "date": "concat(CAST(CAST(o_orderdate AS DATE) AS STRING), ' 00:01:00')", "client_id": "o_custkey",
+        "amount": "concat('$', CAST(CAST(round(o_totalprice) AS BIGINT) AS STRING))", "errors": "CASE WHEN o_orderstatus = 'P' THEN 'Bad PIN, Technical' END",
+    }
+    rows = _read(spark, sf, "orders").selectExpr(*(f"{held.get(f.name, 'NULL')} AS {f.name}" for f in schemas.TRANSACTION_FILE.fields))
+    with _scratch(spark) as folder:
+        rows.withColumns({c: F.col(c).cast("string") for c in rows.columns}).write.option("header", True).csv(f"{folder}/transactions")
+        found = seeding.seed_rows(spark, f"{folder}/transactions", 30, "2025-05-22")
+        return cut_lineage(found.select("id", "date", "client_id", "amount", "errors", "situation_date"))
+
+
 @_query("SELECT o_orderkey, current_date AS situation_date FROM orders")
 def stamp_today(spark, sf):
     return stamp_date(_read(spark, sf, "orders").select("o_orderkey"))
@@ -1004,7 +1146,19 @@ def page_text(spark, sf):
 
 @_query(_TEXT_PAGE.replace("OFFSET 60", "OFFSET 600"))
 def page_text_deep(spark, sf):
-    return paging.page_rows(_text_keys(spark, sf), 31, 20, "c_name", shallow_rows=200)
+    """A page found from fences, which are made once."""
+    rows = _text_keys(spark, sf)
+    return paging.page_rows(rows, 31, 20, "c_name", fences=paging.make_fences(rows, "c_name", 100))
+
+
+@_query(f"SELECT 31 AS page, * FROM ({_TEXT_PAGE.replace('OFFSET 60', 'OFFSET 600')}) a UNION ALL SELECT 40, * FROM ({_TEXT_PAGE.replace('OFFSET 60', 'OFFSET 780')}) b")
+def pages_from_one_fence(spark, sf):
+    """Two deep pages of text keys from one stored fence table."""
+    rows = _text_keys(spark, sf)
+    with _scratch(spark) as folder:
+        fences = paging.make_fences(rows, "c_name", 64, f"{folder}/fences")
+        pages = [paging.page_rows(rows, n, 20, "c_name", fences=fences).select(F.lit(n).alias("page"), "c_name", "c_custkey") for n in (31, 40)]
+        return cut_lineage(pages[0].unionByName(pages[1]))
 
 
 @_query(_HALF_PAGE)
@@ -1014,7 +1168,14 @@ def page_fraction(spark, sf):
 
 @_query(_HALF_PAGE.replace("OFFSET 60", "OFFSET 600"))
 def page_fraction_deep(spark, sf):
-    return paging.page_rows(_fractions(spark, sf), 31, 20, "k", shallow_rows=200)
+    rows = _fractions(spark, sf)
+    return paging.page_rows(rows, 31, 20, "k", fences=paging.make_fences(rows, "k", 100))
+
+
+@_query(_HALF_PAGE.replace("OFFSET 60", "OFFSET 640"))
+def page_fraction_counted(spark, sf):
+    """The same without fences: ranges are made and counted for the one page."""
+    return paging.page_rows(_fractions(spark, sf), 33, 20, "k", shallow_rows=200)
 
 
 def queries() -> dict[str, Query]:
