@@ -149,8 +149,10 @@ def node_name(up: Column, tokens: Column) -> Column:
 def with_shards(paths: DataFrame, segment: int, shard_turns: int) -> DataFrame:
     """Adds cut (turns of the shard's prefix; 0 if none is small enough) and bucket."""
     turns = F.greatest(F.length("tokens") / NAME, F.lit(1))
-    total = paths.agg(F.sum(turns)).first()[0] or 0
-    buckets = max(int(paths.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-int(total) // shard_turns))
+    total = int(paths.agg(F.sum(turns)).first()[0] or 0)
+    tasks = int(paths.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    shard_turns = max(segment, min(shard_turns, total // (4 * tasks)))  # few turns are spread as evenly
+    buckets = max(tasks, -(-total // shard_turns))
     paths = paths.withColumn("cut", F.lit(0)).withColumn("shard", F.xxhash64("up", "tokens"))
     k = 1
     while True:
