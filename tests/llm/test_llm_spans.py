@@ -101,12 +101,39 @@ def test_sliding_entropy(spark, text):
     assert got == [(a + 2, b + 2) for a, b in entropy_spans(text, secrets.THRESHOLDS[kind])]
 
 
-@pytest.mark.parametrize("text", ["123e4567-e89b-12d3-a456-426614174000", "sha256-9f8e7d6c5b4a392817069f8e", "my-example-zX8kQ2vB9mL4pR7tW1yC"])
+RANDOM = "zX8kQ2vB9mL4pR7tW1yC"
+
+
+@pytest.mark.parametrize("before", ["", "id=", "key_", "/sample/v1/", "/files/v1/", "my-example-", "x-changeme="])
+def test_what_stands_before_hides_no_secret(spark, before):
+    """Random digits of either case, and random letters and digits, are found behind marks, paths and words."""
+    r = __import__("random").Random(before)
+    made = [("".join(r.choice(kind) for _ in range(n)), kind) for kind, n in (("0123456789ABCDEF", 40), ("0123456789abcdef", 22), ("0123456789abcdefABCDEF", 40), (secrets.ALPHABET[:62], 40)) for _ in range(40)]
+    df = spark.createDataFrame([(i, f"see {before}{t} end") for i, (t, _) in enumerate(made)], "i int, t string")
+    for i, spans in df.select("i", secrets.entropy_spans(F.col("t"))).collect():
+        text, first = made[i][0], 4 + len(before)
+        want = entropy_spans(text, secrets.THRESHOLDS["entropy_hex" if len(made[i][1]) < 60 else "entropy_base64"])
+        for a, b in want:  # windows of the digits alone are judged by themselves; others may join them
+            part = text[a:b]
+            if re.search("[0-9]", part) and re.search("[A-Za-z]", part):
+                assert any(s.start <= first + a and s.end >= first + b for s in spans), (text, spans)
+
+
+def test_class_of_a_window_is_that_of_its_characters(spark):
+    text = "owner=9f8e7d6c5b4a39281706"
+    df = spark.createDataFrame([(text,), (f"{RANDOM}",), ("11111111112222222222-33333333334444444444a",)], "t string")
+    rows = [[tuple(s) for s in r[0]] for r in df.select(secrets.entropy_spans(F.col("t"))).collect()]
+    assert (6, 3, 26) in rows[0] or rows[0][0][2] == 26
+    assert rows[1] == [(0, 4, 20)] and rows[2] == []
+
+
+@pytest.mark.parametrize("text", ["123e4567-e89b-12d3-a456-426614174000", "sha256-9f8e7d6c5b4a392817069f8e", f"my-example{RANDOM}", f"AB/xxxx{RANDOM}/12"])
 def test_allow_list(spark, text):
     df = spark.createDataFrame([(text,)], "t string")
     low = dict.fromkeys(secrets.THRESHOLDS, 2.5)
     assert df.select(F.size(secrets.entropy_spans(F.col("t"), thresholds=low))).first()[0] == 0
-    assert df.select(F.size(secrets.entropy_spans(F.col("t"), allowed=(), thresholds=low))).first()[0] > 0
+    plain = spark.createDataFrame([(re.sub("example|xxxx", "", text).replace("sha256-", "sha999-").replace("-426614174000", "-4266141740001"),)], "t string")
+    assert plain.select(F.size(secrets.entropy_spans(F.col("t"), thresholds=low))).first()[0] > 0
 
 
 def test_redaction_leaves_no_secret_and_all_else(spark):
