@@ -7,12 +7,12 @@ term is swapped for the others of its set, and the squared change of the score (
 function) is penalised, so that a neutral mention of a group doesn't raise the score.
 
 Labels are learnt only from rows outside the held-out fold; labels, languages, sources and keys never
-enter a score. The sample (at most SAMPLE rows, by a hash of the key) and the model (at most FEATURES
-weights) have fixed bounds; what is shipped to tasks is only these.
+enter a score. The sample (at most SAMPLE labelled keys, then at most SAMPLE different pairs of key and text, both by a hash) and
+the model (at most FEATURES weights) have fixed bounds; what is shipped to tasks or the driver is only these.
 
 Cases: null and empty texts get the score of a text without features. Null labels and labels without
-a document are not learnt from; of rows with one key, all texts are learnt from under the key's
-largest label. Without labels of both classes every score is the share of label 1 (0 without any).
+a document are not learnt from; of rows with one key, each different text is learnt from once, under the key's
+largest label, as far as the sample's bound goes. Without labels of both classes every score is the share of label 1 (0 without any).
 """
 
 from __future__ import annotations
@@ -86,7 +86,8 @@ def _batches(frame: DataFrame, schema: str, rows_of) -> DataFrame:
 
 
 def sample(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, size: int) -> DataFrame:
-    """label, text: at most ``size`` labelled keys outside the held-out fold, drawn by a hash of the key."""
+    """drawn_label, text: at most ``size`` rows. Labelled keys outside the held-out fold are drawn by a hash of the key, then of
+    what stands behind them different pairs of key and text by a hash of both: a key may have a third of all rows."""
     drawn = (
         labels.where(F.col(label).isin(0, 1) & (fold_of(key, FOLDS) != HELD_OUT))
         .groupBy(F.col(key).alias("drawn_key"))
@@ -95,7 +96,20 @@ def sample(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str,
         .limit(size)
     )
     texts = docs.select(F.col(key).alias("text_key"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
-    return texts.join(F.broadcast(drawn), F.col("text_key") == F.col("drawn_key")).select("drawn_label", "text")
+    found = texts.join(F.broadcast(store(drawn)), F.col("text_key") == F.col("drawn_key"))
+    found = found.select(F.xxhash64("text_key", "text").alias("pair"), "drawn_label", "text")
+    pairs = store(found.select("pair").distinct().orderBy("pair").limit(size))
+    one = found.join(F.broadcast(pairs), "pair").groupBy("pair").agg(F.min(F.struct("drawn_label", "text")).alias("row"))
+    return one.select("row.drawn_label", "row.text")
+
+
+def word_rows(rows: DataFrame) -> DataFrame:
+    """drawn_label, words: the distinct words of each text, stored, so a text is taken apart once."""
+
+    def of(batch: pa.RecordBatch) -> list[pa.Array]:
+        return [batch.column(0), pa.array([sorted(words(t)) for t in batch.column(1).to_pylist()], pa.list_(pa.string()))]
+
+    return store(_batches(rows, "drawn_label int, words array<string>", of))
 
 
 def chosen(rows: DataFrame, number: int, texts: tuple[int, int]) -> list[str]:
@@ -103,8 +117,8 @@ def chosen(rows: DataFrame, number: int, texts: tuple[int, int]) -> list[str]:
 
     def count(batch: pa.RecordBatch) -> list[pa.Array]:
         found: tuple[Counter, Counter] = (Counter(), Counter())
-        for label, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            found[label].update(features(words(text)))
+        for label, own in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            found[label].update(features(set(own)))
         every = list(found[0] | found[1])
         return [pa.array(every, pa.string()), *(pa.array([found[k][f] for f in every], pa.int64()) for k in (0, 1))]
 
@@ -169,7 +183,7 @@ def train(
     docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", size: int = SAMPLE, number: int = FEATURES
 ) -> tuple[float, dict[str, float]]:
     """Intercept, and weight by feature."""
-    rows = store(sample(docs, labels, key, text, label, size))
+    rows = word_rows(sample(docs, labels, key, text, label, size))
     tally = {r[0]: r[1] for r in rows.groupBy("drawn_label").count().collect()}
     texts = (tally.get(0, 0), tally.get(1, 0))
     if not all(texts):
@@ -181,8 +195,8 @@ def train(
 
     def vectors(batch: pa.RecordBatch) -> list[pa.Array]:
         ids, changes = [], []
-        for t in batch.column(1).to_pylist():
-            found = words(t)
+        for own in batch.column(1).to_pylist():
+            found = set(own)
             ids.append(sorted({index[f] for f in features(found) if f in index}))
             changes.append([sorted(c.items()) for c in swaps(found, index)])
         flat = [[[float(x) for pair in c for x in pair] for c in row] for row in changes]

@@ -84,3 +84,15 @@ def test_empty_table(spark):
     docs, labels = table(spark, 50)
     none = documents(spark, [])
     assert toxicity.score(none, toxicity.train(none, labels)).count() == 0
+
+
+def test_the_sample_is_bounded_in_rows(spark):
+    """One drawn key stands on 3,000 rows with different texts, and on copies of one text."""
+    docs = documents(spark, [(1, prose(i, 12), "en", "a") for i in range(3000)] + [(7, "one text", "en", "a")] * 500 + [(8, None, "en", "a"), (2, "held out", "en", "a")])
+    labels = spark.createDataFrame([(k, 1, k % 2) for k in (1, 2, 7, 8)], "doc_id long, quality int, toxic int")
+    assert held_out(2) and not any(map(held_out, (1, 7, 8)))
+    different = len({prose(i, 12) for i in range(3000)}) + 2
+    for size in (50, 5000):
+        rows = toxicity.sample(docs, labels, "doc_id", "text", "toxic", size).collect()
+        assert len(rows) == min(size, different) == len({r.text for r in rows})
+        assert {r.drawn_label for r in rows} <= {0, 1}
