@@ -249,7 +249,7 @@ def judge(
     tail: float = TAIL,
     min_rows: int = MIN_ROWS,
 ) -> DataFrame:
-    """key, the five counts, base_failed, distance (null where not judged), kept; one row per row."""
+    """key, the five counts, base_failed, kept, distance (null where not judged); one row per row."""
     failed = (F.col("n_words") < MIN_WORDS) | (F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words"))
     rows = store(counts(docs, key, text, lang, source).withColumn("base_failed", failed))
     passed = cells(rows.where(~F.col("base_failed")), min_rows)
@@ -265,7 +265,7 @@ def judge(
         .withColumn("judged_by", F.coalesce("distance", F.sqrt(distance("all_mean", "all_inverse"))))
     )
     limit = math.sqrt(chi2_limit(tail, DIMENSIONS))
-    columns = [key, *COUNTS, "base_failed", "distance"]
+    columns = [key, *COUNTS, "base_failed"]
     kept = F.coalesce(F.col("judged_by") <= limit, F.lit(True)).alias("kept")
     failed_rows = rows.where("base_failed").withColumn("distance", F.lit(None).cast("double"))
-    return judged.select(*columns, kept).unionByName(failed_rows.select(*columns, F.lit(False).alias("kept")))
+    return judged.select(*columns, kept, "distance").unionByName(failed_rows.select(*columns, F.lit(False).alias("kept"), "distance"))
