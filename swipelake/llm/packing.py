@@ -32,7 +32,7 @@ CLOSING_ID = 2
 STEP_TOKENS = 1 << 16  # of one training step
 POOL = 64  # sequences' worth of tokens that a shorter tier holds back to fill gaps
 OPEN_WINDOWS = 64  # windows with gaps that are held back
-CACHED_BYTES = 112 << 20  # of words and parts that a worker remembers
+CACHED_BYTES = 160 << 20  # of words and parts that a worker remembers
 ENTRY_BYTES = 200  # of one remembered word besides its letters and ids: two objects and a place in a dictionary
 
 LATIN = "À-ÖØ-öø-ÿ"
