@@ -4,12 +4,16 @@ Vectors become whole numbers; the largest inner products are the nearest neighbo
 gets one more coordinate that makes all lengths equal (queries get zero there), so a metric tree
 finds them: d(q, x)^2 = |q|^2 + R^2 - 2 q.x for the common length R.
 
-The routing nodes are a bounded sample of the vectors. Every vector belongs to its nearest routing
-node and keeps its distance to it; a node's vectors lie in pages sorted by that distance, each with
-its covering radius (and the least distance). A query goes through the pages of a task by ascending
-lower bound |d(q, node) - d(x, node)|, read off the stored distances. A page is left out when even its
-bound cannot reach the query's fifth best score so far, and so is each vector in it by its own stored
-distance, before anything is computed. Scores are whole numbers and exact; bounds allow for rounding.
+The tree has three levels. Routing nodes are a bounded sample of the vectors, each with its covering radius. Below them are
+pages, one for about PAGE vectors, so their number grows with the rows: a page has one of its vectors as center, its covering
+radius and the center's distance to its routing node. Every vector lies in a page with its distance to the center. Spark builds
+both levels: a pass that sends each vector to its nearest node, and a grouping by node (large nodes in parts) that makes pages.
+
+A query bounds a page by stored distances alone first, |d(q, node) - d(center, node)| - radius, and by its node's radius; only
+pages that this leaves get the distance to their center computed, and d(q, center) - radius bounds them again. Then each query
+goes through its own pages in the order of its own bounds, twice as many in each step, until the next bound is beyond its fifth
+best score so far; in a page its vectors are left out by |d(q, center) - d(x, center)| before anything is computed. Scores are
+whole numbers and exact; bounds allow for rounding.
 
 Queries are taken in blocks of bounded size, each shipped to all pages; a task keeps only the best of
 its pages per query, and the few of all tasks are merged by query. The first limit of a query is its
@@ -37,7 +41,7 @@ from swipelake.llm.common import store
 
 SCALE = 256
 NODES = 256
-PAGE = 256
+PAGE = 64
 QUERY_BLOCK = 20_000
 SPREAD = 8192  # rows of one node that lie together; a larger node is dealt to several tasks
 LARGEST = 1 << 20
@@ -65,23 +69,22 @@ def matrix(column, width: int) -> np.ndarray:
 
 
 class Tree:
-    """Routing nodes and queries, as shipped to the tasks."""
+    """Routing nodes, as shipped to the tasks; their radii are known once all vectors have been sent to them."""
 
     def __init__(self, nodes: np.ndarray, node_ids: np.ndarray, length2: float, width: int):
         self.nodes, self.node_ids, self.length2, self.width = nodes, node_ids, length2, width
-        self.node_lift = np.sqrt(np.maximum(length2 - (nodes**2).sum(axis=1), 0))
-
-    def to_nodes(self, x: np.ndarray, lift: np.ndarray) -> np.ndarray:
-        """Distances of lifted rows to all nodes."""
-        squares = (x**2).sum(axis=1) + lift**2
-        products = x @ self.nodes.T + np.outer(lift, self.node_lift)
-        return np.sqrt(np.maximum(squares[:, None] + self.length2 - 2 * products, 0))
+        self.radii = np.full(len(nodes), np.inf)
 
-    def of_data(self, x: np.ndarray) -> np.ndarray:
-        return self.to_nodes(x, np.sqrt(np.maximum(self.length2 - (x**2).sum(axis=1), 0)))
+    def of_data(self, x: np.ndarray, centers: np.ndarray | None = None) -> np.ndarray:
+        """Distances of vectors to the nodes, or to other vectors."""
+        centers = self.nodes if centers is None else centers
+        lift, other = (np.sqrt(np.maximum(self.length2 - (y**2).sum(axis=1), 0)) for y in (x, centers))
+        return np.sqrt(np.maximum(2 * self.length2 - 2 * (x @ centers.T + np.outer(lift, other)), 0))
 
-    def of_queries(self, x: np.ndarray) -> np.ndarray:
-        return self.to_nodes(x, np.zeros(len(x)))
+    def of_queries(self, q: np.ndarray, centers: np.ndarray | None = None) -> np.ndarray:
+        """Distances of queries, which have no further coordinate."""
+        centers = self.nodes if centers is None else centers
+        return np.sqrt(np.maximum((q**2).sum(axis=1)[:, None] + self.length2 - 2 * (q @ centers.T), 0))
 
 
 class Best:
@@ -109,41 +112,90 @@ class Best:
         self.ids[rows] = np.take_along_axis(names, order, axis=1)
 
 
-def search_pages(tree: Tree, queries: np.ndarray, query_ids: np.ndarray, limits: np.ndarray, best: Best, batch) -> None:
-    """Go through the vectors of one batch: (node, distance, id, matrix) sorted by node and distance."""
-    node, distance, ids, x = batch
+PAGES = "id long, v array<bigint>, node int, page long, distance double, up double, radius double"
+
+
+def made_pages(tree: Tree, held: pa.Table, page: int = PAGE) -> pa.Table:
+    """The vectors of one node, or of one part of it, in pages: each belongs to the nearest of some of them."""
+    ids, node = held["id"].to_numpy(), int(held["node"][0].as_py())
+    order = np.lexsort((ids, held["mixed"].to_numpy()))  # by a hash: the first are a sample
+    x = matrix(held["v"].combine_chunks(), tree.width)[order]
+    centers = np.unique(x[: -(-len(x) // page)], axis=0)
+    home, distance = np.empty(len(x), dtype=np.int64), np.empty(len(x))
+    for first in range(0, len(x), 1024):
+        d = tree.of_data(x[first : first + 1024], centers)
+        home[first : first + 1024], distance[first : first + 1024] = d.argmin(axis=1), d.min(axis=1)
+    own = (x == centers[home]).all(axis=1)
+    distance[own] = 0.0
+    radius = np.zeros(len(centers))
+    np.maximum.at(radius, home, distance)
+    up = tree.of_data(centers, tree.nodes[[node]])[:, 0]
+    place = np.lexsort((distance, ~own, home))  # a page begins with its center
+    home, distance = home[place], distance[place]
+    back = order[place]
+    part = int(held["part"][0].as_py())
+    columns = [pa.array(ids[back]), held["v"].take(pa.array(back)), pa.array(np.full(len(x), node, dtype=np.int32)), pa.array(home + (part << 32)), pa.array(distance), pa.array(up[home]), pa.array(radius[home])]
+    return pa.table(columns, ["id", "v", "node", "page", "distance", "up", "radius"])
+
+
+class Pages:
+    """The pages of some vectors that lie one page after the other; ``center`` is that of the first one, if it began before."""
+
+    def __init__(self, node, page, distance, up, radius, ids, x, center: np.ndarray | None = None):
+        self.distance, self.ids, self.x = distance, ids, x
+        begins = np.r_[True, (page[1:] != page[:-1]) | (node[1:] != node[:-1])]
+        self.first = np.flatnonzero(begins)
+        self.end = np.r_[self.first[1:], len(page)]
+        self.node, self.page, self.up, self.radius = node[self.first], page[self.first], up[self.first], radius[self.first]
+        self.centers = x[self.first].copy()
+        if center is not None:
+            self.centers[0] = center
+
+
+def search_pages(tree: Tree, queries: np.ndarray, query_ids: np.ndarray, limits: np.ndarray, best: Best, held: Pages) -> int:
+    """Go through the pages, each query in its own order; the number of products computed."""
     q2 = (queries**2).sum(axis=1)
-    to_nodes = tree.of_queries(queries)
     slack = 1e-6 * (np.sqrt(q2) + np.sqrt(tree.length2) + 1)
-    edges = [0]
-    for first in np.flatnonzero(np.diff(node)) + 1:
-        edges.append(int(first))
-    edges.append(len(node))
-    pages = [(a, min(a + PAGE, end)) for start, end in zip(edges, edges[1:]) for a in range(start, end, PAGE)]
 
-    def reach(rows) -> np.ndarray:
+    def reach() -> np.ndarray:
         """The largest distance at which a vector still matters to each query."""
-        limit = np.maximum(limits[rows], best.scores[rows, -1])
-        return np.sqrt(np.maximum(q2[rows] + tree.length2 - 2 * limit, 0)) + slack[rows]
-
-    every = np.arange(len(queries))
-    bounds = np.empty((len(pages), len(queries)))
-    for p, (a, b) in enumerate(pages):
-        d = to_nodes[:, node[a]]
-        bounds[p] = np.maximum(np.maximum(d - distance[a:b].max(), distance[a:b].min() - d), 0)
-    for p in np.argsort(bounds.mean(axis=1), kind="stable"):
-        a, b = pages[p]
-        rows = every[bounds[p] <= reach(every)]
-        if not len(rows):
-            continue
-        own = np.abs(to_nodes[rows, node[a]][:, None] - distance[None, a:b]) <= reach(rows)[:, None]
-        columns = own.any(axis=0)
-        if not columns.any():
-            continue
-        some = np.flatnonzero(columns) + a
-        scores = queries[rows] @ x[some].T
-        scores[query_ids[rows][:, None] == ids[some][None, :]] = -np.inf
-        best.add(rows, scores, ids[some])
+        limit = np.maximum(limits, best.scores[:, -1])
+        return np.sqrt(np.maximum(q2 + tree.length2 - 2 * limit, 0)) + slack
+
+    to_nodes = tree.of_queries(queries)
+    d = to_nodes[:, held.node]
+    bounds = np.maximum(np.abs(d - held.up) - held.radius, d - tree.radii[held.node])
+    asked = bounds <= reach()[:, None]
+    done = int(asked.sum()) + to_nodes.size
+    wanted = np.flatnonzero(asked.any(axis=0))
+    to_centers = np.full(bounds.shape, np.inf)
+    to_centers[:, wanted] = tree.of_queries(queries, held.centers[wanted])
+    bounds = np.where(asked, np.maximum(bounds, to_centers - held.radius), np.inf)
+    order = np.argsort(bounds, axis=1, kind="stable")
+    seen, width = 0, 1
+    while seen < order.shape[1]:
+        some = order[:, seen : seen + width]
+        limit = reach()
+        row, at = np.nonzero(np.take_along_axis(bounds, some, axis=1) <= limit[:, None])
+        if not len(row):
+            break
+        page = some[row, at]
+        by_page = np.argsort(page, kind="stable")
+        row, page = row[by_page], page[by_page]
+        starts = np.flatnonzero(np.r_[True, page[1:] != page[:-1]])
+        for a, b in zip(starts, [*starts[1:], len(page)]):
+            p, rows = page[a], row[a:b]
+            inside = slice(held.first[p], held.end[p])
+            near = np.abs(to_centers[rows, p][:, None] - held.distance[None, inside]) <= limit[rows][:, None]
+            columns = np.flatnonzero(near.any(axis=0)) + held.first[p]
+            if not len(columns):
+                continue
+            scores = queries[rows] @ held.x[columns].T
+            done += scores.size
+            scores[query_ids[rows][:, None] == held.ids[columns][None, :]] = -np.inf
+            best.add(rows, scores, held.ids[columns])
+        seen, width = seen + width, 2 * width
+    return done
 
 
 def nearest(
@@ -179,11 +231,17 @@ def nearest(
 
     routed = data.select("id", "v").mapInArrow(route, "id long, v array<bigint>, node int, distance double")
     routed = store(routed)
-    rows = {r.node: r.n for r in routed.groupBy("node").agg(F.count("*").alias("n")).collect()}  # one per node
+    found = {r.node: (r.n, r.radius) for r in routed.groupBy("node").agg(F.count("*").alias("n"), F.max("distance").alias("radius")).collect()}  # one per node
+    for node, (_, radius) in found.items():
+        tree.radii[node] = radius
+    shared = spark.sparkContext.broadcast(tree)
+    rows = {node: n for node, (n, _) in found.items()}
     parts = F.create_map(*(F.lit(x) for node, n in sorted(rows.items()) for x in (node, -(-n // SPREAD))))
-    dealt = routed.withColumn("part", F.pmod(F.xxhash64("id"), parts[F.col("node")]).cast("int"))
+    mixed = F.xxhash64("id", "v").alias("mixed")
+    dealt = routed.select("id", "v", "node", mixed, F.pmod(F.xxhash64("id", "v"), parts[F.col("node")]).cast("int").alias("part"))
     tasks = max(1, min(sum(-(-n // SPREAD) for n in rows.values()), sum(rows.values()) // SPREAD + spark.sparkContext.defaultParallelism))
-    pages = store(dealt.repartition(tasks, "node", "part").sortWithinPartitions("node", "distance", "id"))
+    page = PAGE
+    pages = store(dealt.repartition(tasks, "node", "part").groupBy("node", "part").applyInArrow(lambda held: made_pages(shared.value, held, page), PAGES))
 
     asked_ids = data.where("asked").groupBy("id").agg(F.min("v").alias("v"))
     blocks = -(-asked // query_block)
@@ -213,13 +271,13 @@ def _search(pages: DataFrame, shared: Broadcast, ids: list[int], queries: np.nda
         tree = shared.value
         query_ids, queries, limits = block.value
         best = Best(len(query_ids), k)
+        last = None
         for batch in batches:
-            held = (
-                batch.column(2).to_numpy(),
-                batch.column(3).to_numpy(),
-                batch.column(0).to_numpy(),
-                matrix(batch.column(1), tree.width),
-            )
+            if not batch.num_rows:
+                continue
+            node, page, distance, up, radius = (batch.column(i).to_numpy() for i in range(2, 7))
+            goes_on = last is not None and distance[0] > 0 and (node[0], page[0]) == (last.node[-1], last.page[-1])
+            held = last = Pages(node, page, distance, up, radius, batch.column(0).to_numpy(), matrix(batch.column(1), tree.width), last.centers[-1] if goes_on else None)
             for first in range(0, len(query_ids), 1024):
                 some = slice(first, first + 1024)
                 part = Best(0, k)
@@ -232,4 +290,4 @@ def _search(pages: DataFrame, shared: Broadcast, ids: list[int], queries: np.nda
                 ["query_id", "id", "score"],
             )
 
-    return pages.select("id", "v", "node", "distance").mapInArrow(run, "query_id long, id long, score long")
+    return pages.mapInArrow(run, "query_id long, id long, score long")

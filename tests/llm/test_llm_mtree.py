@@ -69,23 +69,62 @@ def test_empty_tables(spark):
     assert search(spark, filled([(5, None)])) == []
 
 
-def test_bounds_leave_pages_out():
-    """On clustered vectors most are never compared."""
-    rows = vectors(3, 4000, spread=0.02, groups=40)
-    x = np.array([whole(v) for _, v in rows], dtype=float)
+def tree_of(x, ids, nodes, page):
+    """Both levels, as tasks make them."""
+    import pyarrow as pa
+
     length2 = float((x**2).sum(axis=1).max())
-    tree = mtree.Tree(x[:40], np.arange(40), length2, 6)
+    tree = mtree.Tree(x[:nodes], ids[:nodes], length2, x.shape[1])
     distances = tree.of_data(x)
-    node = distances.argmin(axis=1)
-    own = distances.min(axis=1)
-    order = np.lexsort((own, node))
-    queries, ids = x[:10], np.arange(10)
-    best = mtree.Best(10, 5)
-    compared = []
-    add = best.add
-    best.add = lambda rows, scores, names: (compared.append(scores.size), add(rows, scores, names))
-    mtree.search_pages(tree, queries, ids, np.full(10, -np.inf), best, (node[order], own[order], order, x[order]))
-    assert sum(compared) < 0.6 * 10 * 4000
-    for q in range(10):
+    home = distances.argmin(axis=1)
+    made = []
+    for n in range(nodes):
+        own = np.flatnonzero(home == n)
+        tree.radii[n] = distances[own, n].max(initial=0)
+        held = {"id": ids[own], "v": [list(map(int, v)) for v in x[own]], "node": [n] * len(own), "mixed": (ids[own] * 7919) % 104729, "part": [0] * len(own)}
+        if len(own):
+            made.append(mtree.made_pages(tree, pa.table(held), page))
+    return tree, pa.concat_tables(made).combine_chunks()
+
+
+def pages_of(table, width):
+    columns = {c: table[c].to_numpy() for c in ("node", "page", "distance", "up", "radius", "id")}
+    return mtree.Pages(*(columns[c] for c in ("node", "page", "distance", "up", "radius")), columns["id"], mtree.matrix(table["v"].to_pylist(), width))
+
+
+def test_nodes_and_pages_cover_their_vectors():
+    rows = vectors(5, 900, spread=0.3, groups=7) + vectors(5, 40, spread=0.3, groups=7)
+    x, ids = np.array([whole(v) for _, v in rows], dtype=float), np.arange(940)
+    tree, table = tree_of(x, ids, 12, 16)
+    held = pages_of(table, 6)
+    assert sorted(held.ids.tolist()) == ids.tolist() and len(held.first) >= 940 // 16 - 12
+    for p in range(len(held.first)):
+        inside = slice(held.first[p], held.end[p])
+        d = tree.of_data(held.x[inside], held.centers[[p]])[:, 0]
+        assert np.allclose(d, held.distance[inside], atol=0.05) and held.radius[p] >= held.distance[inside].max()
+        assert held.distance[held.first[p]] == 0 and np.isclose(held.up[p], tree.of_data(held.centers[[p]])[0, held.node[p]])
+        assert (tree.of_data(held.x[inside])[:, held.node[p]] <= tree.radii[held.node[p]] + 1e-6).all()
+
+
+@pytest.mark.parametrize("spread, most", [(0.02, 0.15), (0.1, 0.5)])
+def test_bounds_leave_most_out(spread, most):
+    """On clustered vectors most products, those with nodes and centers among them, are never computed."""
+    rows = vectors(3, 4000, spread=spread, groups=40)
+    x, ids = np.array([whole(v) for _, v in rows], dtype=float), np.arange(4000)
+    tree, table = tree_of(x, ids, 40, 32)
+    best = mtree.Best(50, 5)
+    done = mtree.search_pages(tree, x[:50], ids[:50], np.full(50, -np.inf), best, pages_of(table, 6))
+    assert done < most * 50 * 4000
+    for q in range(50):
         scores = sorted(((-x[q] @ x[i], i) for i in range(4000) if i != q))[:5]
         assert best.ids[q].tolist() == [i for _, i in scores]
+
+
+def test_pages_that_go_on_in_the_next_batch(spark):
+    """With three rows a batch the pages are cut, and their centers are carried on."""
+    rows = vectors(8, 300)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        assert search(spark, filled(rows), nodes=4) == brute(rows)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
