@@ -1,16 +1,17 @@
 """Scores of texts under a byte-context model: prediction by partial matching.
 
 The trie of byte contexts up to ORDER bytes is learnt from all training texts. A byte that its longest
-seen context has not had escapes to the next shorter one (method C: as many escapes as different bytes
-seen), and the bytes of the longer context are excluded there; below the empty context all bytes not
+seen context has not had escapes to the next shorter one (method D: half an occurrence of each byte seen goes to the
+escape), and the bytes of the longer context are excluded there; below the empty context all bytes not
 yet seen are alike. Texts open with, and contexts before them hold, the mark 0xFF, which UTF-8 never
 uses; its last occurrence is coded as the end of the text. A plain word count model goes along.
 
 Neither trie nor words have a bound, so nothing of them is broadcast but the part of up to LOW bytes
-of context (at most 256 ** (LOW + 1) counts, by construction). Texts are dealt into batches of about
-BATCH_BYTES. Each batch sends what it needs, its distinct words and byte strings with their training
+of context (at most 256 ** (LOW + 1) counts, by construction). Rows are dealt by their place into batches of about
+BATCH_BYTES, whatever their keys and texts, and stored so once, compressed; both passes read that. Each batch sends what it needs, its distinct words and byte strings with their training
 counts, in shards by hash; a shard adds the counts up, works out the probabilities and answers each
-batch; a second pass over the batches adds up the texts. All three steps read and write linear data.
+batch, with log probabilities of 32 bits; a second pass over the batches adds up the texts in doubles. All three steps read and
+write linear data, but the number of requests grows as the product of batches and shards.
 
 Cases: null and empty texts consist of their end only. Null keys count as empty text in the fold.
 Rows that repeat are learnt and scored each. An empty table gives no rows.
@@ -119,12 +120,11 @@ def request(texts: list[bytes], learnt: list[bool], shards: int) -> tuple[dict[i
     order = np.argsort(where, kind="stable")
     edges = np.searchsorted(where[order], np.arange(shards + 1))
     out = {}
-    for s in range(shards):
+    for s in sorted({*np.unique(where).tolist(), *by_shard}):
         mine = order[edges[s] : edges[s + 1]]
         own = by_shard.get(s, [])
-        if len(mine) or own:
-            tallies = np.array([words[w] for w in own], dtype=np.int64)
-            out[s] = (squeeze_sorted(k[mine]), squeeze(n[mine].astype(np.int64)), join_words(own), squeeze(tallies))
+        tallies = np.array([words[w] for w in own], dtype=np.int64)
+        out[s] = (squeeze_sorted(k[mine]), squeeze(n[mine].astype(np.int64)), join_words(own), squeeze(tallies))
     return out, low, low_counts
 
 
@@ -230,8 +230,7 @@ def split_words(packed: bytes) -> list[bytes]:
 def bundles(source: DataFrame, batches: int) -> DataFrame:
     """Rows of a batch that a task holds at once, as one row: keys, folds, sizes, compressed lower-case texts."""
     kind = source.schema["key"].dataType.simpleString()
-    # Hashed by key and opening, so that equal keys don't all meet unless their texts are alike, too.
-    dealt = source.withColumn("batch", F.pmod(F.xxhash64("key", F.left("text", F.lit(64))), F.lit(batches)).cast("int"))
+    dealt = source.withColumn("batch", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(batches)).cast("int"))
 
     def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in found:
@@ -275,7 +274,7 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", batch_bytes:
     )
     size = source.agg(F.sum(F.octet_length("text") + 1)).first()[0] or 0
     batches = max(1, round(size / batch_bytes))
-    dealt = bundles(source, batches)
+    dealt = store(bundles(source, batches))
 
     def ask(held: pa.Table) -> pa.Table:
         _, texts, learnt = unbundled(held)

@@ -4,7 +4,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import pytest
-from texts import documents, rows
+from texts import documents, prose, rows
 
 from swipelake.llm import ppm
 
@@ -91,3 +91,13 @@ def test_nothing_to_learn_from(spark):
 
 def test_empty_table(spark):
     assert ppm.score(documents(spark, [])).count() == 0
+
+
+def test_rows_are_dealt_whatever_they_hold(spark):
+    """A third of the rows has a null key and one text: no batch has much more than others."""
+    docs = [(None if i % 3 == 0 else i, "one text of a third" if i % 3 == 0 else prose(i, 4), "en", "a") for i in range(3000)]
+    source = documents(spark, docs).selectExpr("doc_id AS key", "1 AS fold", "text")
+    sizes = Counter()
+    for r in ppm.bundles(source, 16).collect():
+        sizes[r.batch] += len(r["keys"])
+    assert sum(sizes.values()) == 3000 and max(sizes.values()) < 2 * sorted(sizes.values())[8]
