@@ -2,11 +2,14 @@
 
 Candidate spans come from loose patterns; strict forms of them (valid addresses, checksums, lengths)
 are the base spans and always stay. Labelers vote on each candidate, for, against or not at all:
-strict form, checksum or range, gazetteer, words before it, words before it that speak against it, and
-whether it stands alone. Only counts of vote patterns leave the tasks; their number is bounded by
-kinds x 3 ** labelers. Expectation-maximisation on them estimates each labeler's reliability and every
-pattern's chance to be personal data. With these chances as labels a logistic regression on votes,
-length and kind is the final span classifier; it adds candidates that no fixed pattern accepts.
+strict form, checksum or range, gazetteer (tables of known endings and prefixes, a parameter), words before it, words before it
+that speak against it, and whether it stands alone. Counts of vote patterns over all candidates leave the tasks; their number is
+bounded by kinds x 3 ** labelers. Expectation-maximisation on them estimates each labeler's reliability and every pattern's chance
+to be personal data. With these chances as labels, the final span classifier is a logistic regression on what the span itself looks
+like: kind, length, shape, and the two words before it (hashed into a bounded number of classes), not the votes. It is
+fitted on at most TRAIN_ROWS kinds of candidates, drawn by a hash, with their counts. So it accepts a span without votes that
+looks like those with good ones, and refuses one whose look mostly goes with bad ones. It adds candidates that no fixed pattern
+accepts.
 
 Cases: null and empty texts have no spans. Rows that repeat are searched, and counted, each. Null keys
 are kept. Without candidates nothing is trained and nothing added.
@@ -33,11 +36,18 @@ LOCAL_PHONE = r"(?<![0-9+])\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![0-9
 BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = (*BASE_KINDS, "soft_email", "soft_ip", "soft_card", "soft_phone", "local_phone")
 
-# Gazetteers and context words.
-DOMAIN_ENDS = r"(?i)\.(com|org|net|edu|gov|info|io|eu|de|fr|es|it|uk|us|ch|at|nl|pl|br|mx)$"
-PRIVATE_RANGES = r"^(0|10|127|169\.254|172\.(1[6-9]|2[0-9]|3[01])|192\.168|22[4-9]|23[0-9]|24[0-9]|25[0-5])\."
-ISSUERS = r"^(4|5[1-5]|2[2-7]|3[47]|6011|65|35|36|38)"
-COUNTRY_CODES = r"^\+(1|7|20|27|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58])"
+# Gazetteers. Endings of domain names (those of two letters count all), leading digits of card numbers and of
+# countries, and the beginnings of addresses that name no host of the public net.
+GAZETTEERS: dict[str, tuple[str, ...]] = {
+    "domain_ends": ("com", "org", "net", "edu", "gov", "mil", "int", "info", "biz", "io", "app", "dev", "name", "online", "shop", "site", "xyz"),
+    "issuers": ("34", "35", "36", "37", "38", "4", "51", "52", "53", "54", "55", "6011", "65", *(str(n) for n in range(22, 28))),
+    "country_codes": (
+        "1", "20", "27", "30", "31", "32", "33", "34", "36", "39", "40", "41", "43", "44", "45", "46", "47", "48", "49", "51", "52", "53", "54", "55", "56", "57", "58",
+        "60", "61", "62", "63", "64", "65", "66", "7", "81", "82", "84", "86", "90", "91", "92", "93", "94", "95", "98",
+        *(str(n) for first in (21, 22, 23, 24, 25, 26, 35, 37, 38, 42, 50, 59, 67, 68, 85, 96, 97, 99) for n in range(10 * first, 10 * first + 10)),
+    ),
+    "private": ("0.", "10.", "127.", "169.254.", "192.168.", *(f"172.{n}." for n in range(16, 32)), *(f"{n}." for n in range(224, 256))),
+}
 SPEAKS_FOR = {
     "email": r"(?i)(mail|contact|write|correo|courriel|kontakt|escrib)\W*\w*\W*$",
     "ip": r"(?i)(\bip|host|server|address|adresse|from|dirección)\W*\w*\W*$",
@@ -48,6 +58,8 @@ SPEAKS_AGAINST = r"(?i)(version|release|section|chapter|figure|table|isbn|order|
 LABELERS = ("strict", "range", "gazetteer", "context", "against", "alone")
 ROUNDS = 50
 ACCEPT = 0.5
+SHAPES, WORDS = 64, 128  # classes that shapes and words are hashed into
+TRAIN_ROWS = 10_000
 
 
 def digits(text: Column) -> Column:
@@ -78,8 +90,25 @@ def vote(yes: Column, no: Column) -> Column:
     return F.when(yes, "1").when(no, "2").otherwise("0")
 
 
-def candidates(text: Column) -> Column:
-    """array of (start, rank, end, base, votes, size): all candidates of a text."""
+def begins(text: Column, known: tuple[str, ...]) -> Column:
+    """Whether the text begins with an entry of a gazetteer."""
+    return F.exists(F.array(*(F.lit(k) for k in known)).cast("array<string>"), lambda k: F.startswith(text, k))
+
+
+def shape_of(hit: Column) -> Column:
+    """Class of a span's marks and runs of digits and letters."""
+    plain = F.regexp_replace(F.regexp_replace(hit, "[0-9]", "9"), r"\p{L}+", "a")
+    return F.pmod(F.xxhash64(F.left(plain, F.lit(24))), F.lit(SHAPES)).cast("int")
+
+
+def word_before(before: Column, which: int) -> Column:
+    """Class of the last word before a span (1), or the one before that (2); -1 without one."""
+    found = F.regexp_extract_all(F.lower(before), F.lit(r"\p{L}+"), F.lit(0))
+    return F.when(F.size(found) >= which, F.pmod(F.xxhash64(F.try_element_at(found, F.lit(-which))), F.lit(WORDS))).otherwise(F.lit(-1)).cast("int")
+
+
+def candidates(text: Column, gazetteers: dict[str, tuple[str, ...]] = GAZETTEERS) -> Column:
+    """array of (start, rank, end, base, votes, size, shape, word1, word2): all candidates of a text."""
 
     def struct_of(m: Column, kind: str, rank: int, strict: Column, in_range: Column, known: Column, unknown: Column) -> Column:
         alone = ~F.right(m["before"], F.lit(1)).rlike(r"[\p{L}\p{N}@._-]$") & ~m["after"].rlike(r"^[\p{L}\p{N}@_-]")
@@ -100,24 +129,28 @@ def candidates(text: Column) -> Column:
             accepted.alias("base"),
             votes.alias("votes"),
             F.least(F.length(m["hit"]) / 4, F.lit(7)).cast("int").alias("size"),
+            shape_of(m["hit"]).alias("shape"),
+            word_before(m["before"], 1).alias("word1"),
+            word_before(m["before"], 2).alias("word2"),
         )
 
     def email(m: Column) -> Column:
-        known = m["hit"].rlike(DOMAIN_ENDS)
+        end = F.lower(F.substring_index(m["hit"], ".", -1))
+        known = end.rlike("^[a-z]{2}$") | F.array_contains(F.array(*(F.lit(k) for k in gazetteers["domain_ends"])).cast("array<string>"), end)
         return struct_of(m, "email", 0, F.lit(True), F.lit(True), known, ~known)
 
     def ip(m: Column) -> Column:
-        private = m["hit"].rlike(PRIVATE_RANGES)
+        private = begins(m["hit"], gazetteers["private"])
         return struct_of(m, "ip", 1, F.lit(True), octets_fit(m["hit"]), F.lit(False), private)
 
     def card(m: Column) -> Column:
         number = digits(m["hit"])
         fits = between(F.length(number), 14, 19)
-        return struct_of(m, "card", 2, fits, fits & luhn(number), number.rlike(ISSUERS), ~number.rlike(ISSUERS))
+        return struct_of(m, "card", 2, fits, fits & luhn(number), begins(number, gazetteers["issuers"]), ~begins(number, gazetteers["issuers"]))
 
     def phone(m: Column) -> Column:
         fits = between(F.length(digits(m["hit"])), 10, 15)
-        code = m["hit"].rlike(COUNTRY_CODES)
+        code = begins(F.substr(m["hit"], F.lit(2)), gazetteers["country_codes"])
         return struct_of(m, "phone", 3, fits, fits, code, ~code)
 
     def local(m: Column) -> Column:
@@ -159,67 +192,71 @@ def reliabilities(patterns: list[tuple[str, float]]) -> dict[str, float]:
     return {p: float(c) for (p, _), c in zip(patterns, chance)}
 
 
-def span_classifier(rows: list[tuple[str, int, str, int, float]], chances: dict[tuple[int, str], float]) -> dict[str, float]:
-    """Weights by feature of a logistic regression on (kind, votes, size) rows with their counts."""
-    names = sorted({f for _, rank, votes, size, _ in rows for f in features(rank, votes, size)})
+Look = tuple[int, str, int, int, int, int, float]  # rank, votes, size, shape, word1, word2, how many
+
+
+def kind_of(rank: int) -> int:
+    return rank % 4 if rank < 8 else 3
+
+
+def span_classifier(rows: list[Look], chances: dict[tuple[int, str], float]) -> dict[str, float]:
+    """Weights by feature of a logistic regression on looks with their counts; the labels are the chances of their votes."""
+    names = sorted({f for r in rows for f in features(*r[:1], *r[2:6])})
     index = {f: i for i, f in enumerate(names)}
-    x = np.zeros((len(rows), len(names)))
-    for i, (_, rank, votes, size, _) in enumerate(rows):
-        x[i, [index[f] for f in features(rank, votes, size)]] = 1
-    n = np.array([r[4] for r in rows], dtype=float)
-    y = np.array([chances[rank % 4 if rank < 8 else 3, votes] for _, rank, votes, _, _ in rows])
+    x = np.zeros((len(rows), len(names)), dtype=np.float32)
+    for i, r in enumerate(rows):
+        x[i, [index[f] for f in features(*r[:1], *r[2:6])]] = 1
+    n = np.array([r[6] for r in rows], dtype=float)
+    y = np.array([chances[kind_of(r[0]), r[1]] for r in rows])
     w = np.zeros(len(names))
     ridge = np.eye(len(names))
     for _ in range(30):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        hessian = (x * (n * p * (1 - p))[:, None]).T @ x + ridge
+        hessian = (x * (n * p * (1 - p))[:, None].astype(np.float32)).T @ x + ridge
         w = w + np.clip(np.linalg.solve(hessian, x.T @ (n * (y - p)) - w), -5, 5)
     return dict(zip(names, map(float, w)))
 
 
-def features(rank: int, votes: str, size: int) -> list[str]:
-    kind = rank % 4 if rank < 8 else 3
-    return ["all", f"kind{kind}", f"size{size}", *(f"{kind}:{j}:{v}" for j, v in enumerate(votes))]
+def features(rank: int, size: int, shape: int, word1: int, word2: int) -> list[str]:
+    kind = kind_of(rank)
+    return ["all", f"kind{kind}", f"size{kind}:{size}", f"shape{kind}:{shape}", f"one{word1}", f"two{word2}"]
 
 
-def train(found: DataFrame) -> dict[str, float]:
+def train(found: DataFrame, most: int = TRAIN_ROWS) -> dict[str, float]:
     """Weights of the span classifier; ``found`` has the column ``candidates``."""
-    rows = (
-        found.select(F.explode("candidates").alias("c"))
-        .groupBy("c.rank", "c.votes", "c.size")
-        .agg(F.count("*").alias("n"))
-        .select(F.lit(""), "rank", "votes", "size", "n")
-        .collect()  # kinds x 3 ** labelers x 8 sizes at most
-    )
-    if not rows:
+    each = found.select(F.explode("candidates").alias("c")).select("c.*")
+    votes = each.groupBy("rank", "votes").agg(F.count("*").alias("n")).collect()  # kinds x 3 ** labelers at most
+    if not votes:
         return {}
-    rows = sorted(tuple(r) for r in rows)
     chances: dict[tuple[int, str], float] = {}
     for kind in range(4):
         counts: dict[str, float] = {}
-        for _, rank, votes, _, n in rows:
-            if (rank % 4 if rank < 8 else 3) == kind:
-                counts[votes] = counts.get(votes, 0) + n
-        chances |= {(kind, votes): c for votes, c in reliabilities(sorted(counts.items())).items()}
-    return span_classifier(rows, chances)
+        for r in votes:
+            if kind_of(r.rank) == kind:
+                counts[r.votes] = counts.get(r.votes, 0) + r.n
+        chances |= {(kind, v): c for v, c in reliabilities(sorted(counts.items())).items()}
+    look = ["rank", "votes", "size", "shape", "word1", "word2"]
+    looks = each.groupBy(*look).agg(F.count("*").alias("n")).orderBy(F.xxhash64(*look), *look).limit(most)
+    return span_classifier(sorted(tuple(r) for r in looks.collect()), chances)
 
 
 def chance(c: Column, weights: dict[str, float]) -> Column:
     """The classifier's chance of a candidate that the fixed patterns don't accept."""
     table = F.create_map(*(F.lit(x) for pair in sorted(weights.items()) for x in pair))
     kind = F.when(c["rank"] < 8, c["rank"] % 4).otherwise(3).cast("string")
-    names = [F.lit("all"), F.concat(F.lit("kind"), kind), F.concat(F.lit("size"), c["size"].cast("string"))]
-    names += [F.concat(kind, F.lit(f":{j}:"), F.substring(c["votes"], j + 1, 1)) for j in range(len(LABELERS))]
+    names = [F.lit("all"), F.concat(F.lit("kind"), kind)]
+    names += [F.concat(F.lit(name), kind, F.lit(":"), c[name].cast("string")) for name in ("size", "shape")]
+    names += [F.concat(F.lit(name), c[column].cast("string")) for name, column in (("one", "word1"), ("two", "word2"))]
     total = F.lit(0.0)
     for name in names:
         total = total + F.coalesce(F.try_element_at(table, name), F.lit(0.0))
     return 1 / (1 + F.exp(-total))
 
 
-def find(docs: DataFrame, key: str = "doc_id", text: str = "text", accept: float = ACCEPT) -> DataFrame:
+def find(docs: DataFrame, key: str = "doc_id", text: str = "text", accept: float = ACCEPT, gazetteers: dict[str, tuple[str, ...]] = GAZETTEERS) -> DataFrame:
     """key, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_added; one row per row."""
     source = docs.select(F.col(key), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("searched"))
-    found = store(source.select(key, candidates(F.col("searched")).alias("candidates")))
+    found = store(source.select(key, candidates(F.col("searched"), gazetteers).alias("candidates")))
     weights = train(found)
 
     def spans(c: Column) -> Column:

@@ -181,6 +181,35 @@ def test_loose_spans_are_added_where_labelers_agree(spark):
     assert personal.find(df).agg(F.sum("n_added")).first()[0] >= 50
 
 
+def test_classifier_goes_by_looks_where_votes_say_otherwise():
+    """It accepts a span that its votes reject, as its look goes with good ones, and refuses one that they accept."""
+    good, bad = "111101", "222022"
+    chances = {(3, good): 0.95, (3, bad): 0.05}
+    rows = [(7, good, 3, 10, 1, 2, 500.0), (7, bad, 5, 20, 3, 4, 500.0), (7, bad, 3, 10, 1, 2, 3.0), (7, good, 5, 20, 3, 4, 3.0)]
+    weights = personal.span_classifier(rows, chances)
+
+    def chance(*look):
+        total = sum(weights.get(f, 0.0) for f in personal.features(*look))
+        return 1 / (1 + math.exp(-total))
+
+    assert chance(7, 3, 10, 1, 2) > 0.8 and chance(7, 5, 20, 3, 4) < 0.2  # also of the candidates with the other votes
+
+
+def test_added_spans_follow_the_look(spark):
+    """The same strange numbers are added behind words that go with phones, and not behind words that go with parts lists."""
+    docs = [(i, f"please call our phone +1 212 555 01{i % 90 + 10} or call our phone (212) 555-01{i % 90 + 10}") for i in range(120)]
+    docs += [(1000 + i, f"spare part catalogue version {i} (012) 555-01{i % 90 + 10}x") for i in range(120)]
+    got = {r.doc_id: r.n_added for r in personal.find(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert sum(got[i] for i in range(120)) >= 110 and sum(got[1000 + i] for i in range(120)) <= 12
+
+
+def test_gazetteers_are_a_parameter(spark):
+    df = spark.createDataFrame([("write to a@b.example and a@c.com, 10.1.2.3 or 11.1.2.3",)], "t string")
+    votes = lambda g: [c.votes[2] for c in df.select(personal.candidates(F.col("t"), g)).first()[0]]
+    assert votes(personal.GAZETTEERS) == ["2", "1", "2", "0"]
+    assert votes(personal.GAZETTEERS | {"domain_ends": ("example",), "private": ()}) == ["1", "2", "0", "0"]
+
+
 @pytest.mark.parametrize("find", [secrets.find, personal.find])
 def test_empty_table(spark, find):
     assert find(documents(spark, [])).count() == 0
