@@ -28,6 +28,7 @@ gives no rows.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -211,11 +212,11 @@ def nearest(
     spark = vectors.sparkSession
     data = vectors.select(F.col(key).cast("long").alias("id"), quantized(F.col(vector)).alias("v"), queries.alias("asked")).where("id is not null and v is not null")
     square = F.aggregate("v", F.lit(0).cast("long"), lambda s, x: s + x * x)
-    longest, width, asked = data.agg(F.max(square), F.max(F.size("v")), F.sum(F.col("asked").cast("long"))).first()
+    longest, width, asked, n = data.agg(F.max(square), F.max(F.size("v")), F.sum(F.col("asked").cast("long")), F.count("*")).first()
     empty = "query_id long, rank int, vec_id long, score long"
     if not longest and not width or not asked:
         return spark.createDataFrame([], empty).withColumnRenamed("vec_id", key)
-    drawn = data.orderBy(F.xxhash64("id"), "id", "v").limit(nodes).select("id", "v").collect()  # at most ``nodes`` rows
+    drawn = data.orderBy(F.xxhash64("id"), "id", "v").limit(min(nodes, math.isqrt(n) + 1)).select("id", "v").collect()  # at most ``nodes`` rows
     sample = matrix([r.v for r in drawn], width)
     tree = Tree(sample, np.array([r.id for r in drawn]), float(longest), width)
     shared = spark.sparkContext.broadcast(tree)
