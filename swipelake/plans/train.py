@@ -49,6 +49,22 @@ def prepare(rows: DataFrame, fitted_on: DataFrame, apart: tuple[str, ...] = ())
     return features.with_text_categories(filled, categorical), [c for c in numeric if c not in constant], categorical
 
 
+def balanced_features(
+    merged: DataFrame, fit_on_all: bool = False, positive: str = "Yes", key: str = "transaction_id", features_path: str | None = None
+) -> tuple[features.FeatureModel, DataFrame, DataFrame]:
+    """The fitted features, the encoded rows (key, label, is_test, features) and the training part with equally large classes.
+
+    Features are fitted on the training part only, unless ``fit_on_all``. The encoded rows are read several times: they are stored
+    at ``features_path``, else in the checkpoint folder.
+    """
+    label = F.when(F.col(profile.TARGET) == positive, 1.0).otherwise(0.0)
+    split = cut_lineage(stratified_split(usable(merged).withColumn("label", label), "label", key))
+    rows, numeric, categorical = prepare(split, split if fit_on_all else split.where(~F.col("is_test")), ("label", "is_test"))
+    fitted = features.feature_pipeline(rows if fit_on_all else rows.where(~F.col("is_test")), numeric, categorical)
+    encoded = stored_vectors(fitted.encode(rows).select(key, "label", "is_test", "features"), ["features"], features_path)
+    return fitted, encoded, balance_classes(encoded.where(~F.col("is_test")), "label", key, "features")
+
+
 def train(
     merged: DataFrame,
     fit_on_all: bool = False,
@@ -58,17 +74,11 @@ def train(
     key: str = "transaction_id",
     features_path: str | None = None,
 ) -> TrainingResult:
-    """Features are fitted on the training part only, unless ``fit_on_all``.
+    """Prepare (see ``balanced_features``), train, predict the test part, evaluate.
 
-    The encoded rows (key, label, is_test, features) are read several times: they are stored at
-    ``features_path``, else in the checkpoint folder.
+    Spark's forest holds a number per feature and row, so columns with very many categories are better left out before.
     """
-    label = F.when(F.col(profile.TARGET) == positive, 1.0).otherwise(0.0)
-    split = cut_lineage(stratified_split(usable(merged).withColumn("label", label), "label", key))
-    rows, numeric, categorical = prepare(split, split if fit_on_all else split.where(~F.col("is_test")), ("label", "is_test"))
-    fitted = features.feature_pipeline(rows if fit_on_all else rows.where(~F.col("is_test")), numeric, categorical)
-    encoded = stored_vectors(fitted.encode(rows).select(key, "label", "is_test", "features"), ["features"], features_path)
-    balanced = balance_classes(encoded.where(~F.col("is_test")), "label", key, "features")
+    fitted, encoded, balanced = balanced_features(merged, fit_on_all, positive, key, features_path)
     forest = model.train_forest(balanced, trees=trees, max_depth=max_depth)
     predictions = model.predict(forest, encoded.where("is_test").select(key, "label", "features"))
     part = F.when(F.col("is_test"), "test").otherwise("train").alias("part")

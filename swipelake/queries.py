@@ -899,10 +899,10 @@ def forest_vectors(spark, sf):
 _FRAUD_ROWS = f"(SELECT id AS transaction_id, CASE target WHEN 'Yes' THEN 1 ELSE 0 END AS label FROM ({_LABELS_SQL}) l) f"
 
 
-def _fraud_model(spark, sf, **how) -> DataFrame:
+def _fraud_model(spark, sf, drop=(), **how) -> DataFrame:
     """Enriched transactions to predictions, through the stored stages: merge, prepare, split, encode, balance, train, predict."""
     with _scratch(spark) as folder:
-        enrich_transactions(spark, sf).where("is_fraud IS NOT NULL").write.parquet(f"{folder}/merged")
+        enrich_transactions(spark, sf).where("is_fraud IS NOT NULL").drop(*drop).write.parquet(f"{folder}/merged")
         result = training.train(spark.read.parquet(f"{folder}/merged"), features_path=f"{folder}/features", **how)
         return cut_lineage(_probability(result.predictions, "transaction_id"))
 
@@ -915,11 +915,29 @@ def fraud_model(spark, sf):
 
 @_query(_TEST_SQL.format(label="label", key="transaction_id", rows=_FRAUD_ROWS, found="true AS in_classes, true AS a_chance"))
 def fraud_model_rows(spark, sf):
-    """The same through a small forest: test rows and labels, predictions that are classes, chances of at least a half."""
-    found = _fraud_model(spark, sf, trees=3, max_depth=4)
+    """The same through a small forest, without the columns that have a category per client or day: test rows and labels,
+    predictions that are classes, chances of at least a half."""
+    found = _fraud_model(spark, sf, drop=("address", "date"), trees=3, max_depth=4)
     return found.select("transaction_id", "label", F.col("prediction").isin(0.0, 1.0).alias("in_classes"), F.col("probability").between(0.5, 1).alias("a_chance"))
 
 
+@_query(f"""
+  WITH c AS (SELECT CAST(label AS DOUBLE) AS label, count(*) AS n FROM {_FRAUD_ROWS} GROUP BY 1),
+       t AS (SELECT *, sum(n) OVER () AS total, CAST(ceil(sum(n) OVER () * 0.2) AS BIGINT) AS test FROM c),
+       q AS (SELECT label, n, (n * test) // total AS base, test - sum((n * test) // total) OVER () AS extra,
+                    row_number() OVER (ORDER BY (n * test) % total DESC, label) AS place FROM t),
+       r AS (SELECT label, CAST(n - base - (place <= extra)::INT AS BIGINT) AS n FROM q)
+  SELECT label, max(n) OVER () AS n, max(n) OVER () - n AS synthetic, true AS sparse FROM r""")
+def fraud_balanced(spark, sf):
+    """All features, a position for every address, card and day: encoded and balanced without unfolding a vector."""
+    with _scratch(spark) as folder:
+        enrich_transactions(spark, sf).where("is_fraud IS NOT NULL").write.parquet(f"{folder}/merged")
+        fitted, _, balanced = training.balanced_features(spark.read.parquet(f"{folder}/merged"))
+        held = F.unwrap_udt("features")
+        sparse = (held["type"] == 0) & (held["size"] == fitted.width) & (F.size(held["indices"]) <= 4 * len(fitted.numeric + fitted.categorical))
+        return cut_lineage(balanced.groupBy("label").agg(F.count("*").alias("n"), F.count_if("is_synthetic").alias("synthetic"), F.bool_and(sparse).alias("sparse")))
+
+
 # --- files, tables and stages ------------------------------------------------------------
 
 

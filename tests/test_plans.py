@@ -59,7 +59,7 @@ def test_row_wise_work_needs_no_shuffle(spark, formatted, name):
 
 @pytest.mark.parametrize("name", sorted(set(registered.queries()) - {"class_neighbours", "synthetic_points"}))
 def test_no_python_rows_and_no_cross_join(spark, formatted, name):
-    if name in ("forest_predictions", "forest_vectors", "fraud_model", "fraud_model_rows", "balanced_counts", "hashed_recall"):
+    if name in ("forest_predictions", "forest_vectors", "fraud_model", "fraud_model_rows", "fraud_balanced", "balanced_counts", "hashed_recall"):
         pytest.skip("trains or searches neighbours")
     plan = formatted(run(spark, name))
     assert "BatchEvalPython" not in plan and "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
