@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from swipelake.llm.common import drop, positional, small, store
+from swipelake.llm.common import drop, positional, store
 from swipelake.llm.spans import BLOCK, let
 
 WINDOW = 2

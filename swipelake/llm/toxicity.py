@@ -103,22 +103,13 @@ def sample(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str,
     return one.select("row.drawn_label", "row.text")
 
 
-def word_rows(rows: DataFrame) -> DataFrame:
-    """drawn_label, words: the distinct words of each text, stored, so a text is taken apart once."""
-
-    def of(batch: pa.RecordBatch) -> list[pa.Array]:
-        return [batch.column(0), pa.array([sorted(words(t)) for t in batch.column(1).to_pylist()], pa.list_(pa.string()))]
-
-    return store(_batches(rows, "drawn_label int, words array<string>", of))
-
-
 def chosen(rows: DataFrame, number: int, texts: tuple[int, int]) -> list[str]:
     """The features with the largest likelihood ratios between the classes."""
 
     def count(batch: pa.RecordBatch) -> list[pa.Array]:
         found: tuple[Counter, Counter] = (Counter(), Counter())
-        for label, own in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            found[label].update(features(set(own)))
+        for label, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            found[label].update(features(words(text)))
         every = list(found[0] | found[1])
         return [pa.array(every, pa.string()), *(pa.array([found[k][f] for f in every], pa.int64()) for k in (0, 1))]
 
@@ -183,7 +174,7 @@ def train(
     docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", size: int = SAMPLE, number: int = FEATURES
 ) -> tuple[float, dict[str, float]]:
     """Intercept, and weight by feature."""
-    rows = word_rows(sample(docs, labels, key, text, label, size))
+    rows = store(sample(docs, labels, key, text, label, size))
     tally = {r[0]: r[1] for r in rows.groupBy("drawn_label").count().collect()}
     texts = (tally.get(0, 0), tally.get(1, 0))
     if not all(texts):
@@ -195,8 +186,8 @@ def train(
 
     def vectors(batch: pa.RecordBatch) -> list[pa.Array]:
         ids, changes = [], []
-        for own in batch.column(1).to_pylist():
-            found = set(own)
+        for t in batch.column(1).to_pylist():
+            found = words(t)
             ids.append(sorted({index[f] for f in features(found) if f in index}))
             changes.append([sorted(c.items()) for c in swaps(found, index)])
         flat = [[[float(x) for pair in c for x in pair] for c in row] for row in changes]
