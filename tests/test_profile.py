@@ -3,7 +3,6 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-import pytest
 
 from swipelake.operators import columns, evaluate, features, profile, vectors
 
