@@ -4,6 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from swipelake import queries as registered
 from swipelake.operators import sampling
 
 
@@ -97,3 +98,13 @@ def test_split_by_chance(spark):
     assert marked.count() == 10_000 and "Exchange" not in marked._jdf.queryExecution().toString()
     with pytest.raises(ValueError):
         sampling.split_by_chance(df, "id", 1)
+
+
+def test_a_draw_is_checked_over_whole_rows(spark, tmp_path):
+    rows = [(i if i % 50 else None, f"c{i % 7}", i * 0.5) for i in range(1000)] * 2  # null keys, and every row twice
+    spark.createDataFrame(rows, "o_orderkey bigint, o_comment string, o_totalprice double").write.parquet(f"{tmp_path}/orders.parquet")
+    assert "bernoulli_sample" in registered.oracle_sql()
+    found = registered.queries()["bernoulli_sample"](spark, str(tmp_path))
+    assert [tuple(r) for r in found.collect()] == [(2000, True, True, True, True)]
+    drawn = registered.queries()["bernoulli_rows"](spark, str(tmp_path))
+    assert drawn.columns == ["o_orderkey", "o_comment", "o_totalprice"] and 1200 < drawn.count() < 1600
