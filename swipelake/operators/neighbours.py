@@ -9,8 +9,11 @@ the search takes two steps:
    distance for each; they are visited in rounds by that distance, until none is left within what
    has been found. Vectors travel only with the visits that are made.
 
-Cells are cut into chunks, so a task compares two chunks of bounded size whatever the size of a
-cell, and hands on only the k best per point.
+Small cells lie together in blocks: bounds are those of the cells, but a point is sent to a block once,
+however many of its cells it has to look into, as each visit carries a vector.
+
+Blocks are cut into chunks, so a task compares two chunks of bounded size whatever the size of a
+block, and hands on only the k best per point.
 """
 
 from __future__ import annotations
@@ -30,6 +33,8 @@ from swipelake.session import cut_lineage
 CHUNK_ROWS = 16_000
 # Rows per cell, at least.
 CELL_ROWS = 500
+# Blocks per group, at least, where there are as many cells.
+MIN_BLOCKS = 16
 # Pivots over all groups: they are held by the driver and by every task.
 MAX_PIVOTS = 16_384
 # Bytes that a chunk, and all pivots together, may have: of wide vectors there are fewer of either.
@@ -136,11 +141,16 @@ def _apart(a: Points, rows: np.ndarray, b: Points, cols: np.ndarray) -> np.ndarr
 
 @dataclass
 class _Cells:
-    """Pivots of one group, with the nearest and farthest member of each cell."""
+    """Pivots of one group, with the nearest and farthest member of each cell and the block it lies in (by default its own)."""
 
     pivots: Points
     near: np.ndarray | None = None
     far: np.ndarray | None = None
+    blocks: np.ndarray | None = None
+
+    def __post_init__(self):
+        if self.blocks is None:
+            self.blocks = np.arange(len(self.pivots), dtype=np.int32)
 
 
 def _distances(a: Points, b: Points) -> np.ndarray:
@@ -223,8 +233,16 @@ def _choose_pivots(points: DataFrame, group_rows: dict, cell_rows: int, sparse:
     return {g: _Cells(_rows(v, sparse)) for g, v in pivots.items()}
 
 
+def _into_blocks(cells: _Cells, blocks: int) -> None:
+    """Each cell goes to the block of the nearest of some of the pivots."""
+    pivots = cells.pivots
+    if blocks < len(pivots):
+        heads = pivots[np.arange(blocks) * len(pivots) // blocks]
+        cells.blocks = np.concatenate([_distances(pivots[rows], heads).argmin(1) for rows in _row_blocks(len(pivots), blocks)]).astype(np.int32)
+
+
 def _assign_cells(points: DataFrame, cells: dict, sparse: bool) -> DataFrame:
-    """The points with their cell and its distance, stored."""
+    """The points with their cell, its distance and its block, stored."""
     shared = points.sparkSession.sparkContext.broadcast(cells)
 
     def assign(batches):
@@ -237,9 +255,9 @@ def _assign_cells(points: DataFrame, cells: dict, sparse: bool) -> DataFrame:
                     d = _distances(vectors[block], pivots)
                     cell[block] = d.argmin(1)
                     radius[block] = d.min(1)
-                yield part.assign(cell=cell, radius=radius)
+                yield part.assign(cell=cell, radius=radius, block=shared.value[grp].blocks[cell])
 
-    more = (T.StructField("cell", T.IntegerType()), T.StructField("radius", T.DoubleType()))
+    more = (T.StructField("cell", T.IntegerType()), T.StructField("radius", T.DoubleType()), T.StructField("block", T.IntegerType()))
     placed = cut_lineage(points.mapInPandas(assign, T.StructType([*points.schema.fields, *more])))
     shared.destroy()
     return placed
@@ -341,7 +359,7 @@ def bounded_cells(vectors: Points, own: np.ndarray, reach: np.ndarray, cells: _C
 
 
 def _route(points: DataFrame, reach: DataFrame, cells: dict, sparse: bool) -> DataFrame:
-    """(grp, cell, pid, least), stored: each other cell that may hold a point within reach, and how far
+    """(grp, block, pid, least, turn), stored: each other block with a cell that may hold a point within reach, and how far
     the nearest one there is at least. No vectors: most of these pairs never come to a comparison."""
     shared = points.sparkSession.sparkContext.broadcast(cells)
     asked = points.join(reach, ["grp", "pid"], "left").withColumn(
@@ -353,21 +371,24 @@ def _route(points: DataFrame, reach: DataFrame, cells: dict, sparse: bool) -> Da
             for grp, part in pdf.groupby("grp", sort=False):
                 known = shared.value[grp]
                 vectors, own, limit = _rows(part["vec"], sparse), part["cell"].to_numpy(), part["reach"].to_numpy()
-                for block in _row_blocks(len(part), len(known.pivots)):
-                    rows, targets, least = bounded_cells(vectors[block], own[block], limit[block], known)
-                    rows = rows + block.start
+                for some in _row_blocks(len(part), len(known.pivots)):
+                    rows, targets, least = bounded_cells(vectors[some], own[some], limit[some], known)
+                    nearest = np.full((len(own[some]), known.blocks.max() + 1), np.inf)
+                    np.minimum.at(nearest, (rows, known.blocks[targets]), least)
+                    nearest[np.arange(len(nearest)), known.blocks[own[some]]] = np.inf
+                    rows, blocks = np.nonzero(nearest < np.inf)
                     yield pd.DataFrame(
                         {
-                            "grp": part["grp"].to_numpy()[rows],
-                            "cell": targets.astype("int32"),
-                            "pid": part["pid"].to_numpy()[rows],
-                            "least": least,
+                            "grp": part["grp"].to_numpy()[some][rows],
+                            "block": blocks.astype("int32"),
+                            "pid": part["pid"].to_numpy()[some][rows],
+                            "least": nearest[rows, blocks],
                         }
                     )
 
     kinds = {f.name: f for f in points.schema.fields}
-    schema = T.StructType([*(kinds[c] for c in ("grp", "cell", "pid")), T.StructField("least", T.DoubleType())])
-    by_bound = Window.partitionBy("grp", "pid").orderBy("least", "cell")
+    schema = T.StructType([*(kinds[c] for c in ("grp", "block", "pid")), T.StructField("least", T.DoubleType())])
+    by_bound = Window.partitionBy("grp", "pid").orderBy("least", "block")
     routed = cut_lineage(asked.mapInPandas(route, schema).withColumn("turn", F.row_number().over(by_bound)))
     shared.destroy()
     return routed
@@ -383,8 +404,8 @@ def _reach(best: DataFrame, k: int) -> DataFrame:
 def _in_rounds(
     placed: DataFrame, wanted: str, best: DataFrame, routed: DataFrame, sizes: DataFrame, k: int, chunk_rows: int, sparse: bool
 ) -> DataFrame:
-    """Look into the other cells, nearest bounds first, twice as many in each round. After each the
-    reach of a point is tighter, and cells beyond it are passed over."""
+    """Look into the other blocks (``cell`` of ``placed`` and ``sizes``), nearest bounds first, twice as many in each round. After each
+    the reach of a point is tighter, and blocks beyond it are passed over."""
     vectors = placed.where(wanted).select("grp", "pid", "vec")
     done, width = 0, 1
     while True:
@@ -392,8 +413,8 @@ def _in_rounds(
         left = left.where(F.col("reach").isNull() | (F.col("least") <= F.col("reach")))
         if not left.head(1):
             return best
-        now = left.where(F.col("turn") <= done + width).select("grp", "pid", "cell")
-        asked = cut_lineage(now.join(vectors, ["grp", "pid"]).select("grp", "cell", "pid", "vec"))
+        now = cut_lineage(left.where(F.col("turn") <= done + width).select("grp", "pid", F.col("block").alias("cell")))
+        asked = now.join(vectors, ["grp", "pid"]).select("grp", "cell", "pid", "vec")
         best = cut_lineage(_best(best.unionByName(_compare(asked, placed, sizes, k, chunk_rows, sparse)), k))
         done, width = done + width, 2 * width
 
@@ -432,21 +453,25 @@ def nearest_neighbours(
     group_rows = {r["grp"]: r["n"] for r in found}
     width = max((r["high"] for r in found), default=1)
     chunk_rows = _fitting(chunk_rows, width, CHUNK_BYTES)
-    cell_rows = cell_rows or _cell_rows(points, sum(group_rows.values()), _fitting(MAX_PIVOTS, width, PIVOT_BYTES))
+    pivots = _fitting(MAX_PIVOTS, width, PIVOT_BYTES)
+    block_rows = _cell_rows(points, sum(group_rows.values()), pivots)
+    cell_rows = max(cell_rows, -(-sum(group_rows.values()) // pivots)) if cell_rows else block_rows
     if max(group_rows.values(), default=0) <= cell_rows:  # one cell per group
         placed = points.withColumn("cell", F.lit(0))
         sizes = groups.withColumn("cell", F.lit(0))
         return _best(_compare(placed.where(wanted), placed, sizes, k, chunk_rows, sparse), k)
     cells = _choose_pivots(points, group_rows, cell_rows, sparse)
+    for grp, c in cells.items():
+        _into_blocks(c, len(c.pivots) if cell_rows >= block_rows else max(MIN_BLOCKS, -(-group_rows[grp] // block_rows)))
     placed = _assign_cells(points, cells, sparse)
-    sizes = placed.groupBy("grp", "cell").agg(
-        F.count("*").alias("n"), F.min("radius").alias("near"), F.max("radius").alias("far")
-    )
-    best = cut_lineage(_best(_compare(placed.where(wanted), placed, sizes, k, chunk_rows, sparse), k))
+    edges = placed.groupBy("grp", "cell").agg(F.min("radius").alias("near"), F.max("radius").alias("far"))
+    in_blocks = placed.drop("cell", "radius").withColumnRenamed("block", "cell")
+    sizes = in_blocks.groupBy("grp", "cell").agg(F.count("*").alias("n"))
+    best = cut_lineage(_best(_compare(in_blocks.where(wanted), in_blocks, sizes, k, chunk_rows, sparse), k))
     for c in cells.values():  # a cell that got no points keeps an infinite edge and is not visited
         c.near, c.far = np.full(len(c.pivots), -np.inf), np.full(len(c.pivots), np.inf)
-    for row in sizes.collect():  # one small row per cell
+    for row in edges.collect():  # one small row per cell
         c = cells[row["grp"]]
         c.near[row["cell"]], c.far[row["cell"]] = row["near"], row["far"]
     routed = _route(placed.where(wanted), _reach(best, k), cells, sparse)
-    return _in_rounds(placed, wanted, best, routed, sizes, k, chunk_rows, sparse)
+    return _in_rounds(in_blocks, wanted, best, routed, sizes, k, chunk_rows, sparse)

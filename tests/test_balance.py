@@ -64,6 +64,16 @@ def test_far_cells_are_ruled_out():
                 assert (i, j) in visited
 
 
+def test_a_point_visits_a_block_once(spark, monkeypatch):
+    rng = np.random.default_rng(12)
+    df = frame(spark, rng.normal(size=(600, 20)), np.zeros(600))  # nothing can be ruled out
+    visits = []
+    compare = neighbours._compare
+    monkeypatch.setattr(neighbours, "_compare", lambda queries, *a, **b: visits.append(queries.count()) or compare(queries, *a, **b))
+    check(df, 5, 5)
+    assert len(visits) > 2 and sum(visits) <= 600 * neighbours.MIN_BLOCKS
+
+
 def test_neighbours_in_row_blocks(spark, monkeypatch):
     monkeypatch.setattr(neighbours, "_CELLS_AT_ONCE", 50)
     rng = np.random.default_rng(2)
