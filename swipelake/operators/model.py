@@ -5,14 +5,13 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import RandomForestClassifier
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
+from swipelake.operators import forest
 from swipelake.operators.evaluate import accuracy, classification_report, confusion_counts
 from swipelake.session import ensure_checkpoint_dir
 
-# Seed and number of trees; depth is unlimited in intent, 30 is Spark's maximum.
+# Seed and number of trees; depth is unlimited in intent.
 SEED = 42
 TREES = 100
 MAX_DEPTH = 30
@@ -25,30 +24,13 @@ def train_forest(
     trees: int = TREES,
     max_depth: int = MAX_DEPTH,
     seed: int = SEED,
-) -> PipelineModel:
-    """The square root of the number of features is tried at each split.
+) -> forest.Forest:
+    """The square root of the number of features is tried at each split (see ``forest``).
 
-    Each row remembers its node in every tree, cut off in the checkpoint folder now and then:
-    deep trees need not be walked from the root at every level, and the memory per pass allows
-    many nodes at once.
-
-    What is returned is the stored model: a fitted one holds on to its training rows and the session, and
-    a session in which rows were counted on their way (``Observation``) can't be sent to tasks.
+    What is returned is the stored model, so its trees are not grown again for a reader.
     """
-    folder = ensure_checkpoint_dir(train.sparkSession)
-    forest = RandomForestClassifier(
-        featuresCol=features,
-        labelCol=label,
-        numTrees=trees,
-        maxDepth=max_depth,
-        featureSubsetStrategy="sqrt",
-        seed=seed,
-        cacheNodeIds=True,
-        checkpointInterval=10,
-        maxMemoryInMB=512,
-    )
-    path = f"{folder}/forest-{uuid.uuid4().hex}"
-    save_model(Pipeline(stages=[forest]).fit(train), path)
+    path = f"{ensure_checkpoint_dir(train.sparkSession)}/forest-{uuid.uuid4().hex}"
+    save_model(forest.grown(train, features, label, trees, max_depth, seed), path)
     return load_model(path)
 
 
@@ -59,7 +41,7 @@ class Evaluation:
     accuracy: DataFrame
 
 
-def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
+def predict(model: forest.Forest, df: DataFrame) -> DataFrame:
     return model.transform(df)
 
 
@@ -68,9 +50,9 @@ def evaluate(predictions: DataFrame, label: str = "label", prediction: str = "pr
     return Evaluation(confusion, classification_report(confusion), accuracy(predictions, label, prediction))
 
 
-def save_model(model: PipelineModel, path: str) -> None:
-    model.write().overwrite().save(path)
+def save_model(model: forest.Forest, path: str) -> None:
+    model.save(path)
 
 
-def load_model(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+def load_model(path: str) -> forest.Forest:
+    return forest.Forest.load(SparkSession.active(), path)

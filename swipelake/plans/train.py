@@ -5,13 +5,13 @@ from __future__ import annotations
 import argparse
 from dataclasses import dataclass
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from swipelake.operators import features, model, profile
 from swipelake.operators.balance import balance_classes
 from swipelake.operators.columns import trim_column_names
+from swipelake.operators.forest import Forest
 from swipelake.operators.joins import enrich_transactions
 from swipelake.operators.sampling import stratified_split
 from swipelake.operators.vectors import stored_vectors
@@ -22,7 +22,7 @@ from swipelake.sources.tables import read_table
 @dataclass
 class TrainingResult:
     features: features.FeatureModel
-    model: PipelineModel
+    model: Forest
     predictions: DataFrame
     evaluation: model.Evaluation
     classes: DataFrame  # (part, label, n) for train, test and balanced
@@ -74,10 +74,7 @@ def train(
     key: str = "transaction_id",
     features_path: str | None = None,
 ) -> TrainingResult:
-    """Prepare (see ``balanced_features``), train, predict the test part, evaluate.
-
-    Spark's forest holds a number per feature and row, so columns with very many categories are better left out before.
-    """
+    """Prepare (see ``balanced_features``), train, predict the test part, evaluate."""
     fitted, encoded, balanced = balanced_features(merged, fit_on_all, positive, key, features_path)
     forest = model.train_forest(balanced, trees=trees, max_depth=max_depth)
     predictions = model.predict(forest, encoded.where("is_test").select(key, "label", "features"))
