@@ -12,7 +12,7 @@ from swipelake.operators.joins import broadcast_if_small
 from swipelake.operators.neighbours import CHUNK_ROWS, distinct_points, nearest_neighbours
 from swipelake.operators.sampling import grant_quotas
 from swipelake.operators.vectors import DENSE, entries, sparse_struct, stored_vectors
-from swipelake.session import cut_lineage
+from swipelake.session import cut_lineage, remove_folder, stored, stored_at
 
 # Fixed value: neighbours to choose from.
 NEIGHBOURS = 5
@@ -104,18 +104,20 @@ def synthetic_points(
     classes = cut_lineage(missing_rows(df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count("*").alias("n")), label))
     small = classes.where("need > 0").select(F.col(label).alias("grp"), "n", "need")
     minor = df.join(broadcast_if_small(small.select(F.col("grp").alias(label))), label, "left_semi")
-    points = cut_lineage(distinct_points(minor, label, key, vector))
     rest = small.select("grp", (F.col("need") % F.col("n")).alias("quota"))
     per_row = broadcast_if_small(small.select("grp", F.expr("need div n").alias("each")))
-    points = cut_lineage(
-        grant_quotas(points, "grp", "pid", rest, F.col("copies"))
-        .join(per_row, "grp")
-        .withColumn("quota", F.col("each") * F.col("copies") + F.col("granted"))
-        .drop("each", "granted")
-    )
+    with stored(distinct_points(minor, label, key, vector)) as found:
+        points, folder = stored_at(
+            grant_quotas(found, "grp", "pid", rest, F.col("copies"))
+            .join(per_row, "grp")
+            .withColumn("quota", F.col("each") * F.col("copies") + F.col("granted"))
+            .drop("each", "granted")
+        )
     near = nearest_neighbours(points, k, "quota > 0", cell_rows, chunk_rows, sparse)
-    slots = cut_lineage(neighbour_slots(points, near, k))  # the search must not run again for every reader
-    bases = points.where("quota > 0").join(slots, ["grp", "pid"], "left")
+    with stored(neighbour_slots(points, near, k)) as slots:
+        # the search must not run again for every reader
+        bases, _ = stored_at(points.where("quota > 0").join(slots, ["grp", "pid"], "left"))
+    remove_folder(df.sparkSession, folder)
     steps = F.ceil(F.col("quota") / F.lit(POINTS_PER_STEP)).cast("bigint")
     bases = bases.withColumn("step", F.explode(F.sequence(F.lit(0).cast("bigint"), steps - 1)))
     first = F.col("step") * POINTS_PER_STEP

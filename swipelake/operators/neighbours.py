@@ -18,6 +18,7 @@ block, and hands on only the k best per point.
 
 from __future__ import annotations
 
+import functools
 from dataclasses import dataclass
 
 import numpy as np
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from swipelake.functions.hashing import key_digest, unit_draw
-from swipelake.session import cut_lineage
+from swipelake.session import remove_folder, stored_at
 
 # Rows per chunk, at most: a task holds two chunks at a time.
 CHUNK_ROWS = 16_000
@@ -40,6 +41,8 @@ MAX_PIVOTS = 16_384
 # Bytes that a chunk, and all pivots together, may have: of wide vectors there are fewer of either.
 CHUNK_BYTES = 64 << 20
 PIVOT_BYTES = 64 << 20
+# Data go to their queries in a part for each so many rows, up to a number of parts, one after the other: a shuffle holds one part.
+PART_ROWS, PARTS = 500_000, 4
 # Distances held at once, 32 MB.
 _CELLS_AT_ONCE = 4_000_000
 
@@ -241,8 +244,8 @@ def _into_blocks(cells: _Cells, blocks: int) -> None:
         cells.blocks = np.concatenate([_distances(pivots[rows], heads).argmin(1) for rows in _row_blocks(len(pivots), blocks)]).astype(np.int32)
 
 
-def _assign_cells(points: DataFrame, cells: dict, sparse: bool) -> DataFrame:
-    """The points with their cell, its distance and its block, stored."""
+def _assign_cells(points: DataFrame, cells: dict, sparse: bool) -> tuple[DataFrame, str]:
+    """The points with their cell, its distance and its block, stored, and their folder."""
     shared = points.sparkSession.sparkContext.broadcast(cells)
 
     def assign(batches):
@@ -258,7 +261,7 @@ def _assign_cells(points: DataFrame, cells: dict, sparse: bool) -> DataFrame:
                 yield part.assign(cell=cell, radius=radius, block=shared.value[grp].blocks[cell])
 
     more = (T.StructField("cell", T.IntegerType()), T.StructField("radius", T.DoubleType()), T.StructField("block", T.IntegerType()))
-    placed = cut_lineage(points.mapInPandas(assign, T.StructType([*points.schema.fields, *more])))
+    placed = stored_at(points.mapInPandas(assign, T.StructType([*points.schema.fields, *more])))
     shared.destroy()
     return placed
 
@@ -326,6 +329,18 @@ def _compare(queries: DataFrame, data: DataFrame, sizes: DataFrame, k: int, chun
     return asking.cogroup(answering).applyInPandas(search, schema)
 
 
+def _compared(queries: DataFrame, data: DataFrame, sizes: DataFrame, rows: int, k: int, chunk_rows: int, sparse: bool) -> tuple[DataFrame, list[str]]:
+    """The same from parts of the data, so that they never lie in a shuffle as a whole, and the folders where it is stored, if any."""
+    parts = min(PARTS, -(-rows // PART_ROWS))
+    if parts < 2:
+        return _compare(queries, data, sizes, k, chunk_rows, sparse), []
+    found, sizes = [], sizes.withColumn("n", F.ceil(F.col("n") / parts))
+    for i in range(parts):
+        mine = data.where(F.pmod(F.hash("pid"), F.lit(parts)) == i)
+        found.append(stored_at(_best(_compare(queries, mine, sizes, k, chunk_rows, sparse), k)))
+    return functools.reduce(DataFrame.unionByName, [df for df, _ in found]), [folder for _, folder in found]
+
+
 def _best(found: DataFrame, k: int) -> DataFrame:
     nearest = Window.partitionBy("grp", "pid").orderBy("dist", "near_pid")
     return found.withColumn("place", F.row_number().over(nearest)).where(F.col("place") <= k).drop("place")
@@ -358,8 +373,8 @@ def bounded_cells(vectors: Points, own: np.ndarray, reach: np.ndarray, cells: _C
     return rows, targets, least[rows, targets]
 
 
-def _route(points: DataFrame, reach: DataFrame, cells: dict, sparse: bool) -> DataFrame:
-    """(grp, block, pid, least, turn), stored: each other block with a cell that may hold a point within reach, and how far
+def _route(points: DataFrame, reach: DataFrame, cells: dict, sparse: bool) -> tuple[DataFrame, str]:
+    """(grp, block, pid, least, turn), stored, and their folder: each other block with a cell that may hold a point within reach, and how far
     the nearest one there is at least. No vectors: most of these pairs never come to a comparison."""
     shared = points.sparkSession.sparkContext.broadcast(cells)
     asked = points.join(reach, ["grp", "pid"], "left").withColumn(
@@ -389,7 +404,7 @@ def _route(points: DataFrame, reach: DataFrame, cells: dict, sparse: bool) -> Da
     kinds = {f.name: f for f in points.schema.fields}
     schema = T.StructType([*(kinds[c] for c in ("grp", "block", "pid")), T.StructField("least", T.DoubleType())])
     by_bound = Window.partitionBy("grp", "pid").orderBy("least", "block")
-    routed = cut_lineage(asked.mapInPandas(route, schema).withColumn("turn", F.row_number().over(by_bound)))
+    routed = stored_at(asked.mapInPandas(route, schema).withColumn("turn", F.row_number().over(by_bound)))
     shared.destroy()
     return routed
 
@@ -402,10 +417,11 @@ def _reach(best: DataFrame, k: int) -> DataFrame:
 
 
 def _in_rounds(
-    placed: DataFrame, wanted: str, best: DataFrame, routed: DataFrame, sizes: DataFrame, k: int, chunk_rows: int, sparse: bool
+    placed: DataFrame, wanted: str, best: DataFrame, earlier: str, routed: DataFrame, sizes: DataFrame, rows: int, k: int, chunk_rows: int, sparse: bool
 ) -> DataFrame:
     """Look into the other blocks (``cell`` of ``placed`` and ``sizes``), nearest bounds first, twice as many in each round. After each
-    the reach of a point is tighter, and blocks beyond it are passed over."""
+    the reach of a point is tighter, and blocks beyond it are passed over. ``earlier`` is the folder of ``best``,
+    ``rows`` the number of points."""
     vectors = placed.where(wanted).select("grp", "pid", "vec")
     done, width = 0, 1
     while True:
@@ -413,9 +429,13 @@ def _in_rounds(
         left = left.where(F.col("reach").isNull() | (F.col("least") <= F.col("reach")))
         if not left.head(1):
             return best
-        now = cut_lineage(left.where(F.col("turn") <= done + width).select("grp", "pid", F.col("block").alias("cell")))
+        now, folder = stored_at(left.where(F.col("turn") <= done + width).select("grp", "pid", F.col("block").alias("cell")))
         asked = now.join(vectors, ["grp", "pid"]).select("grp", "cell", "pid", "vec")
-        best = cut_lineage(_best(best.unionByName(_compare(asked, placed, sizes, k, chunk_rows, sparse)), k))
+        found, folders = _compared(asked, placed, sizes, rows, k, chunk_rows, sparse)
+        best, latest = stored_at(_best(best.unionByName(found), k))
+        for old in (folder, *folders, earlier):
+            remove_folder(placed.sparkSession, old)
+        earlier = latest
         done, width = done + width, 2 * width
 
 
@@ -459,19 +479,27 @@ def nearest_neighbours(
     if max(group_rows.values(), default=0) <= cell_rows:  # one cell per group
         placed = points.withColumn("cell", F.lit(0))
         sizes = groups.withColumn("cell", F.lit(0))
-        return _best(_compare(placed.where(wanted), placed, sizes, k, chunk_rows, sparse), k)
+        found, _ = _compared(placed.where(wanted), placed, sizes, sum(group_rows.values()), k, chunk_rows, sparse)
+        return _best(found, k)
     cells = _choose_pivots(points, group_rows, cell_rows, sparse)
     for grp, c in cells.items():
         _into_blocks(c, len(c.pivots) if cell_rows >= block_rows else max(MIN_BLOCKS, -(-group_rows[grp] // block_rows)))
-    placed = _assign_cells(points, cells, sparse)
+    placed, points_folder = _assign_cells(points, cells, sparse)
     edges = placed.groupBy("grp", "cell").agg(F.min("radius").alias("near"), F.max("radius").alias("far"))
     in_blocks = placed.drop("cell", "radius").withColumnRenamed("block", "cell")
     sizes = in_blocks.groupBy("grp", "cell").agg(F.count("*").alias("n"))
-    best = cut_lineage(_best(_compare(in_blocks.where(wanted), in_blocks, sizes, k, chunk_rows, sparse), k))
+    rows = sum(group_rows.values())
+    found, folders = _compared(in_blocks.where(wanted), in_blocks, sizes, rows, k, chunk_rows, sparse)
+    best, best_folder = stored_at(_best(found, k))
+    for folder in folders:
+        remove_folder(points.sparkSession, folder)
     for c in cells.values():  # a cell that got no points keeps an infinite edge and is not visited
         c.near, c.far = np.full(len(c.pivots), -np.inf), np.full(len(c.pivots), np.inf)
     for row in edges.collect():  # one small row per cell
         c = cells[row["grp"]]
         c.near[row["cell"]], c.far[row["cell"]] = row["near"], row["far"]
-    routed = _route(placed.where(wanted), _reach(best, k), cells, sparse)
-    return _in_rounds(in_blocks, wanted, best, routed, sizes, k, chunk_rows, sparse)
+    routed, routes_folder = _route(placed.where(wanted), _reach(best, k), cells, sparse)
+    best = _in_rounds(in_blocks, wanted, best, best_folder, routed, sizes, rows, k, chunk_rows, sparse)
+    for folder in (points_folder, routes_folder):
+        remove_folder(points.sparkSession, folder)
+    return best

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from swipelake.session import ensure_checkpoint_dir
+from swipelake.session import ensure_checkpoint_dir, release_shuffles, remove_folder
 
 # The marks of the two kinds of ML vectors.
 SPARSE, DENSE = 0, 1
@@ -49,11 +49,12 @@ def stored_vectors(df: DataFrame, columns: list[str], path: str | None = None) -
     """
     spark = df.sparkSession
     folder = f"{ensure_checkpoint_dir(spark)}/vectors-{uuid.uuid4().hex}"
-    df.write.parquet(folder)
+    df.write.option("compression", "zstd").parquet(folder)
     stored = read_with_vectors(df, folder, columns)
+    del df
+    release_shuffles(spark)
     if path is None:
         return stored
-    stored.write.mode("overwrite").parquet(path)
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
-    return read_with_vectors(df, path, columns)
+    stored.write.mode("overwrite").option("compression", "zstd").parquet(path)
+    remove_folder(spark, folder)
+    return spark.read.schema(stored.schema).parquet(path)

@@ -15,7 +15,7 @@ from swipelake.operators.forest import Forest
 from swipelake.operators.joins import enrich_transactions
 from swipelake.operators.sampling import stratified_split
 from swipelake.operators.vectors import stored_vectors
-from swipelake.session import cut_lineage, get_session
+from swipelake.session import get_session, release_shuffles, stored
 from swipelake.sources.tables import read_table
 
 
@@ -58,10 +58,13 @@ def balanced_features(
     at ``features_path``, else in the checkpoint folder.
     """
     label = F.when(F.col(profile.TARGET) == positive, 1.0).otherwise(0.0)
-    split = cut_lineage(stratified_split(usable(merged).withColumn("label", label), "label", key))
-    rows, numeric, categorical = prepare(split, split if fit_on_all else split.where(~F.col("is_test")), ("label", "is_test"))
-    fitted = features.feature_pipeline(rows if fit_on_all else rows.where(~F.col("is_test")), numeric, categorical)
-    encoded = stored_vectors(fitted.encode(rows).select(key, "label", "is_test", "features"), ["features"], features_path)
+    release_shuffles(merged.sparkSession)  # of the joins that made the merged rows
+    with stored(stratified_split(usable(merged).withColumn("label", label), "label", key)) as split:
+        rows, numeric, categorical = prepare(split, split if fit_on_all else split.where(~F.col("is_test")), ("label", "is_test"))
+        fitted = features.feature_pipeline(rows if fit_on_all else rows.where(~F.col("is_test")), numeric, categorical)
+        encoded = stored_vectors(fitted.encode(rows).select(key, "label", "is_test", "features"), ["features"], features_path)
+    del split, rows
+    release_shuffles(merged.sparkSession)
     return fitted, encoded, balance_classes(encoded.where(~F.col("is_test")), "label", key, "features")
 
 

@@ -48,6 +48,13 @@ def test_neighbours_equal_brute_force(spark, chunk_rows):
     check(frame(spark, vectors, np.arange(len(vectors)) % 7 // 5), 5, chunk_rows)
 
 
+@pytest.mark.parametrize("chunk_rows", [2000, 40])
+def test_neighbours_are_the_same_from_parts_of_the_data(spark, monkeypatch, chunk_rows):
+    monkeypatch.setattr(neighbours, "PART_ROWS", 60)
+    rng = np.random.default_rng(5)
+    check(frame(spark, rng.normal(size=(150, 3)), np.arange(150) % 7 // 5), 5, chunk_rows)
+
+
 def test_far_cells_are_ruled_out():
     rng = np.random.default_rng(1)
     pivots = np.array([[0.0, 0.0], [10.0, 0.0], [100.0, 0.0]])
